@@ -73,9 +73,11 @@ def calendar_attrs(dim: DataFrame, basis: str = "iso") -> DataFrame:
     keys around New Year; ``iso`` = the ISO week-numbering year, unique per week.
     """
     start = F.col(PERIOD_START)
-    year = F.year(start) if basis == "calendar" else F.expr(f"extract(YEAROFWEEK FROM {PERIOD_START})")
+    iso = F.expr(f"extract(YEAROFWEEK FROM {PERIOD_START})").cast("int")
+    cal = F.year(start).cast("int")
     return dim.select(PERIOD_ID, PERIOD_START, F.col(PERIOD_END),
-                      year.cast("int").alias("year"), F.weekofyear(start).cast("int").alias("week_num"))
+                      (cal if basis == "calendar" else iso).alias("year"),
+                      F.weekofyear(start).cast("int").alias("week_num"))
 
 
 def period_map(dim: DataFrame, years: int = -1, basis: str = "iso") -> DataFrame:

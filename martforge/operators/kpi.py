@@ -11,18 +11,49 @@ from martforge.functions.sizing import DEFAULT_BROADCAST_ROWS, bounded_broadcast
 KEYS = ("geography_id", "hierarchy_id", "period_id")
 
 
+def _routes(pmap: DataFrame) -> DataFrame:
+    """Per period x: where a fact row of x must be sent.
+
+    ``cur``: (x, q) for each comparison period q of x (x is reported against q);
+    ``ya``: (p, x) for each period p that is compared against x.
+    The map has at most a few rows per calendar period, so this stays tiny.
+    """
+    pair = lambda tag: F.struct(F.col("period_id").alias("p"), F.col("period_id_ya").alias("q"),
+                                F.lit(tag).alias("tag"))
+    cur = pmap.groupBy("period_id").agg(F.collect_list(pair(0)).alias("__cur"))
+    ya = (pmap.groupBy("period_id_ya").agg(F.collect_list(pair(1)).alias("__ya"))
+          .withColumnRenamed("period_id_ya", "period_id"))
+    return cur.join(ya, "period_id", "full")
+
+
 def _comparison(fact: DataFrame, pmap: DataFrame, unmatched: str, measures: list[str]) -> DataFrame:
     """Attach the comparison period and its measures (``ya_<m>``) to every fact row.
 
+    Equivalent to ``fact JOIN map LEFT JOIN fact AS ya ON (map.period_id_ya,
+    geo, node)``, computed in one pass over the fact: every row is emitted as
+    the *current* row of its own (period, comparison period) pairs and as the
+    *comparison* row of the pairs that point at it, then one aggregation on
+    (geo, node, period, comparison period) puts the two together. Each group
+    holds at most two rows, so no key can be hot; the fact is read once.
+
     ``unmatched='drop'`` keeps only periods present in the map (inner join, as
-    originally coded); ``'keep'`` keeps every fact row with empty comparison.
-    The map has one row per period (a few hundred rows), so it is broadcast.
+    originally coded); ``'keep'`` keeps every fact row with an empty comparison.
     """
-    how = "inner" if unmatched == "drop" else "left"
-    cur = fact.join(F.broadcast(pmap), "period_id", how)
-    ya = fact.select(F.col("period_id").alias("period_id_ya"), "geography_id", "hierarchy_id",
-                     *[F.col(m).alias(f"ya_{m}") for m in measures])
-    return cur.join(ya, ["period_id_ya", "geography_id", "hierarchy_id"], "left")
+    routes = F.broadcast(_routes(pmap))  # bounded by the number of calendar periods
+    f = fact.join(routes, "period_id", "left")
+    own = F.array(F.struct(F.col("period_id").alias("p"), F.lit(None).cast("int").alias("q"),
+                           F.lit(0).alias("tag")))
+    empty = F.array().cast("array<struct<p:int,q:int,tag:int>>")
+    cur = F.coalesce(F.col("__cur"), own if unmatched == "keep" else empty)
+    out = F.concat(cur, F.coalesce(F.col("__ya"), empty))
+    rows = f.select("geography_id", "hierarchy_id", *measures, F.explode(out).alias("r"))
+    is_cur, is_ya = F.col("r.tag") == 0, F.col("r.tag") == 1
+    aggs = [F.max(is_cur).alias("__has_cur")]
+    aggs += [F.max(F.when(is_cur, F.col(m))).alias(m) for m in measures]
+    aggs += [F.max(F.when(is_ya, F.col(m))).alias(f"ya_{m}") for m in measures]
+    return (rows.groupBy("geography_id", "hierarchy_id", F.col("r.p").alias("period_id"),
+                         F.col("r.q").alias("period_id_ya"))
+            .agg(*aggs).filter(F.col("__has_cur")).drop("__has_cur"))
 
 
 def with_growth(fact: DataFrame, pmap: DataFrame, unmatched: str = "drop") -> DataFrame:

@@ -10,6 +10,7 @@ from martforge.operators import calendar, facts, hierarchy, kpi
 from martforge.operators.conform import ConformSpec, conform, lowercase_columns
 from martforge.operators.quality import Rule, split
 from martforge.plans import retail
+from martforge.session import scratch_path
 
 
 def silver(raw: DataFrame, rules: list[Rule], spec: ConformSpec) -> tuple[DataFrame, DataFrame]:
@@ -53,18 +54,34 @@ class Gold:
                             unmatched=unmatched)
 
 
-def gold_dims(stores: DataFrame, products: DataFrame, sales: DataFrame,
-              dim_date: DataFrame | None = None) -> Gold:
-    """Dimensions and bridges from silver tables. ``dim_date`` defaults to the
-    weekly periods spanning the sales."""
+def _keep(df: DataFrame, materialize: bool) -> DataFrame:
+    # Written once as a table under spark.checkpoint.dir and read back: lineage
+    # is cut, later size checks and joins read the stored rows, and the file
+    # sizes give the planner real statistics.
+    if not materialize:
+        return df
+    path = scratch_path(df.sparkSession, "gold")
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def gold_dims(stores: DataFrame, products: DataFrame, sales: DataFrame | None = None,
+              dim_date: DataFrame | None = None, materialize: bool = True) -> Gold:
+    """Dimensions and bridges from silver tables.
+
+    ``dim_date`` defaults to the weekly periods spanning the sales (one extra
+    aggregate pass over them); pass a calendar-bounded one to avoid it.
+    With ``materialize`` every dimension and bridge is written once to the
+    checkpoint folder, as gold tables are, before facts are joined to them.
+    """
     if dim_date is None:
         dim_date = calendar.period_dim_from(sales, "period_start", "period_end")
-    dim_product = hierarchy.hierarchy_dim(products, retail.PRODUCT)
-    dim_geography = hierarchy.hierarchy_dim(stores, retail.GEOGRAPHY)
+    dim_product = _keep(hierarchy.hierarchy_dim(products, retail.PRODUCT), materialize)
+    dim_geography = _keep(hierarchy.hierarchy_dim(stores, retail.GEOGRAPHY), materialize)
     return Gold(
-        dim_date=dim_date,
+        dim_date=_keep(dim_date, materialize),
         dim_product=dim_product,
         dim_geography=dim_geography,
-        lkp_store_geography=hierarchy.bridge(stores, dim_geography, retail.GEOGRAPHY),
-        lkp_product_hierarchy=hierarchy.bridge(products, dim_product, retail.PRODUCT),
+        lkp_store_geography=_keep(hierarchy.bridge(stores, dim_geography, retail.GEOGRAPHY), materialize),
+        lkp_product_hierarchy=_keep(hierarchy.bridge(products, dim_product, retail.PRODUCT), materialize),
     )

@@ -1,17 +1,38 @@
-"""Registered queries: name -> (spark, sf_dir) -> DataFrame, each over whole TESTDATA tables."""
+"""Registered queries: name -> (spark, sf_dir) -> DataFrame, each over whole TESTDATA tables.
+
+Inputs follow FIXTURES.md: clean retail tables derived from the star tables,
+and dirty copies with injected nulls, bad keys and duplicates. Queries that
+exercise sinks write under ``spark.checkpoint.dir`` and return what they read back.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from martforge.plans import medallion
+from martforge.operators import bronze, calendar, facts, hierarchy, kpi, synth
+from martforge.operators.conform import dedupe_by_key, lowercase_columns
+from martforge.operators.quality import dq_summary as dq_summary_op
+from martforge.plans import medallion, retail
+from martforge.session import scratch_path
+from martforge.sources import layers, snapshot
 from martforge.sources import testdata as td
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 
+# Calendar bounds of the weekly period dimension for TESTDATA (FIXTURES.md §2):
+# the first period ends Sunday 1995-01-01, the day before the first sales week.
+FIRST_END, LAST_END = "1995-01-01", "2001-12-31"
+# Point lookups of the original notebooks (ids as they appear there).
+LOOKUP_PERIOD, LOOKUP_GEO, LOOKUP_NODE, LOOKUP_BRIDGE_NODE = 284, 1, 0, 1
+DRILL_DISTRICT = "BUILDING"
+SNAPSHOT_TABLES = ["region", "nation", "supplier", "customer", "part", "orders", "lineitem", "events"]
+MISSING_TABLE = "store_info"
+
 
 def query(name: str):
     def wrap(fn: Query) -> Query:
@@ -27,12 +48,290 @@ def silver_clean(spark: SparkSession, sf: str):
             medallion.silver_sales(td.sales(spark, sf)))
 
 
-def gold(spark: SparkSession, sf: str):
+def periods(spark: SparkSession) -> DataFrame:
+    return calendar.period_dim(spark, FIRST_END, LAST_END)
+
+
+def gold(spark: SparkSession, sf: str, materialize: bool = True):
     stores, products, sales = silver_clean(spark, sf)
-    return medallion.gold_dims(stores, products, sales), sales
+    return medallion.gold_dims(stores, products, sales, dim_date=periods(spark), materialize=materialize), sales
+
+
+def _lake(spark: SparkSession) -> layers.Lake:
+    return layers.Lake(scratch_path(spark, "lake"))
+
+
+# ------------------------------------------------------------------ IO: scans and sinks
+@query("scan_parquet")
+def scan_parquet(spark, sf):
+    return td.table(spark, sf, "events")
+
+
+@query("row_counts")
+def row_counts(spark, sf):
+    parts = [td.table(spark, sf, t).agg(F.lit(t).alias("table_name"), F.count(F.lit(1)).alias("row_count"))
+             for t in SNAPSHOT_TABLES]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query("layer_roundtrip")
+def layer_roundtrip(spark, sf):
+    """Overwrite a bronze table, append the same batch again, read the layer back."""
+    lake = _lake(spark)
+    nation = td.table(spark, sf, "nation")
+    lake.write(nation, "bronze", "nation", mode="overwrite")
+    lake.write(nation, "bronze", "nation", mode="append")
+    return lake.read(spark, "bronze", "nation")
+
+
+@query("sink_error_if_exists")
+def sink_error_if_exists(spark, sf):
+    """Write the same table twice with error-if-exists: the second attempt must fail and leave the first."""
+    path = scratch_path(spark, "once", "region")
+    region = td.table(spark, sf, "region")
+    parts = []
+    for attempt in (1, 2):
+        status = layers.write_once(region, path)
+        parts.append(spark.read.parquet(path).agg(
+            F.lit(attempt).alias("attempt"), F.lit(status).alias("status"),
+            F.count(F.lit(1)).alias("rows_in_target")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _reader(spark, sf):
+    return lambda name: td.table(spark, sf, name)
+
+
+@query("snapshot_tables")
+def snapshot_tables(spark, sf):
+    return snapshot.snapshot(spark, _reader(spark, sf), SNAPSHOT_TABLES, scratch_path(spark, "snap"))
+
+
+@query("snapshot_status")
+def snapshot_status(spark, sf):
+    tables = ["region", MISSING_TABLE, "nation", "customer"]
+    return snapshot.snapshot(spark, _reader(spark, sf), tables, scratch_path(spark, "snap"), on_error="continue")
+
+
+@query("snapshot_us")
+def snapshot_us(spark, sf):
+    target = scratch_path(spark, "snap")
+    snapshot.snapshot(spark, _reader(spark, sf), ["events"], target)
+    return spark.read.parquet(f"{target}/events.parquet")
+
+
+@query("file_inventory")
+def file_inventory(spark, sf):
+    return layers.file_inventory(spark, sf, "*.parquet").select("file_name", "size_bytes")
+
+
+@query("catalog_tables")
+def catalog_tables(spark, sf):
+    """Write silver stores to a layer path, register silver.* external tables over the paths, read by name."""
+    lake = _lake(spark)
+    stores, products, _ = silver_clean(spark, sf)
+    locs = {"stores": lake.write(stores, "silver", "stores"),
+            "products": lake.write(products, "silver", "products")}
+    layers.register_tables(spark, "silver", locs)
+    return spark.table("silver.stores")
+
+
+@query("insert_select")
+def insert_select(spark, sf):
+    g, _ = gold(spark, sf)
+    spark.sql("CREATE SCHEMA IF NOT EXISTS gold")
+    return layers.insert_select(spark, "gold.lkp_store_geography", "geography_id int, store_id int",
+                                scratch_path(spark, "tables", "lkp_store_geography"), g.lkp_store_geography)
+
+
+@query("ctas_replace")
+def ctas_replace(spark, sf):
+    g, sales = gold(spark, sf)
+    spark.sql("CREATE SCHEMA IF NOT EXISTS gold")
+    return layers.replace_table(g.kpi(sales), "gold.fct_sales", scratch_path(spark, "tables", "fct_sales"))
+
+
+@query("dim_scan")
+def dim_scan(spark, sf):
+    """Full scan of the registered gold geography dimension."""
+    g, _ = gold(spark, sf)
+    lake = _lake(spark)
+    layers.register_tables(spark, "gold", {"dim_geography": lake.write(g.dim_geography, "gold", "dim_geography")})
+    return spark.table("gold.dim_geography")
+
+
+# ------------------------------------------------------------------ bronze / silver
+@query("bronze_ingest")
+def bronze_ingest(spark, sf):
+    """Stamp raw sales, write them once to bronze, read back. The stamp is reported as present."""
+    path = scratch_path(spark, "bronze", "sales_fact")
+    raw = td.raw_sales(spark, sf)
+    layers.write_once(bronze.ingest(raw), path)
+    back = spark.read.parquet(path)
+    return back.select(*raw.columns, F.col("ingestion_date").isNotNull().alias("stamped"))
+
+
+@query("lowercase_columns")
+def lowercase_columns_q(spark, sf):
+    return lowercase_columns(td.raw_stores(spark, sf))
+
+
+@query("dedupe_by_key")
+def dedupe_by_key_q(spark, sf):
+    return dedupe_by_key(td.sales(spark, sf), "sales_id")
+
+
+@query("conform_stores")
+def conform_stores(spark, sf):
+    return medallion.silver_stores(td.raw_stores(spark, sf))
+
+
+@query("conform_products")
+def conform_products(spark, sf):
+    return medallion.silver_products(td.raw_products(spark, sf))
+
+
+@query("conform_sales")
+def conform_sales(spark, sf):
+    return medallion.silver_sales(td.raw_sales(spark, sf))
+
+
+@query("quarantine_stores")
+def quarantine_stores(spark, sf):
+    return medallion.silver(td.raw_stores(spark, sf), retail.STORE_RULES, retail.STORE_CONFORM)[1]
+
+
+@query("quarantine_products")
+def quarantine_products(spark, sf):
+    return medallion.silver(td.raw_products(spark, sf), retail.PRODUCT_RULES, retail.PRODUCT_CONFORM)[1]
+
+
+@query("quarantine_sales")
+def quarantine_sales(spark, sf):
+    return medallion.silver(td.raw_sales(spark, sf), retail.SALES_RULES, retail.SALES_CONFORM)[1]
+
+
+@query("dq_summary")
+def dq_summary(spark, sf):
+    return dq_summary_op({
+        "stores": (lowercase_columns(td.raw_stores(spark, sf)), retail.STORE_RULES),
+        "products": (lowercase_columns(td.raw_products(spark, sf)), retail.PRODUCT_RULES),
+        "sales": (lowercase_columns(td.raw_sales(spark, sf)), retail.SALES_RULES),
+    })
+
+
+# ------------------------------------------------------------------ calendar
+@query("dim_date")
+def dim_date(spark, sf):
+    """Weekly periods spanning the sales: first end = day before the first week, last = last week end."""
+    return calendar.period_dim_from(td.sales(spark, sf), "period_start", "period_end")
+
+
+@query("daily_spine")
+def daily_spine(spark, sf):
+    return calendar.daily_spine_from(td.table(spark, sf, "lineitem"), "l_shipdate")
+
+
+@query("calendar_attrs")
+def calendar_attrs(spark, sf):
+    dim = calendar.period_dim_from(td.sales(spark, sf), "period_start", "period_end")
+    cal = calendar.calendar_attrs(dim, "calendar")
+    iso = calendar.calendar_attrs(dim, "iso").select("period_id", F.col("year").alias("iso_year"))
+    return cal.join(iso, "period_id")
+
+
+@query("period_ya_ref")
+def period_ya_ref(spark, sf):
+    dim = calendar.period_dim_from(td.sales(spark, sf), "period_start", "period_end")
+    return calendar.period_map(dim, years=1, basis="calendar")
+
+
+@query("period_ya_iso")
+def period_ya_iso(spark, sf):
+    dim = calendar.period_dim_from(td.sales(spark, sf), "period_start", "period_end")
+    return calendar.period_map(dim, years=-1, basis="iso")
+
+
+# ------------------------------------------------------------------ dimensions and bridges
+@query("dim_product")
+def dim_product(spark, sf):
+    _, products, _ = silver_clean(spark, sf)
+    return hierarchy.hierarchy_dim(products, retail.PRODUCT)
+
+
+@query("dim_geography")
+def dim_geography(spark, sf):
+    stores, _, _ = silver_clean(spark, sf)
+    return hierarchy.hierarchy_dim(stores, retail.GEOGRAPHY)
+
+
+@query("dim_geo_level")
+def dim_geo_level(spark, sf):
+    stores, _, _ = silver_clean(spark, sf)
+    return hierarchy.level_dim(hierarchy.hierarchy_dim(stores, retail.GEOGRAPHY), retail.GEOGRAPHY)
+
+
+@query("bridge_store_geography")
+def bridge_store_geography(spark, sf):
+    g, _ = gold(spark, sf)
+    return g.lkp_store_geography
+
+
+@query("bridge_product_hierarchy")
+def bridge_product_hierarchy(spark, sf):
+    g, _ = gold(spark, sf)
+    return g.lkp_product_hierarchy
+
+
+@query("bridge_theta_check")
+def bridge_theta_check(spark, sf):
+    """The level-dependent OR join as originally written (cross-check of the equi-join bridge)."""
+    stores, _, _ = silver_clean(spark, sf)
+    g, _ = gold(spark, sf)
+    return hierarchy.bridge_or_join(stores, g.dim_geography, retail.GEOGRAPHY)
+
+
+@query("bridge_lookup")
+def bridge_lookup(spark, sf):
+    g, _ = gold(spark, sf)
+    return g.lkp_product_hierarchy.filter(F.col("hierarchy_id") == LOOKUP_BRIDGE_NODE)
+
+
+# ------------------------------------------------------------------ facts
+@query("fact_period_join")
+def fact_period_join(spark, sf):
+    _, _, sales = silver_clean(spark, sf)
+    p = F.broadcast(periods(spark))
+    j = sales.join(p, (sales.period_start == p.period_start_date) & (sales.period_end == p.period_end_date))
+    return j.filter(F.col("period_id") == LOOKUP_PERIOD)
+
+
+@query("fact_base")
+def fact_base(spark, sf):
+    g, sales = gold(spark, sf)
+    return g.fact_base(sales, with_stores=False)
+
+
+@query("fact_base_stores")
+def fact_base_stores(spark, sf):
+    g, sales = gold(spark, sf)
+    return g.fact_base(sales)
+
+
+@query("total_stores")
+def total_stores(spark, sf):
+    g, _ = gold(spark, sf)
+    return g.total_stores()
+
+
+# ------------------------------------------------------------------ KPI
+@query("growth_preview")
+def growth_preview(spark, sf):
+    """Unrounded growth, comparison map as originally coded (calendar year + 1, inner join)."""
+    g, sales = gold(spark, sf)
+    return kpi.with_growth(g.fact_base(sales, with_stores=False), g.period_map(1, "calendar"), "drop")
 
 
-# ------------------------------------------------------------------ gold KPI
 @query("fct_sales")
 def fct_sales(spark, sf):
     g, sales = gold(spark, sf)
@@ -43,3 +342,39 @@ def fct_sales(spark, sf):
 def fct_sales_ref(spark, sf):
     g, sales = gold(spark, sf)
     return g.kpi(sales, years=1, basis="calendar", unmatched="drop")
+
+
+@query("kpi_lookup")
+def kpi_lookup(spark, sf):
+    return fct_sales(spark, sf).filter((F.col("geography_id") == LOOKUP_GEO) & (F.col("hierarchy_id") == LOOKUP_NODE)
+                                       & (F.col("period_id") == LOOKUP_PERIOD))
+
+
+@query("sales_in_district")
+def sales_in_district(spark, sf):
+    stores, _, sales = silver_clean(spark, sf)
+    district = stores.filter(F.col("store_district") == DRILL_DISTRICT).select("store_id")
+    return sales.join(district, "store_id", "left_semi")
+
+
+# ------------------------------------------------------------------ generators, re-aimed at TESTDATA
+@query("synthetic_fk")
+def synthetic_fk(spark, sf):
+    """A store per customer key, placed at a hashed (state, district) pair of region x nation."""
+    n = td.table(spark, sf, "nation")
+    r = td.table(spark, sf, "region")
+    ref = n.join(r, n.n_regionkey == r.r_regionkey).select(
+        (F.col("n_nationkey") + 1).alias("geo_id"), F.col("r_name").alias("state"), F.col("n_name").alias("district"))
+    keys = td.table(spark, sf, "customer").select("c_custkey")
+    return synth.keyed_rows(keys, "c_custkey", ref, "geo_id",
+                            {"store_district": "district", "store_state": "state"}, country="World")
+
+
+@query("random_sample")
+def random_sample(spark, sf):
+    return synth.seeded_sample(td.stores(spark, sf), "store_id", 20)
+
+
+@query("expand_hierarchy")
+def expand_hierarchy(spark, sf):
+    return synth.expand_hierarchy(td.table(spark, sf, "part"), "p_type", "p_brand")
