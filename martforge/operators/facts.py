@@ -39,12 +39,8 @@ def rollup_fact(sales: DataFrame, periods: DataFrame, geo_bridge: DataFrame, pro
     Sums are exact fixed-point (``money_scale`` decimals) so the result does not
     depend on the order partial sums are combined in.
     """
-    f = join_periods(sales, periods).select(store_key, product_key, PERIOD_ID, amount, units)
-    pb = bounded_broadcast(prod_bridge.select(prod_id, product_key), broadcast_rows)
-    step1 = (f.join(pb, product_key)
-             .groupBy(store_key, prod_id, PERIOD_ID)
-             .agg(F.sum(F.round(F.col(amount) * 10 ** money_scale).cast("bigint")).alias("__amt"),
-                  F.sum(F.round(F.col(units) * 10 ** money_scale).cast("bigint")).alias("__units")))
+    step1 = product_step(sales, periods, prod_bridge, store_key, product_key, prod_id, amount, units,
+                         money_scale, broadcast_rows)
     gb = bounded_broadcast(geo_bridge.select(geo_id, store_key), broadcast_rows)
     aggs = [(F.sum("__amt") / F.lit(10 ** money_scale)).alias("sales"),
             (F.sum("__units") / F.lit(10 ** money_scale)).alias("units")]
@@ -53,6 +49,20 @@ def rollup_fact(sales: DataFrame, periods: DataFrame, geo_bridge: DataFrame, pro
     return step1.join(gb, store_key).groupBy(geo_id, prod_id, PERIOD_ID).agg(*aggs)
 
 
+def product_step(sales: DataFrame, periods: DataFrame, prod_bridge: DataFrame,
+                 store_key: str = "store_id", product_key: str = "product_id", prod_id: str = "hierarchy_id",
+                 amount: str = "sales_amount", units: str = "sales_units", money_scale: int = 2,
+                 broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Roll-up step 1: (store, product node, period) with exact sums in
+    ``10**-money_scale`` units (``__amt``, ``__units``)."""
+    f = join_periods(sales, periods).select(store_key, product_key, PERIOD_ID, amount, units)
+    pb = bounded_broadcast(prod_bridge.select(prod_id, product_key), broadcast_rows)
+    return (f.join(pb, product_key)
+            .groupBy(store_key, prod_id, PERIOD_ID)
+            .agg(F.sum(F.round(F.col(amount) * 10 ** money_scale).cast("bigint")).alias("__amt"),
+                 F.sum(F.round(F.col(units) * 10 ** money_scale).cast("bigint")).alias("__units")))
+
+
 def rollup_fact_direct(sales: DataFrame, periods: DataFrame, geo_bridge: DataFrame,
                        prod_bridge: DataFrame, store_key: str = "store_id",
                        product_key: str = "product_id", geo_id: str = "geography_id",

@@ -7,23 +7,39 @@ from pyspark.sql import functions as F
 
 from martforge.functions.columns import growth_pct, share_pct
 from martforge.functions.sizing import DEFAULT_BROADCAST_ROWS, bounded_broadcast
+from martforge.operators import facts
 
 KEYS = ("geography_id", "hierarchy_id", "period_id")
 
 
-def _routes(pmap: DataFrame) -> DataFrame:
-    """Per period x: where a fact row of x must be sent.
+def routes(pmap: DataFrame, periods: DataFrame, unmatched: str = "keep") -> DataFrame:
+    """Flat routing table: (period_id = source period, p, q, tag).
 
-    ``cur``: (x, q) for each comparison period q of x (x is reported against q);
-    ``ya``: (p, x) for each period p that is compared against x.
-    The map has at most a few rows per calendar period, so this stays tiny.
+    A fact row of period x feeds (x, q) as the *current* row (tag 0) for each
+    comparison period q of x, and (p, x) as the *comparison* row (tag 1) for
+    each period p compared against x. ``unmatched='keep'`` adds (x, NULL) for
+    periods without a comparison; ``'drop'`` leaves them out (inner join, as
+    originally coded). Size: a few rows per calendar period.
     """
-    pair = lambda tag: F.struct(F.col("period_id").alias("p"), F.col("period_id_ya").alias("q"),
-                                F.lit(tag).alias("tag"))
-    cur = pmap.groupBy("period_id").agg(F.collect_list(pair(0)).alias("__cur"))
-    ya = (pmap.groupBy("period_id_ya").agg(F.collect_list(pair(1)).alias("__ya"))
-          .withColumnRenamed("period_id_ya", "period_id"))
-    return cur.join(ya, "period_id", "full")
+    cur = pmap.select(F.col("period_id"), F.col("period_id").alias("p"), F.col("period_id_ya").alias("q"),
+                      F.lit(0).alias("tag"))
+    ya = pmap.select(F.col("period_id_ya").alias("period_id"), F.col("period_id").alias("p"),
+                     F.col("period_id_ya").alias("q"), F.lit(1).alias("tag"))
+    out = cur.unionByName(ya)
+    if unmatched == "keep":
+        alone = periods.select("period_id").join(pmap.select("period_id"), "period_id", "left_anti")
+        out = out.unionByName(alone.select("period_id", F.col("period_id").alias("p"),
+                                           F.lit(None).cast("int").alias("q"), F.lit(0).alias("tag")))
+    return out
+
+
+def route(df: DataFrame, pmap: DataFrame, periods: DataFrame, unmatched: str = "keep") -> DataFrame:
+    """Send each row of ``df`` (which has ``period_id``) to its targets (``p``, ``q``, ``tag``).
+
+    A broadcast hash join with the flat routing table: a row matching several
+    routes is emitted once per route, without building arrays per row.
+    """
+    return df.join(F.broadcast(routes(pmap, periods, unmatched)), "period_id")
 
 
 def _comparison(fact: DataFrame, pmap: DataFrame, unmatched: str, measures: list[str]) -> DataFrame:
@@ -35,45 +51,43 @@ def _comparison(fact: DataFrame, pmap: DataFrame, unmatched: str, measures: list
     *comparison* row of the pairs that point at it, then one aggregation on
     (geo, node, period, comparison period) puts the two together. Each group
     holds at most two rows, so no key can be hot; the fact is read once.
-
-    ``unmatched='drop'`` keeps only periods present in the map (inner join, as
-    originally coded); ``'keep'`` keeps every fact row with an empty comparison.
     """
-    routes = F.broadcast(_routes(pmap))  # bounded by the number of calendar periods
-    f = fact.join(routes, "period_id", "left")
-    own = F.array(F.struct(F.col("period_id").alias("p"), F.lit(None).cast("int").alias("q"),
-                           F.lit(0).alias("tag")))
-    empty = F.array().cast("array<struct<p:int,q:int,tag:int>>")
-    cur = F.coalesce(F.col("__cur"), own if unmatched == "keep" else empty)
-    out = F.concat(cur, F.coalesce(F.col("__ya"), empty))
-    rows = f.select("geography_id", "hierarchy_id", *measures, F.explode(out).alias("r"))
-    is_cur, is_ya = F.col("r.tag") == 0, F.col("r.tag") == 1
+    f = fact.select("geography_id", "hierarchy_id", "period_id", *measures)
+    rows = route(f, pmap, f.select("period_id").distinct(), unmatched)
+    is_cur, is_ya = F.col("tag") == 0, F.col("tag") == 1
     aggs = [F.max(is_cur).alias("__has_cur")]
     aggs += [F.max(F.when(is_cur, F.col(m))).alias(m) for m in measures]
     aggs += [F.max(F.when(is_ya, F.col(m))).alias(f"ya_{m}") for m in measures]
-    return (rows.groupBy("geography_id", "hierarchy_id", F.col("r.p").alias("period_id"),
-                         F.col("r.q").alias("period_id_ya"))
+    return (rows.groupBy("geography_id", "hierarchy_id", F.col("p").alias("period_id"),
+                         F.col("q").alias("period_id_ya"))
             .agg(*aggs).filter(F.col("__has_cur")).drop("__has_cur"))
 
 
 def with_growth(fact: DataFrame, pmap: DataFrame, unmatched: str = "drop") -> DataFrame:
     """Preview: sales/units, comparison values and unrounded growth percentages."""
-    j = _comparison(fact, pmap, unmatched, ["sales", "units"])
+    return _growth_columns(_comparison(fact, pmap, unmatched, ["sales", "units"]), None)
+
+
+def _growth_columns(j: DataFrame, digits: int | None) -> DataFrame:
     return j.select(*KEYS, "sales", "units",
                     F.coalesce(F.col("ya_sales"), F.lit(0.0)).alias("sales_ya"),
                     F.coalesce(F.col("ya_units"), F.lit(0.0)).alias("units_ya"),
-                    growth_pct("sales", "ya_sales", None).alias("sales_growth_pct"),
-                    growth_pct("units", "ya_units", None).alias("units_growth_pct"))
+                    growth_pct("sales", "ya_sales", digits).alias("sales_growth_pct"),
+                    growth_pct("units", "ya_units", digits).alias("units_growth_pct"))
 
 
 def kpi_fact(fact: DataFrame, pmap: DataFrame, totals: DataFrame, unmatched: str = "keep",
              digits: int = 2, broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """The 15-column KPI fact.
+    """The 15-column KPI fact from a fact table.
 
     ``fact``: geography_id, hierarchy_id, period_id, sales, units, stores_selling.
     ``totals``: geography_id, total_stores (one row per geography node).
     """
-    j = _comparison(fact, pmap, unmatched, ["sales", "units", "stores_selling"])
+    return _kpi_columns(_comparison(fact, pmap, unmatched, ["sales", "units", "stores_selling"]),
+                        totals, digits, broadcast_rows)
+
+
+def _kpi_columns(j: DataFrame, totals: DataFrame, digits: int, broadcast_rows: int) -> DataFrame:
     t = bounded_broadcast(totals.select("geography_id", "total_stores"), broadcast_rows)
     j = j.join(t, "geography_id", "left")
     ss_ya = F.coalesce(F.col("ya_stores_selling"), F.lit(0)).cast("bigint")
@@ -90,3 +104,44 @@ def kpi_fact(fact: DataFrame, pmap: DataFrame, totals: DataFrame, unmatched: str
         share_pct(ss_ya, "total_stores", digits).alias("store_penetration_pct_ya"),
         growth_pct("stores_selling", "ya_stores_selling", digits).alias("stores_growth_pct"),
     )
+
+
+def rollup_kpi(sales: DataFrame, periods: DataFrame, geo_bridge: DataFrame, prod_bridge: DataFrame,
+               pmap: DataFrame, totals: DataFrame | None, unmatched: str = "keep", digits: int | None = 2,
+               with_stores: bool = True, money_scale: int = 2,
+               broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """KPI fact straight from sales, without materialising the fact table.
+
+    Same result as ``kpi_fact(rollup_fact(...), ...)``. After the product step
+    of the roll-up (one row per store, product node, period), each row is
+    routed to the (period, comparison period) pairs it feeds and the geography
+    step aggregates current and comparison values side by side with
+    conditional sums and counts. One aggregation replaces the fact
+    aggregation, its second read and the comparison join; all aggregates are
+    algebraic, so hot geography nodes are combined map-side.
+    With ``with_stores=False`` and ``totals=None`` it yields the growth preview.
+    """
+    step1 = facts.product_step(sales, periods, prod_bridge, money_scale=money_scale,
+                               broadcast_rows=broadcast_rows)
+    gb = bounded_broadcast(geo_bridge.select("geography_id", "store_id"), broadcast_rows)
+    rows = route(step1.join(gb, "store_id"), pmap, periods, unmatched)
+    is_cur, is_ya = F.col("tag") == 0, F.col("tag") == 1
+    scale = F.lit(10 ** money_scale)
+    aggs = [F.count(F.when(is_cur, F.lit(1))).alias("__n_cur"),
+            F.count(F.when(is_ya, F.lit(1))).alias("__n_ya"),
+            (F.sum(F.when(is_cur, F.col("__amt"))) / scale).alias("sales"),
+            (F.sum(F.when(is_cur, F.col("__units"))) / scale).alias("units"),
+            (F.sum(F.when(is_ya, F.col("__amt"))) / scale).alias("__ya_sales"),
+            (F.sum(F.when(is_ya, F.col("__units"))) / scale).alias("__ya_units")]
+    g = (rows.groupBy("geography_id", "hierarchy_id", F.col("p").alias("period_id"),
+                      F.col("q").alias("period_id_ya"))
+         .agg(*aggs).filter(F.col("__n_cur") > 0))
+    has_ya = F.col("__n_ya") > 0
+    j = g.select("geography_id", "hierarchy_id", "period_id", "sales", "units",
+                 F.when(has_ya, F.col("__ya_sales")).alias("ya_sales"),
+                 F.when(has_ya, F.col("__ya_units")).alias("ya_units"),
+                 F.col("__n_cur").alias("stores_selling"),
+                 F.when(has_ya, F.col("__n_ya")).alias("ya_stores_selling"))
+    if not with_stores:
+        return _growth_columns(j, digits)
+    return _kpi_columns(j, totals, digits if digits is not None else 2, broadcast_rows)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 
@@ -31,13 +31,52 @@ def silver_sales(raw: DataFrame) -> DataFrame:
     return silver(raw, retail.SALES_RULES, retail.SALES_CONFORM)[0]
 
 
-@dataclass
+def _keep(df: DataFrame, materialize: bool) -> DataFrame:
+    # Written once as a table under spark.checkpoint.dir and read back: lineage
+    # is cut, later size checks and joins read the stored rows, and the file
+    # sizes give the planner real statistics.
+    if not materialize:
+        return df
+    path = scratch_path(df.sparkSession, "gold")
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 class Gold:
-    dim_date: DataFrame
-    dim_product: DataFrame
-    dim_geography: DataFrame
-    lkp_store_geography: DataFrame
-    lkp_product_hierarchy: DataFrame
+    """Gold dimensions and bridges over silver tables, each built (and, with
+    ``materialize``, written once) on first use.
+
+    ``dim_date`` defaults to the weekly periods spanning the sales (one extra
+    aggregate pass over them); pass a calendar-bounded one to avoid it.
+    """
+
+    def __init__(self, stores: DataFrame, products: DataFrame, sales: DataFrame | None = None,
+                 dim_date: DataFrame | None = None, materialize: bool = True):
+        self.stores, self.products, self.sales = stores, products, sales
+        self._dim_date, self.materialize = dim_date, materialize
+
+    @cached_property
+    def dim_date(self) -> DataFrame:
+        d = self._dim_date
+        if d is None:
+            d = calendar.period_dim_from(self.sales, "period_start", "period_end")
+        return _keep(d, self.materialize)
+
+    @cached_property
+    def dim_product(self) -> DataFrame:
+        return _keep(hierarchy.hierarchy_dim(self.products, retail.PRODUCT), self.materialize)
+
+    @cached_property
+    def dim_geography(self) -> DataFrame:
+        return _keep(hierarchy.hierarchy_dim(self.stores, retail.GEOGRAPHY), self.materialize)
+
+    @cached_property
+    def lkp_store_geography(self) -> DataFrame:
+        return _keep(hierarchy.bridge(self.stores, self.dim_geography, retail.GEOGRAPHY), self.materialize)
+
+    @cached_property
+    def lkp_product_hierarchy(self) -> DataFrame:
+        return _keep(hierarchy.bridge(self.products, self.dim_product, retail.PRODUCT), self.materialize)
 
     def fact_base(self, sales: DataFrame, with_stores: bool = True) -> DataFrame:
         return facts.rollup_fact(sales, self.dim_date, self.lkp_store_geography,
@@ -50,38 +89,16 @@ class Gold:
         return calendar.period_map(self.dim_date, years, basis)
 
     def kpi(self, sales: DataFrame, years: int = -1, basis: str = "iso", unmatched: str = "keep") -> DataFrame:
-        return kpi.kpi_fact(self.fact_base(sales), self.period_map(years, basis), self.total_stores(),
-                            unmatched=unmatched)
+        return kpi.rollup_kpi(sales, self.dim_date, self.lkp_store_geography, self.lkp_product_hierarchy,
+                              self.period_map(years, basis), self.total_stores(), unmatched=unmatched)
 
-
-def _keep(df: DataFrame, materialize: bool) -> DataFrame:
-    # Written once as a table under spark.checkpoint.dir and read back: lineage
-    # is cut, later size checks and joins read the stored rows, and the file
-    # sizes give the planner real statistics.
-    if not materialize:
-        return df
-    path = scratch_path(df.sparkSession, "gold")
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    def growth_preview(self, sales: DataFrame, years: int = 1, basis: str = "calendar",
+                       unmatched: str = "drop") -> DataFrame:
+        return kpi.rollup_kpi(sales, self.dim_date, self.lkp_store_geography, self.lkp_product_hierarchy,
+                              self.period_map(years, basis), None, unmatched=unmatched, digits=None,
+                              with_stores=False)
 
 
 def gold_dims(stores: DataFrame, products: DataFrame, sales: DataFrame | None = None,
               dim_date: DataFrame | None = None, materialize: bool = True) -> Gold:
-    """Dimensions and bridges from silver tables.
-
-    ``dim_date`` defaults to the weekly periods spanning the sales (one extra
-    aggregate pass over them); pass a calendar-bounded one to avoid it.
-    With ``materialize`` every dimension and bridge is written once to the
-    checkpoint folder, as gold tables are, before facts are joined to them.
-    """
-    if dim_date is None:
-        dim_date = calendar.period_dim_from(sales, "period_start", "period_end")
-    dim_product = _keep(hierarchy.hierarchy_dim(products, retail.PRODUCT), materialize)
-    dim_geography = _keep(hierarchy.hierarchy_dim(stores, retail.GEOGRAPHY), materialize)
-    return Gold(
-        dim_date=_keep(dim_date, materialize),
-        dim_product=dim_product,
-        dim_geography=dim_geography,
-        lkp_store_geography=_keep(hierarchy.bridge(stores, dim_geography, retail.GEOGRAPHY), materialize),
-        lkp_product_hierarchy=_keep(hierarchy.bridge(products, dim_product, retail.PRODUCT), materialize),
-    )
+    return Gold(stores, products, sales, dim_date, materialize)

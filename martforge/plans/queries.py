@@ -52,9 +52,27 @@ def periods(spark: SparkSession) -> DataFrame:
     return calendar.period_dim(spark, FIRST_END, LAST_END)
 
 
+# The gold layer of a session, per input folder: dimensions and bridges are
+# written once (on first use) and read by every later query, as gold tables are.
+_GOLD: dict[tuple[str, str], medallion.Gold] = {}
+
+
 def gold(spark: SparkSession, sf: str, materialize: bool = True):
     stores, products, sales = silver_clean(spark, sf)
-    return medallion.gold_dims(stores, products, sales, dim_date=periods(spark), materialize=materialize), sales
+    key = (spark.sparkContext.applicationId, sf)
+    if not materialize:
+        return medallion.gold_dims(stores, products, sales, dim_date=periods(spark), materialize=False), sales
+    if key not in _GOLD:
+        _GOLD[key] = medallion.gold_dims(stores, products, sales, dim_date=periods(spark))
+    return _GOLD[key], sales
+
+
+def build_gold_layer(spark: SparkSession, sf: str) -> medallion.Gold:
+    """Materialise every gold dimension and bridge of ``sf`` now."""
+    g, _ = gold(spark, sf)
+    for name in ("dim_date", "dim_product", "dim_geography", "lkp_store_geography", "lkp_product_hierarchy"):
+        getattr(g, name)
+    return g
 
 
 def _lake(spark: SparkSession) -> layers.Lake:
@@ -329,7 +347,7 @@ def total_stores(spark, sf):
 def growth_preview(spark, sf):
     """Unrounded growth, comparison map as originally coded (calendar year + 1, inner join)."""
     g, sales = gold(spark, sf)
-    return kpi.with_growth(g.fact_base(sales, with_stores=False), g.period_map(1, "calendar"), "drop")
+    return g.growth_preview(sales)
 
 
 @query("fct_sales")
