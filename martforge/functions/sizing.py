@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 # Rows a build side may hold before the join falls back to a shuffle join.
 DEFAULT_BROADCAST_ROWS = 2_000_000
 
+# Proofs already made in this process, by (session, semantic plan hash, bound): a
+# written gold table is checked once, not by every query that joins it.
+_PROVEN: dict[tuple[str, int, int], bool] = {}
+
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Mark ``df`` for broadcast if it provably has at most ``max_rows`` rows.
@@ -19,5 +23,7 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     """
     if max_rows <= 0:
         return df
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), max_rows)
+    if key not in _PROVEN:
+        _PROVEN[key] = df.limit(max_rows + 1).count() <= max_rows
+    return F.broadcast(df) if _PROVEN[key] else df

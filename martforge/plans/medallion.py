@@ -82,8 +82,12 @@ class Gold:
         return facts.rollup_fact(sales, self.dim_date, self.lkp_store_geography,
                                  self.lkp_product_hierarchy, with_stores=with_stores)
 
+    @cached_property
+    def node_totals(self) -> DataFrame:
+        return _keep(facts.node_totals(self.lkp_store_geography), self.materialize)
+
     def total_stores(self) -> DataFrame:
-        return facts.node_totals(self.lkp_store_geography)
+        return self.node_totals
 
     def period_map(self, years: int = -1, basis: str = "iso") -> DataFrame:
         return calendar.period_map(self.dim_date, years, basis)

@@ -58,19 +58,23 @@ _GOLD: dict[tuple[str, str], medallion.Gold] = {}
 
 
 def gold(spark: SparkSession, sf: str, materialize: bool = True):
-    stores, products, sales = silver_clean(spark, sf)
+    sales = medallion.silver_sales(td.sales(spark, sf))
     key = (spark.sparkContext.applicationId, sf)
-    if not materialize:
-        return medallion.gold_dims(stores, products, sales, dim_date=periods(spark), materialize=False), sales
-    if key not in _GOLD:
-        _GOLD[key] = medallion.gold_dims(stores, products, sales, dim_date=periods(spark))
+    if not materialize or key not in _GOLD:
+        stores = medallion.silver_stores(td.stores(spark, sf))
+        products = medallion.silver_products(td.products(spark, sf))
+        g = medallion.gold_dims(stores, products, sales, dim_date=periods(spark), materialize=materialize)
+        if not materialize:
+            return g, sales
+        _GOLD[key] = g
     return _GOLD[key], sales
 
 
 def build_gold_layer(spark: SparkSession, sf: str) -> medallion.Gold:
     """Materialise every gold dimension and bridge of ``sf`` now."""
     g, _ = gold(spark, sf)
-    for name in ("dim_date", "dim_product", "dim_geography", "lkp_store_geography", "lkp_product_hierarchy"):
+    for name in ("dim_date", "dim_product", "dim_geography", "lkp_store_geography", "lkp_product_hierarchy",
+                 "node_totals"):
         getattr(g, name)
     return g
 
