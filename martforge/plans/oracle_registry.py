@@ -52,6 +52,7 @@ ORACLE: dict[str, str] = {
     "dim_scan": o.gold_with() + "select * from dim_geography",
     # ---------------------------------------------------------- bronze / silver
     "bronze_ingest": f"select *, true as stamped from ({o.RAW_SALES}) __r",
+    "bronze_stream": "select *, true as stamped from lineitem",
     "lowercase_columns": o.lower_raw(o.RAW_STORES, o.RAW_STORE_COLS),
     "dedupe_by_key": o.dedupe(o.FX_SALES, "sales_id", o.SALES_COLS),
     "conform_stores": o.conform_stores_sql(o.lower_raw(o.RAW_STORES, o.RAW_STORE_COLS)),
@@ -88,6 +89,8 @@ from dim_date""",
     "bridge_store_geography": o.gold_with() + "select * from lkp_store_geography",
     "bridge_product_hierarchy": o.gold_with() + "select * from lkp_product_hierarchy",
     "bridge_theta_check": o.gold_with() + "select * from lkp_store_geography",
+    "store_bridge_lookup": o.gold_with() + "select * from lkp_store_geography where store_id = 14",
+    "period_lookup": _with(DERIVED_DIM) + "select * from dim_date where period_id = 284",
     "bridge_lookup": o.gold_with() + "select * from lkp_product_hierarchy where hierarchy_id = 1",
     # ---------------------------------------------------------- facts
     "fact_period_join": o.gold_with() + """select s.*, p.period_id, p.period_start_date, p.period_end_date

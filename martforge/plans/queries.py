@@ -20,6 +20,7 @@ from martforge.plans import medallion, retail
 from martforge.session import scratch_path
 from martforge.sources import layers, snapshot
 from martforge.sources import testdata as td
+from martforge.streaming.ingest import ingest_available
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -28,7 +29,7 @@ REGISTRY: dict[str, Query] = {}
 # the first period ends Sunday 1995-01-01, the day before the first sales week.
 FIRST_END, LAST_END = "1995-01-01", "2001-12-31"
 # Point lookups of the original notebooks (ids as they appear there).
-LOOKUP_PERIOD, LOOKUP_GEO, LOOKUP_NODE, LOOKUP_BRIDGE_NODE = 284, 1, 0, 1
+LOOKUP_PERIOD, LOOKUP_GEO, LOOKUP_NODE, LOOKUP_BRIDGE_NODE, LOOKUP_STORE = 284, 1, 0, 1, 14
 DRILL_DISTRICT = "BUILDING"
 SNAPSHOT_TABLES = ["region", "nation", "supplier", "customer", "part", "orders", "lineitem", "events"]
 MISSING_TABLE = "store_info"
@@ -193,6 +194,16 @@ def bronze_ingest(spark, sf):
     return back.select(*raw.columns, F.col("ingestion_date").isNotNull().alias("stamped"))
 
 
+@query("bronze_stream")
+def bronze_stream(spark, sf):
+    """The bronze ingest as an incremental stream over the landing folder (here: the lineitem file)."""
+    target, ckpt = scratch_path(spark, "bronze", "lineitem"), scratch_path(spark, "ckpt", "lineitem")
+    schema = td.table(spark, sf, "lineitem").schema
+    ingest_available(spark, sf, schema, target, ckpt, path_glob="lineitem.parquet")
+    back = spark.read.parquet(target)
+    return back.select(*schema.names, F.col("ingestion_date").isNotNull().alias("stamped"))
+
+
 @query("lowercase_columns")
 def lowercase_columns_q(spark, sf):
     return lowercase_columns(td.raw_stores(spark, sf))
@@ -313,6 +324,19 @@ def bridge_theta_check(spark, sf):
     return hierarchy.bridge_or_join(stores, g.dim_geography, retail.GEOGRAPHY)
 
 
+@query("store_bridge_lookup")
+def store_bridge_lookup(spark, sf):
+    g, _ = gold(spark, sf)
+    return g.lkp_store_geography.filter(F.col("store_id") == LOOKUP_STORE)
+
+
+@query("period_lookup")
+def period_lookup(spark, sf):
+    """One period of the (data-spanning) period dimension."""
+    dim = calendar.period_dim_from(td.sales(spark, sf), "period_start", "period_end")
+    return dim.filter(F.col("period_id") == LOOKUP_PERIOD)
+
+
 @query("bridge_lookup")
 def bridge_lookup(spark, sf):
     g, _ = gold(spark, sf)
