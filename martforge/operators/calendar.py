@@ -63,7 +63,8 @@ def daily_spine(spark: SparkSession, start, end=None, days: int | None = None) -
 def daily_spine_from(df: DataFrame, date_col: str) -> DataFrame:
     """Daily spine over the data's date range (first to last day inclusive)."""
     bounds = df.agg(F.min(F.to_date(date_col)).alias("s"), F.max(F.to_date(date_col)).alias("e"))
-    return bounds.select(F.explode(F.sequence("s", "e")).alias("date_value"))
+    # Total order as in the original calendar load (a range-partitioned sort, not a one-task sort).
+    return bounds.select(F.explode(F.sequence("s", "e")).alias("date_value")).orderBy("date_value")
 
 
 def calendar_attrs(dim: DataFrame, basis: str = "iso") -> DataFrame:
