@@ -138,8 +138,17 @@ def bridge(leaves: DataFrame, dim: DataFrame, spec: HierarchySpec,
 
 def bridge_or_join(leaves: DataFrame, dim: DataFrame, spec: HierarchySpec,
                    broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """The literal OR-of-conjunctions join, kept to cross-check ``bridge``."""
-    d = bounded_broadcast(dim, broadcast_rows).alias("d")
+    """The literal OR-of-conjunctions join, kept to cross-check ``bridge``.
+
+    Only run with the dimension broadcast (leaves stream through, each compared
+    with the nodes of its top-level value). Beyond the broadcast bound a shuffle
+    join could key on the shared top level only, so a single country would meet
+    every leaf in one task; the equi-join form is used instead.
+    """
+    d = bounded_broadcast(dim, broadcast_rows)
+    if d is dim:
+        return bridge(leaves, dim, spec, broadcast_rows)
+    d = d.alias("d")
     s = leaves.alias("s")
     branches = []
     for lvl in spec.levels:
