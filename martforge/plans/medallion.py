@@ -57,10 +57,11 @@ class Gold:
 
     @cached_property
     def dim_date(self) -> DataFrame:
-        d = self._dim_date
-        if d is None:
-            d = calendar.period_dim_from(self.sales, "period_start", "period_end")
-        return _keep(d, self.materialize)
+        # Built from calendar parameters it has no lineage to cut; derived from
+        # the sales it is written once like the other gold tables.
+        if self._dim_date is not None:
+            return self._dim_date
+        return _keep(calendar.period_dim_from(self.sales, "period_start", "period_end"), self.materialize)
 
     @cached_property
     def dim_product(self) -> DataFrame:
