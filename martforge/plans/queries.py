@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martforge.operators import bronze, calendar, facts, hierarchy, kpi, synth
+from martforge.operators import bronze, calendar, hierarchy, synth
 from martforge.operators.conform import dedupe_by_key, lowercase_columns
 from martforge.operators.quality import dq_summary as dq_summary_op
 from martforge.plans import medallion, retail
