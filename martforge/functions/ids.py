@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from martforge.session import ensure_checkpoint_dir
+
 _PID, _MID, _CNT, _OFF = "__mf_pid", "__mf_mid", "__mf_cnt", "__mf_off"
 
 
@@ -18,13 +20,20 @@ def dense_index(df: DataFrame, order: list[Column], name: str, base: int = 0,
     partition in its upper bits); a tiny table of per-partition counts gives
     each partition its offset. The order must be total (ties make ids
     arbitrary among the tied rows, as with row_number).
+
+    The numbered rows are checkpointed (reliably, into spark.checkpoint.dir)
+    before they are used twice: range bounds are sampled from the input, so
+    two independent evaluations, or a recomputation after a lost executor,
+    could otherwise split the rows differently and offsets would not match.
     """
     spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranked = (df.repartitionByRange(n, *order)
               .sortWithinPartitions(*order)
               .withColumn(_PID, F.spark_partition_id())
-              .withColumn(_MID, F.monotonically_increasing_id()))
+              .withColumn(_MID, F.monotonically_increasing_id())
+              .checkpoint(eager=True))
     counts = ranked.groupBy(_PID).agg(F.count(F.lit(1)).alias(_CNT))
     # One row per partition: the window below is over n rows, never over the data.
     offsets = counts.select(
