@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martforge.operators import bronze, calendar, hierarchy, kpi
+from martforge.operators import bronze, calendar, facts, hierarchy, kpi
 from martforge.operators.conform import ConformSpec, conform, lowercase_columns
 from martforge.operators.quality import Rule, flag
 from martforge.plans import retail
@@ -41,6 +41,10 @@ class PipelineConfig:
     unmatched: str = "keep"
     bronze_mode: str = "errorifexists"
     schemas: tuple[str, str] = ("silver", "gold")
+    # Optional layout of the fact table: partition folders and/or a sort inside
+    # each file, so point lookups prune folders and row groups (min/max stats).
+    fact_partition_by: tuple[str, ...] = ()
+    fact_cluster_by: tuple[str, ...] = ()
 
 
 def run_bronze(spark: SparkSession, readers: dict[str, Callable[[], DataFrame]], lake: Lake, mode: str) -> None:
@@ -75,10 +79,12 @@ def run_gold(spark: SparkSession, lake: Lake, cfg: PipelineConfig) -> dict[str,
     paths["lkp_product_hierarchy"] = lake.write(
         hierarchy.bridge(products, dims["dim_product"], retail.PRODUCT), "gold", "lkp_product_hierarchy")
     gb, pb = lake.read(spark, "gold", "lkp_store_geography"), lake.read(spark, "gold", "lkp_product_hierarchy")
+    paths["total_stores"] = lake.write(facts.node_totals(gb), "gold", "total_stores")
     fct = kpi.rollup_kpi(sales, dims["dim_date"], gb, pb, calendar.period_map(dims["dim_date"], cfg.years, cfg.basis),
-                         gb.groupBy("geography_id").agg(F.count_distinct("store_id").alias("total_stores")),
-                         unmatched=cfg.unmatched)
-    paths["fct_sales"] = lake.write(fct, "gold", "fct_sales")
+                         lake.read(spark, "gold", "total_stores"), unmatched=cfg.unmatched)
+    if cfg.fact_cluster_by:
+        fct = fct.sortWithinPartitions(*cfg.fact_cluster_by)
+    paths["fct_sales"] = lake.write(fct, "gold", "fct_sales", partition_by=list(cfg.fact_partition_by) or None)
     return paths
 
 

@@ -21,7 +21,8 @@ def test_pipeline_matches_registered_queries(spark, sf):
     lake = Lake(scratch_path(spark, "lake"))
     readers = {"stores": lambda: td.stores(spark, sf), "products": lambda: td.products(spark, sf),
                "sales": lambda: td.sales(spark, sf)}
-    paths = pipeline.run(spark, readers, lake, pipeline.PipelineConfig(Q.FIRST_END, Q.LAST_END))
+    cfg = pipeline.PipelineConfig(Q.FIRST_END, Q.LAST_END, fact_cluster_by=("period_id", "geography_id"))
+    paths = pipeline.run(spark, readers, lake, cfg)
     fct = spark.read.parquet(paths["fct_sales"])
     q = Q.REGISTRY["fct_sales"](spark, sf)
     assert _rows(fct.select(*q.columns)) == _rows(q)
