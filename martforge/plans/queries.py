@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from martforge.functions.sizing import bounded_broadcast
 from martforge.operators import bronze, calendar, hierarchy, synth
 from martforge.operators.conform import dedupe_by_key, lowercase_columns
 from martforge.operators.quality import dq_summary as dq_summary_op
@@ -400,7 +401,7 @@ def kpi_lookup(spark, sf):
 def sales_in_district(spark, sf):
     stores, _, sales = silver_clean(spark, sf)
     district = stores.filter(F.col("store_district") == DRILL_DISTRICT).select("store_id")
-    return sales.join(district, "store_id", "left_semi")
+    return sales.join(bounded_broadcast(district), "store_id", "left_semi")
 
 
 # ------------------------------------------------------------------ generators, re-aimed at TESTDATA
