@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from martforge.session import app_id
+
 # Rows a build side may hold before the join falls back to a shuffle join.
 DEFAULT_BROADCAST_ROWS = 2_000_000
 
@@ -23,7 +25,7 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     """
     if max_rows <= 0:
         return df
-    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), max_rows)
+    key = (app_id(df.sparkSession), df.semanticHash(), max_rows)
     if key not in _PROVEN:
         _PROVEN[key] = df.limit(max_rows + 1).count() <= max_rows
     return F.broadcast(df) if _PROVEN[key] else df

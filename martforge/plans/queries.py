@@ -18,7 +18,7 @@ from martforge.operators import bronze, calendar, hierarchy, synth
 from martforge.operators.conform import dedupe_by_key, lowercase_columns
 from martforge.operators.quality import dq_summary as dq_summary_op
 from martforge.plans import medallion, retail
-from martforge.session import scratch_path
+from martforge.session import app_id, scratch_path
 from martforge.sources import layers, snapshot
 from martforge.sources import testdata as td
 from martforge.streaming.ingest import ingest_available
@@ -61,7 +61,7 @@ _GOLD: dict[tuple[str, str], medallion.Gold] = {}
 
 def gold(spark: SparkSession, sf: str, materialize: bool = True):
     sales = medallion.silver_sales(td.sales(spark, sf))
-    key = (spark.sparkContext.applicationId, sf)
+    key = (app_id(spark), sf)
     if not materialize or key not in _GOLD:
         stores = medallion.silver_stores(td.stores(spark, sf))
         products = medallion.silver_products(td.products(spark, sf))
