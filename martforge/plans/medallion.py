@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark.sql import DataFrame
@@ -79,6 +80,18 @@ class Gold:
     def lkp_product_hierarchy(self) -> DataFrame:
         return _keep(hierarchy.bridge(self.products, self.dim_product, retail.PRODUCT), self.materialize)
 
+    def build(self) -> "Gold":
+        """Materialise everything now. The geography chain (dimension, bridge,
+        node totals) and the product chain are independent, so their jobs are
+        submitted from two driver threads and run side by side."""
+        chains = [("dim_geography", "lkp_store_geography", "node_totals"),
+                  ("dim_product", "lkp_product_hierarchy")]
+        with ThreadPoolExecutor(max_workers=len(chains)) as pool:
+            for f in [pool.submit(lambda c=c: [getattr(self, name) for name in c]) for c in chains]:
+                f.result()
+        self.dim_date  # noqa: B018 - built (or kept lazy) like the others
+        return self
+
     def fact_base(self, sales: DataFrame, with_stores: bool = True) -> DataFrame:
         return facts.rollup_fact(sales, self.dim_date, self.lkp_store_geography,
                                  self.lkp_product_hierarchy, with_stores=with_stores)

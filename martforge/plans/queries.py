@@ -75,10 +75,7 @@ def gold(spark: SparkSession, sf: str, materialize: bool = True):
 def build_gold_layer(spark: SparkSession, sf: str) -> medallion.Gold:
     """Materialise every gold dimension and bridge of ``sf`` now."""
     g, _ = gold(spark, sf)
-    for name in ("dim_date", "dim_product", "dim_geography", "lkp_store_geography", "lkp_product_hierarchy",
-                 "node_totals"):
-        getattr(g, name)
-    return g
+    return g.build()
 
 
 def _lake(spark: SparkSession) -> layers.Lake:
