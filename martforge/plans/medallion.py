@@ -32,6 +32,11 @@ def silver_sales(raw: DataFrame) -> DataFrame:
     return silver(raw, retail.SALES_RULES, retail.SALES_CONFORM)[0]
 
 
+def keep(df: DataFrame) -> DataFrame:
+    """Write ``df`` once under spark.checkpoint.dir and return the stored table."""
+    return _keep(df, True)
+
+
 def _keep(df: DataFrame, materialize: bool) -> DataFrame:
     # Written once as a table under spark.checkpoint.dir and read back: lineage
     # is cut, later size checks and joins read the stored rows, and the file
