@@ -19,17 +19,13 @@ def _with(*ctes: str) -> str:
 
 
 SILVER_ONLY = _with(o.SILVER_CTES)
-DERIVED_DIM = f"""bounds as (select min(period_start) - 1 as first_end, max(period_end) as last_end from ({o.FX_SALES}) __s),
-dim_date as (
-    select cast(row_number() over (order by d) as integer) as period_id,
-           cast(lag(d) over (order by d) + interval 1 day as date) as period_start_date,
-           cast(d as date) as period_end_date
-    from (select unnest(generate_series(cast(first_end as timestamp), cast(last_end as timestamp),
-                                        interval 7 day)) as d from bounds) __g)"""
+DERIVED_DIM = o.DIM_DATE_CTES.replace(
+    f"select date '{o.FIRST_END}' as first_end, date '{o.LAST_END}' as last_end",
+    f"select min(period_start) - 1 as first_end, max(period_end) as last_end from ({o.FX_SALES}) __s")
 
 
 def _period_map(years: int, basis: str) -> str:
-    return _with(DERIVED_DIM, o.period_map_ctes(years, basis)) + "select period_id, period_id_ya from cte_date2"
+    return _with(DERIVED_DIM, o.period_map_ctes(years, basis)) + "select period_id, period_id_ya from week_pairs"
 
 
 ORACLE: dict[str, str] = {
@@ -100,15 +96,7 @@ where p.period_id = 284""",
     "fact_base_stores": o.gold_with(o.FACT_CTE) + "select * from fact_base",
     "total_stores": o.gold_with(o.FACT_CTE) + "select * from total_stores",
     # ---------------------------------------------------------- KPI
-    "growth_preview": o.gold_with(o.FACT_CTE, o.period_map_ctes(1, "calendar")) + """select
-    fct.geography_id, fct.hierarchy_id, fct.period_id, fct.sales, fct.units,
-    coalesce(fct_ya.sales, 0) as sales_ya, coalesce(fct_ya.units, 0) as units_ya,
-    ((fct.sales - coalesce(fct_ya.sales, 0)) / nullif(fct_ya.sales, 0)) * 100 as sales_growth_pct,
-    ((fct.units - coalesce(fct_ya.units, 0)) / nullif(fct_ya.units, 0)) * 100 as units_growth_pct
-from fact_base fct
-join cte_date2 dt2 on fct.period_id = dt2.period_id
-left join fact_base fct_ya on fct_ya.period_id = dt2.period_id_ya
-    and fct.geography_id = fct_ya.geography_id and fct.hierarchy_id = fct_ya.hierarchy_id""",
+    "growth_preview": o.comparison_sql(1, "calendar", "drop", False, None),
     "fct_sales": o.kpi_sql(-1, "iso", "keep"),
     "fct_sales_ref": o.kpi_sql(1, "calendar", "drop"),
     "kpi_lookup": (f"select * from ({o.kpi_sql(-1, 'iso', 'keep')}) __k "
