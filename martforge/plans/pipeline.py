@@ -11,6 +11,7 @@ rerun from the last written layer, not from the raw files.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -67,20 +68,32 @@ def run_silver(spark: SparkSession, lake: Lake) -> None:
 def run_gold(spark: SparkSession, lake: Lake, cfg: PipelineConfig) -> dict[str, str]:
     stores, products, sales = (lake.read(spark, "silver", n) for n in ("stores", "products", "sales"))
     g = Gold(stores, products, sales, calendar.period_dim(spark, cfg.first_end, cfg.last_end), materialize=False)
-    paths: dict[str, str] = {}
-    # Dimensions and bridges first: the fact joins read them back from storage.
-    for name in ("dim_date", "dim_product", "dim_geography"):
-        paths[name] = lake.write(getattr(g, name), "gold", name)
-    dims = {n: lake.read(spark, "gold", n) for n in paths}
-    paths["dim_geo_level"] = lake.write(hierarchy.level_dim(dims["dim_geography"], retail.GEOGRAPHY),
-                                        "gold", "dim_geo_level")
-    paths["lkp_store_geography"] = lake.write(
-        hierarchy.bridge(stores, dims["dim_geography"], retail.GEOGRAPHY), "gold", "lkp_store_geography")
-    paths["lkp_product_hierarchy"] = lake.write(
-        hierarchy.bridge(products, dims["dim_product"], retail.PRODUCT), "gold", "lkp_product_hierarchy")
+    paths: dict[str, str] = {"dim_date": lake.write(g.dim_date, "gold", "dim_date")}
+
+    # The geography chain and the product chain are independent: their (small)
+    # jobs are submitted from two driver threads. Each table is read back from
+    # storage by the next step.
+    def geography() -> None:
+        paths["dim_geography"] = lake.write(g.dim_geography, "gold", "dim_geography")
+        dim = lake.read(spark, "gold", "dim_geography")
+        paths["dim_geo_level"] = lake.write(hierarchy.level_dim(dim, retail.GEOGRAPHY), "gold", "dim_geo_level")
+        paths["lkp_store_geography"] = lake.write(hierarchy.bridge(stores, dim, retail.GEOGRAPHY),
+                                                  "gold", "lkp_store_geography")
+        paths["total_stores"] = lake.write(facts.node_totals(lake.read(spark, "gold", "lkp_store_geography")),
+                                           "gold", "total_stores")
+
+    def product() -> None:
+        paths["dim_product"] = lake.write(g.dim_product, "gold", "dim_product")
+        dim = lake.read(spark, "gold", "dim_product")
+        paths["lkp_product_hierarchy"] = lake.write(hierarchy.bridge(products, dim, retail.PRODUCT),
+                                                    "gold", "lkp_product_hierarchy")
+
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        for f in [pool.submit(geography), pool.submit(product)]:
+            f.result()
     gb, pb = lake.read(spark, "gold", "lkp_store_geography"), lake.read(spark, "gold", "lkp_product_hierarchy")
-    paths["total_stores"] = lake.write(facts.node_totals(gb), "gold", "total_stores")
-    fct = kpi.rollup_kpi(sales, dims["dim_date"], gb, pb, calendar.period_map(dims["dim_date"], cfg.years, cfg.basis),
+    dim_date = lake.read(spark, "gold", "dim_date")
+    fct = kpi.rollup_kpi(sales, dim_date, gb, pb, calendar.period_map(dim_date, cfg.years, cfg.basis),
                          lake.read(spark, "gold", "total_stores"), unmatched=cfg.unmatched)
     if cfg.fact_cluster_by:
         fct = fct.sortWithinPartitions(*cfg.fact_cluster_by)
