@@ -49,3 +49,26 @@ def snapshot(spark: SparkSession, reader: Callable[[str], DataFrame], tables: li
     finally:
         spark.conf.set(key, previous)
     return reduce(DataFrame.unionByName, parts)
+
+
+def jdbc_reader(spark: SparkSession, url: str, properties: dict[str, str],
+                partitions: dict[str, tuple[str, int, int]] | None = None,
+                num_partitions: int = 64) -> Callable[[str], DataFrame]:
+    """``name -> DataFrame`` over a database, for :func:`snapshot`.
+
+    Tables listed in ``partitions`` (name -> (numeric column, lower, upper)) are
+    read by ``num_partitions`` parallel range queries, so no single task (and
+    never the driver) holds a whole table; others are read by one query.
+    """
+    def read(table: str) -> DataFrame:
+        if partitions and table in partitions:
+            column, lower, upper = partitions[table]
+            return spark.read.jdbc(url, table, column=column, lowerBound=lower, upperBound=upper,
+                                   numPartitions=num_partitions, properties=properties)
+        return spark.read.jdbc(url, table, properties=properties)
+    return read
+
+
+def jdbc_append(df: DataFrame, url: str, table: str, properties: dict[str, str], batch_size: int = 10_000) -> None:
+    """Append rows into a database table, batched per partition by each task."""
+    df.write.option("batchsize", batch_size).jdbc(url, table, mode="append", properties=properties)
