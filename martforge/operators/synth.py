@@ -13,14 +13,18 @@ from pyspark.sql import functions as F
 from martforge.functions.ids import dense_index
 from martforge.functions.sizing import bounded_broadcast
 
-# Knuth's multiplicative hash constant and its 32-bit modulus.
+# Knuth's multiplicative hash constant, its 32-bit modulus, and the
+# 31-bit key reduction that keeps key * constant below 2^63 for any bigint key.
 KNUTH = 2654435761
 MOD32 = 4294967296
+MOD31 = 2147483648
 
 
 def hash_bucket(key: Column, k: Column | int, base: int = 1) -> Column:
-    """``(((key * 2654435761) mod 2^32) >> 16) mod k + base``: even spread, same in any SQL engine."""
-    mixed = F.shiftright(F.pmod(key.cast("bigint") * F.lit(KNUTH), F.lit(MOD32)), 16)
+    """``((((key mod 2^31) * 2654435761) mod 2^32) >> 16) mod k + base``: even spread, no
+    overflow for any bigint key, same in any SQL engine."""
+    reduced = F.pmod(key.cast("bigint"), F.lit(MOD31))
+    mixed = F.shiftright(F.pmod(reduced * F.lit(KNUTH), F.lit(MOD32)), 16)
     kk = k if isinstance(k, Column) else F.lit(k)
     return (F.pmod(mixed, kk.cast("bigint")) + F.lit(base)).cast("bigint")
 

@@ -109,7 +109,7 @@ where store_id in (select store_id from silver_stores where store_district = 'BU
     from nation join region on n_regionkey = r_regionkey),
 k as (select count(*) as k from ref),
 rows as (select c_custkey as store_id,
-                (((c_custkey * 2654435761) % 4294967296) >> 16) % (select k from k) + 1 as geo
+                ((((c_custkey % 2147483648) * 2654435761) % 4294967296) >> 16) % (select k from k) + 1 as geo
          from customer)
 select store_id, concat('Store_', cast(store_id as varchar)) as store_name,
        concat('Address_', cast(store_id as varchar), ' Main Road') as store_addr,
@@ -121,7 +121,7 @@ order by md5(concat(cast(store_id as varchar), 'seed')), store_id limit 20""",
     select p_type, p_brand, row_number() over (order by p_type nulls first, p_brand nulls first) as r
     from (select distinct p_type, p_brand from part) __c),
 items as (
-    select p_type, p_brand, unnest(generate_series(1, (((r * 2654435761) % 4294967296) >> 16) % 11 + 10)) as pos
+    select p_type, p_brand, unnest(generate_series(1, ((((r % 2147483648) * 2654435761) % 4294967296) >> 16) % 11 + 10)) as pos
     from cats),
 numbered as (
     select p_type, p_brand, pos,
