@@ -26,10 +26,11 @@ def dense_index(df: DataFrame, order: list[Column], name: str, base: int = 0,
     two independent evaluations, or a recomputation after a lost executor,
     could otherwise split the rows differently and offsets would not match.
     """
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranked = (df.repartitionByRange(n, *order)
+    ensure_checkpoint_dir(df.sparkSession)
+    # Without an explicit count AQE may merge adjacent ranges of a small input;
+    # merged partitions stay in order and ids are taken in the merged stage.
+    split = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
+    ranked = (split
               .sortWithinPartitions(*order)
               .withColumn(_PID, F.spark_partition_id())
               .withColumn(_MID, F.monotonically_increasing_id())
