@@ -35,8 +35,12 @@ def test_pipeline_quarantine_complements_silver(spark, sf):
                "sales": lambda: td.raw_sales(spark, sf)}
     pipeline.run_bronze(spark, readers, lake, "errorifexists")
     pipeline.run_silver(spark, lake)
-    staged = lake.read(spark, "staging", "sales")
-    assert lake.read(spark, "quarantine", "sales_invalid_id").count() == staged.filter("cast(_dq_valid as string) = 'false'").count()
+    bronze = lake.read(spark, "bronze", "sales_fact")
+    rejected = lake.read(spark, "quarantine", "sales_invalid_id")
+    kept = Q.REGISTRY["conform_sales"](spark, sf)
+    assert rejected.count() == Q.REGISTRY["quarantine_sales"](spark, sf).count()
+    assert rejected.count() + lake.read(spark, "silver", "sales").count() <= bronze.count()
+    assert lake.read(spark, "silver", "sales").count() == kept.count()
     silver = lake.read(spark, "silver", "stores").drop("ingestion_date")  # bronze stamp is carried through
     assert _rows(silver) == _rows(Q.REGISTRY["conform_stores"](spark, sf))
 
