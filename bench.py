@@ -33,7 +33,7 @@ def main() -> None:
     from martforge.plans.queries import REGISTRY
     from martforge.session import get_session
 
-    spark = get_session(f"local[{cpus}]", app="martforge-bench", shuffle_partitions=int(cpus) * 2,
+    spark = get_session(f"local[{cpus}]", app="martforge-bench", shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", int(cpus) * 2)),
                         conf={"spark.driver.memory": mem})
     # JIT warm-up on the smallest data set (another folder, so nothing of the
     # measured run is pre-built), not counted.
