@@ -16,7 +16,8 @@ class Rule:
     """A required-key test on one column.
 
     kind: ``not_null`` | ``int`` (present and castable to int) | ``pattern``
-    (present and the regex matches) | ``date`` (present and parses as a date).
+    (present and the regex matches) | ``date`` (present and parses as a date) |
+    ``sql`` (``pattern`` holds a boolean SQL expression; NULL counts as failed).
     """
 
     column: str
@@ -33,6 +34,8 @@ class Rule:
             return matches_pattern(c, self.pattern)
         if self.kind == "date":
             return c.isNotNull() & F.try_to_date(c.cast("string")).isNotNull()
+        if self.kind == "sql":
+            return F.coalesce(F.expr(self.pattern), F.lit(False))
         raise ValueError(f"unknown rule kind {self.kind!r}")
 
 

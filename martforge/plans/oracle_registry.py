@@ -54,6 +54,9 @@ ORACLE: dict[str, str] = {
     "conform_stores": o.conform_stores_sql(o.lower_raw(o.RAW_STORES, o.RAW_STORE_COLS)),
     "conform_products": o.conform_products_sql(o.lower_raw(o.RAW_PRODUCTS, o.RAW_PRODUCT_COLS)),
     "conform_sales": o.conform_sales_sql(o.lower_raw(o.RAW_SALES, o.RAW_SALES_COLS), True),
+    "conform_products_strict": o.conform_products_sql(o.lower_raw(o.RAW_PRODUCTS, o.RAW_PRODUCT_COLS), strict=True),
+    "quarantine_sales_strict": (f"select * from ({o.lower_raw(o.RAW_SALES, o.RAW_SALES_COLS)}) __q "
+                                f"where not ({o.SALES_VALID} and {o.SALES_DATES_STRICT})"),
     "quarantine_stores": f"select * from ({o.lower_raw(o.RAW_STORES, o.RAW_STORE_COLS)}) __q where not ({o.STORE_VALID})",
     "quarantine_products": (f"select * from ({o.lower_raw(o.RAW_PRODUCTS, o.RAW_PRODUCT_COLS)}) __q "
                             f"where not ({o.PRODUCT_VALID})"),

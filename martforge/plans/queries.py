@@ -240,6 +240,18 @@ def conform_sales(spark, sf):
     return medallion.silver_sales(td.raw_sales(spark, sf))
 
 
+@query("conform_products_strict")
+def conform_products_strict(spark, sf):
+    """Strict mode: ids whose number overflows int are quarantined instead of kept with a NULL id."""
+    return medallion.silver(td.raw_products(spark, sf), retail.PRODUCT_RULES_STRICT, retail.PRODUCT_CONFORM)[0]
+
+
+@query("quarantine_sales_strict")
+def quarantine_sales_strict(spark, sf):
+    """Strict mode: unparseable period dates are quarantined too."""
+    return medallion.silver(td.raw_sales(spark, sf), retail.SALES_RULES_STRICT, retail.SALES_CONFORM)[1]
+
+
 @query("quarantine_stores")
 def quarantine_stores(spark, sf):
     return medallion.silver(td.raw_stores(spark, sf), retail.STORE_RULES, retail.STORE_CONFORM)[1]

@@ -19,6 +19,12 @@ PRODUCT_RULES = [Rule("item_id", "pattern", ITEM_ID_PATTERN)]
 SALES_RULES = [Rule("sales_id", "int"), Rule("store_id", "int"), Rule("product_id", "int"),
                Rule("period_start"), Rule("period_end")]
 
+# Strict variants: unparseable dates and product ids that overflow int are
+# quarantined instead of reaching silver as NULL.
+SALES_RULES_STRICT = SALES_RULES + [Rule("period_start", "date"), Rule("period_end", "date")]
+PRODUCT_RULES_STRICT = PRODUCT_RULES + [
+    Rule("item_id", "sql", "try_cast(substring(item_id, 4, 100) as int) is not null")]
+
 STORE_CONFORM = ConformSpec(
     defaults={"store_state": OTHERS, "store_district": OTHERS},
     casts={c: "string" for c in ("store_name", "store_addr", "store_district", "store_state", "store_country")},

@@ -116,3 +116,18 @@ def test_geography_ids_parent_first_base_one(spark):
     assert dim[("state", "A", "S1", None)] == 2
     assert dim[("district", "A", "S1", "D1")] == 3
     assert sorted(dim.values()) == list(range(1, 8))
+
+
+def test_strict_mode_quarantines_bad_dates_and_overflowing_ids(spark):
+    cols = "Sales_ID string, Store_ID string, Product_ID string, Period_Start string, Period_End string, " \
+           "Sales_Amount string, Sales_Units string"
+    raw = spark.createDataFrame([("1", "2", "3", "garbage", "2024-01-07", "1", "1"),
+                                 ("2", "2", "3", "2024-01-01", "2024-01-07", "1", "1")], cols)
+    valid, rejected = medallion.silver(raw, retail.SALES_RULES_STRICT, retail.SALES_CONFORM)
+    assert [r.sales_id for r in valid.collect()] == ["2"]
+    assert [r.sales_id for r in rejected.collect()] == ["1"]
+    prods = spark.createDataFrame([("d", "c", "ITM99999999999", "a"), ("d", "c", "ITM7", "b"), ("d", "c", None, "n")],
+                                  "Department string, Category string, Item_ID string, Item_Name string")
+    valid, rejected = medallion.silver(prods, retail.PRODUCT_RULES_STRICT, retail.PRODUCT_CONFORM)
+    assert [r.product_id for r in valid.collect()] == [7]
+    assert rejected.count() == 2
