@@ -42,7 +42,8 @@ def route(df: DataFrame, pmap: DataFrame, periods: DataFrame, unmatched: str = "
     return df.join(F.broadcast(routes(pmap, periods, unmatched)), "period_id")
 
 
-def _comparison(fact: DataFrame, pmap: DataFrame, unmatched: str, measures: list[str]) -> DataFrame:
+def _comparison(fact: DataFrame, pmap: DataFrame, unmatched: str, measures: list[str],
+                periods: DataFrame | None = None) -> DataFrame:
     """Attach the comparison period and its measures (``ya_<m>``) to every fact row.
 
     Equivalent to ``fact JOIN map LEFT JOIN fact AS ya ON (map.period_id_ya,
@@ -50,10 +51,12 @@ def _comparison(fact: DataFrame, pmap: DataFrame, unmatched: str, measures: list
     the *current* row of its own (period, comparison period) pairs and as the
     *comparison* row of the pairs that point at it, then one aggregation on
     (geo, node, period, comparison period) puts the two together. Each group
-    holds at most two rows, so no key can be hot; the fact is read once.
+    holds at most two rows, so no key can be hot. Pass the period dimension as
+    ``periods`` to read the fact once; without it the fact's own periods are
+    listed first (one extra pass).
     """
     f = fact.select("geography_id", "hierarchy_id", "period_id", *measures)
-    rows = route(f, pmap, f.select("period_id").distinct(), unmatched)
+    rows = route(f, pmap, periods if periods is not None else f.select("period_id").distinct(), unmatched)
     is_cur, is_ya = F.col("tag") == 0, F.col("tag") == 1
     aggs = [F.max(is_cur).alias("__has_cur")]
     aggs += [F.max(F.when(is_cur, F.col(m))).alias(m) for m in measures]
@@ -63,9 +66,10 @@ def _comparison(fact: DataFrame, pmap: DataFrame, unmatched: str, measures: list
             .agg(*aggs).filter(F.col("__has_cur")).drop("__has_cur"))
 
 
-def with_growth(fact: DataFrame, pmap: DataFrame, unmatched: str = "drop") -> DataFrame:
+def with_growth(fact: DataFrame, pmap: DataFrame, unmatched: str = "drop",
+                periods: DataFrame | None = None) -> DataFrame:
     """Preview: sales/units, comparison values and unrounded growth percentages."""
-    return _growth_columns(_comparison(fact, pmap, unmatched, ["sales", "units"]), None)
+    return _growth_columns(_comparison(fact, pmap, unmatched, ["sales", "units"], periods), None)
 
 
 def _growth_columns(j: DataFrame, digits: int | None) -> DataFrame:
@@ -77,17 +81,19 @@ def _growth_columns(j: DataFrame, digits: int | None) -> DataFrame:
 
 
 def kpi_fact(fact: DataFrame, pmap: DataFrame, totals: DataFrame, unmatched: str = "keep",
-             digits: int = 2, broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+             digits: int | None = 2, broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+             periods: DataFrame | None = None) -> DataFrame:
     """The 15-column KPI fact from a fact table.
 
     ``fact``: geography_id, hierarchy_id, period_id, sales, units, stores_selling.
     ``totals``: geography_id, total_stores (one row per geography node).
+    ``periods``: the period dimension (optional, saves a pass over the fact).
     """
-    return _kpi_columns(_comparison(fact, pmap, unmatched, ["sales", "units", "stores_selling"]),
+    return _kpi_columns(_comparison(fact, pmap, unmatched, ["sales", "units", "stores_selling"], periods),
                         totals, digits, broadcast_rows)
 
 
-def _kpi_columns(j: DataFrame, totals: DataFrame, digits: int, broadcast_rows: int) -> DataFrame:
+def _kpi_columns(j: DataFrame, totals: DataFrame, digits: int | None, broadcast_rows: int) -> DataFrame:
     t = bounded_broadcast(totals.select("geography_id", "total_stores"), broadcast_rows)
     j = j.join(t, "geography_id", "left")
     ss_ya = F.coalesce(F.col("ya_stores_selling"), F.lit(0)).cast("bigint")
@@ -144,4 +150,6 @@ def rollup_kpi(sales: DataFrame, periods: DataFrame, geo_bridge: DataFrame, prod
                  F.when(has_ya, F.col("__n_ya")).alias("ya_stores_selling"))
     if not with_stores:
         return _growth_columns(j, digits)
-    return _kpi_columns(j, totals, digits if digits is not None else 2, broadcast_rows)
+    if totals is None:
+        raise ValueError("the KPI with store measures needs node totals (geography_id, total_stores)")
+    return _kpi_columns(j, totals, digits, broadcast_rows)

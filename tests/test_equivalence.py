@@ -39,7 +39,10 @@ def test_fused_kpi_equals_kpi_over_fact_table(spark, sf):
     g, sales = Q.gold(spark, sf)
     for years, basis, unmatched in [(-1, "iso", "keep"), (1, "calendar", "drop")]:
         fused = g.kpi(sales, years, basis, unmatched)
-        staged = kpi.kpi_fact(g.fact_base(sales), g.period_map(years, basis), g.total_stores(), unmatched)
+        staged = kpi.kpi_fact(g.fact_base(sales), g.period_map(years, basis), g.total_stores(), unmatched,
+                              periods=g.dim_date)
+        assert _rows(staged) == _rows(kpi.kpi_fact(g.fact_base(sales), g.period_map(years, basis),
+                                                   g.total_stores(), unmatched))
         assert _rows(fused) == _rows(staged.select(*fused.columns))
 
 
