@@ -19,18 +19,18 @@ def routes(pmap: DataFrame, periods: DataFrame, unmatched: str = "keep") -> Data
     comparison period q of x, and (p, x) as the *comparison* row (tag 1) for
     each period p compared against x. ``unmatched='keep'`` adds (x, NULL) for
     periods without a comparison; ``'drop'`` leaves them out (inner join, as
-    originally coded). Size: a few rows per calendar period.
+    originally coded). Built from one left join of the periods to the map;
+    size: a few rows per calendar period.
     """
-    cur = pmap.select(F.col("period_id"), F.col("period_id").alias("p"), F.col("period_id_ya").alias("q"),
-                      F.lit(0).alias("tag"))
-    ya = pmap.select(F.col("period_id_ya").alias("period_id"), F.col("period_id").alias("p"),
-                     F.col("period_id_ya").alias("q"), F.lit(1).alias("tag"))
-    out = cur.unionByName(ya)
+    pairs = periods.select("period_id").join(pmap.select("period_id", "period_id_ya"), "period_id", "left")
+    x, q = F.col("period_id"), F.col("period_id_ya")
+    as_current = F.struct(x.alias("period_id"), x.alias("p"), q.alias("q"), F.lit(0).alias("tag"))
+    as_compared = F.struct(q.alias("period_id"), x.alias("p"), q.alias("q"), F.lit(1).alias("tag"))
+    out = pairs.select(F.explode(F.array(as_current, as_compared)).alias("r")).select("r.*")
+    keep = F.col("q").isNotNull()
     if unmatched == "keep":
-        alone = periods.select("period_id").join(pmap.select("period_id"), "period_id", "left_anti")
-        out = out.unionByName(alone.select("period_id", F.col("period_id").alias("p"),
-                                           F.lit(None).cast("int").alias("q"), F.lit(0).alias("tag")))
-    return out
+        keep = keep | (F.col("tag") == 0)
+    return out.filter(keep)
 
 
 def route(df: DataFrame, pmap: DataFrame, periods: DataFrame, unmatched: str = "keep") -> DataFrame:
