@@ -173,7 +173,7 @@ def catalog_tables(spark, sf):
 @query("insert_select")
 def insert_select(spark, sf):
     g, _ = gold(spark, sf)
-    spark.sql("CREATE SCHEMA IF NOT EXISTS gold")
+    layers.ensure_schema(spark, "gold")
     return layers.insert_select(spark, "gold.lkp_store_geography", "geography_id int, store_id int",
                                 scratch_path(spark, "tables", "lkp_store_geography"), g.lkp_store_geography)
 
@@ -181,7 +181,7 @@ def insert_select(spark, sf):
 @query("ctas_replace")
 def ctas_replace(spark, sf):
     g, sales = gold(spark, sf)
-    spark.sql("CREATE SCHEMA IF NOT EXISTS gold")
+    layers.ensure_schema(spark, "gold")
     return layers.replace_table(g.kpi(sales), "gold.fct_sales", scratch_path(spark, "tables", "fct_sales"))
 
 

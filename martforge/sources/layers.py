@@ -8,6 +8,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from martforge.session import scratch_path
+
 
 @dataclass(frozen=True)
 class Lake:
@@ -49,9 +51,16 @@ def file_inventory(spark: SparkSession, path: str, pattern: str = "*") -> DataFr
                         F.col("modificationTime").alias("modified_at"))
 
 
+def ensure_schema(spark: SparkSession, schema: str) -> None:
+    """CREATE SCHEMA IF NOT EXISTS, located under spark.checkpoint.dir rather than the
+    working directory's default warehouse."""
+    if not spark.catalog.databaseExists(schema):
+        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema} LOCATION '{scratch_path(spark, 'schemas', schema)}'")
+
+
 def register_tables(spark: SparkSession, schema: str, tables: dict[str, str], fmt: str = "parquet") -> None:
     """Idempotently create ``schema`` and (re)point external tables at their locations."""
-    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
+    ensure_schema(spark, schema)
     for name, location in tables.items():
         spark.sql(f"DROP TABLE IF EXISTS {schema}.{name}")
         spark.sql(f"CREATE TABLE IF NOT EXISTS {schema}.{name} USING {fmt} LOCATION '{location}'")

@@ -26,7 +26,7 @@ def test_snapshot_isolates_failures_or_raises(spark, sf):
 
 
 def test_insert_overflow_fails(spark):
-    spark.sql("CREATE SCHEMA IF NOT EXISTS gold")
+    layers.ensure_schema(spark, "gold")
     big = spark.createDataFrame([(1, 3_000_000_000)], "geography_id int, store_id bigint")
     with pytest.raises(Exception):
         layers.insert_select(spark, "gold.t_overflow", "geography_id int, store_id int",
