@@ -30,7 +30,7 @@ REGISTRY: dict[str, Query] = {}
 # Calendar bounds of the weekly period dimension for TESTDATA (FIXTURES.md §2):
 # the first period ends Sunday 1995-01-01, the day before the first sales week.
 FIRST_END, LAST_END = "1995-01-01", "2001-12-31"
-# Point lookups of the original notebooks (ids as they appear there).
+# Point lookups of the original pipeline (ids as they appear there).
 LOOKUP_PERIOD, LOOKUP_GEO, LOOKUP_NODE, LOOKUP_BRIDGE_NODE, LOOKUP_STORE = 284, 1, 0, 1, 14
 DRILL_DISTRICT = "BUILDING"
 SNAPSHOT_TABLES = ["region", "nation", "supplier", "customer", "part", "orders", "lineitem", "events"]
