@@ -96,8 +96,8 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     Each round joins every link with its node's smallest neighbour and hooks
     the larger end to it (large star), then does the same among the smaller
     neighbours (small star); links are written each round, so lineage stays
-    short and a lost executor costs one round. Only the number of changed
-    links reaches the driver. Nodes without links are not in the result.
+    short and a lost executor costs one round. Only their number and the sum
+    of their hashes reach the driver. Nodes without links are not in the result.
     """
     edges = written(links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
                     .filter("u <> v").distinct(), "links")
@@ -105,17 +105,22 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     def least(sym: DataFrame) -> DataFrame:
         return sym.groupBy("u").agg(F.min("v").alias("m"))
 
-    while True:
+    def state(of: DataFrame) -> tuple:
+        row = of.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        return row[0], row[1]
+
+    before = state(edges)
+    while before[0]:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = (both.join(least(both).withColumn("m", F.least("u", "m")), "u").filter("v > u")
                  .select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct())
         # u > v on every link now; each u hooks itself and its other neighbours to its smallest one.
         joined = large.join(least(large), "u")
-        after = written(joined.select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
+        edges = written(joined.select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
                         .unionByName(joined.select("u", F.col("m").alias("v"))).distinct(), "links")
-        changed = after.exceptAll(edges).limit(1).count() + edges.exceptAll(after).limit(1).count()
-        edges = after
-        if not changed:
+        after = state(edges)
+        if after == before:
             break
+        before = after
     return (edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
             .unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()))

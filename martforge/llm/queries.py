@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martforge.llm import exact_dedup, language_id, mixing, packing, token_files
+from martforge.llm import exact_dedup, language_id, minhash, mixing, packing, token_files
 from martforge.llm.common import table
 from martforge.session import scratch_path
 
@@ -32,6 +32,10 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read(spark, path, ids=False)
 
 
+def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.groups(table(spark, sf_dir, "documents")).drop("digest")
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.members(table(spark, sf_dir, "documents")).withColumnRenamed("digest", "text_sha256")
 
@@ -47,6 +51,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_mixing": op2_mixing,
     "op3_token_files": op3_token_files,
+    "op4_minhash": op4_minhash,
     "op5_exact_dedup": op5_exact_dedup,
     "op8_language_id": op8_language_id,
 }
@@ -89,6 +94,28 @@ WITH sized AS (
 SELECT doc_id, size, source_size, target,
        (least(floor(k * rate + u) - floor((k - 1) * rate + u), ceil(rate)) * size)::BIGINT AS taken
 FROM placed""",
+    "op4_minhash": r"""
+WITH RECURSIVE tokens AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), shingles AS (
+    SELECT DISTINCT doc_id, CASE WHEN len(w) < 4 THEN array_to_string(w, ' ') ELSE array_to_string(w[i:i + 3], ' ') END AS s
+    FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - 3, 1))) AS i FROM tokens WHERE len(w) > 0)
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), linked AS (
+    SELECT a, b FROM (
+        SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared
+        FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY 1, 2)
+    JOIN sizes sa ON sa.doc_id = a JOIN sizes sb ON sb.doc_id = b
+    WHERE 100 * shared >= 80 * (sa.n + sb.n - shared)
+), reach(doc_id, r) AS (
+    SELECT doc_id, doc_id FROM documents
+    UNION SELECT reach.doc_id, linked.b FROM reach JOIN linked ON linked.a = reach.r
+)
+SELECT reach.doc_id, coalesce(max(n), 0)::BIGINT AS n_shingles, min(r) AS component_id, reach.doc_id = min(r) AS kept
+FROM reach LEFT JOIN sizes ON sizes.doc_id = reach.doc_id GROUP BY reach.doc_id""",
     "op5_exact_dedup": r"""
 WITH bare AS (
     SELECT doc_id, length(coalesce(text, '')) AS chars, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS content
