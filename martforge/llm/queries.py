@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martforge.llm import chat_format, exact_dedup, language_id, minhash, mixing, packing, token_files
+from martforge.llm import chat_format, embedding_dedup, exact_dedup, language_id, minhash, mixing, packing, token_files
 from martforge.llm.common import table
 from martforge.session import scratch_path
 
@@ -47,6 +47,10 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.detect(docs, model, keep=[F.col("doc_id"), held_out.alias("held_out")])
 
 
+def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.groups(table(spark, sf_dir, "embeddings"))
+
+
 def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     probe = spark.sql("""
         SELECT -1L AS conv_id, n AS turn, role, '</s>[INST] ok [/INST]' AS text
@@ -67,6 +71,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_minhash": op4_minhash,
     "op5_exact_dedup": op5_exact_dedup,
     "op8_language_id": op8_language_id,
+    "op9_embedding_dedup": op9_embedding_dedup,
     "op10_chat_format": op10_chat_format,
 }
 
@@ -140,6 +145,21 @@ WITH bare AS (
     FROM bare
 )
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(content) AS text_sha256 FROM grouped""",
+    "op9_embedding_dedup": r"""
+WITH RECURSIVE fit AS (
+    SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+    WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), linked AS (
+    SELECT x.vec_id AS a, y.vec_id AS b FROM fit x JOIN fit y
+      ON x.label = y.label AND len(x.v) = len(y.v) AND x.vec_id <> y.vec_id
+    WHERE list_dot_product(x.v, y.v) / sqrt(list_dot_product(x.v, x.v)) / sqrt(list_dot_product(y.v, y.v)) >= 0.98
+), reach(vec_id, r) AS (
+    SELECT vec_id, vec_id FROM embeddings
+    UNION SELECT reach.vec_id, linked.b FROM reach JOIN linked ON linked.a = reach.r
+)
+SELECT vec_id, (SELECT count(*) FROM linked WHERE a = vec_id) AS n_links, min(r) AS component_id, vec_id = min(r) AS kept
+FROM reach GROUP BY vec_id""",
     "op10_chat_format": r"""
 WITH turns AS (
     SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
