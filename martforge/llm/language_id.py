@@ -52,13 +52,16 @@ def fold(ident: Column, folds: int) -> Column:
 def sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
            per_lang: int = SAMPLE) -> list[tuple[str, bytes]]:
     """(lang, text): about ``per_lang`` texts of each language, the same ones at every run."""
-    rows = docs.filter(F.col(lang_col).isNotNull())
-    share = rows.groupBy(F.col(lang_col).alias("lang")).agg(F.least(F.lit(1.0), per_lang / F.count(F.lit(1))).alias("share"))
-    # One row per language. The hash decides each row alone: no group meets in one task.
-    draw = F.pmod(F.xxhash64(F.col(id_col), F.lit(8)), F.lit(1 << 30)) / float(1 << 30)
-    taken = (rows.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), draw.alias("draw"))
-             .join(share, "lang").filter("draw < share AND text IS NOT NULL").select("lang", "text"))
-    return sorted((r["lang"], r["text"].encode()) for r in taken.collect())
+    rows = docs.filter(F.col(lang_col).isNotNull()).select(
+        F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"),
+        (F.pmod(F.xxhash64(F.col(id_col), F.lit(8)), F.lit(1 << 30)) / float(1 << 30)).alias("draw"))
+    # One row per language. The hash decides each text alone: no text moves and no language meets in one task.
+    share = {r["lang"]: per_lang / r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if not share:
+        return []
+    shares = F.create_map(*[F.lit(x) for pair in sorted(share.items()) for x in pair])
+    taken = rows.filter(F.col("text").isNotNull() & (F.col("draw") < shares[F.col("lang")]))
+    return sorted((r["lang"], r["text"].encode()) for r in taken.select("lang", "text").collect())
 
 
 class Model:
