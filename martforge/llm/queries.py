@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martforge.llm import chat_format, embedding_dedup, exact_dedup, language_id, minhash, mixing, packing, token_files
+from martforge.llm import chat_format, embedding_dedup, exact_dedup, language_id, minhash, mixing, packing, token_files, toxicity
 from martforge.llm.common import table
 from martforge.session import scratch_path
 
@@ -40,6 +40,13 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.members(table(spark, sf_dir, "documents")).withColumnRenamed("digest", "text_sha256")
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.train(docs, labels.filter(language_id.fold(F.col("doc_id"), 5) != 0))
+    held_out = language_id.fold(F.col("doc_id"), 5) == 0
+    return toxicity.score(docs, model, keep=[F.col("doc_id"), held_out.alias("held_out")])
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = language_id.fold(F.col("doc_id"), 3) == 1
@@ -70,6 +77,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_files": op3_token_files,
     "op4_minhash": op4_minhash,
     "op5_exact_dedup": op5_exact_dedup,
+    "op7_toxicity": op7_toxicity,
     "op8_language_id": op8_language_id,
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_chat_format": op10_chat_format,
