@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martforge.llm import chat_format, embedding_dedup, exact_dedup, language_id, minhash, mixing, packing, token_files, toxicity
+from martforge.llm import chat_format, embedding_dedup, exact_dedup, language_id, line_dedup, minhash, mixing, packing, token_files, toxicity
 from martforge.llm.common import table
 from martforge.session import scratch_path
 
@@ -40,6 +40,12 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.members(table(spark, sf_dir, "documents")).withColumnRenamed("digest", "text_sha256")
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = line_dedup.clean(table(spark, sf_dir, "documents"), keep=F.col("doc_id"))
+    return done.select(F.col("row").alias("doc_id"), "n_lines", "removed_lines",
+                       F.length("text").cast("bigint").alias("chars_left"), F.sha2("text", 256).alias("text_sha256"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = toxicity.train(docs, labels.filter(language_id.fold(F.col("doc_id"), 5) != 0))
@@ -77,6 +83,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_files": op3_token_files,
     "op4_minhash": op4_minhash,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_line_dedup": op6_line_dedup,
     "op7_toxicity": op7_toxicity,
     "op8_language_id": op8_language_id,
     "op9_embedding_dedup": op9_embedding_dedup,
@@ -153,6 +160,32 @@ WITH bare AS (
     FROM bare
 )
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(content) AS text_sha256 FROM grouped""",
+    "op6_line_dedup": r"""
+WITH lines AS (
+    SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i
+    FROM documents
+), hashed AS (
+    SELECT *, ('0x' || substr(md5(line), 1, 8))::BIGINT AS h FROM lines
+), rolled AS (
+    SELECT doc_id, i, line, ((coalesce(lag(h, 2) OVER w, 0) * 961 + coalesce(lag(h) OVER w, 0) * 31 + h) % 4294967296) % 4 = 0 AS ends
+    FROM hashed WINDOW w AS (PARTITION BY doc_id ORDER BY i)
+), numbered AS (
+    SELECT doc_id, i, line, coalesce(sum(ends::INT) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS nth
+    FROM rolled
+), chunk AS (
+    SELECT doc_id, nth, count(*) AS n, string_agg(line, chr(10) ORDER BY i) AS content FROM numbered GROUP BY 1, 2
+), gone AS (
+    SELECT doc_id, nth FROM (
+        SELECT *, row_number() OVER (PARTITION BY content ORDER BY doc_id, nth) AS copy FROM chunk WHERE n >= 2) WHERE copy > 1
+), cleaned AS (
+    SELECT doc_id, count(*) AS n_lines, count(gone.nth) AS removed_lines,
+           coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (gone.nth IS NULL), '') AS rest
+    FROM numbered LEFT JOIN gone USING (doc_id, nth) GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(removed_lines, 0) AS removed_lines,
+       CASE WHEN d.text IS NOT NULL THEN length(rest) END AS chars_left,
+       CASE WHEN d.text IS NOT NULL THEN sha256(rest) END AS text_sha256
+FROM documents d LEFT JOIN cleaned USING (doc_id)""",
     "op9_embedding_dedup": r"""
 WITH RECURSIVE fit AS (
     SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
