@@ -134,6 +134,9 @@ class Model:
             block = [pad(t, self.order) for t in rows[i:j]]
             data = np.frombuffer(b"".join(block), dtype=np.uint8)
             owner = np.repeat(np.arange(i, j), [len(b) for b in block])
+            starts = np.cumsum([0] + [len(b) for b in block[:-1]])
+            padding = np.zeros(data.size, dtype=bool)
+            padding[(starts[:, None] + np.arange(self.order)).ravel()] = True
             for a in range(0, max(0, data.size - self.order), BLOCK):  # a text longer than a block in parts
                 part = data[a:a + BLOCK + self.order]
                 keys, own = grams(part, self.order, self.order + 1), owner[a + self.order:a + self.order + BLOCK]
@@ -142,7 +145,7 @@ class Model:
                 new = np.flatnonzero(at < 0)
                 if new.size:
                     bits[new] = self.cost(keys[new], self.order + 1)
-                # What starts inside the padding between two texts belongs to neither.
+                bits[padding[a + self.order:a + self.order + len(own)]] = 0  # padding is context only
                 starts = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
                 for k in range(len(self.langs)):
                     out[own[starts], k] += np.add.reduceat(bits[:, k], starts, dtype=np.float64)
