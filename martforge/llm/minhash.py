@@ -129,45 +129,54 @@ def estimate(a: np.ndarray, b: np.ndarray, k: int) -> float:
 
 
 def verified(pairs: DataFrame, keys: list[str], sets: DataFrame, k: int, percent: int) -> DataFrame:
-    """Links (a, b) among rows (keys, x, ys): one per x and component of its ys (``labels``) suffices."""
+    """Links (a, b) among rows (keys, lefts, rights, labels, mask).
+
+    ``mask`` has one bit for each left and right class, row by row: 1 where they are to be compared. ``labels`` are the
+    components of the rights; one link of a left class to each component is enough.
+    """
     least = shared_at_least(k, percent) / k
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
     pairs = written(pairs, "to_verify")
     own_keys = [f"own_{c}" for c in keys]
     members = (pairs.select(*[F.col(c).alias(o) for c, o in zip(keys, own_keys)],
-                            F.explode(F.array_union(F.array("x"), "ys")).alias("cid")).distinct()
+                            F.explode(F.array_union("lefts", "rights")).alias("cid")).distinct()
                .join(sets, "cid").select(*own_keys, "cid", "hashes"))
 
+    def alike(mine: np.ndarray, other: np.ndarray) -> bool:
+        if 100 * min(mine.size, other.size) < percent * max(mine.size, other.size):
+            return False
+        if mine.size > k and other.size > k and estimate(mine, other, k) < least:
+            return False
+        both = np.sort(np.concatenate([mine, other]))
+        shared = int(np.count_nonzero(both[1:] == both[:-1]))
+        return 100 * shared >= percent * (mine.size + other.size - shared)
+
     def check(left: pa.Table, right: pa.Table) -> pa.Table:
         own: dict[int, list[np.ndarray]] = defaultdict(list)
         for cid, data in zip(right["cid"].to_pylist(), right["hashes"].to_pylist()):
             own[cid].append(np.frombuffer(data, dtype=np.uint64))
         a, b = [], []
-        for x, ys, labels in zip(left["x"].to_pylist(), left["ys"].to_pylist(), left["labels"].to_pylist()):
-            done = set()
-            for mine in own.get(x, []):
-                for y, label in zip(ys, labels):
-                    if label in done:
-                        continue
-                    for other in own.get(y, []):
-                        if 100 * min(mine.size, other.size) < percent * max(mine.size, other.size):
-                            continue
-                        if mine.size > k and other.size > k and estimate(mine, other, k) < least:
-                            continue
-                        both = np.sort(np.concatenate([mine, other]))
-                        shared = int(np.count_nonzero(both[1:] == both[:-1]))
-                        if 100 * shared >= percent * (mine.size + other.size - shared):
-                            a.append(x)
-                            b.append(y)
-                            done.add(label)
-                            break
+        for row in left.to_pylist():
+            wanted = unpacked(row["mask"], len(row["lefts"]), len(row["rights"]))
+            for x, at in zip(row["lefts"], wanted):
+                done = set()
+                for y in np.flatnonzero(at).tolist():
+                    other, label = row["rights"][y], row["labels"][y]
+                    if label not in done and any(alike(p, q) for p in own.get(x, ()) for q in own.get(other, ())):
+                        a.append(x)
+                        b.append(other)
+                        done.add(label)
         return pa.Table.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], schema=schema)
 
     return pairs.groupBy(*keys).cogroup(members.groupBy(*own_keys)).applyInArrow(check, "a bigint, b bigint")
 
 
+def unpacked(mask: bytes, rows: int, columns: int) -> np.ndarray:
+    return np.unpackbits(np.frombuffer(mask, dtype=np.uint8), count=rows * columns).reshape(rows, columns).astype(bool)
+
+
 def bucketed(pairs: DataFrame) -> DataFrame:
-    """Pairs (x, y, label) as rows (bucket, x, ys, labels) of about BUCKET pairs a bucket, however many x has."""
+    """Pairs (x, y, label) as rows for ``verified``, about BUCKET pairs a bucket, however many x has."""
     made = written(pairs, "pairs")
     n = max(1, -(-made.count() // BUCKET))
     per_x = made.groupBy("x").agg(F.ceil(F.count(F.lit(1)) / BUCKET).alias("parts"))
@@ -175,11 +184,13 @@ def bucketed(pairs: DataFrame) -> DataFrame:
     return (made.join(per_x, "x").withColumn("part", part)
             .groupBy(F.pmod(F.xxhash64("x", "part"), F.lit(n)).alias("bucket"), "x", "part")
             .agg(F.collect_list(F.struct("y", "label")).alias("at"))
-            .select("bucket", "x", F.col("at.y").alias("ys"), F.col("at.label").alias("labels")))
+            .select("bucket", F.array("x").alias("lefts"), F.col("at.y").alias("rights"), F.col("at.label").alias("labels"),
+                    # All bits set: one byte holds eight pairs.
+                    F.unhex(F.repeat(F.lit("FF"), F.ceil(F.size("at") / 8).cast("int"))).alias("mask")))
 
 
 def block_pairs(long: DataFrame, percent: int) -> DataFrame:
-    """(value, i, j, x, ys, labels) of the long lists: pairs in different components that belong to this list.
+    """Rows for ``verified`` of the long lists' pairs of blocks: pairs in different components that belong to this list.
 
     Rows of ``long``: value, m (length of its list), cid, n, label, prefix (all values of the class's lists).
     """
@@ -188,8 +199,8 @@ def block_pairs(long: DataFrame, percent: int) -> DataFrame:
     spread = (placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
               .select("value", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
                       "block", "cid", "n", "label", "prefix"))
-    schema = pa.schema([("value", pa.int64()), ("i", pa.int32()), ("j", pa.int32()), ("x", pa.int64()),
-                        ("ys", pa.list_(pa.int64())), ("labels", pa.list_(pa.int64()))])
+    schema = pa.schema([("value", pa.int64()), ("i", pa.int32()), ("j", pa.int32()), ("lefts", pa.list_(pa.int64())),
+                        ("rights", pa.list_(pa.int64())), ("labels", pa.list_(pa.int64())), ("mask", pa.binary())])
 
     def meet(group: pa.Table) -> pa.Table:
         value, i, j = (group[c][0].as_py() for c in ("value", "i", "j"))
@@ -204,20 +215,19 @@ def block_pairs(long: DataFrame, percent: int) -> DataFrame:
         earlier = np.zeros((cid.size, names.size), dtype=np.float32)
         earlier[who[before], at] = 1
         left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
-        out: list[tuple] = []
-        together = earlier[left] @ earlier[right].T > 0
-        for row, x in enumerate(left.tolist()):
-            ok = ~together[row] & (label[right] != label[x])
-            ok &= 100 * np.minimum(n[right], n[x]) >= percent * np.maximum(n[right], n[x])
-            if i == j:
-                ok &= cid[right] > cid[x]
-            ys = right[ok]
-            if ys.size:
-                out.append((value, i, j, int(cid[x]), cid[ys], label[ys]))
-        return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 6, schema.types)], schema=schema)
+        ok = (earlier[left] @ earlier[right].T == 0) & (label[left][:, None] != label[right][None, :])
+        small, large = np.minimum.outer(n[left], n[right]), np.maximum.outer(n[left], n[right])
+        ok &= 100 * small >= percent * large
+        if i == j:
+            ok &= cid[left][:, None] < cid[right][None, :]
+        left, right, ok = left[ok.any(axis=1)], right[ok.any(axis=0)], ok[ok.any(axis=1)][:, ok.any(axis=0)]
+        if not left.size:
+            return schema.empty_table()
+        row = (value, i, j, cid[left], cid[right], label[right], np.packbits(ok).tobytes())
+        return pa.Table.from_arrays([pa.array([c], t) for c, t in zip(row, schema.types)], schema=schema)
 
     return spread.groupBy("value", "i", "j").applyInArrow(
-        meet, "value bigint, i int, j int, x bigint, ys array<bigint>, labels array<bigint>")
+        meet, "value bigint, i int, j int, lefts array<bigint>, rights array<bigint>, labels array<bigint>, mask binary")
 
 
 def links(docs: DataFrame, classes: DataFrame, shingle: int, k: int, percent: int, id_col: str,
