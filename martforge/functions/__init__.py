@@ -1,12 +1,11 @@
 """Column-level helpers: every function returns a built-in Spark expression (no Python UDF)."""
 
 from martforge.functions.columns import (  # noqa: F401
-    cents_sum,
-    default_if_null,
+    exact_units,
     growth_pct,
     int_castable,
     matches_pattern,
     share_pct,
 )
 from martforge.functions.ids import dense_index  # noqa: F401
-from martforge.functions.sizing import bounded_broadcast  # noqa: F401
+from martforge.functions.sizing import checked_broadcast  # noqa: F401

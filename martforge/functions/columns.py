@@ -26,20 +26,17 @@ def matches_pattern(col: Column | str, pattern: str) -> Column:
     return c.isNotNull() & (F.regexp_extract(c, pattern, 0) != F.lit(""))
 
 
-def default_if_null(col: Column | str, value) -> Column:
-    """Replace NULL (only NULL, not blank strings) by a literal."""
-    return F.coalesce(_c(col), F.lit(value))
+def exact_units(col: Column | str, scale: int) -> Column:
+    """A measure as a whole number of ``10**-scale``, to be summed exactly in any order.
 
-
-def cents_sum(col: Column | str, scale: int = 2) -> Column:
-    """Exact, order-independent sum of a money column.
-
-    Values are summed as integers of ``10**-scale`` units (a long sum inside
-    whole-stage codegen) and turned back into a double at the end, so partial
-    aggregation order can never change the result.
+    Nothing is rounded away: a value with finer digits than ``scale`` (or one too
+    large for them) fails the query, naming the value, so the scale can be raised.
     """
-    factor = 10 ** scale
-    return F.sum(F.round(_c(col) * factor).cast("bigint")) / F.lit(factor)
+    c, factor = _c(col).cast("double"), 10 ** scale
+    whole = F.round(c * F.lit(float(factor))).cast("bigint")
+    said = F.concat(F.lit(f"more than {scale} decimals, or too large for them: "), c.cast("string"))
+    return F.when(c.isNull(), F.lit(None).cast("bigint")).when(whole / F.lit(float(factor)) == c, whole).otherwise(
+        F.raise_error(said))
 
 
 def growth_pct(current: Column | str, previous: Column | str, digits: int | None = 2) -> Column:

@@ -1,31 +1,30 @@
-"""Broadcast only behind a proven size bound."""
+"""Broadcast only what has been measured to be small, in bytes, at the time of the join."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from martforge.session import app_id
+#: Bytes a build side may hold in memory on the driver and on every executor.
+MAX_BROADCAST_BYTES = 64 << 20
+#: Bytes a row takes besides its text: row header and hash table slot.
+ROW_BYTES = 48
 
-# Rows a build side may hold before the join falls back to a shuffle join.
-DEFAULT_BROADCAST_ROWS = 2_000_000
 
-# Proofs already made in this process, by (session, semantic plan hash, bound): a
-# written gold table is checked once, not by every query that joins it.
-_PROVEN: dict[tuple[str, int, int], bool] = {}
+def measured_bytes(df: DataFrame) -> int:
+    """In-memory size of ``df``, measured now: text by its bytes, other columns by eight bytes each."""
+    width = F.lit(ROW_BYTES)
+    for f in df.schema.fields:
+        own = F.octet_length(F.col(f"`{f.name}`")) if isinstance(f.dataType, (T.StringType, T.BinaryType)) else F.lit(8)
+        width = width + F.coalesce(own, F.lit(0)) + F.lit(8)
+    return df.agg(F.sum(width.cast("bigint"))).first()[0] or 0
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast if it provably has at most ``max_rows`` rows.
+def checked_broadcast(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """``df`` marked for broadcast if it measures at most ``max_bytes``, else unchanged.
 
-    The proof is ``limit(max_rows + 1).count()``: it stops reading once the bound
-    is exceeded, so checking a big table costs at most ``max_rows + 1`` rows.
-    Beyond the bound the DataFrame is returned unchanged and Spark plans a
-    shuffle join (AQE may still convert it at runtime from measured sizes).
+    Nothing is remembered: a table that has grown since the last call is
+    measured again. The measure is one aggregate over ``df`` with one row out.
     """
-    if max_rows <= 0:
-        return df
-    key = (app_id(df.sparkSession), df.semanticHash(), max_rows)
-    if key not in _PROVEN:
-        _PROVEN[key] = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if _PROVEN[key] else df
+    return F.broadcast(df) if measured_bytes(df) <= max_bytes else df

@@ -7,6 +7,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Steps a calendar may have: more means that a date in the data is wrong, and the query fails naming the bounds.
+MAX_STEPS = 200_000
 PERIOD_ID, PERIOD_START, PERIOD_END = "period_id", "period_start_date", "period_end_date"
 
 
@@ -18,13 +20,19 @@ def _date(value) -> Column:
     return F.to_date(F.lit(value))
 
 
+def _bounded(first: Column, last: Column, step_days: int, steps: Column) -> Column:
+    """``steps`` (an array of dates), or an error if there would be more than MAX_STEPS."""
+    said = F.concat(F.lit("calendar bounds too far apart: "), first.cast("string"), F.lit(" .. "), last.cast("string"))
+    return F.when(F.datediff(last, first) > F.lit(MAX_STEPS * step_days), F.raise_error(said)).otherwise(steps)
+
+
 def _periods(bounds: DataFrame, first_end: Column, last: Column, step_days: int) -> DataFrame:
     """posexplode a date sequence: period_id = position + 1, start = previous end + 1.
 
     The previous end is known arithmetically (end - step), so no window (and no
     single-partition sort) is needed; the first period has no start, as with LAG.
     """
-    seq = F.sequence(first_end, last, F.expr(f"INTERVAL {int(step_days)} DAYS"))
+    seq = _bounded(first_end, last, step_days, F.sequence(first_end, last, F.expr(f"INTERVAL {int(step_days)} DAYS")))
     return (bounds.select(F.posexplode(seq).alias("pos", PERIOD_END))
             .select((F.col("pos") + 1).cast("int").alias(PERIOD_ID),
                     F.when(F.col("pos") > 0, F.date_sub(F.col(PERIOD_END), step_days - 1))
@@ -57,14 +65,23 @@ def daily_spine(spark: SparkSession, start, end=None, days: int | None = None) -
         e = F.date_add(s, int(days) - 1)
     else:
         e = F.current_date() if end is None else _date(end)
-    return spark.range(1).select(F.explode(F.sequence(s, e)).alias("date_value"))
+    return spark.range(1).select(F.explode(_bounded(s, e, 1, F.sequence(s, e))).alias("date_value"))
 
 
 def daily_spine_from(df: DataFrame, date_col: str) -> DataFrame:
     """Daily spine over the data's date range (first to last day inclusive)."""
     bounds = df.agg(F.min(F.to_date(date_col)).alias("s"), F.max(F.to_date(date_col)).alias("e"))
     # Total order as in the original calendar load (a range-partitioned sort, not a one-task sort).
-    return bounds.select(F.explode(F.sequence("s", "e")).alias("date_value")).orderBy("date_value")
+    steps = _bounded(F.col("s"), F.col("e"), 1, F.sequence("s", "e"))
+    return bounds.select(F.explode(steps).alias("date_value")).orderBy("date_value")
+
+
+def daily_spine_by_count(df: DataFrame, date_col: str) -> DataFrame:
+    """As many days as ``df`` has distinct dates, from its first one on."""
+    day = F.to_date(date_col)
+    bounds = df.select(day.alias("d")).distinct().agg(F.min("d").alias("s"), F.count("d").cast("int").alias("n"))
+    e = F.date_add("s", F.col("n") - 1)
+    return bounds.select(F.explode(_bounded(F.col("s"), e, 1, F.sequence(F.col("s"), e))).alias("date_value"))
 
 
 def calendar_attrs(dim: DataFrame, basis: str = "iso") -> DataFrame:

@@ -5,75 +5,89 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martforge.functions.columns import cents_sum
-from martforge.functions.sizing import DEFAULT_BROADCAST_ROWS, bounded_broadcast
+from martforge.functions.columns import exact_units
 from martforge.operators.calendar import PERIOD_END, PERIOD_ID, PERIOD_START
 
+#: Decimals of the amount and of the units that are summed exactly; finer input is refused, not rounded.
+AMOUNT_SCALE = 4
+UNITS_SCALE = 4
+
 
 def join_periods(sales: DataFrame, periods: DataFrame, start: str = "period_start",
                  end: str = "period_end") -> DataFrame:
     """Inner equi-join of facts to the period dimension on (start, end).
 
-    The period dimension holds one row per step of the calendar span, a size
-    bounded by the calendar, not by the data, so it is always broadcast.
+    The dimension is broadcast: ``operators.calendar`` refuses more than
+    ``MAX_STEPS`` periods, so its size is bounded whatever the data holds.
     """
     p = F.broadcast(periods.select(PERIOD_ID, PERIOD_START, PERIOD_END))
     return sales.join(p, (sales[start] == p[PERIOD_START]) & (sales[end] == p[PERIOD_END])) \
         .drop(PERIOD_START, PERIOD_END)
 
 
+def store_sums(sales: DataFrame, periods: DataFrame, store_key: str = "store_id", product_key: str = "product_id",
+               amount: str = "sales_amount", units: str = "sales_units", amount_scale: int = AMOUNT_SCALE,
+               units_scale: int = UNITS_SCALE) -> DataFrame:
+    """Sales per (store, product, period), partitioned by (store, period): ``__amt`` and ``__units`` in whole units.
+
+    This is the only exchange that carries sales rows. Grouping by (store,
+    product, period) and later by (store, product node, period) is satisfied by
+    it, so products are expanded to their nodes after it, not before.
+    """
+    f = join_periods(sales, periods).select(
+        store_key, product_key, PERIOD_ID, exact_units(amount, amount_scale).alias("__amt"),
+        exact_units(units, units_scale).alias("__units"))
+    return (f.repartition(store_key, PERIOD_ID).groupBy(store_key, product_key, PERIOD_ID)
+            .agg(F.sum("__amt").alias("__amt"), F.sum("__units").alias("__units")))
+
+
+def product_step(sales: DataFrame, periods: DataFrame, prod_bridge: DataFrame,
+                 store_key: str = "store_id", product_key: str = "product_id", prod_id: str = "hierarchy_id",
+                 amount: str = "sales_amount", units: str = "sales_units", amount_scale: int = AMOUNT_SCALE,
+                 units_scale: int = UNITS_SCALE) -> DataFrame:
+    """Roll-up step 1: exact sums per (store, product node, period), in place where ``store_sums`` put them.
+
+    The bridge is broadcast when Spark measures it small; otherwise both sides are shuffled by product.
+    """
+    per = store_sums(sales, periods, store_key, product_key, amount, units, amount_scale, units_scale)
+    return (per.join(prod_bridge.select(prod_id, product_key), product_key)
+            .groupBy(store_key, prod_id, PERIOD_ID)
+            .agg(F.sum("__amt").alias("__amt"), F.sum("__units").alias("__units")))
+
+
 def rollup_fact(sales: DataFrame, periods: DataFrame, geo_bridge: DataFrame, prod_bridge: DataFrame,
                 store_key: str = "store_id", product_key: str = "product_id",
                 geo_id: str = "geography_id", prod_id: str = "hierarchy_id",
-                amount: str = "sales_amount", units: str = "sales_units",
-                with_stores: bool = True, money_scale: int = 2,
-                broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                amount: str = "sales_amount", units: str = "sales_units", with_stores: bool = True,
+                amount_scale: int = AMOUNT_SCALE, units_scale: int = UNITS_SCALE) -> DataFrame:
     """Sales at every geography node x product node x period.
 
-    Two steps, both algebraic (map-side combined, so hot keys are pre-reduced):
-    1. facts x product bridge, summed per (store, product node, period);
+    1. ``product_step``: sales moved once by (store, period), summed, then expanded to product nodes;
     2. x geography bridge, summed per (geo node, product node, period) and
-       counted: after step 1 a store appears once per group, so ``count(*)`` is
-       the distinct number of selling stores (the bridge holds one row per
-       node/store pair) and no distinct aggregation is needed.
-    Sums are exact fixed-point (``money_scale`` decimals) so the result does not
-    depend on the order partial sums are combined in.
+       counted, combined map-side: after step 1 a store appears once per group,
+       so ``count(*)`` is the distinct number of selling stores (the bridge holds
+       one row per node/store pair) and no distinct aggregation is needed.
+    Sums are exact, so the result does not depend on the order they are combined in.
     """
     step1 = product_step(sales, periods, prod_bridge, store_key, product_key, prod_id, amount, units,
-                         money_scale, broadcast_rows)
-    gb = bounded_broadcast(geo_bridge.select(geo_id, store_key), broadcast_rows)
-    aggs = [(F.sum("__amt") / F.lit(10 ** money_scale)).alias("sales"),
-            (F.sum("__units") / F.lit(10 ** money_scale)).alias("units")]
+                         amount_scale, units_scale)
+    aggs = [(F.sum("__amt") / F.lit(10 ** amount_scale)).alias("sales"),
+            (F.sum("__units") / F.lit(10 ** units_scale)).alias("units")]
     if with_stores:
         aggs.append(F.count(F.lit(1)).alias("stores_selling"))
-    return step1.join(gb, store_key).groupBy(geo_id, prod_id, PERIOD_ID).agg(*aggs)
-
-
-def product_step(sales: DataFrame, periods: DataFrame, prod_bridge: DataFrame,
-                 store_key: str = "store_id", product_key: str = "product_id", prod_id: str = "hierarchy_id",
-                 amount: str = "sales_amount", units: str = "sales_units", money_scale: int = 2,
-                 broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Roll-up step 1: (store, product node, period) with exact sums in
-    ``10**-money_scale`` units (``__amt``, ``__units``)."""
-    f = join_periods(sales, periods).select(store_key, product_key, PERIOD_ID, amount, units)
-    pb = bounded_broadcast(prod_bridge.select(prod_id, product_key), broadcast_rows)
-    return (f.join(pb, product_key)
-            .groupBy(store_key, prod_id, PERIOD_ID)
-            .agg(F.sum(F.round(F.col(amount) * 10 ** money_scale).cast("bigint")).alias("__amt"),
-                 F.sum(F.round(F.col(units) * 10 ** money_scale).cast("bigint")).alias("__units")))
+    return (step1.join(geo_bridge.select(geo_id, store_key), store_key)
+            .groupBy(geo_id, prod_id, PERIOD_ID).agg(*aggs))
 
 
 def rollup_fact_direct(sales: DataFrame, periods: DataFrame, geo_bridge: DataFrame,
                        prod_bridge: DataFrame, store_key: str = "store_id",
                        product_key: str = "product_id", geo_id: str = "geography_id",
                        prod_id: str = "hierarchy_id", amount: str = "sales_amount",
-                       units: str = "sales_units", with_stores: bool = True,
-                       money_scale: int = 2) -> DataFrame:
-    """One join-and-group form with COUNT(DISTINCT store) (the original formulation).
-    Kept for equivalence tests of :func:`rollup_fact`."""
-    f = join_periods(sales, periods)
-    joined = f.join(geo_bridge, store_key).join(prod_bridge, product_key)
-    aggs = [cents_sum(amount, money_scale).alias("sales"), cents_sum(units, money_scale).alias("units")]
+                       units: str = "sales_units", with_stores: bool = True) -> DataFrame:
+    """One join-and-group form with COUNT(DISTINCT store). Kept for equivalence tests of :func:`rollup_fact`."""
+    joined = join_periods(sales, periods).join(geo_bridge, store_key).join(prod_bridge, product_key)
+    aggs = [(F.sum(exact_units(amount, AMOUNT_SCALE)) / F.lit(10 ** AMOUNT_SCALE)).alias("sales"),
+            (F.sum(exact_units(units, UNITS_SCALE)) / F.lit(10 ** UNITS_SCALE)).alias("units")]
     if with_stores:
         aggs.append(F.count_distinct(store_key).alias("stores_selling"))
     return joined.groupBy(geo_id, prod_id, PERIOD_ID).agg(*aggs)

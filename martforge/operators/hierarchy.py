@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martforge.functions.ids import dense_index
-from martforge.functions.sizing import DEFAULT_BROADCAST_ROWS, bounded_broadcast
+from martforge.functions.sizing import MAX_BROADCAST_BYTES, checked_broadcast
 
 
 @dataclass(frozen=True)
@@ -119,35 +119,48 @@ def _node_keys(dim: DataFrame, spec: HierarchySpec) -> DataFrame:
 
 
 def bridge(leaves: DataFrame, dim: DataFrame, spec: HierarchySpec,
-           broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+           max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """(node id, leaf key) for every node a leaf rolls up to.
 
     Equivalent to the level-dependent OR join ``(level = 'a' AND a = a') OR
-    (level = 'b' AND a = a' AND b = b') ...``, rewritten as an equi-join on
-    (level, path): the leaf is exploded into one key per level and joined on the
-    whole path, so no key is shared by all rows (the OR form hashes on the top
-    level only). The node side is broadcast when provably small; the leaf side
-    is then never shuffled.
+    (level = 'b' AND a = a' AND b = b') ...``, written as one equi-join per
+    level. The nodes of the upper levels are few and their keys hot (a top node
+    is shared by all leaves), so they are broadcast behind a check of their
+    bytes and the leaves stay where they are; only the last level, whose key
+    is as fine as the leaves, may be shuffled.
     """
-    keys = _leaf_keys(leaves, spec)
-    nodes = bounded_broadcast(_node_keys(dim, spec), broadcast_rows)
+    parts = []
+    for i, lvl in enumerate(spec.levels):
+        nodes = dim.filter(F.col(spec.level_col) == lvl.name).select(
+            F.col(spec.id_col).alias("__id"), *[F.col(c).alias(f"__k_{c}") for c in lvl.match_columns])
+        if i < len(spec.levels) - 1:
+            nodes = checked_broadcast(nodes, max_bytes)
+        own = leaves.select(spec.leaf_key, *[c for c in lvl.match_columns if c != spec.leaf_key])
+        cond = reduce(lambda a, b: a & b, [F.col(c) == F.col(f"__k_{c}") for c in lvl.match_columns])
+        parts.append(own.join(nodes, cond).select(F.col("__id").alias(spec.id_col), spec.leaf_key))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def bridge_by_key(leaves: DataFrame, dim: DataFrame, spec: HierarchySpec) -> DataFrame:
+    """``bridge`` in one join: leaves exploded into one key per level, joined on (level, whole path).
+
+    Kept as a second form to check ``bridge`` against; its upper keys are hot.
+    """
+    keys, nodes = _leaf_keys(leaves, spec), _node_keys(dim, spec)
     cond = [keys["__level"] == nodes["__level"]]
     cond += [keys[f"__k_{c}"].eqNullSafe(nodes[f"__k_{c}"]) for c in spec.match_universe]
     return keys.join(nodes, reduce(lambda a, b: a & b, cond)).select(nodes[spec.id_col], keys[spec.leaf_key])
 
 
 def bridge_or_join(leaves: DataFrame, dim: DataFrame, spec: HierarchySpec,
-                   broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """The literal OR-of-conjunctions join, kept to cross-check ``bridge``.
+                   max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """The literal OR-of-conjunctions join, to check ``bridge`` against on small inputs.
 
-    Only run with the dimension broadcast (leaves stream through, each compared
-    with the nodes of its top-level value). Beyond the broadcast bound a shuffle
-    join could key on the shared top level only, so a single country would meet
-    every leaf in one task; the equi-join form is used instead.
+    It hashes on the top level only, so it runs with the dimension broadcast and refuses a larger one.
     """
-    d = bounded_broadcast(dim, broadcast_rows)
+    d = checked_broadcast(dim, max_bytes)
     if d is dim:
-        return bridge(leaves, dim, spec, broadcast_rows)
+        raise ValueError(f"the dimension exceeds {max_bytes} bytes; use bridge()")
     d = d.alias("d")
     s = leaves.alias("s")
     branches = []

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martforge.functions.columns import growth_pct, share_pct
-from martforge.functions.sizing import DEFAULT_BROADCAST_ROWS, bounded_broadcast
 from martforge.operators import facts
 
 KEYS = ("geography_id", "hierarchy_id", "period_id")
@@ -36,8 +35,9 @@ def routes(pmap: DataFrame, periods: DataFrame, unmatched: str = "keep") -> Data
 def route(df: DataFrame, pmap: DataFrame, periods: DataFrame, unmatched: str = "keep") -> DataFrame:
     """Send each row of ``df`` (which has ``period_id``) to its targets (``p``, ``q``, ``tag``).
 
-    A broadcast hash join with the flat routing table: a row matching several
-    routes is emitted once per route, without building arrays per row.
+    A broadcast hash join with the flat routing table (a few rows per period, and
+    ``operators.calendar`` bounds the periods): a row matching several routes is
+    emitted once per route, without building arrays per row.
     """
     return df.join(F.broadcast(routes(pmap, periods, unmatched)), "period_id")
 
@@ -66,12 +66,6 @@ def _comparison(fact: DataFrame, pmap: DataFrame, unmatched: str, measures: list
             .agg(*aggs).filter(F.col("__has_cur")).drop("__has_cur"))
 
 
-def with_growth(fact: DataFrame, pmap: DataFrame, unmatched: str = "drop",
-                periods: DataFrame | None = None) -> DataFrame:
-    """Preview: sales/units, comparison values and unrounded growth percentages."""
-    return _growth_columns(_comparison(fact, pmap, unmatched, ["sales", "units"], periods), None)
-
-
 def _growth_columns(j: DataFrame, digits: int | None) -> DataFrame:
     return j.select(*KEYS, "sales", "units",
                     F.coalesce(F.col("ya_sales"), F.lit(0.0)).alias("sales_ya"),
@@ -81,8 +75,7 @@ def _growth_columns(j: DataFrame, digits: int | None) -> DataFrame:
 
 
 def kpi_fact(fact: DataFrame, pmap: DataFrame, totals: DataFrame, unmatched: str = "keep",
-             digits: int | None = 2, broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-             periods: DataFrame | None = None) -> DataFrame:
+             digits: int | None = 2, periods: DataFrame | None = None) -> DataFrame:
     """The 15-column KPI fact from a fact table.
 
     ``fact``: geography_id, hierarchy_id, period_id, sales, units, stores_selling.
@@ -90,12 +83,11 @@ def kpi_fact(fact: DataFrame, pmap: DataFrame, totals: DataFrame, unmatched: str
     ``periods``: the period dimension (optional, saves a pass over the fact).
     """
     return _kpi_columns(_comparison(fact, pmap, unmatched, ["sales", "units", "stores_selling"], periods),
-                        totals, digits, broadcast_rows)
+                        totals, digits)
 
 
-def _kpi_columns(j: DataFrame, totals: DataFrame, digits: int | None, broadcast_rows: int) -> DataFrame:
-    t = bounded_broadcast(totals.select("geography_id", "total_stores"), broadcast_rows)
-    j = j.join(t, "geography_id", "left")
+def _kpi_columns(j: DataFrame, totals: DataFrame, digits: int | None) -> DataFrame:
+    j = j.join(totals.select("geography_id", "total_stores"), "geography_id", "left")
     ss_ya = F.coalesce(F.col("ya_stores_selling"), F.lit(0)).cast("bigint")
     return j.select(
         *KEYS, "sales", "units",
@@ -114,42 +106,16 @@ def _kpi_columns(j: DataFrame, totals: DataFrame, digits: int | None, broadcast_
 
 def rollup_kpi(sales: DataFrame, periods: DataFrame, geo_bridge: DataFrame, prod_bridge: DataFrame,
                pmap: DataFrame, totals: DataFrame | None, unmatched: str = "keep", digits: int | None = 2,
-               with_stores: bool = True, money_scale: int = 2,
-               broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """KPI fact straight from sales, without materialising the fact table.
-
-    Same result as ``kpi_fact(rollup_fact(...), ...)``. After the product step
-    of the roll-up (one row per store, product node, period), each row is
-    routed to the (period, comparison period) pairs it feeds and the geography
-    step aggregates current and comparison values side by side with
-    conditional sums and counts. One aggregation replaces the fact
-    aggregation, its second read and the comparison join; all aggregates are
-    algebraic, so hot geography nodes are combined map-side.
+               with_stores: bool = True) -> DataFrame:
+    """KPI fact straight from sales: the roll-up, then the comparison over its (much smaller) result.
+
     With ``with_stores=False`` and ``totals=None`` it yields the growth preview.
     """
-    step1 = facts.product_step(sales, periods, prod_bridge, money_scale=money_scale,
-                               broadcast_rows=broadcast_rows)
-    gb = bounded_broadcast(geo_bridge.select("geography_id", "store_id"), broadcast_rows)
-    rows = route(step1.join(gb, "store_id"), pmap, periods, unmatched)
-    is_cur, is_ya = F.col("tag") == 0, F.col("tag") == 1
-    scale = F.lit(10 ** money_scale)
-    aggs = [F.count(F.when(is_cur, F.lit(1))).alias("__n_cur"),
-            F.count(F.when(is_ya, F.lit(1))).alias("__n_ya"),
-            (F.sum(F.when(is_cur, F.col("__amt"))) / scale).alias("sales"),
-            (F.sum(F.when(is_cur, F.col("__units"))) / scale).alias("units"),
-            (F.sum(F.when(is_ya, F.col("__amt"))) / scale).alias("__ya_sales"),
-            (F.sum(F.when(is_ya, F.col("__units"))) / scale).alias("__ya_units")]
-    g = (rows.groupBy("geography_id", "hierarchy_id", F.col("p").alias("period_id"),
-                      F.col("q").alias("period_id_ya"))
-         .agg(*aggs).filter(F.col("__n_cur") > 0))
-    has_ya = F.col("__n_ya") > 0
-    j = g.select("geography_id", "hierarchy_id", "period_id", "sales", "units",
-                 F.when(has_ya, F.col("__ya_sales")).alias("ya_sales"),
-                 F.when(has_ya, F.col("__ya_units")).alias("ya_units"),
-                 F.col("__n_cur").alias("stores_selling"),
-                 F.when(has_ya, F.col("__n_ya")).alias("ya_stores_selling"))
+    fact = facts.rollup_fact(sales, periods, geo_bridge, prod_bridge, with_stores=with_stores)
+    measures = ["sales", "units", *(["stores_selling"] if with_stores else [])]
+    j = _comparison(fact, pmap, unmatched, measures, periods)
     if not with_stores:
         return _growth_columns(j, digits)
     if totals is None:
         raise ValueError("the KPI with store measures needs node totals (geography_id, total_stores)")
-    return _kpi_columns(j, totals, digits, broadcast_rows)
+    return _kpi_columns(j, totals, digits)

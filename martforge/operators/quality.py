@@ -50,11 +50,6 @@ def split(df: DataFrame, rules: list[Rule]) -> tuple[DataFrame, DataFrame]:
     return df.filter(flag), df.filter(~flag)
 
 
-def flag(df: DataFrame, rules: list[Rule], name: str = "_dq_valid") -> DataFrame:
-    """Add the validity flag as a column (used to write both outputs in one pass)."""
-    return df.withColumn(name, valid_expr(rules))
-
-
 def dq_summary(tables: dict[str, tuple[DataFrame, list[Rule]]]) -> DataFrame:
     """One row per table: input, valid and rejected row counts, each from a single pass."""
     parts = []

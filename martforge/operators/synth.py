@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martforge.functions.ids import dense_index
-from martforge.functions.sizing import bounded_broadcast
+from martforge.functions.sizing import checked_broadcast
 
 # Knuth's multiplicative hash constant, its 32-bit modulus, and the
 # 31-bit key reduction that keeps key * constant below 2^63 for any bigint key.
@@ -40,7 +40,7 @@ def keyed_rows(keys: DataFrame, key: str, ref: DataFrame, ref_id: str, ref_cols:
     """
     k = ref.select(F.count(F.lit(1))).scalar()
     rows = keys.select(F.col(key).alias("store_id"), hash_bucket(F.col(key), k).alias("__geo"))
-    r = bounded_broadcast(ref.select(F.col(ref_id).cast("bigint").alias("__geo"),
+    r = checked_broadcast(ref.select(F.col(ref_id).cast("bigint").alias("__geo"),
                                      *[F.col(v).alias(o) for o, v in ref_cols.items()]))
     sid = F.col("store_id").cast("string")
     return rows.join(r, "__geo").select(
@@ -69,7 +69,9 @@ def expand_hierarchy(categories: DataFrame, dept: str, cat: str, min_items: int
     items = cats.select(dept, cat, F.explode(F.sequence(F.lit(1).cast("bigint"), n)).alias("__pos"))
     numbered = dense_index(items, [F.col(dept).asc_nulls_first(), F.col(cat).asc_nulls_first(),
                                    F.col("__pos").asc()], "__item_no", base=first_id)
-    word = F.initcap(F.lower(F.col(dept)))
+    # The first letter of the whole text, not of each word.
+    low = F.lower(F.col(dept))
+    word = F.concat(F.upper(F.substring(low, 1, 1)), F.substr(low, F.lit(2)))
     short = F.expr(f"substring({cat}, 1, length({cat}) - 1)")
     return numbered.select(
         F.col(dept).alias("department"), F.col(cat).alias("category"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
@@ -14,6 +15,9 @@ from martforge.plans import retail
 from martforge.session import scratch_path
 
 
+Source = DataFrame | Callable[[], DataFrame]
+
+
 def silver(raw: DataFrame, rules: list[Rule], spec: ConformSpec) -> tuple[DataFrame, DataFrame]:
     """(conformed valid rows, rejected rows in raw shape with lower-cased names)."""
     valid, rejected = split(lowercase_columns(raw), rules)
@@ -49,22 +53,37 @@ def _keep(df: DataFrame, materialize: bool) -> DataFrame:
 
 
 class Gold:
-    """Gold dimensions and bridges over silver tables, each built (and, with
-    ``materialize``, written once) on first use.
+    """Gold dimensions, bridges and facts over silver tables, each built on first use.
 
-    ``dim_date`` defaults to the weekly periods spanning the sales (one extra
-    aggregate pass over them); pass a calendar-bounded one to avoid it.
+    ``stores``, ``products`` and ``sales`` are DataFrames or functions that
+    give one; a function is called when its table is first needed, and its
+    result written once (with ``materialize``). So whatever needs stores alone
+    reads no sales. ``dim_date`` defaults to the weekly periods spanning the sales.
     """
 
-    def __init__(self, stores: DataFrame, products: DataFrame, sales: DataFrame | None = None,
+    def __init__(self, stores: Source, products: Source, sales: Source | None = None,
                  dim_date: DataFrame | None = None, materialize: bool = True):
-        self.stores, self.products, self.sales = stores, products, sales
+        self._sources = {"stores": stores, "products": products, "sales": sales}
         self._dim_date, self.materialize = dim_date, materialize
 
+    def _source(self, name: str) -> DataFrame:
+        source = self._sources[name]
+        return _keep(source(), self.materialize) if callable(source) else source
+
+    @cached_property
+    def stores(self) -> DataFrame:
+        return self._source("stores")
+
+    @cached_property
+    def products(self) -> DataFrame:
+        return self._source("products")
+
+    @cached_property
+    def sales(self) -> DataFrame:
+        return self._source("sales")
+
     @cached_property
     def dim_date(self) -> DataFrame:
-        # Built from calendar parameters it has no lineage to cut; derived from
-        # the sales it is written once like the other gold tables.
         if self._dim_date is not None:
             return self._dim_date
         return _keep(calendar.period_dim_from(self.sales, "period_start", "period_end"), self.materialize)
@@ -85,20 +104,24 @@ class Gold:
     def lkp_product_hierarchy(self) -> DataFrame:
         return _keep(hierarchy.bridge(self.products, self.dim_product, retail.PRODUCT), self.materialize)
 
+    def build_silver(self) -> "Gold":
+        with ThreadPoolExecutor(max_workers=3) as pool:
+            list(pool.map(lambda name: getattr(self, name), ("stores", "products", "sales")))
+        return self
+
     def build(self) -> "Gold":
         """Materialise everything now. The geography chain (dimension, bridge,
         node totals) and the product chain are independent, so their jobs are
         submitted from two driver threads and run side by side."""
         chains = [("dim_geography", "lkp_store_geography", "node_totals"),
-                  ("dim_product", "lkp_product_hierarchy")]
+                  ("dim_product", "lkp_product_hierarchy"), ("dim_date",)]
         with ThreadPoolExecutor(max_workers=len(chains)) as pool:
             for f in [pool.submit(lambda c=c: [getattr(self, name) for name in c]) for c in chains]:
                 f.result()
-        self.dim_date  # noqa: B018 - built (or kept lazy) like the others
         return self
 
-    def fact_base(self, sales: DataFrame, with_stores: bool = True) -> DataFrame:
-        return facts.rollup_fact(sales, self.dim_date, self.lkp_store_geography,
+    def fact_base(self, with_stores: bool = True) -> DataFrame:
+        return facts.rollup_fact(self.sales, self.dim_date, self.lkp_store_geography,
                                  self.lkp_product_hierarchy, with_stores=with_stores)
 
     @cached_property
@@ -111,17 +134,20 @@ class Gold:
     def period_map(self, years: int = -1, basis: str = "iso") -> DataFrame:
         return calendar.period_map(self.dim_date, years, basis)
 
-    def kpi(self, sales: DataFrame, years: int = -1, basis: str = "iso", unmatched: str = "keep") -> DataFrame:
-        return kpi.rollup_kpi(sales, self.dim_date, self.lkp_store_geography, self.lkp_product_hierarchy,
+    def kpi(self, years: int = -1, basis: str = "iso", unmatched: str = "keep") -> DataFrame:
+        return kpi.rollup_kpi(self.sales, self.dim_date, self.lkp_store_geography, self.lkp_product_hierarchy,
                               self.period_map(years, basis), self.total_stores(), unmatched=unmatched)
 
-    def growth_preview(self, sales: DataFrame, years: int = 1, basis: str = "calendar",
-                       unmatched: str = "drop") -> DataFrame:
-        return kpi.rollup_kpi(sales, self.dim_date, self.lkp_store_geography, self.lkp_product_hierarchy,
+    @cached_property
+    def fct_sales(self) -> DataFrame:
+        """The stored KPI fact, one folder per period: a lookup reads the folder of its period."""
+        spark = self.sales.sparkSession
+        path, fact = scratch_path(spark, "fct_sales"), self.kpi()
+        # A period to a task: one file per folder, not one per task and folder.
+        fact.repartition("period_id").write.partitionBy("period_id").parquet(path)
+        return spark.read.schema(fact.schema).parquet(path).select(*fact.columns)
+
+    def growth_preview(self, years: int = 1, basis: str = "calendar", unmatched: str = "drop") -> DataFrame:
+        return kpi.rollup_kpi(self.sales, self.dim_date, self.lkp_store_geography, self.lkp_product_hierarchy,
                               self.period_map(years, basis), None, unmatched=unmatched, digits=None,
                               with_stores=False)
-
-
-def gold_dims(stores: DataFrame, products: DataFrame, sales: DataFrame | None = None,
-              dim_date: DataFrame | None = None, materialize: bool = True) -> Gold:
-    return Gold(stores, products, sales, dim_date, materialize)

@@ -1,13 +1,17 @@
-"""name -> DuckDB SQL, one per registered query that has an SQL equivalent.
-
-``file_inventory`` has none (file sizes belong to the file system, not to a table).
-"""
+"""name -> DuckDB SQL, one per registered query."""
 
 from __future__ import annotations
 
 from martforge.plans import oracle as o
-
-SNAPSHOT_TABLES = ["region", "nation", "supplier", "customer", "part", "orders", "lineitem", "events"]
+from martforge.plans.queries import (
+    DRILL_DISTRICT,
+    LOOKUP_BRIDGE_NODE,
+    LOOKUP_GEO,
+    LOOKUP_NODE,
+    LOOKUP_PERIOD,
+    LOOKUP_STORE,
+    TABLES,
+)
 
 
 def _union(parts: list[str]) -> str:
@@ -19,9 +23,7 @@ def _with(*ctes: str) -> str:
 
 
 SILVER_ONLY = _with(o.SILVER_CTES)
-DERIVED_DIM = o.DIM_DATE_CTES.replace(
-    f"select date '{o.FIRST_END}' as first_end, date '{o.LAST_END}' as last_end",
-    f"select min(period_start) - 1 as first_end, max(period_end) as last_end from ({o.FX_SALES}) __s")
+DERIVED_DIM = o.dim_date_ctes(o.FX_SALES)
 
 
 def _period_map(years: int, basis: str) -> str:
@@ -31,17 +33,19 @@ def _period_map(years: int, basis: str) -> str:
 ORACLE: dict[str, str] = {
     # ---------------------------------------------------------- IO
     "scan_parquet": "select * from events",
-    "row_counts": _union([f"select '{t}' as table_name, count(*) as row_count from {t}" for t in SNAPSHOT_TABLES]),
-    "layer_roundtrip": "select * from nation union all select * from nation",
-    "sink_error_if_exists": ("select 1 as attempt, 'written' as status, count(*) as rows_in_target from region "
-                             "union all select 2, 'PATH_ALREADY_EXISTS', count(*) from region"),
+    "row_counts": _union([f"select '{t}' as table_name, count(*) as row_count from {t}" for t in TABLES]),
+    "layer_roundtrip": "select * from orders union all select * from orders",
+    "sink_error_if_exists": ("select 1 as attempt, 'written' as status, count(*) as rows_in_target from lineitem "
+                             "union all select 2, 'PATH_ALREADY_EXISTS', count(*) from lineitem"),
     "snapshot_tables": _union([f"select '{t}' as table_name, 'ok' as status, count(*) as row_count, "
-                               f"cast(null as varchar) as error from {t}" for t in SNAPSHOT_TABLES]),
+                               f"cast(null as varchar) as error from {t}" for t in TABLES]),
     "snapshot_status": _union(
         [f"select '{t}' as table_name, 'ok' as status, count(*) as row_count, cast(null as varchar) as error from {t}"
          for t in ["region", "nation", "customer"]]
         + ["select 'store_info', 'failed', cast(null as bigint), 'PATH_NOT_FOUND'"]),
-    "snapshot_us": "select * from events",
+    "snapshot_us": "select * exclude (ts), epoch_us(ts) as ts_us from events",
+    "file_inventory": _union([f"select '{t}' as table_name, '{t}.parquet' as file_name, count(*) as row_count from {t}"
+                              for t in TABLES]),
     "catalog_tables": SILVER_ONLY + "select * from silver_stores",
     "insert_select": o.gold_with() + "select geography_id, cast(store_id as integer) as store_id from lkp_store_geography",
     "ctas_replace": o.kpi_sql(-1, "iso", "keep"),
@@ -73,6 +77,8 @@ ORACLE: dict[str, str] = {
     "daily_spine": ("select cast(unnest(generate_series(cast(min(cast(l_shipdate as date)) as timestamp), "
                     "cast(max(cast(l_shipdate as date)) as timestamp), interval 1 day)) as date) as date_value "
                     "from lineitem"),
+    "daily_spine_by_count": ("select cast(min(cast(l_shipdate as date)) + cast(unnest(range(0, count(distinct cast(l_shipdate as date)))) "
+                             "as integer) as date) as date_value from lineitem"),
     "calendar_attrs": _with(DERIVED_DIM) + """select period_id, period_start_date, period_end_date,
        cast(year(period_start_date) as integer) as year, cast(weekofyear(period_start_date) as integer) as week_num,
        cast(isoyear(period_start_date) as integer) as iso_year
@@ -88,13 +94,13 @@ from dim_date""",
     "bridge_store_geography": o.gold_with() + "select * from lkp_store_geography",
     "bridge_product_hierarchy": o.gold_with() + "select * from lkp_product_hierarchy",
     "bridge_theta_check": o.gold_with() + "select * from lkp_store_geography",
-    "store_bridge_lookup": o.gold_with() + "select * from lkp_store_geography where store_id = 14",
-    "period_lookup": _with(DERIVED_DIM) + "select * from dim_date where period_id = 284",
-    "bridge_lookup": o.gold_with() + "select * from lkp_product_hierarchy where hierarchy_id = 1",
+    "store_bridge_lookup": o.gold_with() + "select * from " + f"lkp_store_geography where store_id = {LOOKUP_STORE}",
+    "period_lookup": _with(DERIVED_DIM) + f"select * from dim_date where period_id = {LOOKUP_PERIOD}",
+    "bridge_lookup": o.gold_with() + f"select * from lkp_product_hierarchy where hierarchy_id = {LOOKUP_BRIDGE_NODE}",
     # ---------------------------------------------------------- facts
-    "fact_period_join": o.gold_with() + """select s.*, p.period_id, p.period_start_date, p.period_end_date
+    "fact_period_join": o.gold_with() + f"""select s.*, p.period_id, p.period_start_date, p.period_end_date
 from silver_sales s join dim_date p on s.period_start = p.period_start_date and s.period_end = p.period_end_date
-where p.period_id = 284""",
+where p.period_id = {LOOKUP_PERIOD}""",
     "fact_base": o.gold_with(o.FACT_CTE) + "select geography_id, hierarchy_id, period_id, sales, units from fact_base",
     "fact_base_stores": o.gold_with(o.FACT_CTE) + "select * from fact_base",
     "total_stores": o.gold_with(o.FACT_CTE) + "select * from total_stores",
@@ -103,9 +109,9 @@ where p.period_id = 284""",
     "fct_sales": o.kpi_sql(-1, "iso", "keep"),
     "fct_sales_ref": o.kpi_sql(1, "calendar", "drop"),
     "kpi_lookup": (f"select * from ({o.kpi_sql(-1, 'iso', 'keep')}) __k "
-                   "where geography_id = 1 and hierarchy_id = 0 and period_id = 284"),
-    "sales_in_district": SILVER_ONLY + """select * from silver_sales
-where store_id in (select store_id from silver_stores where store_district = 'BUILDING')""",
+                   f"where geography_id = {LOOKUP_GEO} and hierarchy_id = {LOOKUP_NODE} and period_id = {LOOKUP_PERIOD}"),
+    "sales_in_district": SILVER_ONLY + f"""select * from silver_sales
+where store_id in (select store_id from silver_stores where store_district = '{DRILL_DISTRICT}')""",
     # ---------------------------------------------------------- generators
     "synthetic_fk": """with ref as (
     select n_nationkey + 1 as geo_id, r_name as state, n_name as district

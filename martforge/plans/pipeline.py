@@ -4,8 +4,9 @@ bronze   raw tables + ingestion timestamp (write-once by default)
 silver   valid rows conformed and de-duplicated; rejected rows to quarantine
 gold     dim_date, dim_product, dim_geography, dim_geo_level,
          lkp_store_geography, lkp_product_hierarchy, fct_sales
-Each layer is read back from storage by the next one, so a failed step is
-rerun from the last written layer, not from the raw files.
+Each layer is read back from storage by the next one. A rerun goes on where
+the last one stopped: tables that were written to their end are kept, the
+first one that is missing and all layers after it are built.
 """
 
 from __future__ import annotations
@@ -30,16 +31,21 @@ SPECS: dict[str, tuple[list[Rule], ConformSpec]] = {
     "products": (retail.PRODUCT_RULES, retail.PRODUCT_CONFORM),
     "sales": (retail.SALES_RULES, retail.SALES_CONFORM),
 }
+GOLD = ("dim_date", "dim_geography", "dim_geo_level", "lkp_store_geography", "total_stores", "dim_product",
+        "lkp_product_hierarchy", "fct_sales")
 
 
 @dataclass
 class PipelineConfig:
-    first_end: str
-    last_end: str
+    # Bounds of the period dimension; by default the weeks that the sales span.
+    first_end: str | None = None
+    last_end: str | None = None
     years: int = -1
     basis: str = "iso"
     unmatched: str = "keep"
     bronze_mode: str = "errorifexists"
+    # Keep complete tables of an earlier, failed run. A complete lake is left as it is.
+    resume: bool = True
     schemas: tuple[str, str] = ("silver", "gold")
     # Optional layout of the fact table: partition folders and/or a sort inside
     # each file, so point lookups prune folders and row groups (min/max stats).
@@ -47,26 +53,38 @@ class PipelineConfig:
     fact_cluster_by: tuple[str, ...] = ()
 
 
-def run_bronze(spark: SparkSession, readers: dict[str, Callable[[], DataFrame]], lake: Lake, mode: str) -> None:
+def run_bronze(spark: SparkSession, readers: dict[str, Callable[[], DataFrame]], lake: Lake, mode: str,
+               resume: bool = False) -> bool:
+    """Write the raw tables; with ``resume`` only those that are not complete. Whether any was written."""
+    wrote = False
     for name, read in readers.items():
-        lake.write(bronze.ingest(read()), "bronze", RAW[name], mode=mode)
+        if not (resume and lake.complete(spark, "bronze", RAW[name])):
+            lake.write(bronze.ingest(read()), "bronze", RAW[name], mode="overwrite" if resume else mode)
+            wrote = True
+    return wrote
 
 
-def run_silver(spark: SparkSession, lake: Lake) -> None:
+def run_silver(spark: SparkSession, lake: Lake, resume: bool = False) -> bool:
     """Silver and quarantine are two filtered passes over each bronze table.
 
     Two scans of bronze cost less I/O than staging a flagged copy of it (one
     extra full write and re-read); each pass filters inside the scan stage.
     """
+    wrote = False
     for name, (rules, spec) in SPECS.items():
+        if resume and lake.complete(spark, "silver", name) and lake.complete(spark, "quarantine", f"{name}_invalid_id"):
+            continue
         valid, rejected = split(lowercase_columns(lake.read(spark, "bronze", RAW[name])), rules)
         lake.write(conform(valid, spec), "silver", name)
         lake.write(rejected, "quarantine", f"{name}_invalid_id")
+        wrote = True
+    return wrote
 
 
 def run_gold(spark: SparkSession, lake: Lake, cfg: PipelineConfig) -> dict[str, str]:
     stores, products, sales = (lake.read(spark, "silver", n) for n in ("stores", "products", "sales"))
-    g = Gold(stores, products, sales, calendar.period_dim(spark, cfg.first_end, cfg.last_end), materialize=False)
+    fixed = calendar.period_dim(spark, cfg.first_end, cfg.last_end) if cfg.first_end and cfg.last_end else None
+    g = Gold(stores, products, sales, fixed, materialize=False)
     paths: dict[str, str] = {"dim_date": lake.write(g.dim_date, "gold", "dim_date")}
 
     # The geography chain and the product chain are independent: their (small)
@@ -103,9 +121,13 @@ def run_gold(spark: SparkSession, lake: Lake, cfg: PipelineConfig) -> dict[str,
 def run(spark: SparkSession, readers: dict[str, Callable[[], DataFrame]], lake: Lake,
         cfg: PipelineConfig) -> dict[str, str]:
     """bronze -> silver -> gold; registers silver.* and gold.* catalog tables over the written paths."""
-    run_bronze(spark, readers, lake, cfg.bronze_mode)
-    run_silver(spark, lake)
-    gold_paths = run_gold(spark, lake, cfg)
+    resume = cfg.resume and cfg.bronze_mode == "errorifexists"
+    wrote = run_bronze(spark, readers, lake, cfg.bronze_mode, resume)
+    wrote = run_silver(spark, lake, resume and not wrote) or wrote
+    if resume and not wrote and all(lake.complete(spark, "gold", n) for n in GOLD):
+        gold_paths = {n: lake.path("gold", n) for n in GOLD}
+    else:
+        gold_paths = run_gold(spark, lake, cfg)
     silver_schema, gold_schema = cfg.schemas
     register_tables(spark, silver_schema, {n: lake.path("silver", n) for n in SPECS})
     register_tables(spark, gold_schema, gold_paths)
@@ -122,9 +144,9 @@ def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(prog="python -m martforge.plans.pipeline")
     ap.add_argument("--sf", default="/root/testdata/sf0.01", help="TESTDATA folder")
     ap.add_argument("--root", default=None, help="lake root (default: under spark.checkpoint.dir)")
-    ap.add_argument("--first-end", default="1995-01-01")
-    ap.add_argument("--last-end", default="2001-12-31")
-    ap.add_argument("--master", default="local[*]")
+    ap.add_argument("--first-end", default=None, help="bounds of the period dimension (default: those of the sales)")
+    ap.add_argument("--last-end", default=None)
+    ap.add_argument("--master", default=None, help="only without spark-submit")
     args = ap.parse_args(argv)
     spark = get_session(args.master, app="martforge-pipeline")
     lake = Lake(args.root or scratch_path(spark, "lake"))

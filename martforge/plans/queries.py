@@ -8,33 +8,33 @@ exercise sinks write under ``spark.checkpoint.dir`` and return what they read ba
 from __future__ import annotations
 
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martforge.functions.sizing import bounded_broadcast
-from martforge.operators import bronze, calendar, hierarchy, synth
+from martforge.operators import bronze, calendar, facts, hierarchy, synth
 from martforge.operators.conform import dedupe_by_key, lowercase_columns
 from martforge.operators.quality import dq_summary as dq_summary_op
 from martforge.plans import medallion, retail
-from martforge.session import app_id, scratch_path
+from martforge.session import scratch_path
 from martforge.sources import layers, snapshot
 from martforge.sources import testdata as td
 from martforge.streaming.ingest import ingest_available
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
+#: The queries over the layers alone, for callers that have built them.
+OVER_LAYERS: dict[str, Callable[[medallion.Gold], DataFrame]] = {}
 
-# Calendar bounds of the weekly period dimension for TESTDATA (FIXTURES.md §2):
-# the first period ends Sunday 1995-01-01, the day before the first sales week.
-FIRST_END, LAST_END = "1995-01-01", "2001-12-31"
 # Point lookups of the original pipeline (ids as they appear there).
 LOOKUP_PERIOD, LOOKUP_GEO, LOOKUP_NODE, LOOKUP_BRIDGE_NODE, LOOKUP_STORE = 284, 1, 0, 1, 14
 DRILL_DISTRICT = "BUILDING"
-SNAPSHOT_TABLES = ["region", "nation", "supplier", "customer", "part", "orders", "lineitem", "events"]
+TABLES = ["region", "nation", "supplier", "customer", "part", "orders", "lineitem", "events",
+          "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 MISSING_TABLE = "store_info"
+#: Catalog schemas of the queries that register tables.
+SILVER_SCHEMA, GOLD_SCHEMA = "silver", "gold"
 
 
 def query(name: str):
@@ -44,51 +44,21 @@ def query(name: str):
     return wrap
 
 
-# ------------------------------------------------------------------ shared inputs
-# Silver and gold layers of a session, per input folder: written once (on first
-# use) under spark.checkpoint.dir and read by every later query, as layer tables are.
-_SILVER: dict[tuple[str, str], tuple[DataFrame, DataFrame, DataFrame]] = {}
-_GOLD: dict[tuple[str, str], medallion.Gold] = {}
-
-
-def silver_lazy(spark: SparkSession, sf: str):
-    return (medallion.silver_stores(td.stores(spark, sf)),
-            medallion.silver_products(td.products(spark, sf)),
-            medallion.silver_sales(td.sales(spark, sf)))
-
-
-def silver_clean(spark: SparkSession, sf: str):
-    """(stores, products, sales) of the clean silver layer, materialised once per session and folder."""
-    key = (app_id(spark), sf)
-    if key not in _SILVER:
-        with ThreadPoolExecutor(max_workers=3) as pool:
-            _SILVER[key] = tuple(pool.map(medallion.keep, silver_lazy(spark, sf)))
-    return _SILVER[key]
-
-
-def periods(spark: SparkSession) -> DataFrame:
-    return calendar.period_dim(spark, FIRST_END, LAST_END)
-
-
-def gold(spark: SparkSession, sf: str, materialize: bool = True):
-    if not materialize:
-        stores, products, sales = silver_lazy(spark, sf)
-        return medallion.gold_dims(stores, products, sales, dim_date=periods(spark), materialize=False), sales
-    stores, products, sales = silver_clean(spark, sf)
-    key = (app_id(spark), sf)
-    if key not in _GOLD:
-        _GOLD[key] = medallion.gold_dims(stores, products, sales, dim_date=periods(spark))
-    return _GOLD[key], sales
-
-
-def build_silver_layer(spark: SparkSession, sf: str):
-    return silver_clean(spark, sf)
+def over_layers(name: str):
+    """Register a query of the layers: the registered form builds, of the input folder, only what it needs."""
+    def wrap(fn: Callable[[medallion.Gold], DataFrame]):
+        OVER_LAYERS[name] = fn
+        REGISTRY[name] = lambda spark, sf: fn(layers_of(spark, sf))
+        return fn
+    return wrap
 
 
-def build_gold_layer(spark: SparkSession, sf: str) -> medallion.Gold:
-    """Materialise every gold dimension and bridge of ``sf`` now."""
-    g, _ = gold(spark, sf)
-    return g.build()
+# ------------------------------------------------------------------ shared inputs
+def layers_of(spark: SparkSession, sf: str) -> medallion.Gold:
+    """The silver and gold layers of an input folder; tables are built when first used and written once."""
+    return medallion.Gold(lambda: medallion.silver_stores(td.stores(spark, sf)),
+                          lambda: medallion.silver_products(td.products(spark, sf)),
+                          lambda: medallion.silver_sales(td.sales(spark, sf)))
 
 
 def _lake(spark: SparkSession) -> layers.Lake:
@@ -104,7 +74,7 @@ def scan_parquet(spark, sf):
 @query("row_counts")
 def row_counts(spark, sf):
     parts = [td.table(spark, sf, t).agg(F.lit(t).alias("table_name"), F.count(F.lit(1)).alias("row_count"))
-             for t in SNAPSHOT_TABLES]
+             for t in TABLES]
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -112,97 +82,107 @@ def row_counts(spark, sf):
 def layer_roundtrip(spark, sf):
     """Overwrite a bronze table, append the same batch again, read the layer back."""
     lake = _lake(spark)
-    nation = td.table(spark, sf, "nation")
-    lake.write(nation, "bronze", "nation", mode="overwrite")
-    lake.write(nation, "bronze", "nation", mode="append")
-    return lake.read(spark, "bronze", "nation")
+    orders = td.table(spark, sf, "orders")
+    lake.write(orders, "bronze", "orders", mode="overwrite")
+    lake.write(orders, "bronze", "orders", mode="append")
+    return lake.read(spark, "bronze", "orders")
 
 
 @query("sink_error_if_exists")
 def sink_error_if_exists(spark, sf):
     """Write the same table twice with error-if-exists: the second attempt must fail and leave the first."""
-    path = scratch_path(spark, "once", "region")
-    region = td.table(spark, sf, "region")
+    path = scratch_path(spark, "once", "lineitem")
+    lineitem = td.table(spark, sf, "lineitem")
     parts = []
     for attempt in (1, 2):
-        status = layers.write_once(region, path)
+        status = layers.write_once(lineitem, path)
         parts.append(spark.read.parquet(path).agg(
             F.lit(attempt).alias("attempt"), F.lit(status).alias("status"),
             F.count(F.lit(1)).alias("rows_in_target")))
     return reduce(DataFrame.unionByName, parts)
 
 
-def _reader(spark, sf):
-    return lambda name: td.table(spark, sf, name)
+def _reader(sf):
+    return lambda spark, name: td.table(spark, sf, name)
 
 
 @query("snapshot_tables")
 def snapshot_tables(spark, sf):
-    return snapshot.snapshot(spark, _reader(spark, sf), SNAPSHOT_TABLES, scratch_path(spark, "snap"))
+    return snapshot.snapshot(spark, _reader(sf), TABLES, scratch_path(spark, "snap"))
 
 
 @query("snapshot_status")
 def snapshot_status(spark, sf):
     tables = ["region", MISSING_TABLE, "nation", "customer"]
-    return snapshot.snapshot(spark, _reader(spark, sf), tables, scratch_path(spark, "snap"), on_error="continue")
+    return snapshot.snapshot(spark, _reader(sf), tables, scratch_path(spark, "snap"), on_error="continue")
 
 
 @query("snapshot_us")
 def snapshot_us(spark, sf):
+    """Zoned timestamps through a snapshot in microseconds, compared as whole microseconds."""
+    def zoned(own, name):
+        events = td.table(own, sf, name)
+        return events.withColumn("ts", F.concat(F.col("ts").cast("string"), F.lit("Z")).cast("timestamp"))
+
     target = scratch_path(spark, "snap")
-    snapshot.snapshot(spark, _reader(spark, sf), ["events"], target)
-    return spark.read.parquet(f"{target}/events.parquet")
+    snapshot.snapshot(spark, zoned, ["events"], target)
+    back = spark.read.parquet(f"{target}/events.parquet")
+    return back.withColumn("ts", F.unix_micros("ts")).withColumnRenamed("ts", "ts_us")
 
 
 @query("file_inventory")
 def file_inventory(spark, sf):
-    return layers.file_inventory(spark, sf, "*.parquet").select("file_name", "size_bytes")
+    """The files of the given tables with their rows."""
+    return layers.file_inventory({t: td.table(spark, sf, t) for t in TABLES})
 
 
-@query("catalog_tables")
-def catalog_tables(spark, sf):
+@over_layers("catalog_tables")
+def catalog_tables(g):
     """Write silver stores to a layer path, register silver.* external tables over the paths, read by name."""
+    spark = g.stores.sparkSession
     lake = _lake(spark)
-    stores, products, _ = silver_clean(spark, sf)
-    locs = {"stores": lake.write(stores, "silver", "stores"),
-            "products": lake.write(products, "silver", "products")}
-    layers.register_tables(spark, "silver", locs)
-    return spark.table("silver.stores")
-
-
-@query("insert_select")
-def insert_select(spark, sf):
-    g, _ = gold(spark, sf)
-    layers.ensure_schema(spark, "gold")
-    return layers.insert_select(spark, "gold.lkp_store_geography", "geography_id int, store_id int",
+    locs = {"stores": lake.write(g.stores, "silver", "stores"),
+            "products": lake.write(g.products, "silver", "products")}
+    layers.register_tables(spark, SILVER_SCHEMA, locs)
+    return spark.table(f"{SILVER_SCHEMA}.stores")
+
+
+@over_layers("insert_select")
+def insert_select(g):
+    spark = g.stores.sparkSession
+    layers.ensure_schema(spark, GOLD_SCHEMA)
+    return layers.insert_select(spark, f"{GOLD_SCHEMA}.lkp_store_geography", "geography_id int, store_id int",
                                 scratch_path(spark, "tables", "lkp_store_geography"), g.lkp_store_geography)
 
 
-@query("ctas_replace")
-def ctas_replace(spark, sf):
-    g, sales = gold(spark, sf)
-    layers.ensure_schema(spark, "gold")
-    return layers.replace_table(g.kpi(sales), "gold.fct_sales", scratch_path(spark, "tables", "fct_sales"))
+@over_layers("ctas_replace")
+def ctas_replace(g):
+    spark = g.stores.sparkSession
+    layers.ensure_schema(spark, GOLD_SCHEMA)
+    return layers.replace_table(g.kpi(), f"{GOLD_SCHEMA}.fct_sales", scratch_path(spark, "tables", "fct_sales"))
 
 
-@query("dim_scan")
-def dim_scan(spark, sf):
+@over_layers("dim_scan")
+def dim_scan(g):
     """Full scan of the registered gold geography dimension."""
-    g, _ = gold(spark, sf)
+    spark = g.stores.sparkSession
     lake = _lake(spark)
-    layers.register_tables(spark, "gold", {"dim_geography": lake.write(g.dim_geography, "gold", "dim_geography")})
-    return spark.table("gold.dim_geography")
+    layers.register_tables(spark, GOLD_SCHEMA, {"dim_geography": lake.write(g.dim_geography, "gold", "dim_geography")})
+    return spark.table(f"{GOLD_SCHEMA}.dim_geography")
 
 
 # ------------------------------------------------------------------ bronze / silver
 @query("bronze_ingest")
 def bronze_ingest(spark, sf):
-    """Stamp raw sales, write them once to bronze, read back. The stamp is reported as present."""
+    """Stamp raw sales, write them once to bronze, read back: ``stamped`` if the row has the one stamp of its batch."""
     path = scratch_path(spark, "bronze", "sales_fact")
     raw = td.raw_sales(spark, sf)
-    layers.write_once(bronze.ingest(raw), path)
+    if layers.write_once(bronze.ingest(raw), path) != "written":
+        raise ValueError(f"{path} exists")
     back = spark.read.parquet(path)
-    return back.select(*raw.columns, F.col("ingestion_date").isNotNull().alias("stamped"))
+    stamps = back.agg(F.min("ingestion_date").alias("lo"), F.max("ingestion_date").alias("hi")).first()
+    one = F.lit(stamps.lo == stamps.hi) & (F.col("ingestion_date") == F.lit(stamps.lo))
+    return back.select(*raw.columns, F.coalesce(one, F.lit(False)).alias("stamped"))
 
 
 @query("bronze_stream")
@@ -288,6 +268,12 @@ def daily_spine(spark, sf):
     return calendar.daily_spine_from(td.table(spark, sf, "lineitem"), "l_shipdate")
 
 
+@query("daily_spine_by_count")
+def daily_spine_by_count(spark, sf):
+    """As many days from the first ship date on as there are ship dates."""
+    return calendar.daily_spine_by_count(td.table(spark, sf, "lineitem"), "l_shipdate")
+
+
 @query("calendar_attrs")
 def calendar_attrs(spark, sf):
     dim = calendar.period_dim_from(td.sales(spark, sf), "period_start", "period_end")
@@ -309,47 +295,39 @@ def period_ya_iso(spark, sf):
 
 
 # ------------------------------------------------------------------ dimensions and bridges
-@query("dim_product")
-def dim_product(spark, sf):
-    _, products, _ = silver_clean(spark, sf)
-    return hierarchy.hierarchy_dim(products, retail.PRODUCT)
+@over_layers("dim_product")
+def dim_product(g):
+    return hierarchy.hierarchy_dim(g.products, retail.PRODUCT)
 
 
-@query("dim_geography")
-def dim_geography(spark, sf):
-    stores, _, _ = silver_clean(spark, sf)
-    return hierarchy.hierarchy_dim(stores, retail.GEOGRAPHY)
+@over_layers("dim_geography")
+def dim_geography(g):
+    return hierarchy.hierarchy_dim(g.stores, retail.GEOGRAPHY)
 
 
-@query("dim_geo_level")
-def dim_geo_level(spark, sf):
-    stores, _, _ = silver_clean(spark, sf)
-    return hierarchy.level_dim(hierarchy.hierarchy_dim(stores, retail.GEOGRAPHY), retail.GEOGRAPHY)
+@over_layers("dim_geo_level")
+def dim_geo_level(g):
+    return hierarchy.level_dim(hierarchy.hierarchy_nodes(g.stores, retail.GEOGRAPHY), retail.GEOGRAPHY)
 
 
-@query("bridge_store_geography")
-def bridge_store_geography(spark, sf):
-    g, _ = gold(spark, sf)
-    return g.lkp_store_geography
+@over_layers("bridge_store_geography")
+def bridge_store_geography(g):
+    return hierarchy.bridge(g.stores, g.dim_geography, retail.GEOGRAPHY)
 
 
-@query("bridge_product_hierarchy")
-def bridge_product_hierarchy(spark, sf):
-    g, _ = gold(spark, sf)
-    return g.lkp_product_hierarchy
+@over_layers("bridge_product_hierarchy")
+def bridge_product_hierarchy(g):
+    return hierarchy.bridge(g.products, g.dim_product, retail.PRODUCT)
 
 
-@query("bridge_theta_check")
-def bridge_theta_check(spark, sf):
-    """The level-dependent OR join as originally written (cross-check of the equi-join bridge)."""
-    stores, _, _ = silver_clean(spark, sf)
-    g, _ = gold(spark, sf)
-    return hierarchy.bridge_or_join(stores, g.dim_geography, retail.GEOGRAPHY)
+@over_layers("bridge_theta_check")
+def bridge_theta_check(g):
+    """The level-dependent join in its second form (one key per level and leaf)."""
+    return hierarchy.bridge_by_key(g.stores, g.dim_geography, retail.GEOGRAPHY)
 
 
-@query("store_bridge_lookup")
-def store_bridge_lookup(spark, sf):
-    g, _ = gold(spark, sf)
+@over_layers("store_bridge_lookup")
+def store_bridge_lookup(g):
     return g.lkp_store_geography.filter(F.col("store_id") == LOOKUP_STORE)
 
 
@@ -360,70 +338,70 @@ def period_lookup(spark, sf):
     return dim.filter(F.col("period_id") == LOOKUP_PERIOD)
 
 
-@query("bridge_lookup")
-def bridge_lookup(spark, sf):
-    g, _ = gold(spark, sf)
+@over_layers("bridge_lookup")
+def bridge_lookup(g):
     return g.lkp_product_hierarchy.filter(F.col("hierarchy_id") == LOOKUP_BRIDGE_NODE)
 
 
 # ------------------------------------------------------------------ facts
-@query("fact_period_join")
-def fact_period_join(spark, sf):
-    _, _, sales = silver_clean(spark, sf)
-    p = F.broadcast(periods(spark))
-    j = sales.join(p, (sales.period_start == p.period_start_date) & (sales.period_end == p.period_end_date))
-    return j.filter(F.col("period_id") == LOOKUP_PERIOD)
+@over_layers("fact_period_join")
+def fact_period_join(g):
+    """The sales of one period: its two dates reach the scan as literals."""
+    p = g.dim_date.filter(F.col("period_id") == LOOKUP_PERIOD)
+    found = p.collect()  # at most one row
+    start, end = (found[0].period_start_date, found[0].period_end_date) if found else (None, None)
+    day = lambda d: F.lit(d).cast("date")
+    return (g.sales.filter((F.col("period_start") == day(start)) & (F.col("period_end") == day(end)))
+            .withColumns({"period_id": F.lit(LOOKUP_PERIOD), "period_start_date": day(start), "period_end_date": day(end)}))
 
 
-@query("fact_base")
-def fact_base(spark, sf):
-    g, sales = gold(spark, sf)
-    return g.fact_base(sales, with_stores=False)
+@over_layers("fact_base")
+def fact_base(g):
+    return g.fact_base(with_stores=False)
 
 
-@query("fact_base_stores")
-def fact_base_stores(spark, sf):
-    g, sales = gold(spark, sf)
-    return g.fact_base(sales)
+@over_layers("fact_base_stores")
+def fact_base_stores(g):
+    return g.fact_base()
 
 
-@query("total_stores")
-def total_stores(spark, sf):
-    g, _ = gold(spark, sf)
-    return g.total_stores()
+@over_layers("total_stores")
+def total_stores(g):
+    return facts.node_totals(g.lkp_store_geography)
 
 
 # ------------------------------------------------------------------ KPI
-@query("growth_preview")
-def growth_preview(spark, sf):
+@over_layers("growth_preview")
+def growth_preview(g):
     """Unrounded growth, comparison map as originally coded (calendar year + 1, inner join)."""
-    g, sales = gold(spark, sf)
-    return g.growth_preview(sales)
+    return g.growth_preview()
+
+
+@over_layers("fct_sales")
+def fct_sales_over(g):
+    return g.kpi(years=-1, basis="iso", unmatched="keep")
 
 
-@query("fct_sales")
 def fct_sales(spark, sf):
-    g, sales = gold(spark, sf)
-    return g.kpi(sales, years=-1, basis="iso", unmatched="keep")
+    return REGISTRY["fct_sales"](spark, sf)
 
 
-@query("fct_sales_ref")
-def fct_sales_ref(spark, sf):
-    g, sales = gold(spark, sf)
-    return g.kpi(sales, years=1, basis="calendar", unmatched="drop")
+@over_layers("fct_sales_ref")
+def fct_sales_ref(g):
+    return g.kpi(years=1, basis="calendar", unmatched="drop")
 
 
-@query("kpi_lookup")
-def kpi_lookup(spark, sf):
-    return fct_sales(spark, sf).filter((F.col("geography_id") == LOOKUP_GEO) & (F.col("hierarchy_id") == LOOKUP_NODE)
-                                       & (F.col("period_id") == LOOKUP_PERIOD))
+@over_layers("kpi_lookup")
+def kpi_lookup(g):
+    """A point lookup on the stored fact: reads the folder of one period."""
+    return g.fct_sales.filter((F.col("geography_id") == LOOKUP_GEO) & (F.col("hierarchy_id") == LOOKUP_NODE)
+                              & (F.col("period_id") == LOOKUP_PERIOD))
 
 
-@query("sales_in_district")
-def sales_in_district(spark, sf):
-    stores, _, sales = silver_clean(spark, sf)
-    district = stores.filter(F.col("store_district") == DRILL_DISTRICT).select("store_id")
-    return sales.join(bounded_broadcast(district), "store_id", "left_semi")
+@over_layers("sales_in_district")
+def sales_in_district(g):
+    district = g.stores.filter(F.col("store_district") == DRILL_DISTRICT).select("store_id")
+    return g.sales.join(district, "store_id", "left_semi")
 
 
 # ------------------------------------------------------------------ generators, re-aimed at TESTDATA

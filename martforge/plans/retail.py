@@ -23,7 +23,7 @@ SALES_RULES = [Rule("sales_id", "int"), Rule("store_id", "int"), Rule("product_i
 # quarantined instead of reaching silver as NULL.
 SALES_RULES_STRICT = SALES_RULES + [Rule("period_start", "date"), Rule("period_end", "date")]
 PRODUCT_RULES_STRICT = PRODUCT_RULES + [
-    Rule("item_id", "sql", "try_cast(substring(item_id, 4, 100) as int) is not null")]
+    Rule("item_id", "sql", "try_cast(substring(item_id, 4) as int) is not null")]
 
 STORE_CONFORM = ConformSpec(
     defaults={"store_state": OTHERS, "store_district": OTHERS},

@@ -1,7 +1,7 @@
 """Session construction and the shared scratch folder.
 
-Cluster jobs read ``spark.checkpoint.dir`` from the session; a folder under
-``/tmp`` is only created when nothing is configured (local tests).
+Cluster jobs read ``spark.checkpoint.dir`` from the session. Only a local
+master (tests, single machine) may do without: it gets a folder of its own.
 """
 
 from __future__ import annotations
@@ -19,13 +19,18 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
+_SCRATCH = "martforge"
 
 
-def get_session(master: str = "local[*]", app: str = "martforge", shuffle_partitions: int = 8,
+def get_session(master: str | None = None, app: str = "martforge", shuffle_partitions: int | None = None,
                 conf: dict[str, str] | None = None) -> SparkSession:
-    builder = SparkSession.builder.master(master).appName(app)
+    """The session as submitted; master and partition count are set only if given."""
+    builder = SparkSession.builder.appName(app)
+    if master:
+        builder = builder.master(master)
     merged = dict(DEFAULT_CONF)
-    merged["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_partitions:
+        merged["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     merged.update(conf or {})
     for key, value in merged.items():
         builder = builder.config(key, value)
@@ -48,14 +53,23 @@ def app_id(spark: SparkSession) -> str:
     return sc.applicationId if sc is not None else spark.conf.get("spark.app.id", "session")
 
 
+def is_local(spark: SparkSession) -> bool:
+    """Whether driver and executors are one process, so that a folder of this machine is shared by all."""
+    sc = _context(spark)
+    master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+    return master == "local" or master.startswith("local[")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder, creating a local one only if unset."""
+    """The session's checkpoint folder; without one, a local master gets its own and a cluster an error."""
     sc = _context(spark)
     current = sc.getCheckpointDir() if sc is not None else None
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not is_local(spark):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="martforge-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     if sc is None:
@@ -64,7 +78,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def _forget_at_exit(spark: SparkSession, folder: str) -> None:
+    """Have the file system delete ``folder`` when the driver ends."""
+    sc = _context(spark)
+    if sc is None:
+        return
+    path = sc._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        fs.mkdirs(path)
+        fs.deleteOnExit(path)
+
+
 def scratch_path(spark: SparkSession, *parts: str) -> str:
-    """A fresh path under the shared checkpoint folder (never a machine-local temp dir on a cluster)."""
-    root = ensure_checkpoint_dir(spark).rstrip("/")
-    return "/".join([root, "martforge", uuid.uuid4().hex, *parts])
+    """A fresh path under the shared checkpoint folder, deleted with all of this session's scratch when it ends."""
+    folder = "/".join([ensure_checkpoint_dir(spark).rstrip("/"), _SCRATCH, app_id(spark)])
+    _forget_at_exit(spark, folder)
+    return "/".join([folder, uuid.uuid4().hex, *parts])

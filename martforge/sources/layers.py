@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martforge.session import scratch_path
-
 
 @dataclass(frozen=True)
 class Lake:
@@ -21,41 +21,72 @@ class Lake:
     def path(self, layer: str, name: str) -> str:
         return f"{self.root.rstrip('/')}/{layer}/{name}"
 
+    def complete(self, spark: SparkSession, layer: str, name: str) -> bool:
+        """Whether the table was written to its end (its committer left the success marker)."""
+        fs, path = _file_system(spark, f"{self.path(layer, name)}/_SUCCESS")
+        return fs.exists(path)
+
     def read(self, spark: SparkSession, layer: str, name: str) -> DataFrame:
         return spark.read.format(self.fmt).load(self.path(layer, name))
 
     def write(self, df: DataFrame, layer: str, name: str, mode: str = "overwrite",
               partition_by: list[str] | None = None, options: dict[str, str] | None = None) -> str:
-        w = df.write.format(self.fmt).mode(mode).options(**(options or {}))
+        """Write a table; ``overwrite`` writes beside the old table and then puts the new one in its place,
+        so a failed job leaves the old table as it was."""
+        path = self.path(layer, name)
+        target = f"{path}__{uuid.uuid4().hex}" if mode == "overwrite" else path
+        w = df.write.format(self.fmt).mode("errorifexists" if mode == "overwrite" else mode).options(**(options or {}))
         if partition_by:
             w = w.partitionBy(*partition_by)
-        path = self.path(layer, name)
-        w.save(path)
+        w.save(target)
+        if target != path:
+            _put_in_place(df.sparkSession, target, path)
         return path
 
 
+def _file_system(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def _put_in_place(spark: SparkSession, made: str, path: str) -> None:
+    """Rename ``made`` to ``path``; what was there is renamed first and deleted last."""
+    fs, new = _file_system(spark, made)
+    _, target = _file_system(spark, path)
+    _, old = _file_system(spark, f"{made}__old")
+    had = fs.exists(target)
+    if had and not fs.rename(target, old):
+        raise OSError(f"cannot move {path}")
+    if not fs.rename(new, target):
+        if had:
+            fs.rename(old, target)
+        raise OSError(f"cannot put {made} in place of {path}")
+    if had:
+        fs.delete(old, True)
+
+
 def write_once(df: DataFrame, path: str, fmt: str = "parquet") -> str:
-    """Write only if the target does not exist. Returns 'written' or the error condition."""
+    """Write only if the target does not exist: 'written', or 'PATH_ALREADY_EXISTS'. Any other error is raised."""
     try:
         df.write.format(fmt).mode("errorifexists").save(path)
         return "written"
     except AnalysisException as e:
-        return e.getCondition() or type(e).__name__
+        if e.getCondition() != "PATH_ALREADY_EXISTS":
+            raise
+        return e.getCondition()
 
 
-def file_inventory(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
-    """List files under ``path`` as a DataFrame (name, size, modification time) without reading contents."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path)
-    return files.select(F.regexp_extract("path", r"[^/]+$", 0).alias("file_name"),
-                        F.col("length").alias("size_bytes"),
-                        F.col("modificationTime").alias("modified_at"))
+def file_inventory(tables: dict[str, DataFrame]) -> DataFrame:
+    """The files behind file-based tables, with the rows each holds: (table_name, file_name, row_count)."""
+    parts = [df.groupBy(F.col("_metadata.file_name").alias("file_name")).agg(F.count(F.lit(1)).alias("row_count"))
+             .select(F.lit(name).alias("table_name"), "file_name", "row_count") for name, df in tables.items()]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def ensure_schema(spark: SparkSession, schema: str) -> None:
-    """CREATE SCHEMA IF NOT EXISTS, located under spark.checkpoint.dir rather than the
-    working directory's default warehouse."""
-    if not spark.catalog.databaseExists(schema):
-        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema} LOCATION '{scratch_path(spark, 'schemas', schema)}'")
+    """CREATE SCHEMA IF NOT EXISTS in the catalog's warehouse. Its tables name their own locations."""
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
 
 
 def register_tables(spark: SparkSession, schema: str, tables: dict[str, str], fmt: str = "parquet") -> None:
@@ -79,6 +110,18 @@ def insert_select(spark: SparkSession, table: str, columns_ddl: str, location: s
 
 
 def replace_table(df: DataFrame, table: str, location: str, fmt: str = "parquet") -> DataFrame:
-    """Create-or-replace a catalog table from a DataFrame (the target path must not be read by ``df``)."""
-    df.write.format(fmt).mode("overwrite").option("path", location).saveAsTable(table)
-    return df.sparkSession.table(table)
+    """Create a catalog table from a DataFrame or point it at a new version of its data.
+
+    Every version is a folder of its own under ``location``; the table is
+    repointed only after the new one is written, so a failed job leaves the
+    old version in the catalog.
+    """
+    spark, version = df.sparkSession, f"{location.rstrip('/')}/{uuid.uuid4().hex}"
+    df.write.format(fmt).mode("errorifexists").save(version)
+    if spark.catalog.tableExists(table) and spark.table(table).schema == df.schema:
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{version}'")
+        spark.catalog.refreshTable(table)
+    else:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        spark.sql(f"CREATE TABLE {table} USING {fmt} LOCATION '{version}'")
+    return spark.table(table)

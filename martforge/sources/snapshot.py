@@ -20,47 +20,48 @@ def _status(spark: SparkSession, table: str, status: str, error: str | None,
                        F.lit(error).cast("string").alias("error"))
 
 
-def snapshot(spark: SparkSession, reader: Callable[[str], DataFrame], tables: list[str], target: str,
+Reader = Callable[[SparkSession, str], DataFrame]
+
+
+def snapshot(spark: SparkSession, reader: Reader, tables: list[str], target: str,
              on_error: str = "raise", compression: str = "snappy", timestamp_micros: bool = True) -> DataFrame:
     """Copy ``tables`` to ``<target>/<table>.parquet`` (overwrite) and return one status row per table.
 
-    The reader is any ``name -> DataFrame`` (e.g. ``spark.read.jdbc`` with
-    partition bounds for a database, or Parquet files); data moves executor to
-    storage, never through the driver. ``on_error='raise'`` stops at the first
-    failure; ``'continue'`` records it and goes on. Row counts are read back
-    from the written files.
+    The reader is any ``(session, name) -> DataFrame`` (e.g. ``spark.read.jdbc``
+    with partition bounds for a database, or Parquet files); data moves executor
+    to storage, never through the driver. It gets a session of its own, so the
+    timestamp encoding set here reaches no other write. ``on_error='raise'``
+    stops at the first failure; ``'continue'`` records it and goes on. Row
+    counts are read back from the written files.
     """
-    key = "spark.sql.parquet.outputTimestampType"
-    previous = spark.conf.get(key)
+    own = spark.newSession()
+    own.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
     if timestamp_micros:
-        spark.conf.set(key, "TIMESTAMP_MICROS")
+        own.conf.set("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")
     parts = []
-    try:
-        for table in tables:
-            path = f"{target.rstrip('/')}/{table}.parquet"
-            try:
-                reader(table).write.mode("overwrite").option("compression", compression).parquet(path)
-                parts.append(_status(spark, table, "ok", None, spark.read.parquet(path)))
-            except Exception as e:  # noqa: BLE001 - isolation is the point of on_error='continue'
-                if on_error == "raise":
-                    raise
-                condition = getattr(e, "getCondition", lambda: None)() or type(e).__name__
-                parts.append(_status(spark, table, "failed", condition, None))
-    finally:
-        spark.conf.set(key, previous)
+    for table in tables:
+        path = f"{target.rstrip('/')}/{table}.parquet"
+        try:
+            reader(own, table).write.mode("overwrite").option("compression", compression).parquet(path)
+            parts.append(_status(spark, table, "ok", None, spark.read.parquet(path)))
+        except Exception as e:  # noqa: BLE001 - isolation is the point of on_error='continue'
+            if on_error == "raise":
+                raise
+            condition = getattr(e, "getCondition", lambda: None)() or type(e).__name__
+            parts.append(_status(spark, table, "failed", condition, None))
     return reduce(DataFrame.unionByName, parts)
 
 
-def jdbc_reader(spark: SparkSession, url: str, properties: dict[str, str],
+def jdbc_reader(url: str, properties: dict[str, str],
                 partitions: dict[str, tuple[str, int, int]] | None = None,
-                num_partitions: int = 64) -> Callable[[str], DataFrame]:
-    """``name -> DataFrame`` over a database, for :func:`snapshot`.
+                num_partitions: int = 64) -> Reader:
+    """A reader over a database, for :func:`snapshot`.
 
     Tables listed in ``partitions`` (name -> (numeric column, lower, upper)) are
     read by ``num_partitions`` parallel range queries, so no single task (and
     never the driver) holds a whole table; others are read by one query.
     """
-    def read(table: str) -> DataFrame:
+    def read(spark: SparkSession, table: str) -> DataFrame:
         if partitions and table in partitions:
             column, lower, upper = partitions[table]
             return spark.read.jdbc(url, table, column=column, lowerBound=lower, upperBound=upper,
@@ -70,5 +71,9 @@ def jdbc_reader(spark: SparkSession, url: str, properties: dict[str, str],
 
 
 def jdbc_append(df: DataFrame, url: str, table: str, properties: dict[str, str], batch_size: int = 10_000) -> None:
-    """Append rows into a database table, batched per partition by each task."""
+    """Append rows into a database table, batched per partition by each task.
+
+    Not idempotent: a task retried after its first try had committed appends
+    twice. Load into an empty staging table and insert from there in one transaction.
+    """
     df.write.option("batchsize", batch_size).jdbc(url, table, mode="append", properties=properties)

@@ -20,3 +20,11 @@ def spark():
 @pytest.fixture(scope="session")
 def sf():
     return SF_SMALL
+
+
+@pytest.fixture(scope="session")
+def layers(spark, sf):
+    """The silver and gold layers of the small input, each table built on first use."""
+    from martforge.plans import queries
+
+    return queries.layers_of(spark, sf)

@@ -50,18 +50,25 @@ def main(sf: str, ckpt: str) -> None:
                 failed += info.numFailedTasks if info else 0
         return rows, failed
 
-    g, sales = Q.gold(spark, sf)
-    expected, _ = run("plain", lambda: g.kpi(sales))
+    from martforge.operators import kpi
+
+    g = Q.layers_of(spark, sf)
+    sales = g.sales
+
+    def made(own):
+        return kpi.rollup_kpi(own, g.dim_date, g.lkp_store_geography, g.lkp_product_hierarchy, g.period_map(), g.total_stores())
+
+    expected, _ = run("plain", lambda: made(sales))
     # failure while reading the input (map side of the first shuffle)
-    got_in, f_in = run("in", lambda: g.kpi(sales.withColumn("store_id", fail_first_attempt("store_id"))))
+    got_in, f_in = run("in", lambda: made(sales.withColumn("store_id", fail_first_attempt("store_id"))))
     # failure after the last shuffle (the stage reading the aggregated shuffle output)
-    k = g.kpi(sales)
+    k = made(sales)
     got_out, f_out = run("out", lambda: k.withColumn("hierarchy_id", fail_first_attempt("hierarchy_id"))
                          .select(*k.columns))
     # dense ids of a freshly built dimension with a failing input stage
     from martforge.operators import hierarchy
     from martforge.plans import retail
-    stores, _, _ = Q.silver_clean(spark, sf)
+    stores = g.stores
     dim, _ = run("dim", lambda: hierarchy.hierarchy_dim(stores, retail.GEOGRAPHY))
     flaky_stores = stores.withColumn("store_state", fail_first_attempt_text("store_state"))
     dim_f, f_dim = run("dimf", lambda: hierarchy.hierarchy_dim(flaky_stores, retail.GEOGRAPHY))

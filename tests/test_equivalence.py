@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 
 from martforge.functions.ids import dense_index
 from martforge.operators import facts, hierarchy, kpi
-from martforge.plans import queries as Q
 from martforge.plans import retail
 
 
@@ -21,34 +20,34 @@ def test_dense_index_equals_row_number(spark):
     assert _rows(ours.select("g", "k", "rid")) == _rows(ref.select("g", "k", "rid"))
 
 
-def test_bridge_equals_or_join(spark, sf):
-    stores, products, _ = Q.silver_clean(spark, sf)
-    for leaves, spec in [(stores, retail.GEOGRAPHY), (products, retail.PRODUCT)]:
+def test_bridge_equals_or_join(layers):
+    for leaves, spec in [(layers.stores, retail.GEOGRAPHY), (layers.products, retail.PRODUCT)]:
         dim = hierarchy.hierarchy_dim(leaves, spec)
+        assert _rows(hierarchy.bridge(leaves, dim, spec)) == _rows(hierarchy.bridge_by_key(leaves, dim, spec))
         assert _rows(hierarchy.bridge(leaves, dim, spec)) == _rows(hierarchy.bridge_or_join(leaves, dim, spec))
 
 
-def test_two_step_rollup_equals_distinct_count_form(spark, sf):
-    g, sales = Q.gold(spark, sf)
-    two = g.fact_base(sales)
-    direct = facts.rollup_fact_direct(sales, g.dim_date, g.lkp_store_geography, g.lkp_product_hierarchy)
+def test_two_step_rollup_equals_distinct_count_form(layers):
+    g = layers
+    two = g.fact_base()
+    direct = facts.rollup_fact_direct(g.sales, g.dim_date, g.lkp_store_geography, g.lkp_product_hierarchy)
     assert _rows(two) == _rows(direct.select(*two.columns))
 
 
-def test_fused_kpi_equals_kpi_over_fact_table(spark, sf):
-    g, sales = Q.gold(spark, sf)
+def test_kpi_equals_kpi_over_fact_table(layers):
+    g = layers
     for years, basis, unmatched in [(-1, "iso", "keep"), (1, "calendar", "drop")]:
-        fused = g.kpi(sales, years, basis, unmatched)
-        staged = kpi.kpi_fact(g.fact_base(sales), g.period_map(years, basis), g.total_stores(), unmatched,
+        made = g.kpi(years, basis, unmatched)
+        staged = kpi.kpi_fact(g.fact_base(), g.period_map(years, basis), g.total_stores(), unmatched,
                               periods=g.dim_date)
-        assert _rows(staged) == _rows(kpi.kpi_fact(g.fact_base(sales), g.period_map(years, basis),
+        assert _rows(staged) == _rows(kpi.kpi_fact(g.fact_base(), g.period_map(years, basis),
                                                    g.total_stores(), unmatched))
-        assert _rows(fused) == _rows(staged.select(*fused.columns))
+        assert _rows(made) == _rows(staged.select(*made.columns))
 
 
-def test_sales_add_up_across_levels(spark, sf):
-    g, sales = Q.gold(spark, sf)
-    fb = g.fact_base(sales)
+def test_sales_add_up_across_levels(layers):
+    g = layers
+    fb = g.fact_base()
     lv = (fb.join(g.dim_geography.select("geography_id", F.col("level").alias("gl")), "geography_id")
           .join(g.dim_product.select("hierarchy_id", F.col("level").alias("pl")), "hierarchy_id")
           .groupBy("gl", "pl").agg(F.round(F.sum("sales"), 2).alias("s")))
@@ -56,11 +55,11 @@ def test_sales_add_up_across_levels(spark, sf):
     assert len(totals) == 1 and lv.count() == 9
 
 
-def test_one_node_per_level_and_penetration_bounds(spark, sf):
-    g, sales = Q.gold(spark, sf)
+def test_one_node_per_level_and_penetration_bounds(layers):
+    g = layers
     per = g.lkp_store_geography.groupBy("store_id").count()
     assert per.filter("count != 3").count() == 0
-    k = g.kpi(sales)
+    k = g.kpi()
     bad = k.filter((F.col("store_penetration_pct") < 0) | (F.col("store_penetration_pct") > 100))
     assert bad.count() == 0
     assert g.dim_date.agg(F.max("period_id") - F.count("*")).collect()[0][0] == 0

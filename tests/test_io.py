@@ -17,7 +17,7 @@ def test_write_once_refuses_second_write(spark, sf):
 
 
 def test_snapshot_isolates_failures_or_raises(spark, sf):
-    reader = lambda t: td.table(spark, sf, t)
+    reader = lambda own, t: td.table(own, sf, t)
     st = snapshot.snapshot(spark, reader, ["region", "nope"], scratch_path(spark, "s"), on_error="continue")
     got = {r.table_name: (r.status, r.row_count, r.error) for r in st.collect()}
     assert got["region"] == ("ok", 5, None) and got["nope"][0] == "failed"
@@ -38,3 +38,61 @@ def test_entry_smoke(spark):
     df = entry(spark)
     assert df.count() > 0
     assert df.columns[:3] == ["geography_id", "hierarchy_id", "period_id"] and len(df.columns) == 15
+
+
+def test_write_once_raises_other_errors(spark):
+    twice = spark.range(3).selectExpr("id AS a", "id AS a")
+    with pytest.raises(AnalysisException):
+        layers.write_once(twice, scratch_path(spark, "t", "dup"))
+
+
+def test_overwrite_and_replace_keep_the_old_table_when_a_job_fails(spark):
+    good, bad = spark.range(5), spark.range(5).selectExpr("id + raise_error('no') AS id")
+    lake = layers.Lake(scratch_path(spark, "lake"))
+    lake.write(good, "silver", "t")
+    with pytest.raises(Exception, match="no"):
+        lake.write(bad, "silver", "t")
+    assert lake.read(spark, "silver", "t").count() == 5
+    lake.write(spark.range(7), "silver", "t")
+    assert lake.read(spark, "silver", "t").count() == 7
+    layers.ensure_schema(spark, "gold")
+    where = scratch_path(spark, "versions")
+    layers.replace_table(good, "gold.versions", where)
+    with pytest.raises(Exception, match="no"):
+        layers.replace_table(bad, "gold.versions", where)
+    assert spark.table("gold.versions").count() == 5
+    assert layers.replace_table(spark.range(9), "gold.versions", where).count() == 9
+    spark.sql("DROP TABLE gold.versions")
+
+
+def test_snapshot_codec_and_timestamp_encoding(spark):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    target = scratch_path(spark, "s")
+    before = spark.conf.get("spark.sql.parquet.outputTimestampType")
+    reader = lambda own, name: own.sql("SELECT TIMESTAMP '2024-01-02 03:04:05.678901' AS ts")
+    snapshot.snapshot(spark, reader, ["t"], target)
+    assert spark.conf.get("spark.sql.parquet.outputTimestampType") == before
+    meta = pq.ParquetFile(glob.glob(f"{target.removeprefix('file:')}/t.parquet/*.parquet")[0]).metadata
+    column = meta.row_group(0).column(0)
+    assert (column.compression, column.physical_type) == ("SNAPPY", "INT64") and "microseconds" in str(meta.schema.column(0).logical_type)
+
+
+def test_a_cluster_needs_a_shared_folder(monkeypatch):
+    from martforge import session
+
+    class Conf:
+        def get(self, key, default=None):
+            return {"spark.master": "yarn"}.get(key, default)
+
+    class Cluster:
+        conf = Conf()
+
+        @property
+        def sparkContext(self):
+            raise RuntimeError
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(Cluster())

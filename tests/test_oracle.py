@@ -1,65 +1,30 @@
 """Every registered query equals its DuckDB twin (multiset of rows, names, type families) at sf0.001."""
 
-import collections
-import datetime as dt
-import decimal
-import math
-import os
-
 import duckdb
 import pytest
+from compare import differences, views
 
-from __spark_entry__ import oracle_sql, queries
-
-TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
-FAMILY = {"int": "int32", "integer": "int32", "bigint": "int64", "double": "float64", "string": "str",
-          "varchar": "str", "date": "date", "boolean": "bool"}
-
-
-def _family(t: str) -> str:
-    t = t.lower()
-    return "ts" if t.startswith("timestamp") else FAMILY.get(t, t)
-
-
-def _norm(v):
-    if isinstance(v, float) and math.isnan(v):
-        return None
-    if isinstance(v, decimal.Decimal):
-        return float(v)
-    if isinstance(v, (dt.date, dt.datetime)):
-        return v.isoformat()
-    return v
+from martforge.plans.oracle_registry import ORACLE
+from martforge.plans.queries import REGISTRY
 
 
 @pytest.fixture(scope="module")
 def duck(sf):
     con = duckdb.connect()
-    for t in TABLES:
-        con.execute(f"create view {t} as select * from read_parquet('{os.path.join(sf, t)}.parquet')")
+    views(con, sf)
     return con
 
 
-def test_every_query_has_an_oracle_or_is_listed():
-    assert set(oracle_sql()) <= set(queries())
-    assert set(queries()) - set(oracle_sql()) == {"file_inventory"}
+def test_every_query_has_an_oracle():
+    assert set(ORACLE) == set(REGISTRY)
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
-def test_query_matches_oracle(spark, sf, duck, name):
-    sdf = queries()[name](spark, sf)
-    rel = duck.sql(oracle_sql()[name])
-    assert sorted(sdf.columns) == sorted(rel.columns)
-    stypes = {f.name: _family(f.dataType.simpleString()) for f in sdf.schema.fields}
-    dtypes = {c: _family(str(t)) for c, t in zip(rel.columns, rel.types)}
-    assert stypes == dtypes
-    order = sorted(sdf.columns)
-    srows = collections.Counter(tuple(_norm(r[c]) for c in order) for r in sdf.collect())
-    di = [rel.columns.index(c) for c in order]
-    drows = collections.Counter(tuple(_norm(r[i]) for i in di) for r in rel.fetchall())
-    assert sum(srows.values()) == sum(drows.values())
-    assert srows == drows
+def test_the_entry_module_offers_them_all():
+    import __spark_entry__
 
+    assert set(REGISTRY) <= set(__spark_entry__.queries()) and set(ORACLE) <= set(__spark_entry__.oracle_sql())
 
-def test_file_inventory_lists_every_table(spark, sf):
-    names = {r.file_name for r in queries()["file_inventory"](spark, sf).collect()}
-    assert {f"{t}.parquet" for t in TABLES} <= names
+
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_query_matches_oracle(spark, sf, duck, name):
+    assert differences(REGISTRY[name](spark, sf), duck.sql(ORACLE[name])) == []

@@ -5,6 +5,8 @@ import os
 import subprocess
 import sys
 
+import pytest
+
 from martforge.plans import pipeline
 from martforge.plans import queries as Q
 from martforge.session import scratch_path
@@ -21,7 +23,7 @@ def test_pipeline_matches_registered_queries(spark, sf):
     lake = Lake(scratch_path(spark, "lake"))
     readers = {"stores": lambda: td.stores(spark, sf), "products": lambda: td.products(spark, sf),
                "sales": lambda: td.sales(spark, sf)}
-    cfg = pipeline.PipelineConfig(Q.FIRST_END, Q.LAST_END, fact_cluster_by=("period_id", "geography_id"))
+    cfg = pipeline.PipelineConfig(fact_cluster_by=("period_id", "geography_id"))
     paths = pipeline.run(spark, readers, lake, cfg)
     fct = spark.read.parquet(paths["fct_sales"])
     q = Q.REGISTRY["fct_sales"](spark, sf)
@@ -29,6 +31,25 @@ def test_pipeline_matches_registered_queries(spark, sf):
     assert _rows(spark.table("gold.dim_geography")) == _rows(Q.REGISTRY["dim_geography"](spark, sf))
 
 
+def test_a_failed_run_goes_on_from_its_last_written_layer(spark, sf, monkeypatch):
+    lake = Lake(scratch_path(spark, "lake"))
+    reads = []
+
+    def reader(name):
+        return lambda: reads.append(name) or getattr(td, name)(spark, sf)
+
+    readers = {name: reader(name) for name in ("stores", "products", "sales")}
+    whole = pipeline.run_gold
+    monkeypatch.setattr(pipeline, "run_gold", lambda *a: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        pipeline.run(spark, readers, lake, pipeline.PipelineConfig())
+    monkeypatch.setattr(pipeline, "run_gold", whole)
+    paths = pipeline.run(spark, readers, lake, pipeline.PipelineConfig())
+    assert sorted(reads) == ["products", "sales", "stores"] and spark.read.parquet(paths["fct_sales"]).count() > 0
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+        pipeline.run(spark, readers, lake, pipeline.PipelineConfig(resume=False))
+
+
 def test_pipeline_quarantine_complements_silver(spark, sf):
     lake = Lake(scratch_path(spark, "lake"))
     readers = {"stores": lambda: td.raw_stores(spark, sf), "products": lambda: td.raw_products(spark, sf),

@@ -1,11 +1,12 @@
-"""The path taken when dimensions exceed the broadcast bound (shuffle joins) gives the same rows."""
+"""Joins without broadcasts give the same rows, and what is broadcast has been measured."""
 
+import pytest
 from pyspark.sql import functions as F
 
-from martforge.functions.sizing import bounded_broadcast
+from martforge.functions.sizing import checked_broadcast, measured_bytes
 from martforge.operators import facts, hierarchy, kpi
-from martforge.plans import queries as Q
 from martforge.plans import retail
+from martforge.session import scratch_path
 
 
 def _rows(df):
@@ -16,38 +17,76 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_bounded_broadcast_falls_back_above_the_bound(spark):
-    df = spark.range(100)
-    assert bounded_broadcast(df, 99) is df
-    assert bounded_broadcast(df, 100) is not df
+@pytest.fixture
+def no_broadcast(spark):
+    keys = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    for k in keys:
+        spark.conf.set(k, "-1")
+    yield
+    for k in keys:
+        spark.conf.unset(k)
 
 
-def test_no_broadcast_bridge_and_rollup_equal_broadcast_ones(spark, sf):
+def test_size_is_measured_in_bytes_each_time(spark):
+    path = scratch_path(spark, "grown")
+    spark.range(10).withColumn("t", F.lit("x" * 10)).write.parquet(path)
+    small = spark.read.parquet(path)
+    bound = measured_bytes(small)
+    assert checked_broadcast(small, bound) is not small
+    spark.range(10).withColumn("t", F.lit("x" * 1000)).write.mode("overwrite").parquet(path)
+    grown = spark.read.parquet(path)  # as many rows as before, but wider
+    assert checked_broadcast(grown, bound) is grown
+    assert checked_broadcast(spark.range(0), 0) is not None
+
+
+def test_or_join_refuses_a_large_dimension(layers):
+    with pytest.raises(ValueError, match="bytes"):
+        hierarchy.bridge_or_join(layers.stores, layers.dim_geography, retail.GEOGRAPHY, max_bytes=1)
+
+
+def test_shuffled_bridges_and_roll_up_equal_broadcast_ones(spark, layers, no_broadcast):
+    g = layers
+    assert _rows(hierarchy.bridge(g.stores, g.dim_geography, retail.GEOGRAPHY, max_bytes=0)) == _rows(g.lkp_store_geography)
+    f0 = facts.rollup_fact(g.sales, g.dim_date, g.lkp_store_geography, g.lkp_product_hierarchy)
+    assert "SortMergeJoin" in _plan(f0)
+    rows = _rows(f0)
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert rows == _rows(g.fact_base())
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
-    try:
-        g, sales = Q.gold(spark, sf)
-        stores, _, _ = Q.silver_clean(spark, sf)
-        b0 = hierarchy.bridge(stores, g.dim_geography, retail.GEOGRAPHY, broadcast_rows=0)
-        assert _rows(b0) == _rows(g.lkp_store_geography)
-        f0 = facts.rollup_fact(sales, g.dim_date, g.lkp_store_geography, g.lkp_product_hierarchy, broadcast_rows=0)
-        assert "SortMergeJoin" in _plan(f0)
-        assert _rows(f0) == _rows(g.fact_base(sales))
-        pm, tot = g.period_map(-1, "iso"), g.total_stores()
-        k0 = kpi.rollup_kpi(sales, g.dim_date, g.lkp_store_geography, g.lkp_product_hierarchy, pm, tot,
-                            broadcast_rows=0)
-        assert _rows(k0) == _rows(g.kpi(sales))
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
-
-
-def test_hot_store_is_combined_before_the_shuffle(spark, sf):
-    """A store with a third of the rows: the product step aggregates map-side (partial aggregate
-    below the exchange), so the shuffle carries per-task partial sums, not the hot rows."""
-    g, sales = Q.gold(spark, sf)
-    hot = sales.withColumn("store_id", F.when(F.col("sales_id") % 3 == 0, F.lit(1)).otherwise(F.col("store_id")))
-    step1 = facts.product_step(hot, g.dim_date, g.lkp_product_hierarchy)
-    plan = _plan(step1)
-    assert "partial_sum" in plan
-    assert step1.count() > 0
+    k0 = kpi.rollup_kpi(g.sales, g.dim_date, g.lkp_store_geography, g.lkp_product_hierarchy, g.period_map(), g.total_stores())
+    rows = _rows(k0)
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert rows == _rows(g.kpi())
+
+
+def test_one_country_shuffles_only_the_last_level(spark, layers, no_broadcast):
+    one = layers.stores.withColumn("store_country", F.lit("World"))
+    dim = hierarchy.hierarchy_dim(one, retail.GEOGRAPHY)
+    made = hierarchy.bridge(one, dim, retail.GEOGRAPHY)
+    plan = _plan(made)
+    assert plan.count("BroadcastHashJoin") == 2 and plan.count("SortMergeJoin") == 1
+    assert _rows(made) == _rows(hierarchy.bridge_by_key(one, dim, retail.GEOGRAPHY))
+
+
+def test_hot_store_gives_the_same_sums(layers):
+    """A store with a third of the sales: equal to the one-step form, and moved by (store, period)."""
+    g = layers
+    hot = g.sales.withColumn("store_id", F.when(F.col("sales_id") % 3 == 0, F.lit("1")).otherwise(F.col("store_id")))
+    hot = hot.select(*[F.col(c).cast(t) for c, t in g.sales.dtypes])
+    two = facts.rollup_fact(hot, g.dim_date, g.lkp_store_geography, g.lkp_product_hierarchy)
+    one = facts.rollup_fact_direct(hot, g.dim_date, g.lkp_store_geography, g.lkp_product_hierarchy)
+    assert _rows(two) == _rows(one.select(*two.columns))
+    moved = facts.join_periods(hot, g.dim_date)
+    most = moved.groupBy("store_id", "period_id").count().agg({"count": "max"}).first()[0]
+    assert most < moved.count() / 20
+
+
+def test_measures_are_summed_exactly_and_finer_ones_refused(spark):
+    from martforge.functions.columns import exact_units
+
+    df = spark.createDataFrame([(1.005,), (1.004,), (0.125,), (None,)], "x double")
+    assert df.agg(F.sum(exact_units("x", 4)) / 10_000).first()[0] == 2.134
+    with pytest.raises(Exception, match="more than 2 decimals"):
+        df.agg(F.sum(exact_units("x", 2))).collect()
+    with pytest.raises(Exception, match="too large"):
+        spark.createDataFrame([(1e300,)], "x double").agg(F.sum(exact_units("x", 4))).collect()

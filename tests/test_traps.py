@@ -131,3 +131,39 @@ def test_strict_mode_quarantines_bad_dates_and_overflowing_ids(spark):
     valid, rejected = medallion.silver(prods, retail.PRODUCT_RULES_STRICT, retail.PRODUCT_CONFORM)
     assert [r.product_id for r in valid.collect()] == [7]
     assert rejected.count() == 2
+
+
+def test_substring_goes_to_the_end(spark):
+    from martforge.operators.conform import ConformSpec, conform
+
+    long = "ITM" + "x" * 150
+    got = conform(spark.createDataFrame([(long,)], "c string"), ConformSpec(substr={"c": 4})).first().c
+    assert got == "x" * 150
+
+
+def test_calendar_refuses_bounds_too_far_apart(spark):
+    import datetime
+
+    far = spark.createDataFrame([(datetime.date(1, 1, 1), datetime.date(9999, 12, 31))], "s date, e date")
+    assert calendar.period_dim_from(far, "s", "e", step_days=30).count() > 100_000
+    with pytest.raises(Exception, match="too far apart"):
+        calendar.period_dim_from(far, "s", "e", step_days=7).collect()
+    with pytest.raises(Exception, match="too far apart"):
+        calendar.daily_spine_from(far.selectExpr("explode(array(s, e)) AS d"), "d").collect()
+    assert calendar.period_dim_from(far.limit(0), "s", "e").count() == 0
+
+
+def test_daily_spines_by_count_and_to_today(spark):
+    import datetime
+
+    days = [r.date_value for r in calendar.daily_spine(spark, "2024-02-27", days=4).collect()]
+    assert days == [datetime.date(2024, 2, d) for d in (27, 28, 29)] + [datetime.date(2024, 3, 1)]
+    start = datetime.date.today() - datetime.timedelta(days=3)
+    assert calendar.daily_spine(spark, start).count() in (4, 5)
+
+
+def test_item_names_capitalise_the_first_letter_only(spark):
+    from martforge.operators.synth import expand_hierarchy
+
+    got = expand_hierarchy(spark.createDataFrame([("PET care", "Food1")], "d string, c string"), "d", "c").first()
+    assert got.item_name == "Pet care Food"
