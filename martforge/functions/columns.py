@@ -33,7 +33,7 @@ def exact_units(col: Column | str, scale: int) -> Column:
     large for them) fails the query, naming the value, so the scale can be raised.
     """
     c, factor = _c(col).cast("double"), 10 ** scale
-    whole = F.round(c * F.lit(float(factor))).cast("bigint")
+    whole = F.round(c * F.lit(float(factor))).try_cast("bigint")
     said = F.concat(F.lit(f"more than {scale} decimals, or too large for them: "), c.cast("string"))
     return F.when(c.isNull(), F.lit(None).cast("bigint")).when(whole / F.lit(float(factor)) == c, whole).otherwise(
         F.raise_error(said))

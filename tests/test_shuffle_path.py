@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from martforge.functions.sizing import checked_broadcast, measured_bytes
 from martforge.operators import facts, hierarchy, kpi
-from martforge.plans import retail
+from martforge.plans import medallion, retail
 from martforge.session import scratch_path
 
 
@@ -60,8 +60,8 @@ def test_shuffled_bridges_and_roll_up_equal_broadcast_ones(spark, layers, no_bro
 
 
 def test_one_country_shuffles_only_the_last_level(spark, layers, no_broadcast):
-    one = layers.stores.withColumn("store_country", F.lit("World"))
-    dim = hierarchy.hierarchy_dim(one, retail.GEOGRAPHY)
+    one = medallion.keep(layers.stores.withColumn("store_country", F.lit("World")))
+    dim = medallion.keep(hierarchy.hierarchy_dim(one, retail.GEOGRAPHY))
     made = hierarchy.bridge(one, dim, retail.GEOGRAPHY)
     plan = _plan(made)
     assert plan.count("BroadcastHashJoin") == 2 and plan.count("SortMergeJoin") == 1
