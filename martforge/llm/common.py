@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -17,6 +17,16 @@ WHITE = " \t\n\x0b\x0c\r"
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
 
+#: Functions that give up what a module keeps in a Python worker from one task to the next.
+HELD: list[Callable[[], None]] = []
+
+
+def release() -> None:
+    """Start of a task that needs none of it: workers are reused by later stages, and so would be their memory."""
+    for give_up in HELD:
+        give_up()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -84,7 +94,8 @@ def ranked(df: DataFrame, keys: list[str], order: list[Column], name: str) -> Da
                   .withColumn("__part", F.spark_partition_id())
                   .withColumn("__nth", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)), "ranked")
     counts = cut.groupBy("__part", *keys).agg(F.count(F.lit(1)).alias("__n"), F.min("__nth").alias("__first"))
-    starts = offsets_by(counts, keys, "__part", "__n", "__before").drop("__n")
+    # Written, so that Spark sees its size before it plans the join and need not move the rows for it.
+    starts = written(offsets_by(counts, keys, "__part", "__n", "__before").drop("__n"), "starts")
     return (cut.join(starts, ["__part", *keys])
             .withColumn(name, F.col("__before") + F.col("__nth") - F.col("__first") + 1)
             .drop("__part", "__nth", "__first", "__before"))

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martforge.llm.common import small_batches, texts
+from martforge.llm.common import release, small_batches, texts
 
 ORDER = 3
 #: About so many training texts of each language, however large the table is.
@@ -224,6 +224,7 @@ def detect(docs: DataFrame, model: Model, text_col: str = "text", keep: list[Col
     out = rows.drop("__text").schema
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         own = shared.value
         for batch in small_batches(batches, 512):
             data = list(texts(batch.column(len(names))))

@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martforge.llm.common import components, mix64, small_batches, texts, words, wrapped, written
+from martforge.llm.common import components, mix64, release, small_batches, texts, words, wrapped, written
 
 SHINGLE = 4
 #: Links have 100 * intersection >= PERCENT * union.
@@ -57,7 +57,6 @@ BLOCK = 512
 #: Pairs verified together in one task.
 BUCKET = 512
 _STEPS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63)]
-_MEMO: dict[bytes, int] = {}
 
 
 def shared_at_least(k: int, percent: int = PERCENT, miss: float = MISS) -> int:
@@ -75,14 +74,7 @@ def shingle_set(text, n: int = SHINGLE) -> np.ndarray:
     tokens = words(text)
     if not tokens:
         return np.zeros(0, dtype=np.uint64)
-    if len(_MEMO) > 1_000_000:
-        _MEMO.clear()
-    hashed = np.empty(len(tokens), dtype=np.uint64)
-    for i, w in enumerate(tokens):
-        h = _MEMO.get(w)
-        if h is None:
-            h = _MEMO[w] = xxhash.xxh64_intdigest(w)
-        hashed[i] = h
+    hashed = np.fromiter(map(xxhash.xxh64_intdigest, tokens), dtype=np.uint64, count=len(tokens))
     size = min(n, len(tokens))
     count = hashed.size - size + 1
     out = np.full(count, size, dtype=np.uint64)
@@ -96,6 +88,7 @@ def sketched(docs: DataFrame, shingle: int, k: int, id_col: str, text_col: str)
     schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("digest", pa.binary()), ("sketch", pa.list_(pa.int64()))])
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in small_batches(batches):
             sets = [shingle_set(t, shingle) for t in texts(batch.column(1))]
             yield pa.RecordBatch.from_arrays(
