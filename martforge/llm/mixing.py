@@ -66,16 +66,17 @@ def allocations(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, seed: int = SEED, carry: bool = False) -> DataFrame:
     """(doc_id, size, source_size, target, copies, taken) per document, and its whole ``row`` if ``carry``."""
     source = F.col(source_col).cast("string")
-    # Sized once: range bounds and source totals are taken from the written columns.
-    sized = written(wrapped(docs, doc_id=F.col(id_col), size=n_words(F.col(text_col)), no_source=source.isNull(),
-                            source_key=F.coalesce(source, F.lit(""))).drop(*([] if carry else ["row"])), "sized")
+    rows = wrapped(docs, doc_id=F.col(id_col), size=n_words(F.col(text_col)), no_source=source.isNull(),
+                   source_key=F.coalesce(source, F.lit("")))
+    sized = written(rows.drop("row"), "sized")
+    share = written(targets(sized, weights, cap), "targets")  # one row per source
     key = ["no_source", "source_key"]
     offset = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}|"), F.col("no_source").cast("string"), F.lit("|"),
                                                F.col("source_key"))), 1, 4), 16, 10).cast("double") / 65536.0
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     k = F.col("nth").cast("double")
     crossed = F.floor(k * F.col("rate") + F.col("u")) - F.floor((k - 1) * F.col("rate") + F.col("u"))
-    rows = (ranked(sized, key, [F.col("size"), F.col("doc_id")], "nth").join(targets(sized, weights, cap), key)
+    rows = (ranked(rows if carry else sized, key, [F.col("size"), F.col("doc_id")], "nth").join(share, key)
             .withColumn("rate", rate).withColumn("u", offset)
             # Rounding of a large prefix sum may not add a copy beyond the rate.
             .withColumn("copies", F.least(crossed, F.ceil("rate")).cast("bigint")))
