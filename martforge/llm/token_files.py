@@ -40,7 +40,7 @@ END_ID = 2
 #: A shard is closed after the document with which it reaches so many ids.
 SHARD_TOKENS = 1 << 19
 #: Rounds of pair replacement, and the least number of occurrences that makes a rule in the last one.
-ROUNDS = 6
+ROUNDS = 4
 LEAST_COUNT = 8
 SHARD = ("part int, nth bigint, n_tokens bigint, first_symbol bigint, symbols binary, rules binary, expansions binary, "
          "doc_ids binary, doc_lengths binary, no_ids binary")
@@ -48,45 +48,48 @@ SHARD = ("part int, nth bigint, n_tokens bigint, first_symbol bigint, symbols bi
 
 def compress(ids: np.ndarray, rounds: int = ROUNDS, least: int = LEAST_COUNT) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
     """(first_symbol, symbols, rules, expansions): rule i is the pair that symbol first_symbol + i stands for."""
-    seq = ids.astype(np.uint64)
+    seq = ids.astype("<u4")
     first = int(seq.max()) + 1 if seq.size else 0
     rules: list[np.ndarray] = []
     size = np.ones(first, dtype=np.uint32)
     for turn in range(rounds):
         if seq.size < 2:
             break
-        pairs = seq[:-1] << np.uint64(32) | seq[1:]
+        # A pair as one number: 32 bits while all symbols fit 16.
+        wide = np.uint64 if size.size > 1 << 16 else np.uint32
+        half = wide(wide(0).nbytes * 4)
+        pairs = seq[:-1].astype(wide) << half | seq[1:].astype(wide)
         ordered = np.sort(pairs)
         starts = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
         counts = np.diff(np.append(starts, ordered.size))
-        bar = max(least, int(counts.max()) >> (2 * turn + 4)) if turn < rounds - 1 else least
-        frequent = ordered[starts[counts >= bar]]  # in order, so a pair's place is found by binary search
+        bar = max(least, int(counts.max()) >> (3 * turn + 5)) if turn < rounds - 1 else least
+        frequent = ordered[starts[counts >= bar]]
         if not frequent.size:
             continue
-        # Symbols that no frequent pair begins with need no search.
-        begins = np.zeros(size.size, dtype=bool)
-        begins[(frequent >> np.uint64(32)).astype(np.int64)] = True
-        maybe = np.flatnonzero(begins[seq[:-1].astype(np.int64)])
-        place = np.minimum(np.searchsorted(frequent, pairs[maybe]), frequent.size - 1)
-        hit = frequent[place] == pairs[maybe]
-        at, place = maybe[hit], place[hit]
+        # Pairs are looked up by hash; of pairs that fall into one slot the last is replaced in this round.
+        bits = np.uint64(64 - max(12, int(frequent.size * 16).bit_length()))
+        odd = np.uint64(0x9E3779B97F4A7C15)
+        table = np.zeros(1 << (64 - int(bits)), dtype=np.int32)
+        table[(frequent.astype(np.uint64) * odd) >> bits] = np.arange(frequent.size)
+        place = table[(pairs.astype(np.uint64) * odd) >> bits]
+        at = np.flatnonzero(frequent[place] == pairs)
         # Overlapping occurrences, at neighbouring places: from left to right, every second one.
         run = np.concatenate(([True], np.diff(at) != 1))
         begin = np.maximum.accumulate(np.where(run, np.arange(at.size), 0))
-        taken = (np.arange(at.size) - begin) % 2 == 0
-        at, place = at[taken], place[taken]
-        used, place = np.unique(place, return_inverse=True)
-        chosen = frequent[used]
-        left, right = (chosen >> np.uint64(32)).astype(np.int64), (chosen & np.uint64(0xFFFFFFFF)).astype(np.int64)
-        base = size.size
+        at = at[(np.arange(at.size) - begin) % 2 == 0]
+        used = np.zeros(frequent.size, dtype=bool)
+        used[place[at]] = True
+        chosen, number = frequent[used], np.cumsum(used) - 1
+        left, right = chosen >> half, chosen & wide((1 << int(half)) - 1)
         rules.append(np.stack([left, right], axis=1).astype("<u4"))
+        base = size.size
         size = np.concatenate([size, size[left] + size[right]])
-        seq[at] = (base + place).astype(np.uint64)
+        seq[at] = (base + number[place[at]]).astype("<u4")
         keep = np.ones(seq.size, dtype=bool)
         keep[at + 1] = False
         seq = seq[keep]
     flat = np.concatenate(rules) if rules else np.zeros((0, 2), dtype="<u4")
-    return first, seq.astype("<u4"), flat, size[first:].astype("<u4")
+    return first, seq, flat, size[first:].astype("<u4")
 
 
 def expansion_table(first: int, rules: np.ndarray, expansions: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
