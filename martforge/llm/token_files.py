@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from martforge.llm.common import small_batches
+from martforge.llm.common import small_batches, written
 from martforge.llm.encoding import encoder
 
 END_ID = 2
@@ -179,9 +179,10 @@ def shards(spark: SparkSession, path: str) -> DataFrame:
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("part_first"))
     inside = Window.partitionBy("part").orderBy("nth").rowsBetween(Window.unboundedPreceding, -1)
-    firsts = (found.select("part", "nth", "n_tokens")
-              .withColumn("inside", F.coalesce(F.sum("n_tokens").over(inside), F.lit(0)))
-              .join(starts, "part").select("part", "nth", (F.col("part_first") + F.col("inside")).alias("first")))
+    # Written, so that Spark sees how small it is and leaves the shards where they are.
+    firsts = written(found.select("part", "nth", "n_tokens")
+                     .withColumn("inside", F.coalesce(F.sum("n_tokens").over(inside), F.lit(0)))
+                     .join(starts, "part").select("part", "nth", (F.col("part_first") + F.col("inside")).alias("first")), "firsts")
     return found.join(firsts, ["part", "nth"])
 
 
