@@ -7,13 +7,21 @@ shifted by other lines is cut alike after its first lines. Chunks of at least
 ``LEAST`` lines that occur again anywhere in the corpus, byte for byte, are
 removed; the occurrence in the smallest document id, then the first in it, stays.
 
+Chunks miss what their boundaries cut: a short passage, and the ends of a longer
+one. ``passages`` compares all pairs of adjacent lines instead: a line goes if it
+and a neighbour stand together earlier, so a shared passage of two lines or more
+goes whole at any offset. Every chunk that repeats consists of such pairs. A pair
+that overlaps its own first occurrence (equal lines in a row) is not a repeat, so
+of a run of equal lines two stay; the first occurrence of every line stays.
+
 Equal chunks are found by digest and compared by content: both are in the grouping
 key, combined inside each task first. Chunks whose digest stands for several
 contents (a collision) are left alone.
 
 Defined cases: a null text stays null and has no lines; an empty text has one
 empty line; a last line feed makes an empty last line, and a carriage return
-belongs to its line; rows that repeat an id are the same occurrence; rows
+belongs to its line; rows that repeat an id are the same occurrence (with
+``passages``: rows that repeat id and text; of one id, texts rank by SHA-256); rows
 without an id rank last. An empty table gives no rows. Extra columns are
 carried by ``clean`` and never read.
 """
@@ -34,6 +42,10 @@ AVERAGE = 4
 LEAST = 2
 #: The base of the rolling hash, modulo 2^32.
 BASE = 31
+#: Lines of the pairs that ``passages`` compares.
+PAIR = 2
+#: Rows of one Arrow batch of occurrences.
+ROWS = 1 << 14
 _LAST = (1 << 63) - 1
 
 
@@ -57,55 +69,84 @@ def chunks(text: bytes, window: int = WINDOW, average: int = AVERAGE) -> list[li
     return out
 
 
-def occurrences(docs: DataFrame, id_col: str, text_col: str, least: int, content: bool) -> DataFrame:
-    """(id, nth, digest) of every chunk of at least ``least`` lines, and its content if asked for."""
-    names = ["id", "nth", "digest", *(["content"] if content else [])]
+def pairs(text: bytes) -> list[list[bytes]]:
+    """All adjacent lines of a text, two by two."""
+    lines = text.split(b"\n")
+    return [lines[i:i + PAIR] for i in range(len(lines) - 1)]
+
+
+def occurrences(docs: DataFrame, id_col: str, text_col: str, least: int, content: bool, passages: bool = False) -> DataFrame:
+    """(id, copy, nth, digest) of every chunk of at least ``least`` lines or of every pair, and its content if asked for."""
+    names = ["id", "copy", "nth", "digest", *(["content"] if content else [])]
+    types = [pa.int64(), pa.string(), pa.int64(), pa.binary(), pa.binary()]
+
+    def as_batch(rows: list[tuple]) -> pa.RecordBatch:
+        cols = list(zip(*rows)) if rows else [[]] * len(names)
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=names)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, 512):
             rows = []
-            for ident, text in zip(batch.column(0).to_pylist(), texts(batch.column(1))):
-                for nth, lines in enumerate(chunks(text) if text is not None else []):
+            for ident, copy, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts(batch.column(2))):
+                for nth, lines in enumerate((pairs if passages else chunks)(text) if text is not None else []):
                     if len(lines) >= least:
                         whole = b"\n".join(lines)
-                        rows.append((ident, nth, hashlib.md5(whole, usedforsecurity=False).digest(), whole))
-            cols = list(zip(*rows)) if rows else [[], [], [], []]
-            types = [pa.int64(), pa.int64(), pa.binary(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)][:len(names)], names=names)
+                        row = (ident, copy, nth, hashlib.md5(whole, usedforsecurity=False).digest())
+                        rows.append((*row, whole) if content else row)
+                        if len(rows) == ROWS:
+                            yield as_batch(rows)
+                            rows = []
+            yield as_batch(rows)
 
-    rows = docs.select(key(id_col), F.col(text_col).cast("string"))
-    return rows.mapInArrow(cut, "id bigint, nth bigint, digest binary" + ", content binary" * content)
+    text = F.col(text_col).cast("string")
+    rows = docs.select(key(id_col), copy_of(text, passages), text)
+    return rows.mapInArrow(cut, "id bigint, copy string, nth bigint, digest binary" + ", content binary" * content)
 
 
 def key(id_col: str) -> Column:
     return F.coalesce(F.col(id_col).cast("bigint"), F.lit(_LAST))
 
 
-def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST) -> DataFrame:
-    """(id, drop): the chunk numbers to remove from each document that repeats others."""
-    equal = (occurrences(docs, id_col, text_col, least, True).groupBy("digest", "content")
-             .agg(F.min(F.struct("id", "nth")).alias("first"), F.count(F.lit(1)).alias("n")).drop("content"))
+def copy_of(text: Column, passages: bool) -> Column:
+    """Tells the texts of one id apart."""
+    return F.coalesce(F.sha2(text, 256), F.lit("")) if passages else F.lit("")
+
+
+def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST, passages: bool = False) -> DataFrame:
+    """(id, copy, drop): the chunk or pair numbers to remove from each document that repeats others."""
+    equal = (occurrences(docs, id_col, text_col, least, True, passages).groupBy("digest", "content")
+             .agg(F.min(F.struct("id", "copy", "nth")).alias("first"), F.count(F.lit(1)).alias("n")).drop("content"))
     # More than one content of a digest: none of them is removed.
     repeated = written(equal.groupBy("digest").agg(F.count(F.lit(1)).alias("contents"), F.max("n").alias("n"), F.min("first").alias("first"))
                        .filter("contents = 1 AND n > 1").select("digest", "first"), "repeated")
-    again = occurrences(docs, id_col, text_col, least, False).join(repeated, "digest")
-    return (again.filter((F.col("id") != F.col("first.id")) | (F.col("nth") != F.col("first.nth")))
-            .groupBy("id").agg(F.collect_set("nth").alias("drop")))
+    again = occurrences(docs, id_col, text_col, least, False, passages).join(repeated, "digest")
+    # The first occurrence, and pairs that share a line with it.
+    first = ((F.col("id") == F.col("first.id")) & (F.col("copy") == F.col("first.copy"))
+             & (F.col("nth") < F.col("first.nth") + (PAIR if passages else 1)))
+    return again.filter(~first).groupBy("id", "copy").agg(F.collect_set("nth").alias("drop"))
 
 
 def clean(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST,
-          keep: Column | None = None) -> DataFrame:
-    """(row, text, n_lines, removed_lines): ``keep`` (default: the whole input row) and the text without repeated chunks."""
+          keep: Column | None = None, passages: bool = False) -> DataFrame:
+    """(row, text, n_lines, removed_lines): ``keep`` (default: the whole input row) and the text without repeated chunks or passages."""
+    if passages and least != PAIR:
+        raise ValueError(f"passages are compared from {PAIR} lines on, not {least}")
     whole = keep if keep is not None else F.struct(*[docs[f"`{c.replace('`', '``')}`"] for c in docs.columns])
-    rows = docs.select(whole.alias("row"), key(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    marked = rows.join(removals(docs, id_col, text_col, least), "id", "left").select("row", "text", "drop")
+    text = F.col(text_col).cast("string")
+    rows = docs.select(whole.alias("row"), key(id_col).alias("id"), copy_of(text, passages).alias("copy"), text.alias("text"))
+    marked = rows.join(removals(docs, id_col, text_col, least, passages), ["id", "copy"], "left").select("row", "text", "drop")
 
     def rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, 512):
             out, lines, gone = [], [], []
             for text, drop in zip(texts(batch.column(1)), batch.column(2).to_pylist()):
-                parts = chunks(text) if text is not None else []
-                stay = [c for nth, c in enumerate(parts) if nth not in set(drop or ())]
+                if passages:  # one line a part
+                    parts = [[line] for line in text.split(b"\n")] if text is not None else []
+                    drop = {n + k for n in drop or () for k in range(PAIR)}
+                else:
+                    parts = chunks(text) if text is not None else []
+                    drop = set(drop or ())
+                stay = [c for nth, c in enumerate(parts) if nth not in drop]
                 lines.append(sum(map(len, parts)))
                 gone.append(lines[-1] - sum(map(len, stay)))
                 out.append(None if text is None else b"\n".join(line for c in stay for line in c))

@@ -46,6 +46,12 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.length("text").cast("bigint").alias("chars_left"), F.sha2("text", 256).alias("text_sha256"))
 
 
+def op6_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = line_dedup.clean(table(spark, sf_dir, "documents"), keep=F.col("doc_id"), passages=True)
+    return done.select(F.col("row").alias("doc_id"), "n_lines", "removed_lines",
+                       F.length("text").cast("bigint").alias("chars_left"), F.sha2("text", 256).alias("text_sha256"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = toxicity.train(docs, labels.filter(language_id.fold(F.col("doc_id"), 5) != 0))
@@ -90,6 +96,11 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_chat_format": op10_chat_format,
 }
 
+#: Second forms of an operator; the first form of each, in REGISTRY, keeps the result of its SQL twin.
+SECOND: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op6_passages": op6_passages,
+}
+
 ORACLE: dict[str, str] = {
     "op2_mixing": r"""
 WITH sized AS (

@@ -1,10 +1,11 @@
+import hashlib
 import random
 from collections import Counter
 
 from helpers import CLASHING, docs
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from martforge.llm import line_dedup
+from martforge.llm import line_dedup, queries
 
 
 def brute(table):
@@ -59,3 +60,63 @@ def test_empty_table(spark):
 def test_chunks_hold_the_text(lines):
     text = "\n".join(lines).encode()
     assert b"\n".join(x for c in line_dedup.chunks(text) for x in c) == text
+
+
+def brute_passages(table):
+    """Lines that stand with a neighbour earlier in the table go, unless the pair overlaps its own first occurrence."""
+    first, out = {}, []
+    for at, (_, text) in enumerate(table):
+        lines, gone = (text or "").split("\n"), set()
+        for i, pair in enumerate(zip(lines, lines[1:])):
+            where = first.setdefault(pair, (at, i))
+            if where[0] < at or where[1] + 1 < i:
+                gone |= {i, i + 1}
+        out.append("\n".join(x for i, x in enumerate(lines) if i not in gone))
+    return out
+
+
+def passages_left(spark, table):
+    got = line_dedup.clean(docs(spark, table, CLASHING), passages=True).collect()
+    left = {r["row"]["doc_id"]: r["text"] or "" for r in got}
+    for r in got:
+        n = (r["row"]["text"] or "").count("\n") + 1 if r["row"]["text"] is not None else 0
+        kept = n - r["removed_lines"]
+        assert r["n_lines"] == n and len(r["text"].split("\n") if r["text"] else []) <= max(kept, 0)
+    return [left[i] for i, _ in table]
+
+
+def test_short_passages_go_at_any_offset(spark):
+    table, own = [], []
+    for n in range(2, 7):
+        passage = [f"passage of {n}, line {k}" for k in range(n)]
+        table.append((len(table), "\n".join(["first", str(n), *passage])))
+        own.append(table[-1][1])
+        for before in range(6):
+            mine = [f"own {n} {before} {k}" for k in range(before + 3)]
+            table.append((len(table), "\n".join(mine[:before] + passage + mine[before:])))
+            own.append("\n".join(mine))
+    assert passages_left(spark, table) == own == brute_passages(table)
+
+
+def test_passages_equal_brute_force(spark):
+    rng = random.Random(3)
+    table = list(enumerate(texts(1))) + [(500, None), (501, ""), (502, "\n\n\n"), (503, "a\r\nb\r\n"), (504, "\n" * 50), (505, "same\n" * 40)]
+    table += [(600 + i, "\n".join(rng.choice(["", "a", "b", "c d"]) for _ in range(rng.randint(1, 12)))) for i in range(80)]
+    assert passages_left(spark, table) == brute_passages(table)
+
+
+def test_passages_of_repeated_rows_and_null_ids(spark):
+    table = [(1, "a\nb"), (2, "c\nd"), (2, "c\nd"), (2, "x\ny\nz"), (None, "a\nb"), (None, "alone\nhere")]
+    got = sorted((r["row"]["doc_id"] or 9, r["text"]) for r in line_dedup.clean(docs(spark, table), passages=True).collect())
+    assert got == [(1, "a\nb"), (2, "c\nd"), (2, "c\nd"), (2, "x\ny\nz"), (9, ""), (9, "alone\nhere")]
+    assert line_dedup.clean(docs(spark, []), passages=True).count() == 0
+
+
+def test_query_of_passages_equals_brute_force(spark, sf):
+    table = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").orderBy("doc_id").collect()]
+    got = {r["doc_id"]: r for r in queries.SECOND["op6_passages"](spark, sf).collect()}
+    for (ident, text), left in zip(table, brute_passages(table), strict=True):
+        want = (None, None) if text is None else (len(left), hashlib.sha256(left.encode()).hexdigest())
+        assert (got[ident]["chars_left"], got[ident]["text_sha256"]) == want
+    # More goes than by chunks, and all that goes by chunks.
+    assert all(got[r["doc_id"]]["removed_lines"] >= r["removed_lines"] for r in queries.op6_line_dedup(spark, sf).collect())
