@@ -15,8 +15,8 @@ that overlaps its own first occurrence (equal lines in a row) is not a repeat, s
 of a run of equal lines two stay; the first occurrence of every line stays.
 
 Equal chunks are found by digest and compared by content: both are in the grouping
-key, combined inside each task first. Chunks whose digest stands for several
-contents (a collision) are left alone.
+key, combined inside each task first. Where a digest stands for several contents (a
+collision), its occurrences are joined by content.
 
 Defined cases: a null text stays null and has no lines; an empty text has one
 empty line; a last line feed makes an empty last line, and a carriage return
@@ -29,7 +29,7 @@ carried by ``clean`` and never read.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -75,7 +75,12 @@ def pairs(text: bytes) -> list[list[bytes]]:
     return [lines[i:i + PAIR] for i in range(len(lines) - 1)]
 
 
-def occurrences(docs: DataFrame, id_col: str, text_col: str, least: int, content: bool, passages: bool = False) -> DataFrame:
+def md5(content: bytes) -> bytes:
+    return hashlib.md5(content, usedforsecurity=False).digest()
+
+
+def occurrences(docs: DataFrame, id_col: str, text_col: str, least: int, content: bool, passages: bool = False,
+                digest: Callable[[bytes], bytes] = md5) -> DataFrame:
     """(id, copy, nth, digest) of every chunk of at least ``least`` lines or of every pair, and its content if asked for."""
     names = ["id", "copy", "nth", "digest", *(["content"] if content else [])]
     types = [pa.int64(), pa.string(), pa.int64(), pa.binary(), pa.binary()]
@@ -91,7 +96,7 @@ def occurrences(docs: DataFrame, id_col: str, text_col: str, least: int, content
                 for nth, lines in enumerate((pairs if passages else chunks)(text) if text is not None else []):
                     if len(lines) >= least:
                         whole = b"\n".join(lines)
-                        row = (ident, copy, nth, hashlib.md5(whole, usedforsecurity=False).digest())
+                        row = (ident, copy, nth, digest(whole))
                         rows.append((*row, whole) if content else row)
                         if len(rows) == ROWS:
                             yield as_batch(rows)
@@ -112,14 +117,26 @@ def copy_of(text: Column, passages: bool) -> Column:
     return F.coalesce(F.sha2(text, 256), F.lit("")) if passages else F.lit("")
 
 
-def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST, passages: bool = False) -> DataFrame:
+def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST, passages: bool = False,
+             digest: Callable[[bytes], bytes] = md5) -> DataFrame:
     """(id, copy, drop): the chunk or pair numbers to remove from each document that repeats others."""
-    equal = (occurrences(docs, id_col, text_col, least, True, passages).groupBy("digest", "content")
-             .agg(F.min(F.struct("id", "copy", "nth")).alias("first"), F.count(F.lit(1)).alias("n")).drop("content"))
-    # More than one content of a digest: none of them is removed.
-    repeated = written(equal.groupBy("digest").agg(F.count(F.lit(1)).alias("contents"), F.max("n").alias("n"), F.min("first").alias("first"))
-                       .filter("contents = 1 AND n > 1").select("digest", "first"), "repeated")
-    again = occurrences(docs, id_col, text_col, least, False, passages).join(repeated, "digest")
+
+    def found(content: bool) -> DataFrame:
+        return occurrences(docs, id_col, text_col, least, content, passages, digest)
+
+    def equal(rows: DataFrame) -> DataFrame:
+        return (rows.groupBy("digest", "content")
+                .agg(F.min(F.struct("id", "copy", "nth")).alias("first"), F.count(F.lit(1)).alias("n")))
+
+    repeated = written(equal(found(True)).drop("content").groupBy("digest")
+                       .agg(F.count(F.lit(1)).alias("contents"), F.max("n").alias("n"), F.min("first").alias("first"))
+                       .filter("n > 1").drop("n"), "repeated")
+    again = found(False).join(repeated.filter("contents = 1").drop("contents"), "digest")
+    collided = repeated.filter("contents > 1").select("digest")
+    if not collided.isEmpty():  # contents that share a digest: their occurrences are joined by content
+        rows = found(True).join(collided, "digest", "left_semi")
+        same = written(equal(rows).filter("n > 1").drop("n"), "collided")
+        again = again.unionByName(rows.join(same, ["digest", "content"]).drop("content"))
     # The first occurrence, and pairs that share a line with it.
     first = ((F.col("id") == F.col("first.id")) & (F.col("copy") == F.col("first.copy"))
              & (F.col("nth") < F.col("first.nth") + (PAIR if passages else 1)))
@@ -127,14 +144,14 @@ def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", le
 
 
 def clean(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST,
-          keep: Column | None = None, passages: bool = False) -> DataFrame:
+          keep: Column | None = None, passages: bool = False, digest: Callable[[bytes], bytes] = md5) -> DataFrame:
     """(row, text, n_lines, removed_lines): ``keep`` (default: the whole input row) and the text without repeated chunks or passages."""
     if passages and least != PAIR:
         raise ValueError(f"passages are compared from {PAIR} lines on, not {least}")
     whole = keep if keep is not None else F.struct(*[docs[f"`{c.replace('`', '``')}`"] for c in docs.columns])
     text = F.col(text_col).cast("string")
     rows = docs.select(whole.alias("row"), key(id_col).alias("id"), copy_of(text, passages).alias("copy"), text.alias("text"))
-    marked = rows.join(removals(docs, id_col, text_col, least, passages), ["id", "copy"], "left").select("row", "text", "drop")
+    marked = rows.join(removals(docs, id_col, text_col, least, passages, digest), ["id", "copy"], "left").select("row", "text", "drop")
 
     def rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, 512):

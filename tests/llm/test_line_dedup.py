@@ -2,6 +2,7 @@ import hashlib
 import random
 from collections import Counter
 
+import pytest
 from helpers import CLASHING, docs
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -120,3 +121,11 @@ def test_query_of_passages_equals_brute_force(spark, sf):
         assert (got[ident]["chars_left"], got[ident]["text_sha256"]) == want
     # More goes than by chunks, and all that goes by chunks.
     assert all(got[r["doc_id"]]["removed_lines"] >= r["removed_lines"] for r in queries.op6_line_dedup(spark, sf).collect())
+
+
+@pytest.mark.parametrize("weak", [lambda x: b"", lambda x: x[-1:]])
+def test_colliding_digests_are_joined_by_content(spark, weak):
+    table = list(enumerate(texts(2)))
+    for passages, want in ((False, brute(table)), (True, dict(enumerate(brute_passages(table))))):
+        got = line_dedup.clean(docs(spark, table), passages=passages, digest=weak).collect()
+        assert {r["row"]["doc_id"]: r["text"] for r in got} == want
