@@ -4,7 +4,8 @@ A shard holds the ids of consecutive documents in ascending id order. Rounds
 of pair replacement turn it into a short sequence of symbols and a list of
 rules: each round counts all adjacent pairs, makes a rule of every pair that is
 frequent enough for the round (the bar falls from round to round) and replaces
-its occurrences from left to right. The file keeps the symbols, the rules (two
+its occurrences from left to right, until no pair is left that occurs
+``LEAST_COUNT`` times. The file keeps the symbols, the rules (two
 symbols each) and every rule's expansion length; prefix sums of expansion
 lengths find the symbols that cover any range of ids, so a range is decoded
 without its shard's other symbols.
@@ -39,40 +40,52 @@ from martforge.llm.encoding import encoder
 END_ID = 2
 #: A shard is closed after the document with which it reaches so many ids.
 SHARD_TOKENS = 1 << 19
-#: Rounds of pair replacement, and the least number of occurrences that makes a rule in the last one.
-ROUNDS = 4
+#: The least number of occurrences that makes a rule.
 LEAST_COUNT = 8
+#: Slots in which pairs are counted first, in bits.
+SLOTS = 20
+_ODD = np.uint64(0x9E3779B97F4A7C15)
 SHARD = ("part int, nth bigint, n_tokens bigint, first_symbol bigint, symbols binary, rules binary, expansions binary, "
          "doc_ids binary, doc_lengths binary, no_ids binary")
 
 
-def compress(ids: np.ndarray, rounds: int = ROUNDS, least: int = LEAST_COUNT) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
-    """(first_symbol, symbols, rules, expansions): rule i is the pair that symbol first_symbol + i stands for."""
+def compress(ids: np.ndarray, rounds: int | None = None, least: int = LEAST_COUNT) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
+    """(first_symbol, symbols, rules, expansions): rule i is the pair that symbol first_symbol + i stands for.
+
+    ``rounds`` stops the replacement early; without it no pair is left that occurs ``least`` times.
+    """
     seq = ids.astype("<u4")
     first = int(seq.max()) + 1 if seq.size else 0
     rules: list[np.ndarray] = []
     size = np.ones(first, dtype=np.uint32)
-    for turn in range(rounds):
-        if seq.size < 2:
-            break
+    turn = 0
+    while seq.size > 1 and turn != rounds:
         # A pair as one number: 32 bits while all symbols fit 16.
         wide = np.uint64 if size.size > 1 << 16 else np.uint32
         half = wide(wide(0).nbytes * 4)
         pairs = seq[:-1].astype(wide) << half | seq[1:].astype(wide)
-        ordered = np.sort(pairs)
+        hashes = pairs.astype(np.uint64) * _ODD
+        maybe = np.arange(pairs.size)
+        if turn > 1:  # few are frequent now: a slot of fewer than ``least`` pairs holds no frequent one
+            slots = (hashes >> np.uint64(64 - SLOTS)).astype(np.int64)
+            maybe = np.flatnonzero((np.bincount(slots, minlength=1 << SLOTS) >= least)[slots])
+            if not maybe.size:
+                break
+        ordered = np.sort(pairs[maybe])
         starts = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
         counts = np.diff(np.append(starts, ordered.size))
-        bar = max(least, int(counts.max()) >> (3 * turn + 5)) if turn < rounds - 1 else least
+        bar = max(least, int(counts.max()) >> (3 * turn + 5)) if turn + 1 != rounds else least
         frequent = ordered[starts[counts >= bar]]
         if not frequent.size:
-            continue
+            break
+        turn += 1
         # Pairs are looked up by hash; of pairs that fall into one slot the last is replaced in this round.
         bits = np.uint64(64 - max(12, int(frequent.size * 16).bit_length()))
-        odd = np.uint64(0x9E3779B97F4A7C15)
         table = np.zeros(1 << (64 - int(bits)), dtype=np.int32)
-        table[(frequent.astype(np.uint64) * odd) >> bits] = np.arange(frequent.size)
-        place = table[(pairs.astype(np.uint64) * odd) >> bits]
-        at = np.flatnonzero(frequent[place] == pairs)
+        table[(frequent.astype(np.uint64) * _ODD) >> bits] = np.arange(frequent.size)
+        place = np.zeros(pairs.size, dtype=np.int32)
+        place[maybe] = table[hashes[maybe] >> bits]
+        at = maybe[frequent[place[maybe]] == pairs[maybe]]
         # Overlapping occurrences, at neighbouring places: from left to right, every second one.
         run = np.concatenate(([True], np.diff(at) != 1))
         begin = np.maximum.accumulate(np.where(run, np.arange(at.size), 0))
@@ -136,7 +149,7 @@ def decode_range(shard, start: int, stop: int) -> np.ndarray:
 
 
 def write(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_id", text_col: str = "text",
-          end_id: int = END_ID, shard_tokens: int = SHARD_TOKENS, rounds: int = ROUNDS, least: int = LEAST_COUNT) -> None:
+          end_id: int = END_ID, shard_tokens: int = SHARD_TOKENS, rounds: int | None = None, least: int = LEAST_COUNT) -> None:
     """Encode all documents and write their ids in ascending id order as compressed shards under ``path``."""
     end = np.asarray([end_id], dtype="<u4").tobytes()
 

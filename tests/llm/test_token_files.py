@@ -63,3 +63,21 @@ def test_repetitive_ids_shrink(unit):
     first, symbols, rules, expansions = token_files.compress(ids, 12, 2)
     assert symbols.size + 2 * len(rules) < ids.size / 50
     assert (token_files.expand(symbols.astype(np.int64), token_files.expansion_table(first, rules, expansions)) == ids).all()
+
+
+def test_production_rules_leave_no_frequent_pair():
+    rng = np.random.default_rng(4)
+    passage = rng.integers(0, 49_000, 700)
+    mixed = np.concatenate([np.append(rng.integers(0, 300, 40), passage) for _ in range(400)])
+    for ids, share in ((np.tile(passage, 600), 100), (np.full(200_000, 7), 1000), (mixed, 10), (rng.integers(0, 90, 50_000), 1)):
+        ids = ids.astype("<u4")
+        first, symbols, rules, expansions = token_files.compress(ids)
+        assert (token_files.expand(symbols.astype(np.int64), token_files.expansion_table(first, rules, expansions)) == ids).all()
+        assert symbols.size + 3 * len(rules) < ids.size / share
+        # Every second one of a run of equal symbols counts.
+        run, counts, last = 0, {}, None
+        for pair in zip(symbols[:-1].tolist(), symbols[1:].tolist()):
+            run = run + 1 if pair == last else 1
+            counts[pair] = counts.get(pair, 0) + run % 2
+            last = pair
+        assert max(counts.values(), default=0) < token_files.LEAST_COUNT
