@@ -21,7 +21,9 @@ formatted text. Assistant texts are trained on.
 Defined cases: null roles and texts are empty; turns of a conversation are
 ordered by turn number (null first), then by role and text; repeated rows
 are repeated turns; a null conversation id is a conversation of its own; an
-empty table gives no rows. Extra columns are not read.
+empty table gives no rows. Extra columns are not read. A record too large to
+parse (a variant holds up to 128 MiB) fits no layout; ``from_rows`` takes such a
+row's role and text from its columns, so no turn is lost.
 """
 
 from __future__ import annotations
@@ -164,11 +166,16 @@ def _quoted(token: str, sql: bool = True) -> str:
 
 def from_rows(rows: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role",
               text_col: str = "text", layouts: tuple[Layout, ...] = LAYOUTS) -> DataFrame:
-    """(conv_id, turns) of a table with one turn per row: each row is a record of the row layout."""
+    """(conv_id, turns) of a table with one turn per row: each row is a record of the row layout.
+
+    A row whose record no layout fits keeps the role and text of its columns.
+    """
     record = F.to_json(F.struct(F.col(conv_col).alias("conv_id"), F.col(turn_col).alias("turn"), F.col(role_col).alias("role"),
                                 F.col(text_col).alias("text")), {"ignoreNullFields": "false"})
-    rows = rows.select(F.col(conv_col).alias("conv_id"), F.col(turn_col).alias("turn"), record.alias("record"))
-    turns = canonical(rows, "record", [F.col("conv_id"), F.col("turn")], layouts).filter("known")
+    own = F.struct(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(k) for k, c in (("role", role_col), ("text", text_col))])
+    rows = rows.select(F.col(conv_col).alias("conv_id"), F.col(turn_col).alias("turn"), own.alias("own"), record.alias("record"))
+    turns = (canonical(rows, "record", [F.col("conv_id"), F.col("turn"), F.col("own")], layouts)
+             .withColumn("turns", F.coalesce("turns", F.array("own"))))
     turn = turns.select("conv_id", F.explode("turns").alias("t"), "turn")
     return (turn.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "t"))).alias("at"))
             .select("conv_id", F.col("at.t").alias("turns")))

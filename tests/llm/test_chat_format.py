@@ -76,3 +76,11 @@ def test_the_probe_conversation(spark):
 
 def test_empty_table(spark):
     assert through(spark, []).count() == 0
+
+
+def test_rows_that_cannot_be_parsed_keep_their_turn(spark, monkeypatch):
+    parse = F.try_parse_json
+    monkeypatch.setattr(chat.F, "try_parse_json", lambda c: F.when(F.length(c) < 200, parse(c)))  # as beyond 128 MiB
+    rows = [(1, 0, "user", "hi"), (1, 1, "assistant", "</s>é" * 100), (1, 2, None, "x" * 300), (2, 0, "user", None), (None, 5, "user", "y" * 300)]
+    got = {r["conv_id"]: [tuple(t) for t in r["turns"]] for r in through(spark, rows).collect()}
+    assert got == {1: [("user", "hi"), ("assistant", "</s>é" * 100), ("", "x" * 300)], 2: [("user", "")], None: [("user", "y" * 300)]}
