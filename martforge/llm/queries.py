@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martforge.llm import chat_format, embedding_dedup, exact_dedup, language_id, line_dedup, minhash, mixing, packing, token_files, toxicity
+from martforge.llm import (
+    centroids,
+    chat_format,
+    divergence,
+    embedding_dedup,
+    exact_dedup,
+    language_id,
+    line_dedup,
+    minhash,
+    mixing,
+    packing,
+    suffix_dedup,
+    token_files,
+    toxicity,
+)
 from martforge.llm.common import table
 from martforge.session import scratch_path
 
@@ -83,6 +97,20 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("formatted").cast("bigint").alias("formatted_chars"))
 
 
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = suffix_dedup.clean(table(spark, sf_dir, "documents"), keep=F.col("doc_id"))
+    return done.select(F.col("row").alias("doc_id"), "n_bytes", "n_removed", F.size("spans").cast("bigint").alias("n_spans"),
+                       F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.report(table(spark, sf_dir, "embeddings"))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_mixing": op2_mixing,
@@ -94,6 +122,9 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_chat_format": op10_chat_format,
+    "op11_suffix_dedup": op11_suffix_dedup,
+    "op12_divergence": op12_divergence,
+    "op13_centroids": op13_centroids,
 }
 
 #: Second forms of an operator; the first form of each, in REGISTRY, keeps the result of its SQL twin.
@@ -101,6 +132,32 @@ SECOND: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_passages": op6_passages,
 }
 
+def _centroid_rounds(rounds: int = 10) -> str:
+    """The rounds of clustering one after the other, each as two tables: assignments, then centroids by component."""
+    near = """a{r} AS MATERIALIZED (
+    SELECT rid, arg_min(c, (d, c)) AS c, min(d) AS d FROM (
+        SELECT k.rid, c.c, list_sum(list_transform(range(1, 65), lambda i: (k.v[i] - c.v[i]) * (k.v[i] - c.v[i])))::BIGINT AS d
+        FROM kept k, c{r} c) GROUP BY rid)"""
+    move = """c{n} AS MATERIALIZED (
+    SELECT c, coalesce(any_value(m.v), any_value(c{r}.v)) AS v FROM c{r} LEFT JOIN (
+        SELECT c, list(s ORDER BY i) AS v FROM (
+            SELECT c, i, (sum(x) - ((sum(x) % count(*)) + count(*)) % count(*))::BIGINT // count(*) AS s
+            FROM (SELECT a{r}.c, unnest(range(1, 65)) AS i, unnest(v)::HUGEINT AS x FROM a{r} JOIN kept USING (rid)) GROUP BY c, i)
+        GROUP BY c) m USING (c) GROUP BY c)"""
+    steps = [part for r in range(rounds) for part in (near.format(r=r), move.format(r=r, n=r + 1))]
+    return """
+WITH kept AS MATERIALIZED (
+    SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: floor(x::DOUBLE * 1024)::BIGINT) AS v FROM embeddings
+    WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), c0 AS MATERIALIZED (
+    SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id::VARCHAR), v) - 1 AS c, v FROM kept
+    QUALIFY c < 8
+), """ + ",\n".join([*steps, near.format(r=rounds)]) + f"""
+SELECT vec_id, a.c::INTEGER AS cluster, d AS distance, (sum(d) OVER (PARTITION BY a.c))::BIGINT AS cluster_inertia,
+       (sum(d) OVER ())::BIGINT AS inertia, sha256(array_to_string(c.v, ',')) AS centroid_sha256
+FROM a{rounds} a JOIN kept USING (rid) JOIN c{rounds} c ON c.c = a.c"""
+
+
 ORACLE: dict[str, str] = {
     "op2_mixing": r"""
 WITH sized AS (
@@ -227,4 +284,65 @@ SELECT conv_id, count(*) AS n_turns,
        sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
        sum(chars)::BIGINT AS formatted_chars
 FROM sized GROUP BY conv_id""",
+    "op11_suffix_dedup": r"""
+WITH d AS (
+    SELECT row_number() OVER () AS rid, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), blocks AS (
+    -- Cut by 256 bytes, each with the 199 that follow, so that a window is found near the start of a short string.
+    SELECT rid, b, substr(h, 2 * b + 1, 2 * (256 + 199)) AS part
+    FROM (SELECT rid, h, unnest(range(0, len(h) // 2, 256)) AS b FROM d)
+), windows AS (
+    SELECT rid, b + i AS i, substr(part, 2 * i + 1, 400) AS w
+    FROM (SELECT rid, b, part, unnest(range(0, least(256, len(part) // 2 - 199))) AS i FROM blocks)
+), again AS (
+    SELECT rid, i, i - lag(i) OVER (PARTITION BY rid ORDER BY i) AS gap
+    FROM (SELECT rid, i, count(*) OVER (PARTITION BY md5(w)) AS n FROM windows) WHERE n > 1
+), spans AS (
+    SELECT rid, min(i) AS a, max(i) + 200 AS z
+    FROM (SELECT *, sum((coalesce(gap, 201) > 200)::INT) OVER (PARTITION BY rid ORDER BY i) AS k FROM again) GROUP BY rid, k
+), pieces AS (
+    SELECT rid, a, z, coalesce(lag(z) OVER (PARTITION BY rid ORDER BY a), 0) AS after FROM spans
+), removed AS (
+    SELECT rid, count(*) AS n_spans, sum(z - a)::BIGINT AS n_removed, max(z) AS z,
+           string_agg(substr(h, 2 * after + 1, 2 * (a - after)), '' ORDER BY a) AS head
+    FROM pieces JOIN d USING (rid) GROUP BY rid
+)
+SELECT doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(head, '') || substr(h, 2 * coalesce(z, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN removed USING (rid)""",
+    "op12_divergence": r"""
+WITH d AS (
+    SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents
+), tokens AS (
+    SELECT rid, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d
+), kept AS MATERIALIZED (
+    SELECT lang, term, count(*)::HUGEINT AS all_n FROM tokens GROUP BY lang, term HAVING count(DISTINCT rid) >= 3
+), held AS (
+    SELECT lang, source, term, count(*)::HUGEINT AS n FROM tokens SEMI JOIN kept USING (lang, term) GROUP BY ALL
+), langs AS (
+    SELECT lang, count(*)::HUGEINT AS v, sum(all_n)::HUGEINT AS all_n FROM kept GROUP BY lang
+), groups AS (
+    SELECT lang, source, coalesce(any_value(s.n), 0) AS size FROM (SELECT DISTINCT lang, source FROM d)
+    LEFT JOIN (SELECT lang, source, sum(n)::HUGEINT AS n FROM held GROUP BY ALL) s USING (lang, source) GROUP BY lang, source
+), p AS MATERIALIZED (
+    SELECT lang, source, term, coalesce(n, 0) AS n, 1 + 1000000000::HUGEINT * (coalesce(n, 0) + 1) // (size + v) AS p,
+           1 + 1000000000::HUGEINT * (kept.all_n + 1) // (langs.all_n + v) AS q
+    FROM groups JOIN langs USING (lang) JOIN kept USING (lang) LEFT JOIN held USING (lang, source, term)
+), pairs AS (
+    SELECT g.lang, g.source, o.source AS item, coalesce(any_value(x.value), 0) AS value
+    FROM groups g JOIN groups o ON g.lang = o.lang AND g.source <> o.source
+    LEFT JOIN (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p)::HUGEINT AS value
+               FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL) x
+      ON x.lang = g.lang AND x.source = g.source AND x.item = o.source
+    GROUP BY ALL
+), parts AS (
+    SELECT lang, source, 'pair' AS part, item, value FROM pairs
+    UNION ALL SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM p WHERE n > 0 AND p > q
+)
+SELECT * FROM (
+    SELECT lang, source, part, item, value::BIGINT AS value,
+           row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank FROM parts)
+WHERE part = 'pair' OR rank <= 200""",
+    "op13_centroids": _centroid_rounds(),
 }
