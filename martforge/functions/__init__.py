@@ -1,7 +1,8 @@
 """Column-level helpers: every function returns a built-in Spark expression (no Python UDF)."""
 
 from martforge.functions.columns import (  # noqa: F401
-    exact_units,
+    exact_measure,
+    fits_scale,
     growth_pct,
     int_castable,
     matches_pattern,

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martforge.functions.columns import exact_units
+from martforge.functions.columns import exact_measure
+from martforge.functions.sizing import checked_broadcast
 from martforge.operators.calendar import PERIOD_END, PERIOD_ID, PERIOD_START
+from martforge.session import kept
 
-#: Decimals of the amount and of the units that are summed exactly; finer input is refused, not rounded.
-AMOUNT_SCALE = 4
-UNITS_SCALE = 4
+#: Digits after the point that measures are summed with; finer ones are rounded, see ``exact_measure``.
+AMOUNT_SCALE = 10
+UNITS_SCALE = 10
+#: Sales of one store and period from which they are summed before they move.
+HOT_ROWS = 1 << 20
 
 
 def join_periods(sales: DataFrame, periods: DataFrame, start: str = "period_start",
@@ -25,41 +29,81 @@ def join_periods(sales: DataFrame, periods: DataFrame, start: str = "period_star
         .drop(PERIOD_START, PERIOD_END)
 
 
+def _measured(sales: DataFrame, periods: DataFrame, store_key: str, product_key: str, amount: str, units: str,
+              amount_scale: int, units_scale: int) -> DataFrame:
+    return join_periods(sales, periods).select(
+        store_key, product_key, PERIOD_ID, exact_measure(amount, amount_scale).alias("__amt"),
+        exact_measure(units, units_scale).alias("__units"))
+
+
+def _sums() -> list[Column]:
+    return [F.sum("__amt").alias("__amt"), F.sum("__units").alias("__units")]
+
+
+def hot_pairs(sales: DataFrame, periods: DataFrame, store_key: str = "store_id", limit: int = HOT_ROWS) -> DataFrame:
+    """(store, period) with more than ``limit`` sales: one combined count over two columns, at most sales / limit rows."""
+    pairs = join_periods(sales, periods).groupBy(store_key, PERIOD_ID).agg(F.count(F.lit(1)).alias("__n"))
+    return pairs.filter(F.col("__n") > limit).select(store_key, PERIOD_ID)
+
+
 def store_sums(sales: DataFrame, periods: DataFrame, store_key: str = "store_id", product_key: str = "product_id",
                amount: str = "sales_amount", units: str = "sales_units", amount_scale: int = AMOUNT_SCALE,
                units_scale: int = UNITS_SCALE) -> DataFrame:
-    """Sales per (store, product, period), partitioned by (store, period): ``__amt`` and ``__units`` in whole units.
+    """Sales per (store, product, period), partitioned by (store, period), as exact ``__amt`` and ``__units``.
 
     This is the only exchange that carries sales rows. Grouping by (store,
     product, period) and later by (store, product node, period) is satisfied by
     it, so products are expanded to their nodes after it, not before.
     """
-    f = join_periods(sales, periods).select(
-        store_key, product_key, PERIOD_ID, exact_units(amount, amount_scale).alias("__amt"),
-        exact_units(units, units_scale).alias("__units"))
-    return (f.repartition(store_key, PERIOD_ID).groupBy(store_key, product_key, PERIOD_ID)
-            .agg(F.sum("__amt").alias("__amt"), F.sum("__units").alias("__units")))
+    f = _measured(sales, periods, store_key, product_key, amount, units, amount_scale, units_scale)
+    return f.repartition(store_key, PERIOD_ID).groupBy(store_key, product_key, PERIOD_ID).agg(*_sums())
+
+
+def presummed(sales: DataFrame, periods: DataFrame, store_key: str = "store_id", product_key: str = "product_id",
+              amount: str = "sales_amount", units: str = "sales_units", amount_scale: int = AMOUNT_SCALE,
+              units_scale: int = UNITS_SCALE) -> DataFrame:
+    """``store_sums`` summed in the tasks that read the sales: a (store, period) sends at most a row per task and product."""
+    f = _measured(sales, periods, store_key, product_key, amount, units, amount_scale, units_scale)
+    return f.groupBy(store_key, product_key, PERIOD_ID).agg(*_sums())
 
 
 def product_step(sales: DataFrame, periods: DataFrame, prod_bridge: DataFrame,
                  store_key: str = "store_id", product_key: str = "product_id", prod_id: str = "hierarchy_id",
                  amount: str = "sales_amount", units: str = "sales_units", amount_scale: int = AMOUNT_SCALE,
-                 units_scale: int = UNITS_SCALE) -> DataFrame:
+                 units_scale: int = UNITS_SCALE, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Roll-up step 1: exact sums per (store, product node, period), in place where ``store_sums`` put them.
 
-    The bridge is broadcast when Spark measures it small; otherwise both sides are shuffled by product.
+    A store with very many sales in one period would put them all into one task
+    there. Such pairs are counted first; their sales are summed before they
+    move (``presummed``) and their few sums move again by node. Sales of other pairs, which
+    hardly ever repeat a product, move once. The bridge is broadcast when Spark
+    measures it small; otherwise both sides are shuffled by product.
     """
-    per = store_sums(sales, periods, store_key, product_key, amount, units, amount_scale, units_scale)
-    return (per.join(prod_bridge.select(prod_id, product_key), product_key)
-            .groupBy(store_key, prod_id, PERIOD_ID)
-            .agg(F.sum("__amt").alias("__amt"), F.sum("__units").alias("__units")))
+    measures = (store_key, product_key, amount, units, amount_scale, units_scale)
+
+    def by_node(per: DataFrame) -> DataFrame:
+        return (per.join(prod_bridge.select(prod_id, product_key), product_key)
+                .groupBy(store_key, prod_id, PERIOD_ID).agg(*_sums()))
+
+    # Written, so that counting them is one job and both branches below see the same pairs.
+    hot = kept(hot_pairs(sales, periods, store_key, hot_rows), "hot_pairs")
+    if hot.isEmpty():
+        return by_node(store_sums(sales, periods, *measures))
+    # Pairs become the two dates again, so that sales are told apart before the join with the periods.
+    dates = checked_broadcast(hot.join(F.broadcast(periods), PERIOD_ID).select(
+        F.col(store_key).alias("__store"), F.col(PERIOD_START).alias("__start"), F.col(PERIOD_END).alias("__end")))
+    same = ((F.col(store_key) == F.col("__store")) & (F.col("period_start") == F.col("__start"))
+            & (F.col("period_end") == F.col("__end")))
+    few = by_node(store_sums(sales.join(dates, same, "left_anti"), periods, *measures))
+    many = by_node(presummed(sales.join(dates, same, "left_semi"), periods, *measures))
+    return few.unionByName(many)
 
 
 def rollup_fact(sales: DataFrame, periods: DataFrame, geo_bridge: DataFrame, prod_bridge: DataFrame,
                 store_key: str = "store_id", product_key: str = "product_id",
                 geo_id: str = "geography_id", prod_id: str = "hierarchy_id",
                 amount: str = "sales_amount", units: str = "sales_units", with_stores: bool = True,
-                amount_scale: int = AMOUNT_SCALE, units_scale: int = UNITS_SCALE) -> DataFrame:
+                amount_scale: int = AMOUNT_SCALE, units_scale: int = UNITS_SCALE, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Sales at every geography node x product node x period.
 
     1. ``product_step``: sales moved once by (store, period), summed, then expanded to product nodes;
@@ -70,15 +114,33 @@ def rollup_fact(sales: DataFrame, periods: DataFrame, geo_bridge: DataFrame, pro
     Sums are exact, so the result does not depend on the order they are combined in.
     """
     step1 = product_step(sales, periods, prod_bridge, store_key, product_key, prod_id, amount, units,
-                         amount_scale, units_scale)
-    aggs = [(F.sum("__amt") / F.lit(10 ** amount_scale)).alias("sales"),
-            (F.sum("__units") / F.lit(10 ** units_scale)).alias("units")]
+                         amount_scale, units_scale, hot_rows)
+    aggs = [F.sum("__amt").cast("double").alias("sales"), F.sum("__units").cast("double").alias("units")]
     if with_stores:
         aggs.append(F.count(F.lit(1)).alias("stores_selling"))
     return (step1.join(geo_bridge.select(geo_id, store_key), store_key)
             .groupBy(geo_id, prod_id, PERIOD_ID).agg(*aggs))
 
 
+def rollup_bucketed(sales: DataFrame, prod_bridge: DataFrame, periods: DataFrame, geo_bridge: DataFrame,
+                    store_key: str = "store_id", product_key: str = "product_id", geo_id: str = "geography_id",
+                    prod_id: str = "hierarchy_id", amount: str = "sales_amount", units: str = "sales_units") -> DataFrame:
+    """``rollup_fact`` without store counts, for sales and a product bridge that are stored bucketed by product.
+
+    Where the bridge is too large to broadcast, ``product_step`` moves the sums of
+    stores a second time, by product. Bucketed alike (``layers.write_bucketed``),
+    matching buckets are joined where they are read: sales are summed per
+    (product, store, period) and meet their nodes without any exchange, and only sums per
+    (store, node, period), combined in their tasks, are moved.
+    """
+    f = _measured(sales, periods, store_key, product_key, amount, units, AMOUNT_SCALE, UNITS_SCALE)
+    per = f.groupBy(product_key, store_key, PERIOD_ID).agg(*_sums())
+    by_node = (per.join(prod_bridge.select(prod_id, product_key).hint("merge"), product_key)
+               .groupBy(store_key, prod_id, PERIOD_ID).agg(*_sums()))
+    return (by_node.join(geo_bridge.select(geo_id, store_key), store_key).groupBy(geo_id, prod_id, PERIOD_ID)
+            .agg(F.sum("__amt").cast("double").alias("sales"), F.sum("__units").cast("double").alias("units")))
+
+
 def rollup_fact_direct(sales: DataFrame, periods: DataFrame, geo_bridge: DataFrame,
                        prod_bridge: DataFrame, store_key: str = "store_id",
                        product_key: str = "product_id", geo_id: str = "geography_id",
@@ -86,8 +148,8 @@ def rollup_fact_direct(sales: DataFrame, periods: DataFrame, geo_bridge: DataFra
                        units: str = "sales_units", with_stores: bool = True) -> DataFrame:
     """One join-and-group form with COUNT(DISTINCT store). Kept for equivalence tests of :func:`rollup_fact`."""
     joined = join_periods(sales, periods).join(geo_bridge, store_key).join(prod_bridge, product_key)
-    aggs = [(F.sum(exact_units(amount, AMOUNT_SCALE)) / F.lit(10 ** AMOUNT_SCALE)).alias("sales"),
-            (F.sum(exact_units(units, UNITS_SCALE)) / F.lit(10 ** UNITS_SCALE)).alias("units")]
+    aggs = [F.sum(exact_measure(amount, AMOUNT_SCALE)).cast("double").alias("sales"),
+            F.sum(exact_measure(units, UNITS_SCALE)).cast("double").alias("units")]
     if with_stores:
         aggs.append(F.count_distinct(store_key).alias("stores_selling"))
     return joined.groupBy(geo_id, prod_id, PERIOD_ID).agg(*aggs)

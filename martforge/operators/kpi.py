@@ -106,12 +106,14 @@ def _kpi_columns(j: DataFrame, totals: DataFrame, digits: int | None) -> DataFra
 
 def rollup_kpi(sales: DataFrame, periods: DataFrame, geo_bridge: DataFrame, prod_bridge: DataFrame,
                pmap: DataFrame, totals: DataFrame | None, unmatched: str = "keep", digits: int | None = 2,
-               with_stores: bool = True) -> DataFrame:
+               with_stores: bool = True, amount_scale: int = facts.AMOUNT_SCALE,
+               units_scale: int = facts.UNITS_SCALE) -> DataFrame:
     """KPI fact straight from sales: the roll-up, then the comparison over its (much smaller) result.
 
     With ``with_stores=False`` and ``totals=None`` it yields the growth preview.
     """
-    fact = facts.rollup_fact(sales, periods, geo_bridge, prod_bridge, with_stores=with_stores)
+    fact = facts.rollup_fact(sales, periods, geo_bridge, prod_bridge, with_stores=with_stores,
+                             amount_scale=amount_scale, units_scale=units_scale)
     measures = ["sales", "units", *(["stores_selling"] if with_stores else [])]
     j = _comparison(fact, pmap, unmatched, measures, periods)
     if not with_stores:

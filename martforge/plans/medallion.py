@@ -12,7 +12,8 @@ from martforge.operators import calendar, facts, hierarchy, kpi
 from martforge.operators.conform import ConformSpec, conform, lowercase_columns
 from martforge.operators.quality import Rule, split
 from martforge.plans import retail
-from martforge.session import scratch_path
+from martforge.sources import layers
+from martforge.session import kept, scratch_path
 
 
 Source = DataFrame | Callable[[], DataFrame]
@@ -47,9 +48,7 @@ def _keep(df: DataFrame, materialize: bool) -> DataFrame:
     # sizes give the planner real statistics.
     if not materialize:
         return df
-    path = scratch_path(df.sparkSession, "gold")
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return kept(df, "gold")
 
 
 class Gold:
@@ -62,9 +61,11 @@ class Gold:
     """
 
     def __init__(self, stores: Source, products: Source, sales: Source | None = None,
-                 dim_date: DataFrame | None = None, materialize: bool = True):
+                 dim_date: DataFrame | None = None, materialize: bool = True,
+                 amount_scale: int = facts.AMOUNT_SCALE, units_scale: int = facts.UNITS_SCALE):
         self._sources = {"stores": stores, "products": products, "sales": sales}
         self._dim_date, self.materialize = dim_date, materialize
+        self.scales = {"amount_scale": amount_scale, "units_scale": units_scale}
 
     def _source(self, name: str) -> DataFrame:
         source = self._sources[name]
@@ -122,7 +123,7 @@ class Gold:
 
     def fact_base(self, with_stores: bool = True) -> DataFrame:
         return facts.rollup_fact(self.sales, self.dim_date, self.lkp_store_geography,
-                                 self.lkp_product_hierarchy, with_stores=with_stores)
+                                 self.lkp_product_hierarchy, with_stores=with_stores, **self.scales)
 
     @cached_property
     def node_totals(self) -> DataFrame:
@@ -136,18 +137,17 @@ class Gold:
 
     def kpi(self, years: int = -1, basis: str = "iso", unmatched: str = "keep") -> DataFrame:
         return kpi.rollup_kpi(self.sales, self.dim_date, self.lkp_store_geography, self.lkp_product_hierarchy,
-                              self.period_map(years, basis), self.total_stores(), unmatched=unmatched)
+                              self.period_map(years, basis), self.total_stores(), unmatched=unmatched, **self.scales)
 
     @cached_property
     def fct_sales(self) -> DataFrame:
         """The stored KPI fact, one folder per period: a lookup reads the folder of its period."""
         spark = self.sales.sparkSession
         path, fact = scratch_path(spark, "fct_sales"), self.kpi()
-        # A period to a task: one file per folder, not one per task and folder.
-        fact.repartition("period_id").write.partitionBy("period_id").parquet(path)
+        layers.write_by(fact, path, ["period_id"])
         return spark.read.schema(fact.schema).parquet(path).select(*fact.columns)
 
     def growth_preview(self, years: int = 1, basis: str = "calendar", unmatched: str = "drop") -> DataFrame:
         return kpi.rollup_kpi(self.sales, self.dim_date, self.lkp_store_geography, self.lkp_product_hierarchy,
                               self.period_map(years, basis), None, unmatched=unmatched, digits=None,
-                              with_stores=False)
+                              with_stores=False, **self.scales)

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from martforge.operators import bronze, calendar, facts, hierarchy, kpi
 from martforge.operators.conform import ConformSpec, conform, lowercase_columns
-from martforge.operators.quality import Rule, split
+from martforge.operators.quality import COUNTS_SCHEMA, Rule, counted_split, counts_row
 from martforge.plans import retail
 from martforge.plans.medallion import Gold
 from martforge.sources.layers import Lake, register_tables
@@ -31,6 +31,12 @@ SPECS: dict[str, tuple[list[Rule], ConformSpec]] = {
     "products": (retail.PRODUCT_RULES, retail.PRODUCT_CONFORM),
     "sales": (retail.SALES_RULES, retail.SALES_CONFORM),
 }
+#: Strict rules: dates that do not parse or lie outside the calendar, ids that overflow and too fine measures go to quarantine.
+SPECS_STRICT: dict[str, tuple[list[Rule], ConformSpec]] = {
+    **SPECS,
+    "products": (retail.PRODUCT_RULES_STRICT, retail.PRODUCT_CONFORM),
+    "sales": (retail.SALES_RULES_STRICT, retail.SALES_CONFORM),
+}
 GOLD = ("dim_date", "dim_geography", "dim_geo_level", "lkp_store_geography", "total_stores", "dim_product",
         "lkp_product_hierarchy", "fct_sales")
 
@@ -44,6 +50,11 @@ class PipelineConfig:
     basis: str = "iso"
     unmatched: str = "keep"
     bronze_mode: str = "errorifexists"
+    # Quarantine by the strict rules as well.
+    strict: bool = False
+    # Digits after the point that measures are summed with.
+    amount_scale: int = facts.AMOUNT_SCALE
+    units_scale: int = facts.UNITS_SCALE
     # Keep complete tables of an earlier, failed run. A complete lake is left as it is.
     resume: bool = True
     schemas: tuple[str, str] = ("silver", "gold")
@@ -64,18 +75,21 @@ def run_bronze(spark: SparkSession, readers: dict[str, Callable[[], DataFrame]],
     return wrote
 
 
-def run_silver(spark: SparkSession, lake: Lake, resume: bool = False) -> bool:
+def run_silver(spark: SparkSession, lake: Lake, resume: bool = False, strict: bool = False) -> bool:
     """Silver and quarantine are two filtered passes over each bronze table.
 
     Two scans of bronze cost less I/O than staging a flagged copy of it (one
     extra full write and re-read); each pass filters inside the scan stage.
+    The pass that writes silver counts its input, valid and rejected rows
+    (``quarantine/<name>_counts``), so the summary needs no pass of its own.
     """
     wrote = False
-    for name, (rules, spec) in SPECS.items():
+    for name, (rules, spec) in (SPECS_STRICT if strict else SPECS).items():
         if resume and lake.complete(spark, "silver", name) and lake.complete(spark, "quarantine", f"{name}_invalid_id"):
             continue
-        valid, rejected = split(lowercase_columns(lake.read(spark, "bronze", RAW[name])), rules)
+        valid, rejected, seen = counted_split(lowercase_columns(lake.read(spark, "bronze", RAW[name])), rules)
         lake.write(conform(valid, spec), "silver", name)
+        lake.write(spark.createDataFrame([counts_row(name, seen)], COUNTS_SCHEMA), "quarantine", f"{name}_counts")
         lake.write(rejected, "quarantine", f"{name}_invalid_id")
         wrote = True
     return wrote
@@ -84,7 +98,7 @@ def run_silver(spark: SparkSession, lake: Lake, resume: bool = False) -> bool:
 def run_gold(spark: SparkSession, lake: Lake, cfg: PipelineConfig) -> dict[str, str]:
     stores, products, sales = (lake.read(spark, "silver", n) for n in ("stores", "products", "sales"))
     fixed = calendar.period_dim(spark, cfg.first_end, cfg.last_end) if cfg.first_end and cfg.last_end else None
-    g = Gold(stores, products, sales, fixed, materialize=False)
+    g = Gold(stores, products, sales, fixed, materialize=False, amount_scale=cfg.amount_scale, units_scale=cfg.units_scale)
     paths: dict[str, str] = {"dim_date": lake.write(g.dim_date, "gold", "dim_date")}
 
     # The geography chain and the product chain are independent: their (small)
@@ -111,7 +125,8 @@ def run_gold(spark: SparkSession, lake: Lake, cfg: PipelineConfig) -> dict[str,
     gb, pb = lake.read(spark, "gold", "lkp_store_geography"), lake.read(spark, "gold", "lkp_product_hierarchy")
     dim_date = lake.read(spark, "gold", "dim_date")
     fct = kpi.rollup_kpi(sales, dim_date, gb, pb, calendar.period_map(dim_date, cfg.years, cfg.basis),
-                         lake.read(spark, "gold", "total_stores"), unmatched=cfg.unmatched)
+                         lake.read(spark, "gold", "total_stores"), unmatched=cfg.unmatched,
+                         amount_scale=cfg.amount_scale, units_scale=cfg.units_scale)
     if cfg.fact_cluster_by:
         fct = fct.sortWithinPartitions(*cfg.fact_cluster_by)
     paths["fct_sales"] = lake.write(fct, "gold", "fct_sales", partition_by=list(cfg.fact_partition_by) or None)
@@ -123,7 +138,7 @@ def run(spark: SparkSession, readers: dict[str, Callable[[], DataFrame]], lake:
     """bronze -> silver -> gold; registers silver.* and gold.* catalog tables over the written paths."""
     resume = cfg.resume and cfg.bronze_mode == "errorifexists"
     wrote = run_bronze(spark, readers, lake, cfg.bronze_mode, resume)
-    wrote = run_silver(spark, lake, resume and not wrote) or wrote
+    wrote = run_silver(spark, lake, resume and not wrote, cfg.strict) or wrote
     if resume and not wrote and all(lake.complete(spark, "gold", n) for n in GOLD):
         gold_paths = {n: lake.path("gold", n) for n in GOLD}
     else:

@@ -21,7 +21,13 @@ SALES_RULES = [Rule("sales_id", "int"), Rule("store_id", "int"), Rule("product_i
 
 # Strict variants: unparseable dates and product ids that overflow int are
 # quarantined instead of reaching silver as NULL.
-SALES_RULES_STRICT = SALES_RULES + [Rule("period_start", "date"), Rule("period_end", "date")]
+# So are dates that would stretch the calendar beyond reason, and measures that
+# sums would round (``facts.AMOUNT_SCALE`` digits after the point).
+CALENDAR_RANGE = "1900-01-01..2199-12-31"
+SALES_RULES_STRICT = SALES_RULES + [
+    Rule("period_start", "date"), Rule("period_end", "date"),
+    Rule("period_start", "date_range", CALENDAR_RANGE), Rule("period_end", "date_range", CALENDAR_RANGE),
+    Rule("sales_amount", "decimals", "10"), Rule("sales_units", "decimals", "10")]
 PRODUCT_RULES_STRICT = PRODUCT_RULES + [
     Rule("item_id", "sql", "try_cast(substring(item_id, 4) as int) is not null")]
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
@@ -90,6 +90,13 @@ def _forget_at_exit(spark: SparkSession, folder: str) -> None:
         fs.deleteOnExit(path)
 
 
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once under the scratch folder and read back: lineage is cut, rows are fixed, file sizes give statistics."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A fresh path under the shared checkpoint folder, deleted with all of this session's scratch when it ends."""
     folder = "/".join([ensure_checkpoint_dir(spark).rstrip("/"), _SCRATCH, app_id(spark)])

@@ -23,7 +23,7 @@ class Lake:
 
     def complete(self, spark: SparkSession, layer: str, name: str) -> bool:
         """Whether the table was written to its end (its committer left the success marker)."""
-        fs, path = _file_system(spark, f"{self.path(layer, name)}/_SUCCESS")
+        fs, path = file_system(spark, f"{self.path(layer, name)}/_SUCCESS")
         return fs.exists(path)
 
     def read(self, spark: SparkSession, layer: str, name: str) -> DataFrame:
@@ -44,7 +44,18 @@ class Lake:
         return path
 
 
-def _file_system(spark: SparkSession, path: str):
+def write_by(df: DataFrame, path: str, keys: list[str], fmt: str = "parquet", mode: str = "errorifexists",
+             options: dict[str, str] | None = None) -> None:
+    """Write a table with one folder per value of ``keys``.
+
+    Rows of a folder are brought together first, so that a folder gets a few
+    files and not one from every task; a folder larger than AQE's advisory
+    partition size is split over several tasks and files (rebalance), so none is bound to one task.
+    """
+    (df.hint("rebalance", *keys).write.format(fmt).mode(mode).options(**(options or {})).partitionBy(*keys).save(path))
+
+
+def file_system(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
@@ -52,9 +63,9 @@ def _file_system(spark: SparkSession, path: str):
 
 def _put_in_place(spark: SparkSession, made: str, path: str) -> None:
     """Rename ``made`` to ``path``; what was there is renamed first and deleted last."""
-    fs, new = _file_system(spark, made)
-    _, target = _file_system(spark, path)
-    _, old = _file_system(spark, f"{made}__old")
+    fs, new = file_system(spark, made)
+    _, target = file_system(spark, path)
+    _, old = file_system(spark, f"{made}__old")
     had = fs.exists(target)
     if had and not fs.rename(target, old):
         raise OSError(f"cannot move {path}")
@@ -77,6 +88,30 @@ def write_once(df: DataFrame, path: str, fmt: str = "parquet") -> str:
         return e.getCondition()
 
 
+def write_bucketed(df: DataFrame, table: str, location: str, keys: list[str], buckets: int, fmt: str = "parquet") -> DataFrame:
+    """A catalog table dealt into ``buckets`` by ``keys`` and sorted by them inside.
+
+    Joins and groupings on ``keys`` of tables with the same bucket count read
+    matching buckets together and need no exchange. The rows are dealt out once here, so
+    that every bucket is one file and not one of each task.
+    """
+    spark = df.sparkSession
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    (df.repartition(buckets, *keys).write.format(fmt).bucketBy(buckets, *keys).sortBy(*keys)
+     .option("path", location).saveAsTable(table))
+    return spark.table(table)
+
+
+def drop_empty_folders(spark: SparkSession, path: str, key: str, values: list, kept: list) -> list:
+    """Delete the folders of ``values`` that are not in ``kept``: an overwrite of single folders leaves the emptied ones."""
+    gone = [v for v in values if v not in set(kept)]
+    for value in gone:
+        fs, folder = file_system(spark, f"{path}/{key}={value}")
+        if fs.exists(folder):
+            fs.delete(folder, True)
+    return gone
+
+
 def file_inventory(tables: dict[str, DataFrame]) -> DataFrame:
     """The files behind file-based tables, with the rows each holds: (table_name, file_name, row_count)."""
     parts = [df.groupBy(F.col("_metadata.file_name").alias("file_name")).agg(F.count(F.lit(1)).alias("row_count"))
