@@ -7,6 +7,9 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from martforge.functions.ids import dense_index
+from martforge.functions.lag import lag_within
+
 #: Steps a calendar may have: more means that a date in the data is wrong, and the query fails naming the bounds.
 MAX_STEPS = 200_000
 PERIOD_ID, PERIOD_START, PERIOD_END = "period_id", "period_start_date", "period_end_date"
@@ -55,6 +58,19 @@ def period_dim_from(df: DataFrame, start_col: str, end_col: str, step_days: int
     return _periods(bounds, F.col("first_end"), F.col("last"), step_days)
 
 
+def periods_between(df: DataFrame, end_col: str) -> DataFrame:
+    """Periods of any lengths from the distinct dates they end on: id by order, start = the end before + 1 (LAG).
+
+    ``period_dim`` numbers steps of one length by arithmetic; here the dates are rows, so months,
+    fiscal weeks or a calendar with gaps work. Numbers and LAG come from range partitions, not from a
+    window in one task.
+    """
+    ends = df.select(F.to_date(end_col).alias(PERIOD_END)).filter(F.col(PERIOD_END).isNotNull()).distinct()
+    numbered = dense_index(ends, [F.col(PERIOD_END).asc()], PERIOD_ID, base=1, dtype="int")
+    before = lag_within(numbered, [], [PERIOD_END], PERIOD_END, "__before")
+    return before.select(PERIOD_ID, F.date_add("__before", 1).alias(PERIOD_START), PERIOD_END)
+
+
 def daily_spine(spark: SparkSession, start, end=None, days: int | None = None) -> DataFrame:
     """One row per day, ``start``..``end`` inclusive, or ``days`` days from ``start``.
 

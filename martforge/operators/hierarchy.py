@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from functools import reduce
 
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from martforge.functions.ids import dense_index
 from martforge.functions.sizing import MAX_BROADCAST_BYTES, checked_broadcast
+from martforge.session import kept
 
 
 @dataclass(frozen=True)
@@ -141,6 +143,76 @@ def bridge(leaves: DataFrame, dim: DataFrame, spec: HierarchySpec,
     return reduce(DataFrame.unionByName, parts)
 
 
+def parent_links(dim: DataFrame, spec: HierarchySpec) -> DataFrame:
+    """(child, parent): every node below the top with the node one level up that has its path; ragged dimensions may skip levels.
+
+    A parent is the nearest level above where the path is found, so a node whose level
+    above is missing hangs under the next one.
+    """
+    found: DataFrame | None = None
+    for i in range(1, len(spec.levels)):
+        children = dim.filter(F.col(spec.level_col) == spec.levels[i].name)
+        own = children.select(F.col(spec.id_col).alias("child"), *[F.col(c) for c in spec.levels[i - 1].columns])
+        for above in range(i - 1, -1, -1):
+            path = list(spec.levels[above].columns)
+            nodes = dim.filter(F.col(spec.level_col) == spec.levels[above].name).select(F.col(spec.id_col).alias("parent"), *path)
+            part = own.join(nodes, path).select("child", "parent")
+            found = part if found is None else found.unionByName(part)
+            if above:  # nodes without a parent here look one level higher
+                own = own.join(nodes, path, "left_anti").select("child", *spec.levels[above - 1].columns)
+    return found
+
+
+#: Levels a hierarchy may have; a longer chain of parents is a cycle.
+MAX_DEPTH = 64
+
+
+def ancestors(links: DataFrame, nodes: DataFrame, node: str) -> DataFrame:
+    """(node, ancestor, distance): every node with itself (distance 0) and all nodes above it, at any depth, by a recursive query.
+
+    Each step joins what the last one found with the links, so a ragged or deep hierarchy needs
+    no fixed number of levels. A cycle of parents ends in an error at ``MAX_DEPTH`` steps.
+    """
+    spark = links.sparkSession
+    names = [f"__{what}_{uuid.uuid4().hex}" for what in ("links", "nodes")]
+    links.createOrReplaceTempView(names[0])
+    nodes.select(F.col(node).alias("node")).createOrReplaceTempView(names[1])
+    # Rows of a recursion grow with the dimension; its depth is what has a bound.
+    limits = {"spark.sql.cteRecursionLevelLimit": str(MAX_DEPTH), "spark.sql.cteRecursionRowLimit": "-1"}
+    before = {k: spark.conf.get(k, None) for k in limits}
+    for k, v in limits.items():
+        spark.conf.set(k, v)
+    try:
+        return kept(spark.sql(f"""
+            WITH RECURSIVE up(node, ancestor, distance) AS (
+                SELECT node, node, 0 FROM {names[1]}
+                UNION ALL
+                SELECT up.node, links.parent, up.distance + 1 FROM up JOIN {names[0]} links ON links.child = up.ancestor)
+            SELECT node, ancestor, distance FROM up"""), "ancestors")
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+        for name in names:
+            spark.catalog.dropTempView(name)
+
+
+def bridge_by_ancestors(leaves: DataFrame, dim: DataFrame, spec: HierarchySpec) -> DataFrame:
+    """``bridge`` by recursion: each leaf's deepest node, then all ancestors of that node.
+
+    Leaves may hang at any level (ragged hierarchies): a leaf belongs to the deepest level whose path it has and the
+    dimension knows, and to everything above that.
+    """
+    own, found = leaves, None
+    for i in range(len(spec.levels) - 1, -1, -1):
+        lvl = spec.levels[i]
+        nodes = dim.filter(F.col(spec.level_col) == lvl.name).select(F.col(spec.id_col).alias("node"), *lvl.match_columns)
+        part = own.join(nodes, list(lvl.match_columns)).select("node", spec.leaf_key)
+        found = part if found is None else found.unionByName(part)
+        own = own.join(nodes, list(lvl.match_columns), "left_anti")
+    up = ancestors(parent_links(dim, spec), dim, spec.id_col)
+    return found.join(up, "node").select(F.col("ancestor").alias(spec.id_col), spec.leaf_key)
+
+
 def bridge_by_key(leaves: DataFrame, dim: DataFrame, spec: HierarchySpec) -> DataFrame:
     """``bridge`` in one join: leaves exploded into one key per level, joined on (level, whole path).
 

@@ -30,6 +30,14 @@ def _period_map(years: int, basis: str) -> str:
     return _with(DERIVED_DIM, o.period_map_ctes(years, basis)) + "select period_id, period_id_ya from week_pairs"
 
 
+DQ_SUMMARY = _union([
+    f"select '{name}' as table_name, count(*) as input_rows, count(case when {valid} then 1 end) as valid_rows, "
+    f"count(case when not ({valid}) then 1 end) as rejected_rows from ({o.lower_raw(src, cols)}) __t"
+    for name, src, cols, valid in [
+        ("stores", o.RAW_STORES, o.RAW_STORE_COLS, o.STORE_VALID),
+        ("products", o.RAW_PRODUCTS, o.RAW_PRODUCT_COLS, o.PRODUCT_VALID),
+        ("sales", o.RAW_SALES, o.RAW_SALES_COLS, o.SALES_VALID)]])
+
 ORACLE: dict[str, str] = {
     # ---------------------------------------------------------- IO
     "scan_parquet": "select * from events",
@@ -65,13 +73,8 @@ ORACLE: dict[str, str] = {
     "quarantine_products": (f"select * from ({o.lower_raw(o.RAW_PRODUCTS, o.RAW_PRODUCT_COLS)}) __q "
                             f"where not ({o.PRODUCT_VALID})"),
     "quarantine_sales": f"select * from ({o.lower_raw(o.RAW_SALES, o.RAW_SALES_COLS)}) __q where not ({o.SALES_VALID})",
-    "dq_summary": _union([
-        f"select '{name}' as table_name, count(*) as input_rows, count(case when {valid} then 1 end) as valid_rows, "
-        f"count(case when not ({valid}) then 1 end) as rejected_rows from ({o.lower_raw(src, cols)}) __t"
-        for name, src, cols, valid in [
-            ("stores", o.RAW_STORES, o.RAW_STORE_COLS, o.STORE_VALID),
-            ("products", o.RAW_PRODUCTS, o.RAW_PRODUCT_COLS, o.PRODUCT_VALID),
-            ("sales", o.RAW_SALES, o.RAW_SALES_COLS, o.SALES_VALID)]]),
+    "dq_summary": DQ_SUMMARY,
+    "dq_summary_load": DQ_SUMMARY,
     # ---------------------------------------------------------- calendar
     "dim_date": _with(DERIVED_DIM) + "select * from dim_date",
     "daily_spine": ("select cast(unnest(generate_series(cast(min(cast(l_shipdate as date)) as timestamp), "
@@ -103,10 +106,36 @@ from silver_sales s join dim_date p on s.period_start = p.period_start_date and
 where p.period_id = {LOOKUP_PERIOD}""",
     "fact_base": o.gold_with(o.FACT_CTE) + "select geography_id, hierarchy_id, period_id, sales, units from fact_base",
     "fact_base_stores": o.gold_with(o.FACT_CTE) + "select * from fact_base",
+    "fact_base_bitmaps": o.gold_with(o.FACT_CTE) + "select * from fact_base",
+    "fact_base_bucketed": o.gold_with(o.FACT_CTE) + "select geography_id, hierarchy_id, period_id, sales, units from fact_base",
+    "sales_gaps": SILVER_ONLY + """select store_id, sales_id, period_start, previous_start,
+       cast(period_start - previous_start as integer) as gap_days
+from (select store_id, sales_id, period_start, lag(period_start) over (
+          partition by store_id order by period_start nulls first, sales_id) as previous_start
+      from silver_sales) s""",
+    "irregular_periods": """select cast(row_number() over w as integer) as period_id,
+       lag(day) over w + 1 as period_start_date, day as period_end_date
+from (select distinct cast(o_orderdate as date) as day from orders where o_orderdate is not null) d window w as (order by day)""",
+    "geography_ancestors": _with(o.SILVER_CTES, o.DIM_GEO_CTES).replace("with ", "with recursive ", 1).rstrip() + """,
+up(node, ancestor, distance) as (
+    select geography_id, geography_id, 0 from dim_geography
+    union all
+    select up.node, above.geography_id, up.distance + 1
+    from up join dim_geography below on below.geography_id = up.ancestor
+    join dim_geography above on above.store_country = below.store_country
+     and ((below.level = 'district' and above.level = 'state' and above.store_state = below.store_state)
+       or (below.level = 'state' and above.level = 'country')))
+select * from up""",
+    "bridge_by_ancestors": o.gold_with() + "select * from lkp_product_hierarchy",
     "total_stores": o.gold_with(o.FACT_CTE) + "select * from total_stores",
     # ---------------------------------------------------------- KPI
     "growth_preview": o.comparison_sql(1, "calendar", "drop", False, None),
     "fct_sales": o.kpi_sql(-1, "iso", "keep"),
+    "fct_sales_incremental": o.kpi_sql(-1, "iso", "keep"),
+    "kpi_zorder": f"""with fact as materialized (select * from ({o.kpi_sql(-1, 'iso', 'keep')}) __k)
+select *, 'geography_id' as by from fact where geography_id = {LOOKUP_GEO}
+union all select *, 'hierarchy_id' from fact where hierarchy_id = {LOOKUP_NODE}
+union all select *, 'period_id' from fact where period_id = {LOOKUP_PERIOD}""",
     "fct_sales_ref": o.kpi_sql(1, "calendar", "drop"),
     "kpi_lookup": (f"select * from ({o.kpi_sql(-1, 'iso', 'keep')}) __k "
                    f"where geography_id = {LOOKUP_GEO} and hierarchy_id = {LOOKUP_NODE} and period_id = {LOOKUP_PERIOD}"),

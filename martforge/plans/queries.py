@@ -13,11 +13,14 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martforge.operators import bronze, calendar, facts, hierarchy, synth
-from martforge.operators.conform import dedupe_by_key, lowercase_columns
+from martforge.functions.lag import lag_within
+from martforge.functions.zorder import zordered
+from martforge.operators import bitmaps, bronze, calendar, facts, hierarchy, kpi, synth
+from martforge.operators.conform import conform, dedupe_by_key, lowercase_columns
+from martforge.operators.quality import COUNTS_SCHEMA, counted_split, counts_row
 from martforge.operators.quality import dq_summary as dq_summary_op
-from martforge.plans import medallion, retail
-from martforge.session import scratch_path
+from martforge.plans import incremental, medallion, retail
+from martforge.session import kept, scratch_path
 from martforge.sources import layers, snapshot
 from martforge.sources import testdata as td
 from martforge.streaming.ingest import ingest_available
@@ -256,6 +259,19 @@ def dq_summary(spark, sf):
     })
 
 
+@query("dq_summary_load")
+def dq_summary_load(spark, sf):
+    """The summary of a silver load, counted by the writes themselves."""
+    lake, rows = _lake(spark), []
+    for name, raw, rules, spec in (("stores", td.raw_stores, retail.STORE_RULES, retail.STORE_CONFORM),
+                                   ("products", td.raw_products, retail.PRODUCT_RULES, retail.PRODUCT_CONFORM),
+                                   ("sales", td.raw_sales, retail.SALES_RULES, retail.SALES_CONFORM)):
+        valid, _, seen = counted_split(lowercase_columns(raw(spark, sf)), rules)
+        lake.write(conform(valid, spec), "silver", name)
+        rows.append(counts_row(name, seen))
+    return spark.createDataFrame(rows, COUNTS_SCHEMA)
+
+
 # ------------------------------------------------------------------ calendar
 @query("dim_date")
 def dim_date(spark, sf):
@@ -370,7 +386,98 @@ def total_stores(g):
     return facts.node_totals(g.lkp_store_geography)
 
 
+@over_layers("fact_base_bitmaps")
+def fact_base_bitmaps(g):
+    """The roll-up with sets of stores as bitmaps, every level from the one below."""
+    return bitmaps.rollup_fact_bitmaps(g.sales, g.dim_date, g.stores, g.products, g.dim_geography, g.dim_product,
+                                       retail.GEOGRAPHY, retail.PRODUCT, kept)
+
+
+@over_layers("fact_base_bucketed")
+def fact_base_bucketed(g):
+    """The roll-up from sales and product bridge that are bucketed by product: their join moves neither."""
+    return facts.rollup_bucketed(*bucketed_by_product(g), g.dim_date, g.lkp_store_geography)
+
+
+def bucketed_by_product(g, buckets: int = 16):
+    """(sales, product bridge) as tables bucketed by product."""
+    spark = g.sales.sparkSession
+    layers.ensure_schema(spark, SILVER_SCHEMA)
+    return [layers.write_bucketed(df, f"{SILVER_SCHEMA}.{name}_by_product", scratch_path(spark, name), ["product_id"], buckets)
+            for name, df in (("sales", g.sales), ("bridge", g.lkp_product_hierarchy))]
+
+
+@over_layers("sales_gaps")
+def sales_gaps(g):
+    """Days between a sale's week and the week of the store's sale before it."""
+    found = lag_within(g.sales.select("store_id", "sales_id", "period_start"), ["store_id"], ["period_start", "sales_id"],
+                       "period_start", "previous_start")
+    return found.withColumn("gap_days", F.datediff("period_start", "previous_start"))
+
+
+@query("irregular_periods")
+def irregular_periods(spark, sf):
+    """Periods that end on the dates on which orders were placed."""
+    return calendar.periods_between(td.table(spark, sf, "orders"), "o_orderdate")
+
+
+@over_layers("geography_ancestors")
+def geography_ancestors(g):
+    """Every geography node with all nodes above it."""
+    links = hierarchy.parent_links(g.dim_geography, retail.GEOGRAPHY)
+    return hierarchy.ancestors(links, g.dim_geography, "geography_id")
+
+
+@over_layers("bridge_by_ancestors")
+def bridge_by_ancestors(g):
+    """The product bridge by recursion over parent links instead of one join per level."""
+    return hierarchy.bridge_by_ancestors(g.products, g.dim_product, retail.PRODUCT)
+
+
 # ------------------------------------------------------------------ KPI
+@over_layers("fct_sales_incremental")
+def fct_sales_incremental(g):
+    """The KPI fact after a refresh: built without late sales, with wrong and surplus ones, then one batch puts that right."""
+    spark = g.sales.sparkSession
+    lake = _lake(spark)
+    dims = incremental.Dimensions(g.lkp_store_geography, g.lkp_product_hierarchy, g.total_stores())
+    before, changed, removed = late_batch(g.sales)
+    incremental.build(before, lake, dims)
+    incremental.refresh(changed, removed, lake, dims)
+    return incremental.fact_of(spark, lake)
+
+
+def late_batch(sales: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(sales before, changed sales, removed ids) of a batch that turns the first into ``sales``; it lies in every ninth week."""
+    week = F.pmod(F.floor(F.datediff("period_start", F.lit("1970-01-05").cast("date")) / 7), F.lit(9)) == 4
+    kind = F.when(F.coalesce(week, F.lit(False)), F.pmod("sales_id", F.lit(5))).otherwise(F.lit(-1))
+    late, wrong_amount, wrong_week, surplus = (kind == k for k in range(4))
+    shift = lambda c: F.when(wrong_week, F.date_add(c, 7)).otherwise(F.col(c)).alias(c)
+    before = sales.filter(~late).select(
+        "sales_id", "store_id", "product_id", shift("period_start"), shift("period_end"),
+        F.when(wrong_amount, F.col("sales_amount") * 2).otherwise(F.col("sales_amount")).alias("sales_amount"), "sales_units")
+    extra = sales.filter(surplus).withColumn("sales_id", (-F.col("sales_id")).cast(sales.schema["sales_id"].dataType))
+    return (before.unionByName(extra), sales.filter(late | wrong_amount | wrong_week), extra.select("sales_id"))
+
+
+@over_layers("kpi_zorder")
+def kpi_zorder(g):
+    """Lookups on each one of the three keys of the KPI fact, stored in Z-order of all three."""
+    fact = zordered_fact(g)
+    lookups = {"geography_id": LOOKUP_GEO, "hierarchy_id": LOOKUP_NODE, "period_id": LOOKUP_PERIOD}
+    found = [fact.filter(F.col(key) == value).withColumn("by", F.lit(key)) for key, value in lookups.items()]
+    return reduce(DataFrame.unionByName, found)
+
+
+def zordered_fact(g, partitions: int = 32) -> DataFrame:
+    """The KPI fact written in Z-order of geography, node and period."""
+    spark, fact = g.sales.sparkSession, g.kpi()
+    path = scratch_path(spark, "fct_sales_z")
+    # Written first: the ranges are sampled from it, and the roll-up must not run again for that.
+    zordered(kept(fact, "fct_sales"), list(kpi.KEYS), partitions).write.parquet(path)
+    return spark.read.schema(fact.schema).parquet(path)
+
+
 @over_layers("growth_preview")
 def growth_preview(g):
     """Unrounded growth, comparison map as originally coded (calendar year + 1, inner join)."""
