@@ -52,6 +52,9 @@ ORACLE: dict[str, str] = {
          for t in ["region", "nation", "customer"]]
         + ["select 'store_info', 'failed', cast(null as bigint), 'PATH_NOT_FOUND'"]),
     "snapshot_us": "select * exclude (ts), epoch_us(ts) as ts_us from events",
+    "snapshot_truncated": "select * exclude (ts), epoch_us(ts) as ts_us from events",
+    "versioned_overwrite": SILVER_ONLY + "select * from silver_products",
+    "view_replace": o.gold_with() + "select * from dim_geography",
     "file_inventory": _union([f"select '{t}' as table_name, '{t}.parquet' as file_name, count(*) as row_count from {t}"
                               for t in TABLES]),
     "catalog_tables": SILVER_ONLY + "select * from silver_stores",

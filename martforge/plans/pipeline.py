@@ -140,11 +140,11 @@ def run(spark: SparkSession, readers: dict[str, Callable[[], DataFrame]], lake:
     wrote = run_bronze(spark, readers, lake, cfg.bronze_mode, resume)
     wrote = run_silver(spark, lake, resume and not wrote, cfg.strict) or wrote
     if resume and not wrote and all(lake.complete(spark, "gold", n) for n in GOLD):
-        gold_paths = {n: lake.path("gold", n) for n in GOLD}
+        gold_paths = {n: lake.location(spark, "gold", n) for n in GOLD}
     else:
         gold_paths = run_gold(spark, lake, cfg)
     silver_schema, gold_schema = cfg.schemas
-    register_tables(spark, silver_schema, {n: lake.path("silver", n) for n in SPECS})
+    register_tables(spark, silver_schema, {n: lake.location(spark, "silver", n) for n in SPECS})
     register_tables(spark, gold_schema, gold_paths)
     return gold_paths
 

@@ -133,6 +133,19 @@ def snapshot_us(spark, sf):
     return back.withColumn("ts", F.unix_micros("ts")).withColumnRenamed("ts", "ts_us")
 
 
+@query("snapshot_truncated")
+def snapshot_truncated(spark, sf):
+    """Nanosecond timestamps through a snapshot that cuts them to microseconds."""
+    def fine(own, name):
+        events = td.table(own, sf, name)
+        micros = F.unix_micros(F.concat(F.col("ts").cast("string"), F.lit("Z")).cast("timestamp"))
+        return events.withColumn("ts", micros * 1000 + F.pmod("event_id", F.lit(1000)))
+
+    target = scratch_path(spark, "snap")
+    snapshot.snapshot(spark, fine, ["events"], target, nanos={"events": ["ts"]})
+    return spark.read.parquet(f"{target}/events.parquet").withColumn("ts", F.unix_micros("ts")).withColumnRenamed("ts", "ts_us")
+
+
 @query("file_inventory")
 def file_inventory(spark, sf):
     """The files of the given tables with their rows."""
@@ -165,6 +178,24 @@ def ctas_replace(g):
     return layers.replace_table(g.kpi(), f"{GOLD_SCHEMA}.fct_sales", scratch_path(spark, "tables", "fct_sales"))
 
 
+@over_layers("versioned_overwrite")
+def versioned_overwrite(g):
+    """A table that is replaced by one of another schema: one rename of a pointer."""
+    spark, lake = g.stores.sparkSession, layers.VersionedLake(scratch_path(g.stores.sparkSession, "versions"))
+    lake.write(g.stores, "silver", "leaves")
+    lake.write(g.products, "silver", "leaves")
+    return lake.read(spark, "silver", "leaves")
+
+
+@over_layers("view_replace")
+def view_replace(g):
+    """A published view that gets data of another schema without a moment in which it is missing."""
+    spark, where = g.stores.sparkSession, scratch_path(g.stores.sparkSession, "published")
+    layers.ensure_schema(spark, GOLD_SCHEMA)
+    layers.publish_view(g.dim_product, f"{GOLD_SCHEMA}.dim_published", where)
+    return layers.publish_view(g.dim_geography, f"{GOLD_SCHEMA}.dim_published", where)
+
+
 @over_layers("dim_scan")
 def dim_scan(g):
     """Full scan of the registered gold geography dimension."""

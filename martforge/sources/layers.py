@@ -21,6 +21,10 @@ class Lake:
     def path(self, layer: str, name: str) -> str:
         return f"{self.root.rstrip('/')}/{layer}/{name}"
 
+    def location(self, spark: SparkSession, layer: str, name: str) -> str:
+        """The folder that holds the table's files now."""
+        return self.path(layer, name)
+
     def complete(self, spark: SparkSession, layer: str, name: str) -> bool:
         """Whether the table was written to its end (its committer left the success marker)."""
         fs, path = file_system(spark, f"{self.path(layer, name)}/_SUCCESS")
@@ -44,6 +48,78 @@ class Lake:
         return path
 
 
+@dataclass(frozen=True)
+class VersionedLake(Lake):
+    """A lake whose tables are folders of versions with one pointer file.
+
+    ``overwrite`` writes a version of its own and then replaces the pointer in
+    one rename, so a reader sees the old table or the new one, never half of it or none, and a crash at
+    any point leaves the old one; the new version may have another schema. Reads that have begun
+    go on with the version they began with, until ``vacuum`` deletes it. ``append``
+    adds to the current version.
+    """
+
+    POINTER = "_CURRENT"
+
+    def location(self, spark: SparkSession, layer: str, name: str) -> str:
+        table = self.path(layer, name)
+        fs, pointer = file_system(spark, f"{table}/{self.POINTER}")
+        stream = fs.open(pointer)
+        try:
+            version = bytes(stream.readAllBytes()).decode()
+        finally:
+            stream.close()
+        return f"{table}/{version}"
+
+    def complete(self, spark: SparkSession, layer: str, name: str) -> bool:
+        fs, pointer = file_system(spark, f"{self.path(layer, name)}/{self.POINTER}")
+        return fs.exists(pointer)
+
+    def read(self, spark: SparkSession, layer: str, name: str) -> DataFrame:
+        return spark.read.format(self.fmt).load(self.location(spark, layer, name))
+
+    def write(self, df: DataFrame, layer: str, name: str, mode: str = "overwrite",
+              partition_by: list[str] | None = None, options: dict[str, str] | None = None) -> str:
+        spark, table = df.sparkSession, self.path(layer, name)
+        there = self.complete(spark, layer, name)
+        if mode == "errorifexists" and there:
+            raise FileExistsError(f"PATH_ALREADY_EXISTS: {table}")
+        adds = mode == "append" and there
+        version = f"v_{uuid.uuid4().hex}"
+        target = self.location(spark, layer, name) if adds else f"{table}/{version}"
+        w = df.write.format(self.fmt).mode("append" if adds else "errorifexists").options(**(options or {}))
+        (w.partitionBy(*partition_by) if partition_by else w).save(target)
+        if not adds:
+            _point(spark, f"{table}/{self.POINTER}", version)
+        return target
+
+    def vacuum(self, spark: SparkSession, layer: str, name: str) -> list[str]:
+        """Delete all versions but the current one, unfinished ones included; their names."""
+        table = self.path(layer, name)
+        current = self.location(spark, layer, name).rsplit("/", 1)[1]
+        fs, folder = file_system(spark, table)
+        old = [s.getPath() for s in fs.listStatus(folder) if s.isDirectory() and s.getPath().getName() != current]
+        for path in old:
+            fs.delete(path, True)
+        return sorted(p.getName() for p in old)
+
+
+def _point(spark: SparkSession, pointer: str, version: str) -> None:
+    """Write ``version`` beside ``pointer`` and rename it over the old one: one operation of the file system."""
+    jvm = spark.sparkContext._jvm
+    fs, new = file_system(spark, f"{pointer}_{uuid.uuid4().hex}")
+    stream = fs.create(new, False)
+    stream.write(bytearray(version.encode()))
+    stream.close()
+    rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    how = spark.sparkContext._gateway.new_array(rename, 1)
+    how[0] = rename.OVERWRITE
+    target = jvm.org.apache.hadoop.fs.Path(pointer)
+    qualified = target.makeQualified(fs.getUri(), fs.getWorkingDirectory())
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(qualified.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    context.rename(new.makeQualified(fs.getUri(), fs.getWorkingDirectory()), qualified, how)
+
+
 def write_by(df: DataFrame, path: str, keys: list[str], fmt: str = "parquet", mode: str = "errorifexists",
              options: dict[str, str] | None = None) -> None:
     """Write a table with one folder per value of ``keys``.
@@ -144,6 +220,18 @@ def insert_select(spark: SparkSession, table: str, columns_ddl: str, location: s
     return spark.table(table)
 
 
+def publish_view(df: DataFrame, view: str, location: str, fmt: str = "parquet") -> DataFrame:
+    """Create a view or point it at a new version of its data, whatever its schema, by one catalog operation.
+
+    ``replace_table`` drops a table whose schema changes before it creates the new one; a
+    view over versions has no moment without it.
+    """
+    spark, version = df.sparkSession, f"{location.rstrip('/')}/{uuid.uuid4().hex}"
+    df.write.format(fmt).mode("errorifexists").save(version)
+    spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT * FROM {fmt}.`{version}`")
+    return spark.table(view)
+
+
 def replace_table(df: DataFrame, table: str, location: str, fmt: str = "parquet") -> DataFrame:
     """Create a catalog table from a DataFrame or point it at a new version of its data.
 

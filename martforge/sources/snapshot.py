@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from martforge.operators.quality import counted_rows
 
@@ -14,8 +15,21 @@ STATUS_SCHEMA = "table_name string, status string, row_count bigint, error strin
 Reader = Callable[[SparkSession, str], DataFrame]
 
 
+def truncated_nanos(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Timestamps given as nanoseconds since 1970 (how finer ones reach Spark), cut down to its microseconds.
+
+    Cut, not rounded, also before 1970: the microsecond that the instant lies in.
+    """
+    def micros(name: str):
+        ns = F.col(name).cast("bigint")
+        return F.timestamp_micros(F.floor((ns - F.pmod(ns, F.lit(1000))).cast("decimal(20,0)") / 1000).cast("bigint"))
+
+    return df.withColumns({c: micros(c) for c in columns}) if columns else df
+
+
 def snapshot(spark: SparkSession, reader: Reader, tables: list[str], target: str,
-             on_error: str = "raise", compression: str = "snappy", timestamp_micros: bool = True) -> DataFrame:
+             on_error: str = "raise", compression: str = "snappy", timestamp_micros: bool = True,
+             nanos: dict[str, list[str]] | None = None) -> DataFrame:
     """Copy ``tables`` to ``<target>/<table>.parquet`` (overwrite) and return one status row per table.
 
     The reader is any ``(session, name) -> DataFrame`` (e.g. ``spark.read.jdbc``
@@ -24,8 +38,8 @@ def snapshot(spark: SparkSession, reader: Reader, tables: list[str], target: str
     timestamp encoding set here reaches no other write. ``on_error='raise'``
     stops at the first failure; ``'continue'`` records it and goes on. Rows are
     counted by the write itself (an observed metric), so no table is read twice.
-    ``timestamp_micros`` sets the encoding of the written timestamps; Spark's own have no finer
-    digits, and what a reader delivers finer is cut to microseconds by it.
+    ``timestamp_micros`` sets the encoding of the written timestamps. Spark's own have no finer
+    digits; columns that a reader delivers as nanoseconds (``nanos``: table -> columns) are cut to microseconds.
     """
     own = spark.newSession()
     own.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
@@ -35,7 +49,7 @@ def snapshot(spark: SparkSession, reader: Reader, tables: list[str], target: str
     for table in tables:
         path = f"{target.rstrip('/')}/{table}.parquet"
         try:
-            counted, count = counted_rows(reader(own, table))
+            counted, count = counted_rows(truncated_nanos(reader(own, table), (nanos or {}).get(table, [])))
             counted.write.mode("overwrite").option("compression", compression).parquet(path)
             rows.append((table, "ok", count.get["rows"], None))
         except Exception as e:  # noqa: BLE001 - isolation is the point of on_error='continue'

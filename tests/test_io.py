@@ -96,3 +96,41 @@ def test_a_cluster_needs_a_shared_folder(monkeypatch):
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         session.ensure_checkpoint_dir(Cluster())
+
+
+def test_a_versioned_table_is_never_half_replaced(spark, monkeypatch):
+    lake = layers.VersionedLake(scratch_path(spark, "versions"))
+    assert not lake.complete(spark, "silver", "t")
+    lake.write(spark.range(5), "silver", "t", mode="errorifexists")
+    with pytest.raises(FileExistsError, match="PATH_ALREADY_EXISTS"):
+        lake.write(spark.range(5), "silver", "t", mode="errorifexists")
+    reading = lake.read(spark, "silver", "t")
+    with pytest.raises(Exception, match="no"):  # the job fails
+        lake.write(spark.range(5).selectExpr("id + raise_error('no') AS id"), "silver", "t")
+    with monkeypatch.context() as m:  # the driver dies between the write and the rename
+        m.setattr(layers, "_point", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            lake.write(spark.range(9), "silver", "t")
+    assert lake.read(spark, "silver", "t").count() == 5
+    lake.write(spark.range(7).selectExpr("id AS other", "'x' AS more"), "silver", "t", partition_by=["more"])
+    assert lake.read(spark, "silver", "t").columns == ["other", "more"] and lake.read(spark, "silver", "t").count() == 7
+    assert reading.count() == 5  # a read that began before goes on
+    lake.write(spark.range(1).selectExpr("id AS other", "'x' AS more"), "silver", "t", mode="append", partition_by=["more"])
+    assert lake.read(spark, "silver", "t").count() == 8
+    assert len(lake.vacuum(spark, "silver", "t")) >= 2 and lake.read(spark, "silver", "t").count() == 8
+
+
+def test_the_pipeline_runs_on_a_versioned_lake(spark, sf):
+    from martforge.plans import pipeline
+
+    lake = layers.VersionedLake(scratch_path(spark, "lake"))
+    readers = {"stores": lambda: td.stores(spark, sf), "products": lambda: td.products(spark, sf), "sales": lambda: td.sales(spark, sf)}
+    first = pipeline.run(spark, readers, lake, pipeline.PipelineConfig(schemas=("vsilver", "vgold")))
+    assert pipeline.run(spark, readers, lake, pipeline.PipelineConfig(schemas=("vsilver", "vgold")))["fct_sales"] == first["fct_sales"]
+    assert spark.table("vgold.fct_sales").count() == lake.read(spark, "gold", "fct_sales").count() > 0
+
+
+def test_nanoseconds_are_cut_and_not_rounded(spark):
+    df = spark.createDataFrame([(1_700_000_000_123_456_999,), (-1,), (-1000,), (None,)], "ts long")
+    got = snapshot.truncated_nanos(df, ["ts"]).selectExpr("unix_micros(ts) AS us").collect()
+    assert [r.us for r in got] == [1_700_000_000_123_456, -1, -1, None]

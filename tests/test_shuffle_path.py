@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from or_join import bridge_or_join
 from martforge.functions.sizing import checked_broadcast, measured_bytes
 from martforge.operators import facts, hierarchy, kpi
 from martforge.plans import medallion, retail
@@ -41,7 +42,7 @@ def test_size_is_measured_in_bytes_each_time(spark):
 
 def test_or_join_refuses_a_large_dimension(layers):
     with pytest.raises(ValueError, match="bytes"):
-        hierarchy.bridge_or_join(layers.stores, layers.dim_geography, retail.GEOGRAPHY, max_bytes=1)
+        bridge_or_join(layers.stores, layers.dim_geography, retail.GEOGRAPHY, max_bytes=1)
 
 
 def test_shuffled_bridges_and_roll_up_equal_broadcast_ones(spark, layers, no_broadcast):
