@@ -13,11 +13,14 @@ smallest hashes of its set. Steps:
    Pairs pass the union-sketch estimate (the share of the k smallest values of
    the union that both hold), then exact Jaccard on the full sets decides.
 4. Rest round: classes that share a list but are still in different components
-   are compared too. Short lists emit such pairs; long lists are cut into
+   are compared too. Short lists emit such pairs. For classes of long lists the
+   shingles that no other such class holds are counted on the full sets first (``alone``): a pair
+   cannot share more than either side has left, so a class whose rest is
+   below p / (100 + p) of both sizes can link with none and goes (``able``). What stays is cut into
    blocks, and each pair of blocks is one bounded task that returns pairs as
    arrays. A pair that meets in several long lists belongs to the first of them.
-   So a group of near copies costs its size, not its square, unless its members
-   really are unlinked, and no list is ever cut short.
+   So a group of near copies costs its size, not its square, also where its members
+   differ too much to be linked, and no list is ever cut short.
 5. Components of the verified links give the groups.
 
 Nothing is dropped or capped: a common value only moves its list to step 4's blocks.
@@ -185,20 +188,21 @@ def bucketed(pairs: DataFrame) -> DataFrame:
 def block_pairs(long: DataFrame, percent: int) -> DataFrame:
     """Rows for ``verified`` of the long lists' pairs of blocks: pairs in different components that belong to this list.
 
-    Rows of ``long``: value, m (length of its list), cid, n, label, prefix (all values of the class's lists).
+    Rows of ``long``: value, m (length of its list), cid, n, label, prefix (all values of the class's lists),
+    common (shingles of its set that others of ``long`` hold too, at most).
     """
     count = F.ceil(F.col("m") / BLOCK).cast("int")
     placed = long.withColumn("blocks", count).withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
     spread = (placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
               .select("value", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-                      "block", "cid", "n", "label", "prefix"))
+                      "block", "cid", "n", "label", "prefix", "common"))
     schema = pa.schema([("value", pa.int64()), ("i", pa.int32()), ("j", pa.int32()), ("lefts", pa.list_(pa.int64())),
                         ("rights", pa.list_(pa.int64())), ("labels", pa.list_(pa.int64())), ("mask", pa.binary())])
 
     def meet(group: pa.Table) -> pa.Table:
         value, i, j = (group[c][0].as_py() for c in ("value", "i", "j"))
         block = group["block"].to_numpy()
-        cid, n, label = (group[c].to_numpy() for c in ("cid", "n", "label"))
+        cid, n, label, common = (group[c].to_numpy() for c in ("cid", "n", "label", "common"))
         flat = group["prefix"].combine_chunks()
         who = np.repeat(np.arange(cid.size), np.diff(flat.offsets.to_numpy()))
         held = flat.flatten().to_numpy()
@@ -211,6 +215,8 @@ def block_pairs(long: DataFrame, percent: int) -> DataFrame:
         ok = (earlier[left] @ earlier[right].T == 0) & (label[left][:, None] != label[right][None, :])
         small, large = np.minimum.outer(n[left], n[right]), np.maximum.outer(n[left], n[right])
         ok &= 100 * small >= percent * large
+        # Two sets of these sizes are linked from percent / (100 + percent) of both sizes in common on.
+        ok &= (100 + percent) * np.minimum.outer(common[left], common[right]) >= percent * (small + large)
         if i == j:
             ok &= cid[left][:, None] < cid[right][None, :]
         left, right, ok = left[ok.any(axis=1)], right[ok.any(axis=0)], ok[ok.any(axis=1)][:, ok.any(axis=0)]
@@ -223,6 +229,39 @@ def block_pairs(long: DataFrame, percent: int) -> DataFrame:
         meet, "value bigint, i int, j int, lefts array<bigint>, rights array<bigint>, labels array<bigint>, mask binary")
 
 
+def alone(sets: DataFrame, cids: DataFrame) -> DataFrame:
+    """(cid, own): shingles of each class's full set that no other class of ``cids`` holds; none for classes with several sets.
+
+    Shingles are counted by value, combined in the tasks; the few classes' own ones name them, so nothing is joined by value.
+    """
+    schema = "value bigint, cid bigint"
+
+    def spelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches, 64):
+            found = [np.frombuffer(x, dtype=np.int64) for x in texts(batch.column(1))]
+            cid = np.repeat(batch.column(0).to_numpy(), [x.size for x in found])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found) if found else np.zeros(0, np.int64)), pa.array(cid)], names=["value", "cid"])
+
+    own_sets = sets.join(cids, "cid", "left_semi")
+    single = own_sets.groupBy("cid").agg(F.count(F.lit(1)).alias("k")).filter("k = 1").select("cid")
+    held = own_sets.select("cid", "hashes").mapInArrow(spelled, schema)
+    once = held.groupBy("value").agg(F.count(F.lit(1)).alias("k"), F.min("cid").alias("cid")).filter("k = 1")
+    return once.groupBy("cid").agg(F.count(F.lit(1)).alias("own")).join(single, "cid", "left_semi")
+
+
+def able(long: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The rows of ``long`` whose class may be linked with another one of its list, with ``common`` and new list lengths."""
+    own = written(alone(sets, long.select("cid").distinct()), "own")
+    common = long.join(own, "cid", "left").withColumn("common", F.col("n") - F.coalesce("own", F.lit(0).cast("bigint"))).drop("own", "m")
+    least = common.groupBy("value").agg(F.min("n").alias("least"))
+    # The smallest set that it can be linked with: not below percent of its own size, nor below the list's smallest.
+    partner = F.greatest(F.col("least"), F.ceil(F.col("n") * percent / 100))
+    stay = written(common.join(least, "value").filter((100 + percent) * F.col("common") >= percent * (F.col("n") + partner)).drop("least"), "able")
+    lengths = (stay.groupBy("value").agg(F.count(F.lit(1)).alias("m"), F.min("label").alias("lo"), F.max("label").alias("hi"))
+               .filter("lo < hi").select("value", "m"))
+    return stay.join(lengths, "value")
+
+
 def links(docs: DataFrame, classes: DataFrame, shingle: int, k: int, percent: int, id_col: str,
           text_col: str) -> DataFrame:
     """Verified links (a, b) between classes: enough of them to connect every two linked classes."""
@@ -258,8 +297,8 @@ def links(docs: DataFrame, classes: DataFrame, shingle: int, k: int, percent: in
                       & (F.least("one.n", "two.n") * 100 >= F.greatest("one.n", "two.n") * percent))
              .select(F.col("one.cid").alias("x"), F.col("two.cid").alias("y"), F.col("two.label").alias("label")).distinct())
     second = verified(bucketed(pairs), ["bucket"], sets, k, percent)
-    long = rest.filter(F.col("m") > SHORT).join(held.select("cid", "prefix"), "cid")
-    blocks = written(block_pairs(long, percent), "blocks")
+    long = written(rest.filter(F.col("m") > SHORT).join(held.select("cid", "prefix"), "cid"), "long")
+    blocks = written(block_pairs(able(long, sets, percent), percent), "blocks")
     third = verified(blocks, ["value", "i", "j"], sets, k, percent)
     return first.unionByName(second).unionByName(third)
 

@@ -1,4 +1,9 @@
+import random
+
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
+
 from helpers import CLASHING, docs, near_texts, shingles, smallest_reachable
 from martforge.llm import minhash
 
@@ -57,3 +62,56 @@ def test_empty_table(spark):
 
 def test_shared_values_relied_on_are_a_binomial_tail():
     assert minhash.shared_at_least(64) == 30 and minhash.shared_at_least(1) == 1
+
+
+def edited(n, words=120, edits=4, seed=8):
+    """Copies of one text with a few words of each changed: alike, and almost none linked."""
+    rng, vocabulary = random.Random(seed), [f"v{i}" for i in range(50_000)]
+    base = [f"b{i}" for i in range(words)]
+    out = []
+    for i in range(n):
+        own = list(base)
+        for at in rng.sample(range(words), edits):
+            own[at] = rng.choice(vocabulary)
+        out.append((i, " ".join(own)))
+    return out
+
+
+def joined_sets(spark, monkeypatch, table, n):
+    """Rows of full sets that the stages of one run join: star, short lists, blocks."""
+    moved = []
+    whole = minhash.verified
+
+    def counted(pairs, keys, sets, k, percent):
+        rows = pairs.select(*keys, F.explode(F.array_union("lefts", "rights")).alias("cid")).distinct()
+        moved.append(rows.count())
+        return whole(pairs, keys, sets, k, percent)
+
+    with monkeypatch.context() as m:
+        m.setattr(minhash, "verified", counted)
+        got = minhash.groups(docs(spark, table, "doc_id long, text string"), shingle=n).drop("digest").collect()
+    return moved, {tuple(r) for r in got}
+
+
+@pytest.mark.parametrize("n", [4, 5])
+def test_sets_joined_grow_with_a_group_and_not_with_its_square(spark, monkeypatch, n):
+    small, large = (joined_sets(spark, monkeypatch, edited(size), n)[0] for size in (500, 1000))
+    assert sum(large) < 2.5 * sum(small)
+    # Blocks hold the few members that can be linked at all.
+    assert large[-1] < 1000
+
+
+def test_groups_that_hardly_link_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "BLOCK", 64)
+    table = edited(260, words=60, edits=2) + [(1000 + i, t) for i, t in edited(120, words=60, edits=1, seed=9)]
+    for n in (4, 5):
+        assert joined_sets(spark, monkeypatch, table, n)[1] == brute(table, n)
+
+
+def test_own_shingles_are_counted_exactly(spark):
+    sets = {1: [1, 2, 3], 2: [2, 3, 4], 3: [9], 4: [9, 5, 6]}
+    rows = [(c, np.array(v, dtype=np.int64).tobytes()) for c, v in sets.items()] + [(4, np.array([7], dtype=np.int64).tobytes())]
+    frame = spark.createDataFrame(rows, "cid long, hashes binary")
+    every = spark.createDataFrame([(c,) for c in sets], "cid long")
+    assert {tuple(r) for r in minhash.alone(frame, every).collect()} == {(1, 1), (2, 1)}  # 4 has two sets: nothing is said of it
+    assert {tuple(r) for r in minhash.alone(frame, every.filter("cid <> 2")).collect()} == {(1, 3)}
