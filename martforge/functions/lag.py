@@ -29,8 +29,8 @@ def lag_within(df: DataFrame, keys: list[str], order: list[str], column: str, na
     # Ranges are numbered in order, and so are rows inside one.
     here = Window.partitionBy("__part", *keys).orderBy("__nth")
     rows = cut.withColumn(name, F.lag(column).over(here)).withColumn("__first", F.row_number().over(here) == 1)
-    last = (cut.groupBy("__part", *keys).agg(F.max(F.struct("__nth", F.col(column).alias("__last"))).alias("__t"))
-            .select("__part", *keys, F.col("__t.__last").alias("__last")))
+    ends = cut.withColumn("__end", F.lead("__nth").over(here).isNull())
+    last = ends.groupBy("__part", *keys).agg(F.max(F.when(F.col("__end"), F.col(column))).alias("__last"))
     # One row per partition and key; with a single global key, one row per partition.
     before = last.withColumn("__before", F.lag("__last").over(Window.partitionBy(*keys).orderBy("__part"))).drop("__last")
     # Only first rows are joined: all others have their row before beside them.
