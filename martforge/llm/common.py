@@ -35,13 +35,27 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once under spark.checkpoint.dir and read back: its lineage is cut, its rows are fixed."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    back = df.sparkSession.read.schema(df.schema).parquet(path)
+    back.scratch = path
+    return back
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Delete tables that ``written`` made, once everything that reads them has been written itself."""
+    for df in tables:
+        jvm = df.sparkSession.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(df.scratch)
+        path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def whole_row(docs: DataFrame) -> Column:
+    """The whole input row as one struct ``row``; names may hold dots and backticks."""
+    return F.struct(*[docs[f"`{c.replace('`', '``')}`"] for c in docs.columns]).alias("row")
 
 
 def wrapped(docs: DataFrame, **columns: Column) -> DataFrame:
     """The whole input row as one struct ``row`` beside computed columns, so that no input name can clash."""
-    return docs.select(F.struct(*[docs[f"`{c.replace('`', '``')}`"] for c in docs.columns]).alias("row"),
-                       *[c.alias(k) for k, c in columns.items()])
+    return docs.select(whole_row(docs), *[c.alias(k) for k, c in columns.items()])
 
 
 def words(text) -> list[bytes]:

@@ -44,7 +44,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from martforge.llm.common import release, small_batches, texts, written
+from martforge.llm.common import dropped, release, small_batches, texts, whole_row, written
 
 WIDTH = 200
 #: Bytes of an anchor.
@@ -96,7 +96,10 @@ def keyed(docs: DataFrame, id_col: str, text_col: str, *more: Column) -> DataFra
 
 
 def anchored(rows: DataFrame, width: int, gram: int) -> DataFrame:
-    """(id, tag, gram, at): hashes and places of each text's anchors; a place packs position, and distances to the first and last window."""
+    """(id, tag, gram, at, row): hashes and places of each text's anchors; a place packs position, and distances to the first and last window.
+
+    ``row`` numbers the rows as they are written, so that places are moved with one short number.
+    """
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release()
         for batch in small_batches(batches, 256):
@@ -109,20 +112,22 @@ def anchored(rows: DataFrame, width: int, gram: int) -> DataFrame:
                                               pa.array(places, pa.list_(pa.int64()))], names=["id", "tag", "gram", "at"])
 
     found = rows.filter(F.octet_length("text") >= width).mapInArrow(find, "id bigint, tag bigint, gram array<bigint>, at array<bigint>")
-    return written(found, "anchors")
+    return written(found.withColumn("row", F.monotonically_increasing_id()), "anchors")
 
 
 def segments(rows: DataFrame, found: DataFrame, width: int) -> DataFrame:
-    """(id, tag, at, gram, digest, back, ahead, content) of the segments whose gram occurs more than once.
+    """(row, at, gram, digest, back, ahead, content) of the segments whose gram occurs more than once.
 
     ``back`` and ``ahead`` are the distances of the first and last window to the anchor; the segment starts at the first.
     """
-    each = found.select("id", "tag", F.explode(F.arrays_zip("gram", "at")).alias("x")).select("id", "tag", "x.gram", "x.at")
+    each = found.select("row", F.explode(F.arrays_zip("gram", "at")).alias("x")).select("row", "x.gram", "x.at")
     repeated = written(each.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("gram"), "repeated")
-    # Rows that repeat id and text have the same places.
-    marks = each.join(repeated, "gram", "left_semi").groupBy("id", "tag").agg(F.collect_set(F.struct("at", "gram")).alias("marks"))
-    names = ["id", "tag", "at", "gram", "digest", "back", "ahead", "content"]
-    types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.binary()]
+    marks = each.join(repeated, "gram", "left_semi").groupBy("row").agg(F.collect_list(F.struct("at", "gram")).alias("marks"))
+    # Rows that repeat id and text have the same places, and each meets those of all of them: one is enough.
+    named = found.select("row", "id", "tag").join(marks, "row").groupBy("id", "tag").agg(F.min(F.struct("row", "marks")).alias("m"))
+    named = named.select("id", "tag", "m.row", "m.marks")
+    names = ["row", "at", "gram", "digest", "back", "ahead", "content"]
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.binary()]
 
     def as_batch(out: list[tuple]) -> pa.RecordBatch:
         cols = list(zip(*out)) if out else [[]] * len(names)
@@ -131,19 +136,21 @@ def segments(rows: DataFrame, found: DataFrame, width: int) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, 256):
             out = []
-            for i, tag, text, own in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts(batch.column(2)), batch.column(3)):
+            for row, text, own in zip(batch.column(0).to_pylist(), texts(batch.column(1)), batch.column(2)):
                 at, gram = (own.values.field(k).to_numpy() for k in ("at", "gram"))
                 for place, h in sorted(zip(at.tolist(), gram.tolist())):
                     p, back, ahead = place >> 16, place >> 8 & 255, place & 255
                     content = text[p - back:p - ahead + width]
-                    out.append((i, tag, place, h, hashlib.blake2b(content, digest_size=16, salt=bytes((back, ahead))).digest(), back, ahead, content))
+                    out.append((row, place, h, hashlib.blake2b(content, digest_size=16, salt=bytes((back, ahead))).digest(), back, ahead, content))
                     if len(out) == ROWS:
                         yield as_batch(out)
                         out = []
             yield as_batch(out)
 
-    schema = "id bigint, tag bigint, at bigint, gram bigint, digest binary, back int, ahead int, content binary"
-    return written(rows.join(marks, ["id", "tag"]).select("id", "tag", "text", "marks").mapInArrow(cut, schema), "segments")
+    schema = "row bigint, at bigint, gram bigint, digest binary, back int, ahead int, content binary"
+    cut_out = written(rows.join(named, ["id", "tag"]).select("row", "text", "marks").mapInArrow(cut, schema), "segments")
+    dropped(repeated)
+    return cut_out
 
 
 def columns_of(content: list[bytes], back: np.ndarray, width: int, gram: int) -> np.ndarray:
@@ -272,14 +279,22 @@ def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
              bucket: int = BUCKET, hot: int = HOT) -> DataFrame:
     """(id, tag, spans): of every text with repeated windows, where runs of them start and where the last one's bytes end."""
     rows = keyed(docs, id_col, text_col)
-    cut = segments(rows, anchored(rows, width, gram), width)
+    anchors_of = anchored(rows, width, gram)
+    cut = segments(rows, anchors_of, width)
+    names = written(anchors_of.select("row", "id", "tag"), "rows")
+    dropped(anchors_of)
     classes = written(cut.groupBy("gram", "digest", "back", "ahead", "content").agg(F.count(F.lit(1)).alias("n"))
                       .withColumn("lo", F.lit(0)).withColumn("hi", F.lit(width - gram)), "classes")
     found = written(repeated_windows(classes, width, gram, bucket, hot), "found")
+    dropped(classes)
     start = F.expr("shiftright(at, 16) - (shiftright(at, 8) & 255)")
     spans = F.expr(f"transform(runs, r -> named_struct('start', start + r.a, 'end', start + r.b + {width}))")
-    return (cut.select("id", "tag", "digest", start.alias("start")).join(found, "digest")
-            .select("id", "tag", F.explode(spans).alias("span")).groupBy("id", "tag").agg(F.sort_array(F.collect_set("span")).alias("spans")))
+    by_row = (cut.select("row", "digest", start.alias("start")).join(found, "digest")
+              .select("row", F.explode(spans).alias("span")).groupBy("row").agg(F.sort_array(F.collect_set("span")).alias("spans")))
+    # Rows that repeat id and text come from one of them: their lists are the same.
+    done = written(by_row.join(names, "row").select("id", "tag", "spans").dropDuplicates(["id", "tag"]), "spans")
+    dropped(cut, found, names)
+    return done
 
 
 def clean(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, gram: int = GRAM,
@@ -287,7 +302,7 @@ def clean(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width
     """(row, kept, n_bytes, n_removed, spans): ``keep`` (default: the whole input row), the remaining bytes, and the removed runs."""
     if gram & (gram - 1) or not gram <= width <= gram + 255:
         raise ValueError("gram must be a power of two, at most width and at least width - 255")
-    whole = keep if keep is not None else F.struct(*[docs[f"`{c.replace('`', '``')}`"] for c in docs.columns])
+    whole = keep if keep is not None else whole_row(docs)
     rows = keyed(docs, id_col, text_col, whole.alias("row"))
     marked = rows.join(removals(docs, id_col, text_col, width, gram, bucket, hot), ["id", "tag"], "left").select("row", "text", "spans")
     run = pa.struct([("start", pa.int64()), ("end", pa.int64())])
