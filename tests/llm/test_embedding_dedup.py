@@ -90,3 +90,47 @@ def test_list_decoding_finds_every_exceeding_filter(count):
             assert set(found.tolist()) == above
         else:
             assert set(found.tolist()) == set(np.argsort(-own, kind="stable")[:code.least].tolist())
+
+
+def brute_rows(rows):
+    """Rows that repeat an id are one node: links of each of its distinct vectors, counted by rows."""
+    ok = [(i, label, tuple(v)) for i, v, label in rows if v is not None and label is not None and any(v)]
+
+    def near(a, b):
+        va, vb = np.array(a, np.float32).astype(float), np.array(b, np.float32).astype(float)
+        return va.size == vb.size and va @ vb / np.linalg.norm(va) / np.linalg.norm(vb) >= 0.98
+
+    links, count = [], {}
+    for i, label, v in set(ok):
+        mine = [j for j, other, w in ok if other == label and (w == v or near(v, w))]
+        links += [(i, j) for j in mine]
+        count[i] = count.get(i, 0) + len(mine) - 1
+    every = {i for i, _, _ in rows}
+    found = smallest_reachable(every, links)
+    return {(i, count.get(i, 0), found[i], found[i] == i) for i in every}
+
+
+def test_repeated_ids_with_different_vectors(spark):
+    rng = np.random.default_rng(3)
+    x, y = rng.standard_normal((2, 32))
+    near = lambda v: (v + 0.01 * rng.standard_normal(32)).astype(np.float32).tolist()
+    three = [(1, x.tolist(), 0), (1, y.tolist(), 0), (2, near(x), 0), (3, near(y), 0)]
+    rows = [(i, np.array(v, np.float32).tolist(), label) for i, v, label in three]
+    assert {tuple(r)[:2] for r in embedding_dedup.groups(spark.createDataFrame(rows, SCHEMA)).collect()} == {(1, 2), (2, 1), (3, 1)}
+    more = rows + [(5, rows[0][1], 0), (5, None, 0), (6, rows[0][1], 0), (6, rows[1][1], 1), (7, near(y), 1), (7, rows[2][1], 0), (8, None, 1), (9, rows[1][1], None),
+                   (10, near(rng.standard_normal(32)), 0), (10, near(rng.standard_normal(32)), 0)]
+    got = embedding_dedup.groups(spark.createDataFrame(more, SCHEMA))
+    assert got.count() == len(more) and {tuple(r) for r in got.collect()} == brute_rows(more)
+
+
+@pytest.mark.parametrize("vectors", [10**4, 10**6, 10**8, 10**10])
+def test_recall_of_shared_filters_by_size(vectors):
+    code = ProductCode(64, vectors * embedding_dedup.LIST // embedding_dedup.MEETING)
+    rng = np.random.default_rng(5)
+    a = embedding_dedup.units_of(rng.standard_normal((150, 64)))
+    side = rng.standard_normal((150, 64))
+    side = embedding_dedup.units_of(side - (side * a).sum(axis=1, keepdims=True) * a)
+    b = 0.98 * a + np.sqrt(1 - 0.98**2) * side
+    shared = [np.intersect1d(x, y).size for x, y in zip(code.decode(a), code.decode(b))]
+    print(vectors, np.mean(np.array(shared) > 0), np.mean(shared))
+    assert np.mean(np.array(shared) > 0) >= 0.98
