@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martforge.llm.common import release, small_batches, texts
+from martforge.llm.common import release, small_batches, texts, whole_row
 
 ORDER = 3
 #: About so many training texts of each language, however large the table is.
@@ -216,7 +216,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
 
 def detect(docs: DataFrame, model: Model, text_col: str = "text", keep: list[Column] | None = None) -> DataFrame:
     """lang_pred and score of every whole text, beside the ``keep`` columns (default: the whole row)."""
-    kept = [F.struct(*docs.columns).alias("row")] if keep is None else keep
+    kept = [whole_row(docs)] if keep is None else keep
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the sample, not by the corpus
     letter = F.coalesce(F.col(text_col).rlike("\\p{L}"), F.lit(False))
     rows = docs.select(*kept, F.when(letter, F.col(text_col)).alias("__text"))

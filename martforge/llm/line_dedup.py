@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martforge.llm.common import small_batches, texts, written
+from martforge.llm.common import small_batches, texts, whole_row, written
 
 WINDOW = 3
 AVERAGE = 4
@@ -148,7 +148,7 @@ def clean(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least
     """(row, text, n_lines, removed_lines): ``keep`` (default: the whole input row) and the text without repeated chunks or passages."""
     if passages and least != PAIR:
         raise ValueError(f"passages are compared from {PAIR} lines on, not {least}")
-    whole = keep if keep is not None else F.struct(*[docs[f"`{c.replace('`', '``')}`"] for c in docs.columns])
+    whole = keep if keep is not None else whole_row(docs)
     text = F.col(text_col).cast("string")
     rows = docs.select(whole.alias("row"), key(id_col).alias("id"), copy_of(text, passages).alias("copy"), text.alias("text"))
     marked = rows.join(removals(docs, id_col, text_col, least, passages, digest), ["id", "copy"], "left").select("row", "text", "drop")
