@@ -6,8 +6,8 @@ f(p, q) = floor((p - q)^2 / q) over terms, where p depends only on the source
 and the term's count there (its level). So a pair of sources is priced from the table
 "how many terms have level a here and level b there":
 
-1. Tasks count terms and documents per (language, source), combined in the
-   task first; terms in at least ``LEAST_DOCS`` documents of the language are kept.
+1. Tasks count terms by source and documents by language, combined in the
+   task first, and send each term once with its sources; terms in at least ``LEAST_DOCS`` documents of the language are kept.
 2. Indicator columns: one for each (source, count > 0) that a block of ``BLOCK``
    terms holds, one row per term. The product of the transpose with the matrix has, for two
    columns, the number of terms that are 1 in both: all joint tables of the block at
@@ -32,6 +32,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -50,56 +51,72 @@ RANKS = 200
 BLOCK = 256
 COLUMNS = 1024
 #: Terms a task holds before it passes their counts on, and joint cells.
-HELD_TERMS = 300_000
+HELD_TERMS = 1_000_000
 HELD_CELLS = 1 << 20
+#: Rows of one Arrow batch of terms.
+ROWS = 1 << 16
 #: Runs of letters: any byte beyond ASCII, and a-z once A-Z are lower-cased.
 TERM = re.compile(rb"[a-z\x80-\xff]+")
 
 
 def tally(docs: DataFrame, text_col: str, lang_col: str, source_col: str) -> DataFrame:
-    """(lang, source, term, n, docs): occurrences and documents; one row with a null term for each (lang, source)."""
-    names = ["lang", "source", "term", "n", "docs"]
-
-    def rows_of(held: dict[tuple, tuple[Counter, Counter]], groups: Counter) -> pa.RecordBatch:
-        cols: list[list] = [[], [], [], [], []]
-        for (lang, source), (n, in_docs) in held.items():
-            for col, more in zip(cols, ([lang] * len(n), [source] * len(n), n.keys(), n.values(), map(in_docs.__getitem__, n))):
-                col.extend(more)
-        for (lang, source), d in groups.items():
-            for col, x in zip(cols, (lang, source, None, 0, d)):
-                col.append(x)
-        kinds = (pa.string(), pa.string(), pa.binary(), pa.int64(), pa.int64())
-        arrays = [pa.array(c, t) for c, t in zip(cols, kinds)]
-        arrays[2] = arrays[2].cast(pa.string())
-        return pa.RecordBatch.from_arrays(arrays, names=names)
+    """(lang, term, docs, total, held): documents and occurrences in the language, and (source, n) of each source that has the term.
+
+    One row with a null term for each language holds all its sources. A task sends a term once with its sources, and
+    sums over tasks are taken source by source before they are put into a row.
+    """
+    names = ["lang", "term", "docs", "held"]
+    entry = pa.struct([("source", pa.string()), ("n", pa.int64())])
+
+    def rows_of(held: dict[str, dict[str, Counter]], in_docs: dict[str, Counter]) -> Iterator[pa.RecordBatch]:
+        for lang, sources in held.items():
+            number = {term: i for i, term in enumerate(in_docs[lang])}
+            at = np.concatenate([np.fromiter(map(number.__getitem__, n), np.int64, len(n)) for n in sources.values()])
+            count = np.concatenate([np.fromiter(n.values(), np.int64, len(n)) for n in sources.values()])
+            source = np.repeat(np.arange(len(sources)), [len(n) for n in sources.values()])
+            order = np.argsort(at, kind="stable")
+            known = pa.array(list(sources), pa.string())
+            for start in range(0, len(number), ROWS):
+                end = min(start + ROWS, len(number))
+                here = order[np.searchsorted(at[order], start):np.searchsorted(at[order], end)] if len(number) > ROWS else order
+                ends = np.concatenate(([0], np.cumsum(np.bincount(at[here] - start, minlength=end - start))))
+                entries = pa.StructArray.from_arrays([known.take(pa.array(source[here])), pa.array(count[here])], fields=list(entry))
+                terms = pa.array(islice(number, start, end), pa.binary()).cast(pa.string())
+                docs_of = pa.array(islice(in_docs[lang].values(), start, end), pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * (end - start), pa.string()), terms, docs_of,
+                                                  pa.ListArray.from_arrays(pa.array(ends, pa.int32()), entries)], names=names)
+            every = [{"source": x, "n": 0} for x in sources]
+            yield pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([None], pa.string()), pa.array([0], pa.int64()),
+                                              pa.array([every], pa.list_(entry))], names=names)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release()
-        held: dict[tuple, tuple[Counter, Counter]] = {}
-        groups: Counter = Counter()
+        held: dict[str, dict[str, Counter]] = {}
+        in_docs: dict[str, Counter] = {}
         for batch in small_batches(batches, 512):
             for lang, source, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts(batch.column(2))):
                 terms = TERM.findall(text.lower())  # bytes.lower() changes A-Z alone
-                groups[lang, source] += 1
-                n, in_docs = held.setdefault((lang, source), (Counter(), Counter()))
-                n.update(terms)
-                in_docs.update(set(terms))
-            if sum(len(n) for n, _ in held.values()) > HELD_TERMS:
-                yield rows_of(held, groups)
-                held, groups = {}, Counter()
-        yield rows_of(held, groups)
+                held.setdefault(lang, {}).setdefault(source, Counter()).update(terms)
+                in_docs.setdefault(lang, Counter()).update(set(terms))
+            if sum(len(n) for sources in held.values() for n in sources.values()) > HELD_TERMS:
+                yield from rows_of(held, in_docs)
+                held, in_docs = {}, {}
+        yield from rows_of(held, in_docs)
 
     empty = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
     rows = docs.select(empty(lang_col).alias("lang"), empty(source_col).alias("source"), empty(text_col).alias("text"))
-    counted = rows.mapInArrow(count, "lang string, source string, term string, n bigint, docs bigint")
-    return counted.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    counted = rows.mapInArrow(count, "lang string, term string, docs bigint, held array<struct<source:string,n:bigint>>")
+    # One exchange: all that follows groups by language and term first. The documents of a task's term stand at its first source.
+    each = counted.repartition("lang", "term").select("lang", "term", "docs", F.posexplode("held").alias("i", "h")).select(
+        "lang", "term", F.when(F.col("i") == 0, F.col("docs")).otherwise(F.lit(0).cast("bigint")).alias("docs"), "h.source", "h.n")
+    by_source = each.groupBy("lang", "term", "source").agg(F.sum("docs").alias("docs"), F.sum("n").alias("n"))
+    return by_source.groupBy("lang", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("total"),
+                                                 F.sort_array(F.collect_list(F.struct("source", "n"))).alias("held"))
 
 
 def kept_terms(counts: DataFrame, least_docs: int = LEAST_DOCS) -> DataFrame:
-    """(lang, term, total, held): the kept terms with their count in the language and (source, n) of each source that has them."""
-    return (counts.filter("term IS NOT NULL").groupBy("lang", "term")
-            .agg(F.sum("docs").alias("docs"), F.sum("n").alias("total"), F.sort_array(F.collect_list(F.struct("source", "n"))).alias("held"))
-            .filter(F.col("docs") >= least_docs).drop("docs"))
+    """(lang, term, total, held): the terms in at least ``least_docs`` documents of their language."""
+    return counts.filter(F.col("term").isNotNull() & (F.col("docs") >= least_docs)).drop("docs")
 
 
 def joint_tables(kept: DataFrame, block: int = BLOCK, columns: int = COLUMNS) -> DataFrame:
@@ -204,7 +221,8 @@ def audit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sourc
     own = kept.select("lang", F.explode("held").alias("h")).groupBy("lang", F.col("h.source").alias("source")).agg(F.sum("h.n").alias("n"))
     zero = F.lit(0).cast("bigint")
     # One row per source and language: what every price needs besides the counts.
-    groups = written(counts.filter("term IS NULL").select("lang", "source").join(own, ["lang", "source"], "left").join(langs, "lang", "left")
+    sources = counts.filter("term IS NULL").select("lang", F.explode("held.source").alias("source"))
+    groups = written(sources.join(own, ["lang", "source"], "left").join(langs, "lang", "left")
                      .select("lang", "source", F.coalesce("v", zero).alias("v"), (F.coalesce("n", zero) + F.coalesce("v", zero)).alias("size"),
                              (F.coalesce("all_n", zero) + F.coalesce("v", zero)).alias("all_size")), "groups")
     out = ["lang", "source", "part", "item", "value", "rank"]
