@@ -58,6 +58,30 @@ def wrapped(docs: DataFrame, **columns: Column) -> DataFrame:
     return docs.select(whole_row(docs), *[c.alias(k) for k, c in columns.items()])
 
 
+#: A key is hot where it holds more than one in ``HOT`` of the rows, so there are fewer than ``HOT`` hot keys.
+HOT = 4096
+#: Tasks over which the rows of a hot key spread.
+SPREAD = 64
+
+
+def spread_join(many: DataFrame, one: DataFrame, on: str | list[str], times: str, hot: int = HOT, spread: int = SPREAD) -> DataFrame:
+    """``many`` joined with ``one`` by ``on``, without ``times``; rows of a hot key spread over ``spread`` tasks.
+
+    ``one`` is a written table with a row per key, whose column ``times`` says how many rows of ``many`` have it.
+    Only the hot keys, fewer than ``hot`` rows whatever the data, are broadcast, to salt ``many``; ``one`` repeats
+    their rows once per salt. All other rows have salt 0 and join as ever.
+    """
+    keys = [on] if isinstance(on, str) else on
+    total = one.agg(F.sum(times)).first()[0] or 0
+    is_hot = F.col(times).cast("decimal(38,0)") * hot > total
+    marks = one.filter(is_hot).select(*keys, F.lit(True).alias("__hot"))
+    salted = (many.join(F.broadcast(marks), keys, "left")
+              .withColumn("__salt", F.when(F.col("__hot"), F.pmod(F.monotonically_increasing_id(), F.lit(spread)).cast("int"))
+                          .otherwise(F.lit(0))).drop("__hot"))
+    each = one.withColumn("__salt", F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(spread - 1))).otherwise(F.array(F.lit(0)))))
+    return salted.join(each.drop(times), [*keys, "__salt"]).drop("__salt")
+
+
 def words(text) -> list[bytes]:
     """Words of a text (str, bytes or None) between the contract's white space, A-Z in lower case."""
     if text is None:

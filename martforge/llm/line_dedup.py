@@ -1,29 +1,30 @@
-"""Removing repeated multi-line chunks with content-defined boundaries.
-
-A text is its lines between line feeds. Each line is hashed, and a rolling hash
-over the last ``WINDOW`` line hashes ends a chunk where it is divisible by
-``AVERAGE``: boundaries depend on nearby lines alone, so a passage that is
-shifted by other lines is cut alike after its first lines. Chunks of at least
-``LEAST`` lines that occur again anywhere in the corpus, byte for byte, are
-removed; the occurrence in the smallest document id, then the first in it, stays.
-
-Chunks miss what their boundaries cut: a short passage, and the ends of a longer
-one. ``passages`` compares all pairs of adjacent lines instead: a line goes if it
-and a neighbour stand together earlier, so a shared passage of two lines or more
-goes whole at any offset. Every chunk that repeats consists of such pairs. A pair
-that overlaps its own first occurrence (equal lines in a row) is not a repeat, so
-of a run of equal lines two stay; the first occurrence of every line stays.
-
-Equal chunks are found by digest and compared by content: both are in the grouping
+"""Removing repeated multi-line passages by chunks with content-defined boundaries.
+
+A text is its lines between line feeds. A line goes if it and a neighbouring line
+stand together earlier: in a smaller document id, or further up in the same
+document without sharing a line with that place. So a passage of two lines or more
+goes whole at any offset, its first occurrence stays, and of a run of equal lines
+two stay. Two comparisons find this:
+
+1. Each line is hashed, and a rolling hash over the last ``WINDOW`` line hashes ends
+   a chunk where it is divisible by ``AVERAGE``: boundaries depend on nearby lines
+   alone, so a passage that is shifted by other lines is cut alike after its first
+   lines. Chunks of at least ``LEAST`` lines that stand earlier, byte for byte, go.
+2. Boundaries cut through short passages and the ends of long ones. Pairs of adjacent
+   lines that lie in no chunk of step 1 are compared alike, and those that stand
+   earlier go. The first occurrence of a pair never lies in a chunk that goes, so
+   what step 1 leaves is all that step 2 has to see.
+
+Equal parts are found by digest and compared by content: both are in the grouping
 key, combined inside each task first. Where a digest stands for several contents (a
-collision), its occurrences are joined by content.
+collision), its occurrences are joined by content. Occurrences of very frequent parts
+are spread over many tasks.
 
 Defined cases: a null text stays null and has no lines; an empty text has one
 empty line; a last line feed makes an empty last line, and a carriage return
-belongs to its line; rows that repeat an id are the same occurrence (with
-``passages``: rows that repeat id and text; of one id, texts rank by SHA-256); rows
-without an id rank last. An empty table gives no rows. Extra columns are
-carried by ``clean`` and never read.
+belongs to its line; rows that repeat id and text are the same occurrence, and of
+one id, texts rank by SHA-256; rows without an id rank last. An empty table gives no
+rows. Extra columns are carried by ``clean`` and never read.
 """
 
 from __future__ import annotations
@@ -35,18 +36,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martforge.llm.common import small_batches, texts, whole_row, written
+from martforge.llm.common import small_batches, spread_join, texts, whole_row, written
 
 WINDOW = 3
 AVERAGE = 4
 LEAST = 2
 #: The base of the rolling hash, modulo 2^32.
 BASE = 31
-#: Lines of the pairs that ``passages`` compares.
-PAIR = 2
 #: Rows of one Arrow batch of occurrences.
 ROWS = 1 << 14
 _LAST = (1 << 63) - 1
+#: A part of a text: its first line's number, its number of lines, its bytes.
+Part = tuple[int, int, bytes]
 
 
 def line_hash(line: bytes) -> int:
@@ -69,106 +70,114 @@ def chunks(text: bytes, window: int = WINDOW, average: int = AVERAGE) -> list[li
     return out
 
 
-def pairs(text: bytes) -> list[list[bytes]]:
-    """All adjacent lines of a text, two by two."""
+def chunk_parts(text: bytes, _: list[dict]) -> Iterator[Part]:
+    """The chunks of at least ``LEAST`` lines."""
+    at = 0
+    for lines in chunks(text):
+        if len(lines) >= LEAST:
+            yield at, len(lines), b"\n".join(lines)
+        at += len(lines)
+
+
+def pair_parts(text: bytes, known: list[dict]) -> Iterator[Part]:
+    """All pairs of adjacent lines that do not lie inside a ``known`` chunk."""
     lines = text.split(b"\n")
-    return [lines[i:i + PAIR] for i in range(len(lines) - 1)]
+    inside = {i for c in known for i in range(c["at"], c["at"] + c["n"] - 1)}
+    for i in range(len(lines) - 1):
+        if i not in inside:
+            yield i, 2, lines[i] + b"\n" + lines[i + 1]
 
 
 def md5(content: bytes) -> bytes:
     return hashlib.md5(content, usedforsecurity=False).digest()
 
 
-def occurrences(docs: DataFrame, id_col: str, text_col: str, least: int, content: bool, passages: bool = False,
+def occurrences(rows: DataFrame, parts: Callable[[bytes, list[dict]], Iterator[Part]], content: bool,
                 digest: Callable[[bytes], bytes] = md5) -> DataFrame:
-    """(id, copy, nth, digest) of every chunk of at least ``least`` lines or of every pair, and its content if asked for."""
-    names = ["id", "copy", "nth", "digest", *(["content"] if content else [])]
-    types = [pa.int64(), pa.string(), pa.int64(), pa.binary(), pa.binary()]
+    """(id, copy, at, n, digest) of every part of each text, and its content if asked for."""
+    names = ["id", "copy", "at", "n", "digest", *(["content"] if content else [])]
+    types = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
 
-    def as_batch(rows: list[tuple]) -> pa.RecordBatch:
-        cols = list(zip(*rows)) if rows else [[]] * len(names)
+    def as_batch(found: list[tuple]) -> pa.RecordBatch:
+        cols = list(zip(*found)) if found else [[]] * len(names)
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=names)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, 512):
-            rows = []
-            for ident, copy, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts(batch.column(2))):
-                for nth, lines in enumerate((pairs if passages else chunks)(text) if text is not None else []):
-                    if len(lines) >= least:
-                        whole = b"\n".join(lines)
-                        row = (ident, copy, nth, digest(whole))
-                        rows.append((*row, whole) if content else row)
-                        if len(rows) == ROWS:
-                            yield as_batch(rows)
-                            rows = []
-            yield as_batch(rows)
+            out = []
+            for ident, copy, text, known in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(),
+                                                texts(batch.column(2)), batch.column(3).to_pylist()):
+                for at, n, whole in parts(text, known or []) if text is not None else ():
+                    row = (ident, copy, at, n, digest(whole))
+                    out.append((*row, whole) if content else row)
+                    if len(out) == ROWS:
+                        yield as_batch(out)
+                        out = []
+            yield as_batch(out)
 
-    text = F.col(text_col).cast("string")
-    rows = docs.select(key(id_col), copy_of(text, passages), text)
-    return rows.mapInArrow(cut, "id bigint, copy string, nth bigint, digest binary" + ", content binary" * content)
+    return (rows.select("id", "copy", "text", "known")
+            .mapInArrow(cut, "id bigint, copy binary, at bigint, n bigint, digest binary" + ", content binary" * content))
 
 
 def key(id_col: str) -> Column:
     return F.coalesce(F.col(id_col).cast("bigint"), F.lit(_LAST))
 
 
-def copy_of(text: Column, passages: bool) -> Column:
-    """Tells the texts of one id apart."""
-    return F.coalesce(F.sha2(text, 256), F.lit("")) if passages else F.lit("")
+def copy_of(text: Column) -> Column:
+    """Tells the texts of one id apart: 16 bytes of their SHA-256."""
+    return F.coalesce(F.unhex(F.left(F.sha2(text, 256), F.lit(32))), F.lit(b""))
 
 
-def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST, passages: bool = False,
-             digest: Callable[[bytes], bytes] = md5) -> DataFrame:
-    """(id, copy, drop): the chunk or pair numbers to remove from each document that repeats others."""
+def repeats(rows: DataFrame, parts: Callable[[bytes, list[dict]], Iterator[Part]], apart: int,
+            digest: Callable[[bytes], bytes] = md5) -> DataFrame:
+    """(id, copy, at, n) of the parts that stand earlier, at least ``apart`` lines earlier where in the same text."""
 
     def found(content: bool) -> DataFrame:
-        return occurrences(docs, id_col, text_col, least, content, passages, digest)
+        return occurrences(rows, parts, content, digest)
 
-    def equal(rows: DataFrame) -> DataFrame:
-        return (rows.groupBy("digest", "content")
-                .agg(F.min(F.struct("id", "copy", "nth")).alias("first"), F.count(F.lit(1)).alias("n")))
+    def equal(of: DataFrame) -> DataFrame:
+        return (of.groupBy("digest", "content")
+                .agg(F.min(F.struct("id", "copy", "at")).alias("first"), F.count(F.lit(1)).alias("times")))
 
     repeated = written(equal(found(True)).drop("content").groupBy("digest")
-                       .agg(F.count(F.lit(1)).alias("contents"), F.max("n").alias("n"), F.min("first").alias("first"))
-                       .filter("n > 1").drop("n"), "repeated")
-    again = found(False).join(repeated.filter("contents = 1").drop("contents"), "digest")
+                       .agg(F.count(F.lit(1)).alias("contents"), F.max("times").alias("times"), F.min("first").alias("first"))
+                       .filter("times > 1"), "repeated")
+    again = spread_join(found(False), repeated.filter("contents = 1").drop("contents"), "digest", "times")
     collided = repeated.filter("contents > 1").select("digest")
     if not collided.isEmpty():  # contents that share a digest: their occurrences are joined by content
-        rows = found(True).join(collided, "digest", "left_semi")
-        same = written(equal(rows).filter("n > 1").drop("n"), "collided")
-        again = again.unionByName(rows.join(same, ["digest", "content"]).drop("content"))
-    # The first occurrence, and pairs that share a line with it.
+        own = found(True).join(collided, "digest", "left_semi")
+        same = written(equal(own).filter("times > 1"), "collided")
+        again = again.unionByName(own.join(same, ["digest", "content"]).drop("content", "times"))
     first = ((F.col("id") == F.col("first.id")) & (F.col("copy") == F.col("first.copy"))
-             & (F.col("nth") < F.col("first.nth") + (PAIR if passages else 1)))
-    return again.filter(~first).groupBy("id", "copy").agg(F.collect_set("nth").alias("drop"))
+             & (F.col("at") < F.col("first.at") + apart))
+    return again.filter(~first).select("id", "copy", "at", "n")
 
 
-def clean(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST,
-          keep: Column | None = None, passages: bool = False, digest: Callable[[bytes], bytes] = md5) -> DataFrame:
-    """(row, text, n_lines, removed_lines): ``keep`` (default: the whole input row) and the text without repeated chunks or passages."""
-    if passages and least != PAIR:
-        raise ValueError(f"passages are compared from {PAIR} lines on, not {least}")
+def clean(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: Column | None = None,
+          digest: Callable[[bytes], bytes] = md5) -> DataFrame:
+    """(row, text, n_lines, removed_lines): ``keep`` (default: the whole input row) and the text without repeated passages."""
     whole = keep if keep is not None else whole_row(docs)
     text = F.col(text_col).cast("string")
-    rows = docs.select(whole.alias("row"), key(id_col).alias("id"), copy_of(text, passages).alias("copy"), text.alias("text"))
-    marked = rows.join(removals(docs, id_col, text_col, least, passages, digest), ["id", "copy"], "left").select("row", "text", "drop")
+    rows = docs.select(whole.alias("row"), key(id_col).alias("id"), copy_of(text).alias("copy"), text.alias("text"))
+    place = ["id", "copy"]
+    known = written(repeats(rows.withColumn("known", F.lit(None).cast("array<struct<at: bigint, n: bigint>>")), chunk_parts, 1, digest)
+                    .groupBy(place).agg(F.collect_set(F.struct("at", "n")).alias("known")), "known")
+    cut = written(rows.join(known, place, "left"), "cut")
+    pairs = repeats(cut, pair_parts, 2, digest).groupBy(place).agg(F.collect_set("at").alias("pairs"))
+    marked = cut.join(pairs, place, "left").select("row", "text", "known", "pairs")
 
     def rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, 512):
-            out, lines, gone = [], [], []
-            for text, drop in zip(texts(batch.column(1)), batch.column(2).to_pylist()):
-                if passages:  # one line a part
-                    parts = [[line] for line in text.split(b"\n")] if text is not None else []
-                    drop = {n + k for n in drop or () for k in range(PAIR)}
-                else:
-                    parts = chunks(text) if text is not None else []
-                    drop = set(drop or ())
-                stay = [c for nth, c in enumerate(parts) if nth not in drop]
-                lines.append(sum(map(len, parts)))
-                gone.append(lines[-1] - sum(map(len, stay)))
-                out.append(None if text is None else b"\n".join(line for c in stay for line in c))
+            out, n_lines, gone = [], [], []
+            for text, known, pairs in zip(texts(batch.column(1)), batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+                lines = text.split(b"\n") if text is not None else []
+                drop = {i for c in known or () for i in range(c["at"], c["at"] + c["n"])}
+                drop.update(i + k for i in pairs or () for k in (0, 1))
+                n_lines.append(len(lines))
+                gone.append(len(drop))
+                out.append(None if text is None else b"\n".join(line for i, line in enumerate(lines) if i not in drop))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(out, pa.binary()).cast(pa.string()), pa.array(lines, pa.int64()), pa.array(gone, pa.int64())],
+                [batch.column(0), pa.array(out, pa.binary()).cast(pa.string()), pa.array(n_lines, pa.int64()), pa.array(gone, pa.int64())],
                 names=["row", "text", "n_lines", "removed_lines"])
 
     return marked.mapInArrow(rebuild, marked.select("row", "text").schema.add("n_lines", "long").add("removed_lines", "long"))

@@ -60,12 +60,6 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.length("text").cast("bigint").alias("chars_left"), F.sha2("text", 256).alias("text_sha256"))
 
 
-def op6_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    done = line_dedup.clean(table(spark, sf_dir, "documents"), keep=F.col("doc_id"), passages=True)
-    return done.select(F.col("row").alias("doc_id"), "n_lines", "removed_lines",
-                       F.length("text").cast("bigint").alias("chars_left"), F.sha2("text", 256).alias("text_sha256"))
-
-
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = toxicity.train(docs, labels.filter(language_id.fold(F.col("doc_id"), 5) != 0))
@@ -127,11 +121,12 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op13_centroids": op13_centroids,
 }
 
-#: Second forms of an operator; the first form of each, in REGISTRY, keeps the result of its SQL twin.
+#: Earlier names of queries, kept.
 SECOND: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op6_passages": op6_passages,
+    "op6_passages": op6_line_dedup,
 }
 
+
 def _centroid_rounds(rounds: int = 10) -> str:
     """The rounds of clustering one after the other, each as two tables: assignments, then centroids by component."""
     near = """a{r} AS MATERIALIZED (
@@ -232,23 +227,20 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(content) AS
 WITH lines AS (
     SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i
     FROM documents
-), hashed AS (
-    SELECT *, ('0x' || substr(md5(line), 1, 8))::BIGINT AS h FROM lines
-), rolled AS (
-    SELECT doc_id, i, line, ((coalesce(lag(h, 2) OVER w, 0) * 961 + coalesce(lag(h) OVER w, 0) * 31 + h) % 4294967296) % 4 = 0 AS ends
-    FROM hashed WINDOW w AS (PARTITION BY doc_id ORDER BY i)
-), numbered AS (
-    SELECT doc_id, i, line, coalesce(sum(ends::INT) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS nth
-    FROM rolled
-), chunk AS (
-    SELECT doc_id, nth, count(*) AS n, string_agg(line, chr(10) ORDER BY i) AS content FROM numbered GROUP BY 1, 2
+), pair AS (
+    SELECT doc_id, i, line || chr(10) || lead(line) OVER (PARTITION BY doc_id ORDER BY i) AS content FROM lines
+), again AS (
+    -- Pairs that stand earlier, and share no line with that place.
+    SELECT doc_id, i FROM (
+        SELECT doc_id, i, first_value(doc_id) OVER w AS first_doc, first_value(i) OVER w AS first_i
+        FROM pair WHERE content IS NOT NULL WINDOW w AS (PARTITION BY content ORDER BY doc_id, i))
+    WHERE first_doc < doc_id OR first_i + 2 <= i
 ), gone AS (
-    SELECT doc_id, nth FROM (
-        SELECT *, row_number() OVER (PARTITION BY content ORDER BY doc_id, nth) AS copy FROM chunk WHERE n >= 2) WHERE copy > 1
+    SELECT doc_id, i FROM again UNION SELECT doc_id, i + 1 FROM again
 ), cleaned AS (
-    SELECT doc_id, count(*) AS n_lines, count(gone.nth) AS removed_lines,
-           coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (gone.nth IS NULL), '') AS rest
-    FROM numbered LEFT JOIN gone USING (doc_id, nth) GROUP BY doc_id
+    SELECT doc_id, count(*) AS n_lines, count(gone.i) AS removed_lines,
+           coalesce(string_agg(line, chr(10) ORDER BY lines.i) FILTER (gone.i IS NULL), '') AS rest
+    FROM lines LEFT JOIN gone USING (doc_id, i) GROUP BY doc_id
 )
 SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(removed_lines, 0) AS removed_lines,
        CASE WHEN d.text IS NOT NULL THEN length(rest) END AS chars_left,
@@ -346,3 +338,4 @@ SELECT * FROM (
 WHERE part = 'pair' OR rank <= 200""",
     "op13_centroids": _centroid_rounds(),
 }
+ORACLE["op6_passages"] = ORACLE["op6_line_dedup"]

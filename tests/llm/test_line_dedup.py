@@ -10,16 +10,38 @@ from martforge.llm import line_dedup, queries
 
 
 def brute(table):
-    cut = {i: (line_dedup.chunks(t.encode()) if t is not None else []) for i, t in table}
-    first = {}
-    for i in sorted(cut):
-        for nth, c in enumerate(cut[i]):
-            if len(c) >= 2:
-                first.setdefault(tuple(c), (i, nth))
-    out = {}
-    for i, own in cut.items():
-        stay = [c for nth, c in enumerate(own) if len(c) < 2 or first[tuple(c)] == (i, nth)]
-        out[i] = b"\n".join(x for c in stay for x in c).decode()
+    """Lines that stand with a neighbour earlier in the table go, unless the pair overlaps its own first occurrence."""
+    first, out = {}, []
+    for at, (_, text) in enumerate(table):
+        lines, gone = (text or "").split("\n"), set()
+        for i, pair in enumerate(zip(lines, lines[1:])):
+            where = first.setdefault(pair, (at, i))
+            if where[0] < at or where[1] + 1 < i:
+                gone |= {i, i + 1}
+        out.append("\n".join(x for i, x in enumerate(lines) if i not in gone))
+    return out
+
+
+def left(spark, table, **how):
+    """Texts that remain, in the order of the table."""
+    got = line_dedup.clean(docs(spark, table, CLASHING), **how).collect()
+    for r in got:
+        text = r["row"]["text"]
+        assert r["n_lines"] == (text.count("\n") + 1 if text is not None else 0)
+        assert (r["text"] or "").count("\n") + 1 >= r["n_lines"] - r["removed_lines"] >= 0
+        assert (r["text"] is None) == (text is None)
+    texts = {r["row"]["doc_id"]: r["text"] or "" for r in got}
+    return [texts[i] for i, _ in table]
+
+
+def chunks_alone(table):
+    """Lines that go by chunks alone, of each document."""
+    first, out = {}, {}
+    for i, text in table:
+        out[i] = 0
+        for nth, c in enumerate(line_dedup.chunks(text.encode()) if text is not None else []):
+            if len(c) >= 2 and first.setdefault(tuple(c), (i, nth)) != (i, nth):
+                out[i] += len(c)
     return out
 
 
@@ -34,13 +56,24 @@ def texts(seed):
     return out
 
 
-def test_repeats_go_and_the_first_occurrence_stays(spark):
-    table = list(enumerate(texts(1))) + [(500, None), (501, ""), (502, "\n\n\n"), (503, "a\r\nb\r\n"), (504, "\n" * 50), (-1, "same\n" * 40)]
-    got = line_dedup.clean(docs(spark, table, CLASHING))
-    assert {r["row"]["doc_id"]: r["text"] or "" for r in got.collect()} == brute(table)
-    removed = {r["row"]["doc_id"]: r["removed_lines"] for r in got.collect()}
+def test_passages_equal_brute_force(spark):
+    rng = random.Random(3)
+    table = [(-1, "same\n" * 40), *enumerate(texts(1)), (500, None), (501, ""), (502, "\n\n\n"), (503, "a\r\nb\r\n"), (504, "\n" * 50),
+             (505, "same\n" * 40)]
+    table += [(600 + i, "\n".join(rng.choice(["", "a", "b", "c d"]) for _ in range(rng.randint(1, 12)))) for i in range(80)]
+    assert left(spark, table) == brute(table)
+
+
+def test_chunks_find_most_of_a_long_passage():
     # Boundaries meet again a few lines into the shared passage, wherever it begins.
-    assert Counter(removed[i] > 8 for i in range(80) if i % 3)[True] >= 50
+    gone = chunks_alone(list(enumerate(texts(1))))
+    assert Counter(gone[i] > 8 for i in range(80) if i % 3)[True] >= 50
+
+
+def test_pairs_are_compared_only_outside_known_chunks():
+    text = b"a\nb\nc\nd\ne"
+    assert [(at, part) for at, _, part in line_dedup.pair_parts(text, [{"at": 1, "n": 3}])] == [(0, b"a\nb"), (3, b"d\ne")]
+    assert len(list(line_dedup.pair_parts(text, []))) == 4 and not list(line_dedup.pair_parts(b"alone", []))
 
 
 def test_repeated_rows_null_ids_and_long_texts(spark):
@@ -63,29 +96,6 @@ def test_chunks_hold_the_text(lines):
     assert b"\n".join(x for c in line_dedup.chunks(text) for x in c) == text
 
 
-def brute_passages(table):
-    """Lines that stand with a neighbour earlier in the table go, unless the pair overlaps its own first occurrence."""
-    first, out = {}, []
-    for at, (_, text) in enumerate(table):
-        lines, gone = (text or "").split("\n"), set()
-        for i, pair in enumerate(zip(lines, lines[1:])):
-            where = first.setdefault(pair, (at, i))
-            if where[0] < at or where[1] + 1 < i:
-                gone |= {i, i + 1}
-        out.append("\n".join(x for i, x in enumerate(lines) if i not in gone))
-    return out
-
-
-def passages_left(spark, table):
-    got = line_dedup.clean(docs(spark, table, CLASHING), passages=True).collect()
-    left = {r["row"]["doc_id"]: r["text"] or "" for r in got}
-    for r in got:
-        n = (r["row"]["text"] or "").count("\n") + 1 if r["row"]["text"] is not None else 0
-        kept = n - r["removed_lines"]
-        assert r["n_lines"] == n and len(r["text"].split("\n") if r["text"] else []) <= max(kept, 0)
-    return [left[i] for i, _ in table]
-
-
 def test_short_passages_go_at_any_offset(spark):
     table, own = [], []
     for n in range(2, 7):
@@ -96,36 +106,31 @@ def test_short_passages_go_at_any_offset(spark):
             mine = [f"own {n} {before} {k}" for k in range(before + 3)]
             table.append((len(table), "\n".join(mine[:before] + passage + mine[before:])))
             own.append("\n".join(mine))
-    assert passages_left(spark, table) == own == brute_passages(table)
-
-
-def test_passages_equal_brute_force(spark):
-    rng = random.Random(3)
-    table = list(enumerate(texts(1))) + [(500, None), (501, ""), (502, "\n\n\n"), (503, "a\r\nb\r\n"), (504, "\n" * 50), (505, "same\n" * 40)]
-    table += [(600 + i, "\n".join(rng.choice(["", "a", "b", "c d"]) for _ in range(rng.randint(1, 12)))) for i in range(80)]
-    assert passages_left(spark, table) == brute_passages(table)
+    assert left(spark, table) == own == brute(table)
 
 
 def test_passages_of_repeated_rows_and_null_ids(spark):
     table = [(1, "a\nb"), (2, "c\nd"), (2, "c\nd"), (2, "x\ny\nz"), (None, "a\nb"), (None, "alone\nhere")]
-    got = sorted((r["row"]["doc_id"] or 9, r["text"]) for r in line_dedup.clean(docs(spark, table), passages=True).collect())
+    got = sorted((r["row"]["doc_id"] or 9, r["text"]) for r in line_dedup.clean(docs(spark, table)).collect())
     assert got == [(1, "a\nb"), (2, "c\nd"), (2, "c\nd"), (2, "x\ny\nz"), (9, ""), (9, "alone\nhere")]
-    assert line_dedup.clean(docs(spark, []), passages=True).count() == 0
 
 
-def test_query_of_passages_equals_brute_force(spark, sf):
+def test_query_equals_brute_force(spark, sf):
     table = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").orderBy("doc_id").collect()]
-    got = {r["doc_id"]: r for r in queries.SECOND["op6_passages"](spark, sf).collect()}
-    for (ident, text), left in zip(table, brute_passages(table), strict=True):
-        want = (None, None) if text is None else (len(left), hashlib.sha256(left.encode()).hexdigest())
+    got = {r["doc_id"]: r for r in queries.op6_line_dedup(spark, sf).collect()}
+    for (ident, text), rest in zip(table, brute(table), strict=True):
+        want = (None, None) if text is None else (len(rest), hashlib.sha256(rest.encode()).hexdigest())
         assert (got[ident]["chars_left"], got[ident]["text_sha256"]) == want
-    # More goes than by chunks, and all that goes by chunks.
-    assert all(got[r["doc_id"]]["removed_lines"] >= r["removed_lines"] for r in queries.op6_line_dedup(spark, sf).collect())
+    # All that goes by chunks goes, and more.
+    assert all(got[i]["removed_lines"] >= n for i, n in chunks_alone(table).items())
 
 
 @pytest.mark.parametrize("weak", [lambda x: b"", lambda x: x[-1:]])
 def test_colliding_digests_are_joined_by_content(spark, weak):
     table = list(enumerate(texts(2)))
-    for passages, want in ((False, brute(table)), (True, dict(enumerate(brute_passages(table))))):
-        got = line_dedup.clean(docs(spark, table), passages=passages, digest=weak).collect()
-        assert {r["row"]["doc_id"]: r["text"] for r in got} == want
+    assert left(spark, table, digest=weak) == brute(table)
+
+
+def test_a_line_pair_on_a_third_of_the_rows(spark):
+    table = [(i, f"own {i}\nof\nmine {i}" if i % 3 else f"own {i}\nlicensed under\nthe same terms\nlast {i}") for i in range(600)]
+    assert left(spark, table) == brute(table)
