@@ -65,7 +65,7 @@ SPREAD = 64
 
 
 def spread_join(many: DataFrame, one: DataFrame, on: str | list[str], times: str, hot: int = HOT, spread: int = SPREAD) -> DataFrame:
-    """``many`` joined with ``one`` by ``on``, without ``times``; rows of a hot key spread over ``spread`` tasks.
+    """``many`` joined with ``one`` by ``on``; rows of a hot key spread over ``spread`` tasks.
 
     ``one`` is a written table with a row per key, whose column ``times`` says how many rows of ``many`` have it.
     Only the hot keys, fewer than ``hot`` rows whatever the data, are broadcast, to salt ``many``; ``one`` repeats
@@ -79,7 +79,7 @@ def spread_join(many: DataFrame, one: DataFrame, on: str | list[str], times: str
               .withColumn("__salt", F.when(F.col("__hot"), F.pmod(F.monotonically_increasing_id(), F.lit(spread)).cast("int"))
                           .otherwise(F.lit(0))).drop("__hot"))
     each = one.withColumn("__salt", F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(spread - 1))).otherwise(F.array(F.lit(0)))))
-    return salted.join(each.drop(times), [*keys, "__salt"]).drop("__salt")
+    return salted.join(each, [*keys, "__salt"]).drop("__salt")
 
 
 def words(text) -> list[bytes]:

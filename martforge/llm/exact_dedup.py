@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from martforge.llm.common import WHITE, wrapped, written
+from martforge.llm.common import WHITE, spread_join, wrapped, written
 
 SALTS = 32
 
@@ -64,7 +64,8 @@ def members(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sal
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), digest(content).alias("digest"),
                        content.alias("own"))
     alone, collided = made.filter("content IS NULL").drop("content"), made.filter("content IS NOT NULL")
-    out = rows.drop("own").join(alone, "digest")
+    # A group may hold a third of all rows: those of large groups meet their answer in many tasks.
+    out = spread_join(rows.drop("own"), alone, "digest", "group_size")
     if not collided.isEmpty():  # texts that share a digest: their rows are joined by content
         same = collided.withColumnRenamed("content", "own")
         out = out.unionByName(rows.join(same, ["digest", "own"]).drop("own"))

@@ -44,7 +44,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martforge.llm.common import components, mix64, release, small_batches, texts, words, wrapped, written
+from martforge.llm.common import components, mix64, release, small_batches, spread_join, texts, words, wrapped, written
 
 SHINGLE = 4
 #: Links have 100 * intersection >= PERCENT * union.
@@ -106,11 +106,11 @@ def sketched(docs: DataFrame, shingle: int, k: int, id_col: str, text_col: str)
 def prefixes(classes: DataFrame, k: int, percent: int) -> DataFrame:
     """(cid, n, prefix): the rarest shared values under which each class is posted."""
     values = classes.select("cid", "n", F.explode("sketch").alias("value"))
-    shared = values.groupBy("value").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
+    shared = written(values.groupBy("value").agg(F.count(F.lit(1)).alias("df")).filter("df > 1"), "shared")
     # Sets small enough to be their own sketch share exactly; the others but for MISS.
     need = (F.when(F.col("n") * 100 <= k * percent, F.ceil(F.col("n") * percent / 100))
             .otherwise(F.lit(shared_at_least(k, percent))).cast("int"))
-    held = (values.join(shared, "value").groupBy("cid")
+    held = (spread_join(values, shared, "value", "df").groupBy("cid")
             .agg(F.min("n").alias("n"), F.sort_array(F.collect_list(F.struct("df", "value"))).alias("held")))
     rarest = F.slice("held.value", 1, F.greatest(F.size("held") - need + 1, F.lit(0)))
     return held.select("cid", "n", F.array_distinct(rarest).alias("prefix")).filter(F.size("prefix") > 0)
@@ -267,8 +267,8 @@ def links(docs: DataFrame, classes: DataFrame, shingle: int, k: int, percent: in
     """Verified links (a, b) between classes: enough of them to connect every two linked classes."""
     held = written(prefixes(classes, k, percent), "prefixes")
     posted = held.select(F.explode("prefix").alias("value"), "cid", "n")
-    lists = posted.groupBy("value").agg(F.count(F.lit(1)).alias("m"), F.min("cid").alias("pivot")).filter("m > 1")
-    listed = written(posted.join(lists, "value"), "lists")
+    lists = written(posted.groupBy("value").agg(F.count(F.lit(1)).alias("m"), F.min("cid").alias("pivot")).filter("m > 1"), "pivots")
+    listed = written(spread_join(posted, lists, "value", "m"), "lists")
 
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches):
@@ -288,8 +288,9 @@ def links(docs: DataFrame, classes: DataFrame, shingle: int, k: int, percent: in
     # Lists of two have met in full.
     labelled = (listed.filter("m > 2").join(labels.withColumnRenamed("node", "cid"), "cid", "left")
                 .withColumn("label", F.coalesce("component", "cid")).drop("component"))
-    mixed = labelled.groupBy("value").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("value")
-    rest = written(labelled.join(mixed, "value"), "rest")
+    mixed = written(labelled.groupBy("value").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("times"))
+                    .filter("lo < hi").select("value", "times"), "mixed")
+    rest = written(spread_join(labelled, mixed, "value", "times").drop("times"), "rest")
     short = rest.filter(F.col("m") <= SHORT)
     one, two = short.alias("one"), short.alias("two")
     pairs = (one.join(two, (F.col("one.value") == F.col("two.value")) & (F.col("one.cid") < F.col("two.cid"))
@@ -308,11 +309,11 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shin
     """(doc_id, n_shingles, component_id, kept, digest), one row per input row."""
     rows = written(sketched(docs, shingle, k, id_col, text_col), "sketches")
     named = rows.filter("doc_id IS NOT NULL AND n > 0")
-    classes = written(named.groupBy("digest", "n", "sketch").agg(F.min("doc_id").alias("cid")), "classes")
+    classes = written(named.groupBy("digest", "n", "sketch").agg(F.min("doc_id").alias("cid"), F.count(F.lit(1)).alias("copies")), "classes")
     found = components(links(docs, classes.select("cid", "n", "sketch"), shingle, k, percent, id_col, text_col))
-    by_class = (classes.select("digest", "cid").join(found.withColumnRenamed("node", "cid"), "cid", "left")
-                .select("digest", F.coalesce("component", "cid").alias("component_id")))
-    grouped = named.select("doc_id", "n", "digest").join(by_class, "digest")
+    by_class = written(classes.select("digest", "copies", "cid").join(found.withColumnRenamed("node", "cid"), "cid", "left")
+                       .select("digest", "copies", F.coalesce("component", "cid").alias("component_id")), "by_class")
+    grouped = spread_join(named.select("doc_id", "n", "digest"), by_class, "digest", "copies")
     alone = (rows.filter("doc_id IS NULL OR n = 0").select("doc_id", "n", "digest")
              .withColumn("component_id", F.col("doc_id")))
     same: Column = F.col("doc_id").eqNullSafe(F.col("component_id"))

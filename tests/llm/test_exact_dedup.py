@@ -54,3 +54,9 @@ def test_dedup_keeps_one_row_of_each_group_with_all_columns(spark):
 def test_empty_table(spark):
     assert exact_dedup.members(docs(spark, [])).count() == 0
     assert exact_dedup.dedup(docs(spark, [])).columns == [c.split()[0] for c in DOCS.split(", ")]
+
+
+def test_a_group_with_a_third_of_all_rows(spark):
+    table = [(i, f"copy{' ' * (i % 5)} of one" if i % 3 == 0 else f"own {i}") for i in range(3000)]
+    got = exact_dedup.members(docs(spark, table, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, got), key=str) == brute(table)
