@@ -2,42 +2,71 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from martforge.functions.columns import exact_measure
 from martforge.functions.ids import dense_index
 from martforge.operators import facts
 from martforge.operators.calendar import PERIOD_ID
-from martforge.operators.hierarchy import HierarchySpec
+from martforge.operators.hierarchy import HierarchySpec, bridge
 
 #: Columns of a cell that add up.
 _MEASURES = ("__amt", "__units")
 
 
-def numbered(leaves: DataFrame, key: str, name: str = "__no") -> DataFrame:
-    """(key, name): dense numbers from 0, so that a bitmap bucket holds 32,768 neighbours and no gaps."""
-    return dense_index(leaves.select(key).distinct(), [F.col(key).asc()], name)
+def numbered(leaves: DataFrame, key: str, name: str = "__no", after: tuple[str, ...] = ()) -> DataFrame:
+    """(key, name): dense numbers from 0 in the order of ``after`` (columns of the leaves) and the key."""
+    order = [F.col(c).asc_nulls_first() for c in after]
+    return dense_index(leaves.select(*after, key).distinct(), [*order, F.col(key).asc()], name).drop(*after)
+
+
+def _path(prefix: str, level: int) -> list[str]:
+    return [f"__{prefix}{i}" for i in range(level + 1)]
+
+
+def level_ids(leaves: DataFrame, dim: DataFrame, spec: HierarchySpec, prefix: str) -> DataFrame:
+    """(leaf, ``__<prefix>0`` ..): the node of every level above a leaf, null where it has none. Leaves have one row per key."""
+    found = bridge(leaves, dim, spec).join(dim.select(spec.id_col, spec.level_col), spec.id_col)
+    return found.groupBy(spec.leaf_key).agg(
+        *[F.max(F.when(F.col(spec.level_col) == lvl.name, F.col(spec.id_col))).alias(c)
+          for lvl, c in zip(spec.levels, _path(prefix, len(spec.levels) - 1))])
+
+
+def _cells(words: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per cell: its sums and its stores as (word, bits), 64 neighbours to a word and no word without a store."""
+    return words.groupBy(*keys, PERIOD_ID).agg(
+        *[F.sum(m).alias(m) for m in _MEASURES], F.collect_list(F.struct("__word", "__bits")).alias("__stores"))
 
 
-def leaf_cells(per_store: DataFrame, stores: DataFrame, products: DataFrame, numbers: DataFrame, store_key: str,
-               product_key: str, geography: HierarchySpec, product: HierarchySpec) -> DataFrame:
-    """Cells of the lowest levels: sums and one bitmap of selling stores per bucket.
+def _summed(rows: DataFrame, keys: list[str], bits: Column) -> DataFrame:
+    return rows.groupBy(*keys, PERIOD_ID, "__word").agg(*[F.sum(m).alias(m) for m in _MEASURES], F.bit_or(bits).alias("__bits"))
 
-    Every store's sums are read once; no level above reads them again.
+
+def leaf_cells(sales: DataFrame, stores: DataFrame, products: DataFrame, keys: list[str], store_key: str, product_key: str) -> DataFrame:
+    """Cells of the lowest levels from sales (``__amt``, ``__units``, period), ``stores`` with nodes and ``__no``, and
+    ``products`` with nodes.
+
+    Every sale is read once; no level above reads it again.
     """
-    placed = (per_store.join(stores.select(store_key, *geography.levels[-1].match_columns), store_key)
-              .join(numbers, store_key))
-    sold = placed.join(products.select(*dict.fromkeys([product_key, *product.levels[-1].match_columns])), product_key)
-    paths = [*geography.levels[-1].match_columns, *product.levels[-1].match_columns]
-    return (sold.groupBy(*paths, PERIOD_ID, F.bitmap_bucket_number(F.col("__no")).alias("__bucket"))
-            .agg(*[F.sum(m).alias(m) for m in _MEASURES],
-                 F.bitmap_construct_agg(F.bitmap_bit_position(F.col("__no"))).alias("__stores")))
+    sold = (sales.join(products, product_key).drop(product_key).join(stores, store_key).drop(store_key)
+            .withColumn("__word", F.shiftright("__no", 6)))
+    return _cells(_summed(sold, keys, F.expr("shiftleft(1L, cast(__no & 63 as int))")), keys)
 
 
-def merged(cells: DataFrame, paths: list[str]) -> DataFrame:
-    """Cells of a level above: those below with the same path, sums added and bitmaps united."""
-    return (cells.groupBy(*paths, PERIOD_ID, "__bucket")
-            .agg(*[F.sum(m).alias(m) for m in _MEASURES], F.bitmap_or_agg("__stores").alias("__stores")))
+def merged(cells: DataFrame, keys: list[str]) -> DataFrame:
+    """Cells of a level above: those below with the same nodes, sums added and bitmaps united.
+
+    A cell below moves once, to its cell above, which has at most as many below it as its node has children.
+    """
+    # The sums go with the first word of a cell.
+    once = F.col("__at") == 0
+    moved = cells.select(*keys, PERIOD_ID, *_MEASURES, "__stores").repartition(*keys, PERIOD_ID)
+    words = moved.select(*keys, PERIOD_ID, *_MEASURES, F.posexplode("__stores").alias("__at", "__w")).select(
+        *keys, PERIOD_ID, *[F.when(once, F.col(m)).alias(m) for m in _MEASURES], F.col("__w.__word").alias("__word"), F.col("__w.__bits").alias("__own"))
+    return _cells(_summed(words, keys, F.col("__own")), keys)
 
 
 def cell_levels(leaf: DataFrame, geography: HierarchySpec, product: HierarchySpec, keep) -> dict[tuple[int, int], DataFrame]:
@@ -54,34 +83,35 @@ def cell_levels(leaf: DataFrame, geography: HierarchySpec, product: HierarchySpe
                 cells = leaf
             else:
                 below = out[g, p + 1] if g == low_g else out[g + 1, p]
-                cells = merged(below, [*geography.levels[g].match_columns, *product.levels[p].match_columns])
+                cells = merged(below, [*_path("g", g), *_path("p", p)])
             out[g, p] = keep(cells, f"cells_{g}_{p}")
     return out
 
 
-def _named(cells: DataFrame, dim: DataFrame, spec: HierarchySpec, level: int) -> DataFrame:
-    own = spec.levels[level]
-    nodes = dim.filter(F.col(spec.level_col) == own.name).select(spec.id_col, *own.match_columns)
-    return cells.join(nodes, list(own.match_columns)).drop(*own.match_columns)
-
-
 def rollup_fact_bitmaps(sales: DataFrame, periods: DataFrame, stores: DataFrame, products: DataFrame, dim_geography: DataFrame,
                         dim_product: DataFrame, geography: HierarchySpec, product: HierarchySpec, keep) -> DataFrame:
     """``facts.rollup_fact`` with stores as mergeable sets: (geography_id, hierarchy_id, period_id, sales, units, stores_selling).
 
     ``facts.rollup_fact`` expands every store's sums to all nodes; this form aggregates
     them once and derives each level from the level below, and its cells can be
-    merged further later (other levels, other periods), which counts cannot. A cell takes 4 KB a
-    bucket of 32,768 stores (little of it once compressed), so it pays where cells have many stores.
+    merged further later (other levels, other periods), which counts cannot. Stores are numbered along
+    the geography, so those of a node are neighbours; a cell takes 16 bytes per 64 neighbours of which one sells,
+    never more than 16 per store.
     """
     store_key, product_key = geography.leaf_key, product.leaf_key
-    per_store = facts.presummed(sales, periods, store_key, product_key)
-    numbers = numbered(stores, store_key)
-    leaf = leaf_cells(per_store, stores, products, numbers, store_key, product_key, geography, product)
-    parts = None
+    own = facts.join_periods(sales, periods).select(
+        store_key, product_key, PERIOD_ID, exact_measure("sales_amount", facts.AMOUNT_SCALE).alias("__amt"),
+        exact_measure("sales_units", facts.UNITS_SCALE).alias("__units"))
+    low_g, low_p = len(geography.levels) - 1, len(product.levels) - 1
+    placed = level_ids(stores, dim_geography, geography, "g")
+    placed = placed.join(numbered(placed, store_key, after=tuple(_path("g", low_g))), store_key)
+    leaf = leaf_cells(own, placed, level_ids(products, dim_product, product, "p"),
+                      [*_path("g", low_g), *_path("p", low_p)], store_key, product_key)
+    parts = []
     for (g, p), cells in cell_levels(leaf, geography, product, keep).items():
-        one = _named(_named(cells, dim_geography, geography, g), dim_product, product, p)
-        parts = one if parts is None else parts.unionByName(one)
-    return (parts.groupBy(geography.id_col, product.id_col, PERIOD_ID)
-            .agg(F.sum("__amt").cast("double").alias("sales"), F.sum("__units").cast("double").alias("units"),
-                 F.sum(F.bitmap_count("__stores")).alias("stores_selling")))
+        node = {geography.id_col: F.col(f"__g{g}"), product.id_col: F.col(f"__p{p}")}
+        count = F.aggregate("__stores", F.lit(0).cast("bigint"), lambda n, w: n + F.bit_count(w["__bits"]))
+        parts.append(cells.filter(F.col(f"__g{g}").isNotNull() & F.col(f"__p{p}").isNotNull()).select(
+            *[c.alias(name) for name, c in node.items()], PERIOD_ID, F.col("__amt").cast("double").alias("sales"),
+            F.col("__units").cast("double").alias("units"), count.alias("stores_selling")))
+    return reduce(DataFrame.unionByName, parts)
