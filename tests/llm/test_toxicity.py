@@ -110,3 +110,19 @@ def test_the_whole_training_sample_is_drawn(spark, monkeypatch):
     frame = docs(spark, [(i, f"text {i}") for i in range(14_000)])
     toxicity.train(frame, spark.createDataFrame([(i, 1, int(i % 2)) for i in range(14_000)], LABELS))
     assert abs(sum(taken) - 3000) < 200 and abs(len(taken) - sum(taken) - 5000) < 200
+
+
+def test_fit_learns_from_every_labelled_text(spark):
+    rows, labels = corpus(1200, 3)
+    # One bad word stands in few texts, which a sample of 60 would hardly hold.
+    rows = [(i, t + " zzrarest" if i % 50 == 0 else t, *rest) for i, t, *rest in rows]
+    labels = [(i, 1, 1 if i % 50 == 0 else y) for i, _, y in labels]
+    frame, label = docs(spark, rows), spark.createDataFrame(labels, LABELS)
+    seen = toxicity._counted(toxicity._labelled(frame, label, "doc_id", "text", "lang", "toxic"))
+    whole = sum(n for k, b, n in zip(*(seen.column(c).to_pylist() for c in ("kind", "bucket", "n"))) if k == "1" and b == toxicity.features([b"zzrarest"])[0][0])
+    assert whole >= 24
+    model = toxicity.fit(frame, label, toxic=20, clean=40)
+    got = {r["row"]["doc_id"]: r["predicted"] for r in toxicity.score(frame, model).collect()}
+    assert np.mean([got[i] == y for i, _, y in labels]) > 0.93 and np.mean([got[i] for i in got if i % 50 == 0]) > 0.8
+    again = toxicity.fit(frame, label, toxic=20, clean=40)
+    assert np.allclose(again.network.p["embedding"], model.network.p["embedding"], atol=1e-5)
