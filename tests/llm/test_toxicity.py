@@ -126,3 +126,41 @@ def test_fit_learns_from_every_labelled_text(spark):
     assert np.mean([got[i] == y for i, _, y in labels]) > 0.93 and np.mean([got[i] for i in got if i % 50 == 0]) > 0.8
     again = toxicity.fit(frame, label, toxic=20, clean=40)
     assert np.allclose(again.network.p["embedding"], model.network.p["embedding"], atol=1e-5)
+
+
+def test_rounds_move_no_texts(spark, monkeypatch):
+    """Each round trains every text where it is stored, in as few tasks as asked for, whatever the shuffle partitions are."""
+    rows, labels = corpus(300, 4)
+    stored = toxicity.written(toxicity._labelled(docs(spark, rows), spark.createDataFrame(labels, LABELS), "doc_id", "text", "lang", "toxic"), "labelled")
+    model = toxicity.Classifier([], {})
+    model.network = toxicity.Network(1)
+    monkeypatch.setattr(type(stored), "repartition", None)  # not to be called
+    sent, collect = [], type(stored).collect
+    monkeypatch.setattr(type(stored), "collect", lambda df: sent.append(collect(df)) or sent[-1])
+    first = toxicity._round(stored, model, 1, 2)
+    assert len(sent[0]) <= 2 and sum(r["n"] for r in sent[0]) == 300
+    assert all(np.array_equal(v, first[k]) for k, v in toxicity._round(stored, model, 1, 2).items())
+
+
+def test_sums_by_row_are_those_of_add_at():
+    rng = np.random.default_rng(5)
+    to, of, values = rng.zipf(1.5, 3000) % 40, rng.integers(0, 500, 3000), rng.normal(size=(500, 4))
+    want = np.zeros((40, 4), dtype=np.float32)
+    np.add.at(want, to, values[of])
+    assert np.array_equal(toxicity.summed(to, of, values, want), want)
+    assert not toxicity.summed(to[:0], of[:0], values, want).any()
+
+
+def test_words_are_numbered_by_text():
+    own, at, ends = toxicity.numbered([[b"b", b"a", b"b"], [], [b"c", b"a"]])
+    assert own == [b"b", b"a", b"c"] and at.tolist() == [0, 1, 0, 2, 1] and ends.tolist() == [3, 3, 5]
+    assert toxicity.numbered([[], []])[0] == []
+
+
+def test_a_score_does_not_depend_on_the_texts_beside_it(spark):
+    rows, labels = corpus(300, 6)
+    model = toxicity.train(docs(spark, rows), spark.createDataFrame(labels, LABELS))
+    every = [t.encode() for _, t, *_ in rows] + [None, b""]
+    kept = {}
+    parts = [x for a in range(0, len(every), 70) for x in model.scores(every[a:a + 70], kept)]
+    assert np.allclose(parts, model.scores(every, {}), atol=1e-5)
