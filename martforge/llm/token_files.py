@@ -111,11 +111,14 @@ def expansion_table(first: int, rules: np.ndarray, expansions: np.ndarray) -> tu
     starts = np.concatenate([[0], np.cumsum(lengths)[:-1]]) if lengths.size else np.zeros(0, dtype=np.int64)
     ids = np.zeros(int(lengths.sum()), dtype="<u4")
     ids[:first] = np.arange(first)
-    for i in range(len(rules)):  # a rule's symbols are older than the rule
-        at, (a, b) = starts[first + i], rules[i].tolist()
-        middle = at + lengths[a]
-        ids[at:middle] = ids[starts[a]:starts[a] + lengths[a]]
-        ids[middle:middle + lengths[b]] = ids[starts[b]:starts[b] + lengths[b]]
+    newest = rules.max(axis=1, initial=0).astype(np.int64) - first
+    done = 0
+    while done < len(rules):  # a rule's symbols are older than the rule: all rules at once that need none of each other
+        waits = np.flatnonzero(newest[done:] >= done)
+        upto = done + int(waits[0]) if waits.size else len(rules)
+        made = expand(rules[done:upto].reshape(-1).astype(np.int64), (ids, starts, lengths))
+        ids[starts[first + done]:starts[first + done] + made.size] = made
+        done = upto
     return ids, starts, lengths
 
 
