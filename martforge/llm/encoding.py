@@ -2,7 +2,7 @@
 
 The byte-level and the word-end vocabularies split a text by a fixed pattern
 before merging, so its ids are the ids of the pattern's pieces in order. Pieces
-repeat; each Python worker keeps the ids of the ``MEMO`` pieces used last and has
+repeat; each Python worker keeps the ids of the ``MEMO`` pieces (or as many as asked for) used last and has
 the library's model merge the others. Texts with characters for which Python's
 classes differ from the library's, and texts that normalisation would change
 across pieces, go to the library whole.
@@ -26,7 +26,7 @@ _SPACED = re.compile(r"'(?:s|t|re|ve|m|ll|d)| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|
 _BARE = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
 #: Separators that are white space to Python alone, and what lies beyond U+FFFF.
 _CONTROLS, _FAR = "\x1c\x1d\x1e\x1f", re.compile("[\U00010000-\U0010ffff]")
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple[str, int | None], Encoder] = {}
 HELD.append(_ENCODERS.clear)
 
 
@@ -70,7 +70,8 @@ class Memo(dict):
 
 
 class Encoder:
-    def __init__(self, path: str):
+    def __init__(self, path: str, most: int | None = None):
+        self.most = most
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
 
@@ -114,14 +115,15 @@ class Encoder:
         out = []
         for text in texts:
             pieces = self.cut(text or "")
-            if len(self.memo) > MEMO // 2:
-                self.memo = Memo(self.piece, dict(self.memo))
+            if len(self.memo) > (self.most or MEMO) // 2:
+                self.memo.older = {}
+                self.memo = Memo(self.piece, self.memo)
             out.append(self.whole([text])[0] if pieces is None else b"".join(map(self.memo.__getitem__, pieces)))
         return out
 
 
-def encoder(path: str) -> Encoder:
-    """The encoder of this Python worker, loaded once."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+def encoder(path: str, most: int | None = None) -> Encoder:
+    """The encoder of this Python worker, loaded once; it keeps ``most`` pieces, or MEMO."""
+    if (path, most) not in _ENCODERS:
+        _ENCODERS[path, most] = Encoder(path, most)
+    return _ENCODERS[path, most]

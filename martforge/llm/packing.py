@@ -25,11 +25,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martforge.llm.common import offsets_by, small_batches, written
+from martforge.llm.common import offsets_by, release, small_batches, written
 from martforge.llm.encoding import encoder
 
 MAX_LEN = 1024
 END_ID = 0
+#: Pieces of texts kept per Python worker: fewer than MEMO, as its task also writes all ids through the JVM beside it.
+MEMO = 300_000
 PIECES = "part int, nth bigint, doc_id bigint, start bigint, length bigint, doc_tokens bigint, ids binary"
 
 
@@ -41,7 +43,7 @@ def pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
     end = np.asarray([end_id], dtype="<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, part, seen = encoder(tokenizer), TaskContext.get().partitionId(), np.zeros(max_len + 1, dtype=np.int64)
+        encode, part, seen = encoder(tokenizer, MEMO), TaskContext.get().partitionId(), np.zeros(max_len + 1, dtype=np.int64)
         for batch in small_batches(batches, 256):
             out: list[tuple] = []
             for doc_id, ids in zip(batch.column(0).to_pylist(), encode(batch.column(1).to_pylist())):
@@ -105,6 +107,7 @@ def pack(cut: DataFrame, max_len: int = MAX_LEN) -> DataFrame:
     kept = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "part", "nth"]
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             length, rank = (batch.column(k).to_numpy(zero_copy_only=False) for k in ("length", "rank"))
             at = np.searchsorted(key, length << 44 | rank, side="right") - 1

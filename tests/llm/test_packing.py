@@ -72,3 +72,13 @@ def test_packing_is_tight_and_independent_of_scale():
         tokens = sum(k * v for k, v in histogram.items())
         assert sum(c for c, _ in patterns) * 1024 < tokens * 1.001
         assert len(patterns) < 5000
+
+
+def test_an_encoder_keeps_as_many_pieces_as_asked_for():
+    from martforge.llm.encoding import Encoder
+    from martforge.llm.queries import BYTE_BPE
+
+    texts = [f" word{chr(97 + i % 26)}{chr(97 + i // 26)} x" for i in range(600)] * 2
+    small, large = Encoder(BYTE_BPE, 100), Encoder(BYTE_BPE)
+    assert [small([t]) for t in texts] == [large([t]) for t in texts]
+    assert len(small.memo) + len(small.memo.older) < 110 < len(large.memo) and small.memo.older.older == {}
