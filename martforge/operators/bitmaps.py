@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -12,6 +13,7 @@ from martforge.functions.ids import dense_index
 from martforge.operators import facts
 from martforge.operators.calendar import PERIOD_ID
 from martforge.operators.hierarchy import HierarchySpec, bridge
+from martforge.session import drop_kept, kept
 
 #: Columns of a cell that add up.
 _MEASURES = ("__amt", "__units")
@@ -45,15 +47,19 @@ def _summed(rows: DataFrame, keys: list[str], bits: Column) -> DataFrame:
     return rows.groupBy(*keys, PERIOD_ID, "__word").agg(*[F.sum(m).alias(m) for m in _MEASURES], F.bit_or(bits).alias("__bits"))
 
 
-def leaf_cells(sales: DataFrame, stores: DataFrame, products: DataFrame, keys: list[str], store_key: str, product_key: str) -> DataFrame:
-    """Cells of the lowest levels from sales (``__amt``, ``__units``, period), ``stores`` with nodes and ``__no``, and
-    ``products`` with nodes.
+def leaf_words(sales: DataFrame, stores: DataFrame, products: DataFrame, keys: list[str], store_key: str, product_key: str) -> DataFrame:
+    """Stored words of the cells (``_cells``) of the lowest levels from sales (``__amt``, ``__units``, period), ``stores`` with
+    nodes and ``__no``, and ``products`` with nodes.
 
     Every sale is read once; no level above reads it again.
     """
     sold = (sales.join(products, product_key).drop(product_key).join(stores, store_key).drop(store_key)
             .withColumn("__word", F.shiftright("__no", 6)))
-    return _cells(_summed(sold, keys, F.expr("shiftleft(1L, cast(__no & 63 as int))")), keys)
+    # Step by step, so that no step's shuffle files lie beside those of another.
+    sold = kept(sold.select(*keys, PERIOD_ID, *_MEASURES, "__word", F.expr("shiftleft(1L, cast(__no & 63 as int))").alias("__bits")), "sold")
+    words = kept(_summed(sold, keys, F.col("__bits")), "words")
+    drop_kept(sold)
+    return words
 
 
 def merged(cells: DataFrame, keys: list[str]) -> DataFrame:
@@ -69,34 +75,43 @@ def merged(cells: DataFrame, keys: list[str]) -> DataFrame:
     return _cells(_summed(words, keys, F.col("__own")), keys)
 
 
-def cell_levels(leaf: DataFrame, geography: HierarchySpec, product: HierarchySpec, keep) -> dict[tuple[int, int], DataFrame]:
-    """(geography level, product level) -> cells; each comes from a neighbour below it, and ``keep`` stores it.
+def cell_levels(leaf: DataFrame, geography: HierarchySpec, product: HierarchySpec, keep,
+                done=lambda cells: None) -> Iterator[tuple[tuple[int, int], DataFrame]]:
+    """((geography level, product level), cells); each comes from a neighbour below it, and ``keep`` stores it.
 
-    Product levels are merged first at the lowest geography level, then each column of levels upwards, so
-    the rows read shrink at every step.
+    Product level by product level, the geography is climbed from the lowest; so two levels are in use
+    at a time beside the one that is made. ``done`` is called with cells that no further level is made from,
+    once the caller has asked for the next.
     """
-    out: dict[tuple[int, int], DataFrame] = {}
     low_g, low_p = len(geography.levels) - 1, len(product.levels) - 1
-    for g in range(low_g, -1, -1):
-        for p in range(low_p, -1, -1):
-            if (g, p) == (low_g, low_p):
-                cells = leaf
-            else:
-                below = out[g, p + 1] if g == low_g else out[g + 1, p]
-                cells = merged(below, [*_path("g", g), *_path("p", p)])
-            out[g, p] = keep(cells, f"cells_{g}_{p}")
-    return out
+    base = None
+    for p in range(low_p, -1, -1):
+        made = keep(leaf if base is None else merged(base, [*_path("g", low_g), *_path("p", p)]), f"cells_{low_g}_{p}")
+        if base is not None:
+            done(base)
+        base = cells = made
+        yield (low_g, p), base
+        for g in range(low_g - 1, -1, -1):
+            above = keep(merged(cells, [*_path("g", g), *_path("p", p)]), f"cells_{g}_{p}")
+            if cells is not base:
+                done(cells)
+            cells = above
+            yield (g, p), cells
+        if cells is not base:
+            done(cells)
+    done(base)
 
 
 def rollup_fact_bitmaps(sales: DataFrame, periods: DataFrame, stores: DataFrame, products: DataFrame, dim_geography: DataFrame,
-                        dim_product: DataFrame, geography: HierarchySpec, product: HierarchySpec, keep) -> DataFrame:
+                        dim_product: DataFrame, geography: HierarchySpec, product: HierarchySpec, keep, done=None) -> DataFrame:
     """``facts.rollup_fact`` with stores as mergeable sets: (geography_id, hierarchy_id, period_id, sales, units, stores_selling).
 
     ``facts.rollup_fact`` expands every store's sums to all nodes; this form aggregates
     them once and derives each level from the level below, and its cells can be
     merged further later (other levels, other periods), which counts cannot. Stores are numbered along
     the geography, so those of a node are neighbours; a cell takes 16 bytes per 64 neighbours of which one sells,
-    never more than 16 per store.
+    never more than 16 per store. With ``done`` (``cell_levels``) the rows of a level are stored by ``keep`` before the
+    next one is made, and the cells need not stay; without it all cells stay.
     """
     store_key, product_key = geography.leaf_key, product.leaf_key
     own = facts.join_periods(sales, periods).select(
@@ -105,13 +120,16 @@ def rollup_fact_bitmaps(sales: DataFrame, periods: DataFrame, stores: DataFrame,
     low_g, low_p = len(geography.levels) - 1, len(product.levels) - 1
     placed = level_ids(stores, dim_geography, geography, "g")
     placed = placed.join(numbered(placed, store_key, after=tuple(_path("g", low_g))), store_key)
-    leaf = leaf_cells(own, placed, level_ids(products, dim_product, product, "p"),
-                      [*_path("g", low_g), *_path("p", low_p)], store_key, product_key)
+    keys = [*_path("g", low_g), *_path("p", low_p)]
+    words = leaf_words(own, placed, level_ids(products, dim_product, product, "p"), keys, store_key, product_key)
     parts = []
-    for (g, p), cells in cell_levels(leaf, geography, product, keep).items():
+    for (g, p), cells in cell_levels(_cells(words, keys), geography, product, keep, done or (lambda cells: None)):
+        if not parts:
+            drop_kept(words)
         node = {geography.id_col: F.col(f"__g{g}"), product.id_col: F.col(f"__p{p}")}
         count = F.aggregate("__stores", F.lit(0).cast("bigint"), lambda n, w: n + F.bit_count(w["__bits"]))
-        parts.append(cells.filter(F.col(f"__g{g}").isNotNull() & F.col(f"__p{p}").isNotNull()).select(
+        rows = cells.filter(F.col(f"__g{g}").isNotNull() & F.col(f"__p{p}").isNotNull()).select(
             *[c.alias(name) for name, c in node.items()], PERIOD_ID, F.col("__amt").cast("double").alias("sales"),
-            F.col("__units").cast("double").alias("units"), count.alias("stores_selling")))
+            F.col("__units").cast("double").alias("units"), count.alias("stores_selling"))
+        parts.append(keep(rows, f"rows_{g}_{p}") if done else rows)
     return reduce(DataFrame.unionByName, parts)
